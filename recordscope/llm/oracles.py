@@ -18,3 +18,26 @@ WITH RECURSIVE w AS (
 SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.b) AS component_id, w.doc_id = min(r.b) AS kept
 FROM w JOIN reach r ON r.a = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id GROUP BY w.doc_id, n.n
 """
+
+#: Ranks by one window instead of buckets; the level by trying each prefix of limited sources.
+OP3 = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS number FROM d GROUP BY source
+), w AS (SELECT *, [3, 1, 2][((number - 1) % 3 + 1)::INT] AS weight, sum(source_size) OVER () AS whole FROM s
+), p AS (
+  SELECT *, 3 * whole - coalesce(sum(4 * source_size) OVER (ORDER BY source_size / weight, number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+    sum(weight) OVER (ORDER BY source_size / weight, number ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS still FROM w
+), c AS (SELECT *, 4 * source_size * still <= weight * rest AS capped FROM p
+), l AS (SELECT rest, still FROM c WHERE NOT capped ORDER BY source_size / weight, number LIMIT 1
+), t AS (
+  SELECT source, number, source_size, CASE WHEN capped THEN 2.0::DOUBLE * source_size ELSE weight * ((SELECT rest FROM l) * 50)::DOUBLE / (100.0::DOUBLE * (SELECT still FROM l)) END AS target FROM c
+), r AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0::DOUBLE END AS rate,
+    (('0x' || substr(md5('7:' || t.number), 1, 5))::BIGINT)::DOUBLE / 1048576 AS u,
+    row_number() OVER (PARTITION BY t.number ORDER BY length(d.size::VARCHAR) * 100 + substr(rpad(d.size::VARCHAR, 2, '0'), 1, 2)::INT, md5(coalesce(d.doc_id::VARCHAR, '')), d.doc_id NULLS FIRST, d.size) AS k
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target, (least(floor(u + rate * k) - floor(u + rate * (k - 1)), ceil(rate)) * size)::BIGINT AS taken FROM r
+"""
