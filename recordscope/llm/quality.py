@@ -164,6 +164,8 @@ def learn_rules(x: dict[str, np.ndarray], bad: np.ndarray, max_rules: int = 12,
             rule += (test,)
             held = test.holds(rest_x)
             rest_x, rest_y = {k: v[held] for k, v in rest_x.items()}, rest_y[held]
+        if not rule:
+            break
         short = rule
         while len(short) > 1 and _worth(short[:-1], prune_x, prune_y) >= _worth(short, prune_x, prune_y):
             short = short[:-1]
