@@ -7,8 +7,10 @@ from recordscope.llm.language import op5_language_id
 from recordscope.llm.minhash import op1_minhash_dedup
 from recordscope.llm.mixing import op3_source_mix
 from recordscope.llm.packing import op8_curve_packing
+from recordscope.llm.pii import op7_personal_data
 from recordscope.llm.quality import op4_quality_rules
+from recordscope.llm.secrets import op9_secret_scan
 from recordscope.llm.toxicity import op6_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op3_source_mix, op4_quality_rules, op5_language_id, op6_toxicity, op8_curve_packing)}
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op3_source_mix, op4_quality_rules, op5_language_id, op6_toxicity, op7_personal_data, op8_curve_packing, op9_secret_scan)}
 ORACLES = {"op1_minhash_dedup": oracles.OP1, "op3_source_mix": oracles.OP3}
