@@ -41,3 +41,31 @@ WITH d AS (
 )
 SELECT doc_id, size, source_size, target, (least(floor(u + rate * k) - floor(u + rate * (k - 1)), ceil(rate)) * size)::BIGINT AS taken FROM r
 """
+
+#: Records compared one by one, without trees.
+OP2 = r"""
+WITH p AS (
+  SELECT page_id // 1000 AS file, page_id, url, html,
+    strlen('WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10)) + strlen(coalesce(html, '')) + 4 AS length
+  FROM pages
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY file ORDER BY page_id, url, html) - 1 AS record_no,
+    coalesce(sum(length) OVER (PARTITION BY file ORDER BY page_id, url, html ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+    file % 3 = 1 AND page_id % 1000 >= 900 AS lost, page_id % 97 = 13 AND contains(coalesce(html, ''), 'e') AS altered FROM p
+)
+SELECT file, record_no, start::BIGINT AS "start", (start + length)::BIGINT AS "end", CASE WHEN lost THEN 'missing' ELSE 'changed' END AS status FROM r WHERE lost OR altered
+"""
+
+#: Cosines of all pairs of a label.
+OP10 = r"""
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+), ok AS (
+  SELECT * FROM v WHERE e IS NOT NULL AND label IS NOT NULL AND len(e) > 0 AND list_aggregate(list_transform(e, lambda x: coalesce(isfinite(x), false)), 'bool_and')
+    AND list_aggregate(list_transform(e, lambda x: x <> 0), 'bool_or')
+), links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), n AS (SELECT a, count(*) AS n FROM links GROUP BY a
+), reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, min(r.b) AS component_id, v.vec_id = min(r.b) AS kept
+FROM v JOIN reach r ON r.a = v.vec_id LEFT JOIN n ON n.a = v.vec_id GROUP BY v.vec_id, n.n
+"""
