@@ -96,13 +96,16 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rows.append((int(j - i), chars, sum(t.count(c) for c in SYMBOLS), dup, _repeated_words(word[i:j]), n_lines, len(b) - len(b.translate(None, _UPPER)), marks))
             lo = hi
         columns = list(zip(*rows, strict=True)) if rows else [()] * len(MEASURES)
-        yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.int64()) for c in columns]], names=["doc_id", *MEASURES])
+        names = [f"_{k}" for k in range(batch.num_columns - 2)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], *[pa.array(c, pa.int64()) for c in columns]], names=["doc_id", *names, *MEASURES])
 
 
-def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Whole-text measures, one row for each row of ``docs``; a null text has none of anything."""
-    schema = "doc_id long, " + ", ".join(f"{m} long" for m in MEASURES)
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col)).mapInArrow(_measure, schema)
+def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Whole-text measures beside the id and ``keep`` columns, one row for each row of ``docs``; a null text has none of anything."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_text"), *[F.col(c).alias(f"_{k}") for k, c in enumerate(keep)])
+    kinds = dict(rows.dtypes)
+    schema = ", ".join(["doc_id long", *[f"_{k} {kinds[f'_{k}']}" for k in range(len(keep))], *[f"{m} long" for m in MEASURES]])
+    return rows.mapInArrow(_measure, schema)
 
 
 def _gain(before: tuple[int, int], after: tuple[int, int]) -> float:
@@ -193,14 +196,32 @@ def decision(rules: list[Rule]) -> Column:
     return out
 
 
-def labelled_sample(measured: DataFrame, labels: DataFrame, bound: int = SAMPLE_ROWS) -> tuple[dict[str, np.ndarray], np.ndarray]:
-    """Feature arrays and the bad flag of about ``bound`` labelled rows, chosen by hash; a document labelled both ways is bad."""
+def sample_labels(labels: DataFrame, bound: int = SAMPLE_ROWS) -> DataFrame:
+    """(doc_id, quality) of about ``bound`` labelled documents, chosen by hash; a document labelled both ways is bad."""
     told = labels.filter("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
-    rows = measured.join(told, "doc_id")
-    n = max(bound, told.count())
-    few = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(n)) < bound).select("doc_id", "quality", *[F.expr(v).cast("double").alias(k) for k, v in FEATURES.items()])
-    pdf = few.dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
-    return {k: pdf[k].to_numpy(dtype=float) for k in FEATURES}, (pdf["quality"] == 0).to_numpy(dtype=bool)
+    return told.filter(F.pmod(F.xxhash64("doc_id"), F.lit(max(bound, told.count()))) < bound)
+
+
+def train_rules(measured: DataFrame, few: DataFrame) -> list[Rule]:
+    """Rules from the measured rows of the sampled labels ``few``; none unless both labels occur."""
+    rows = measured.join(few, "doc_id").select("doc_id", "quality", *[F.expr(v).cast("double").alias(k) for k, v in FEATURES.items()])
+    pdf = rows.dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
+    bad = (pdf["quality"] == 0).to_numpy(dtype=bool)
+    return learn_rules({k: pdf[k].to_numpy(dtype=float) for k in FEATURES}, bad) if bad.any() and not bad.all() else []
+
+
+def judge(measured: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Adds base_failed, rule and kept to measured rows."""
+    out = measured.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))).withColumn("rule", decision(rules))
+    return out.withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))
+
+
+def drop_rejected(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with their columns, that the rules keep; only sampled labelled rows are measured for training."""
+    few = durable(sample_labels(labels))
+    rules = train_rules(measure(docs.join(few.select("doc_id"), "doc_id", "left_semi")), few)
+    keep = tuple(docs.columns)
+    return judge(measure(docs, keep=keep), rules).filter("kept").select(*[F.col(f"_{k}").alias(c) for k, c in enumerate(keep)])
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -211,10 +232,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     kinds no rule is learned. Other columns are ignored.
     """
     measured = durable(measure(docs))
-    x, bad = labelled_sample(measured, labels)
-    rules = learn_rules(x, bad) if bad.any() and not bad.all() else []
-    out = measured.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))).withColumn("rule", decision(rules))
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))
+    return judge(measured, train_rules(measured, sample_labels(labels)))
 
 
 def op4_quality_rules(spark, sf_dir: str) -> DataFrame:
