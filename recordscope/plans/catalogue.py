@@ -1,10 +1,15 @@
-"""All registered queries of the reference's own operators."""
+"""All registered queries of the record operators."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from pyspark.sql import DataFrame, SparkSession
 
+from recordscope.plans import procurement_queries
+from recordscope.plans.base import ORACLES, QUERIES
 
-def flagship(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/nation.parquet")
+__all__ = ["ORACLES", "QUERIES", "flagship"]
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Awards that match the ban register."""
+    return procurement_queries.ban_flags(spark, sf_dir)
