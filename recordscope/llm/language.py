@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from recordscope.llm.common import durable
+
 #: Training documents, words and n-grams kept for each language.
 SAMPLE_DOCS = 800
 TOP = 20_000
@@ -96,7 +98,9 @@ def train_language_model(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, top: i
     """Model of the (text, lang) rows that are not held out; rows with a null id, text or language teach nothing."""
     told = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     per = told.groupBy("lang").agg(F.count("*").alias("n"))
-    sample = told.join(per, "lang").filter(F.pmod(F.xxhash64("doc_id"), F.greatest("n", F.lit(sample_docs))) < sample_docs)
+    # ids are chosen without their texts; the written table is small, so the texts are met by broadcast and stay where they are
+    ids = durable(told.select("doc_id", "lang").join(per, "lang").filter(F.pmod(F.xxhash64("doc_id"), F.greatest("n", F.lit(sample_docs))) < sample_docs).select("doc_id").distinct())
+    sample = told.join(ids, "doc_id", "left_semi")
     found = sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("item")).groupBy("lang", "item").agg(F.count("*").alias("n"))
     marked = F.concat(F.lit("^"), F.col("item"), F.lit("$"))
     spans = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(GRAM)), lambda size: F.when(F.length(marked) >= size, F.transform(F.sequence(F.lit(1), F.length(marked) - size + 1), lambda i: F.substring(marked, i, size))).otherwise(F.array().cast("array<string>"))))
