@@ -93,3 +93,40 @@ def hourly(spark: SparkSession, d: str) -> DataFrame:
 HOURLY = """hourly AS (
   SELECT datetime, datetime::DATE AS date, hour(datetime) AS hour, round(supply + coalesce(loadshed, 0), 2) AS demand, supply, loadshed FROM (
     SELECT date_trunc('hour', ts) AS datetime, round(sum(value) FILTER (event_type IN ('view', 'click')), 2) AS supply, round(sum(value) FILTER (event_type = 'error'), 2) AS loadshed FROM events GROUP BY 1))"""
+
+
+def zone_days(spark: SparkSession, d: str) -> DataFrame:
+    """Line items by ship date and supplier region as zone readings; population is the region's number of customers."""
+    t = lambda n: table(spark, d, n)
+    region = t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", F.col("r_name").alias("zone"))
+    people = t("customer").join(region, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("zone").agg(F.count("*").alias("population"))
+    supplier = t("supplier").join(region, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("l_suppkey"), "zone")
+    price = F.col("l_extendedprice")
+    rows = t("lineitem").join(supplier, "l_suppkey").groupBy(F.to_date("l_shipdate").alias("date"), "zone").agg(F.round(F.sum(price), 2).alias("demand"), F.round(F.sum(price * F.col("l_discount")), 4).alias("shed"))
+    return rows.join(people, "zone").select("date", "zone", "demand", "shed", "population")
+
+
+ZONES = """zones AS (
+  SELECT date, zone, demand, shed, population FROM (
+    SELECT l_shipdate::DATE AS date, r_name AS zone, round(sum(l_extendedprice), 2) AS demand, round(sum(l_extendedprice * l_discount), 4) AS shed
+    FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey GROUP BY 1, 2)
+  JOIN (SELECT r_name AS zone, count(*) AS population FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey GROUP BY 1) USING (zone))"""
+
+
+def line_days(spark: SparkSession, d: str) -> DataFrame:
+    """All zones of a date together."""
+    return zone_days(spark, d).groupBy("date").agg(F.round(F.sum("demand"), 2).alias("demand"), F.round(F.sum("shed"), 4).alias("shed"))
+
+
+DAYS = ZONES + ", days AS (SELECT date, round(sum(demand), 2) AS demand, round(sum(shed), 4) AS shed FROM zones GROUP BY 1)"
+
+
+def fuel_days(spark: SparkSession, d: str) -> DataFrame:
+    """Line items by date and return flag as fuels: energy, cost and the date's stated unit cost and energy."""
+    rows = table(spark, d, "lineitem").groupBy(F.to_date("l_shipdate").alias("date"), F.col("l_returnflag").alias("fuel")).agg(F.sum("l_quantity").alias("energy"), F.round(F.sum("l_extendedprice"), 2).alias("cost"))
+    every = rows.groupBy("date").agg(F.round(F.sum("cost") / F.sum("energy") * F.when(F.dayofmonth("date") % 5 == 0, 1.2).otherwise(1.0), 6).alias("stated"), F.sum("energy").alias("stated_energy"))
+    return rows.join(every, "date")
+
+
+FUELS = """f AS (SELECT l_shipdate::DATE AS date, l_returnflag AS fuel, sum(l_quantity) AS energy, round(sum(l_extendedprice), 2) AS cost FROM lineitem GROUP BY 1, 2),
+fuels AS (SELECT * FROM f JOIN (SELECT date, round(sum(cost) / sum(energy) * CASE WHEN day(date) % 5 = 0 THEN 1.2::DOUBLE ELSE 1.0::DOUBLE END, 6) AS stated, sum(energy) AS stated_energy FROM f GROUP BY 1) USING (date))"""
