@@ -99,7 +99,7 @@ def train_language_model(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, top: i
     told = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     per = told.groupBy("lang").agg(F.count("*").alias("n"))
     # ids are chosen without their texts; the written table is small, so the texts are met by broadcast and stay where they are
-    ids = durable(told.select("doc_id", "lang").join(per, "lang").filter(F.pmod(F.xxhash64("doc_id"), F.greatest("n", F.lit(sample_docs))) < sample_docs).select("doc_id").distinct())
+    ids = durable(told.select("doc_id", "lang").join(per, "lang").filter(F.pmod(F.xxhash64("doc_id"), F.greatest("n", F.lit(sample_docs))) < sample_docs).select("doc_id").distinct().coalesce(1))
     sample = told.join(ids, "doc_id", "left_semi")
     found = sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("item")).groupBy("lang", "item").agg(F.count("*").alias("n"))
     marked = F.concat(F.lit("^"), F.col("item"), F.lit("$"))

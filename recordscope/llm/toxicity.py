@@ -108,7 +108,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, terms: tuple[tuple[str, .
     told = told.filter(~held_out(F.col("doc_id")))
     size = {r["toxic"]: r["count"] for r in told.groupBy("toxic").count().collect()}
     bound = F.when(F.col("toxic") == 1, max(sample_each, size.get(1, 0))).otherwise(max(sample_each, size.get(0, 0)))
-    few = told.filter(F.pmod(F.xxhash64("doc_id"), bound) < sample_each)
+    # bounded and small, so that texts are met by broadcast and not shuffled
+    few = durable(told.filter(F.pmod(F.xxhash64("doc_id"), bound) < sample_each).coalesce(1))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("text is not null").join(few, "doc_id").select("doc_id", "toxic", "text")
     feats = durable(rows.mapInArrow(_featurise(terms), "doc_id long, toxic int, plain array<string>, swapped array<string>"))
     n = {r["toxic"]: r["count"] for r in feats.groupBy("toxic").count().collect()}
