@@ -218,7 +218,7 @@ def judge(measured: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def drop_rejected(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, with their columns, that the rules keep; only sampled labelled rows are measured for training."""
-    few = durable(sample_labels(labels))
+    few = durable(sample_labels(labels).coalesce(1))  # bounded and small, so that texts are met by broadcast
     rules = train_rules(measure(docs.join(few.select("doc_id"), "doc_id", "left_semi")), few)
     keep = tuple(docs.columns)
     return judge(measure(docs, keep=keep), rules).filter("kept").select(*[F.col(f"_{k}").alias(c) for k, c in enumerate(keep)])
