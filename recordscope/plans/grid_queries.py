@@ -29,11 +29,11 @@ def a28_daily(spark, d):
     return g.daily(hourly(spark, d))
 
 
-@query(f"""WITH {DAYS}, m AS (SELECT date, demand, shed / 7.0::DOUBLE AS shed, strftime(date, '%Y-%m') AS month FROM days), r AS (SELECT month, shed, row_number() OVER (PARTITION BY month ORDER BY shed) - 1 AS k, count(*) OVER (PARTITION BY month) AS n FROM m)
-SELECT month, count(*) AS days, count(shed) AS reported_days, max(demand / 7.0::DOUBLE) AS peak_demand, round(avg(demand / 7.0::DOUBLE), 2) AS mean_peak_demand, max(shed) AS max_loadshed, round(sum(shed), 2) AS energy_shed, round(sum(day(date) % 5)::DOUBLE / count(*), 4) AS mean_hours_shed,
+@query(f"""WITH {DAYS}, m AS (SELECT date, demand, shed / 3.14159265::DOUBLE AS shed, strftime(date, '%Y-%m') AS month FROM days), r AS (SELECT month, shed, row_number() OVER (PARTITION BY month ORDER BY shed) - 1 AS k, count(*) OVER (PARTITION BY month) AS n FROM m)
+SELECT month, count(*) AS days, count(shed) AS reported_days, max(demand / 3.14159265::DOUBLE) AS peak_demand, round(avg(demand / 3.14159265::DOUBLE), 2) AS mean_peak_demand, max(shed) AS max_loadshed, round(sum(shed), 2) AS energy_shed, round(sum(day(date) % 5)::DOUBLE / count(*), 4) AS mean_hours_shed,
   (SELECT max(shed) FROM r WHERE r.month = m.month AND k = floor(0.95::DOUBLE * (n - 1))) AS p95_loadshed, (SELECT max(shed) FROM r WHERE r.month = m.month AND k = floor(0.5::DOUBLE * (n - 1))) AS median_energy_shed FROM m GROUP BY month""")
 def a29_monthly(spark, d):
-    day = line_days(spark, d).select("date", (F.col("demand") / 7.0).alias("peak_demand"), (F.col("shed") / 7.0).alias("max_loadshed"), (F.col("shed") / 7.0).alias("energy_shed"), (F.dayofmonth("date") % 5).alias("hours_shed"))
+    day = line_days(spark, d).select("date", (F.col("demand") / 3.14159265).alias("peak_demand"), (F.col("shed") / 3.14159265).alias("max_loadshed"), (F.col("shed") / 3.14159265).alias("energy_shed"), (F.dayofmonth("date") % 5).alias("hours_shed"))
     return g.monthly(day)
 
 
