@@ -36,6 +36,10 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
+#: Words whose scores a task keeps.
+CACHE = 400_000
+
+
 @dataclass
 class LanguageModel:
     """Log frequencies by language of words and of n-grams (``^`` and ``$`` mark word ends)."""
@@ -44,45 +48,72 @@ class LanguageModel:
     words: dict[str, np.ndarray]
     grams: dict[str, np.ndarray]
     floor: np.ndarray
-    seen: dict[str, np.ndarray] = field(default_factory=dict)
-
-    def word(self, w: str) -> np.ndarray:
-        known = self.words.get(w)
-        if known is not None:
-            return known
-        out = self.seen.get(w)
-        if out is None:
-            if len(self.seen) > 200_000:
-                self.seen.clear()
-            out = self.seen[w] = self.back_off(w)
-        return out
-
-    def back_off(self, w: str) -> np.ndarray:
-        marked = f"^{w}$"
-        total, n, i = np.zeros(len(self.languages)), 0, 0
+    _at: dict[str, int] = field(default_factory=dict)
+    _rows: np.ndarray | None = None
+    _gram_at: dict[str, int] = field(default_factory=dict)
+    _gram_rows: np.ndarray | None = None
+
+    def _parts(self, w: str) -> list[int]:
+        """Rows of the n-grams that an unseen word is read as: at each place the longest known one, row 0 without any."""
+        marked, at, out, i = f"^{w}$", self._gram_at, [], 0
         while i < len(marked):
             for size in range(min(GRAM, len(marked) - i), 0, -1):
-                known = self.grams.get(marked[i : i + size])
+                known = at.get(marked[i : i + size])
                 if known is not None:
-                    total, n = total + known, n + 1
+                    out.append(known)
                     break
             else:
                 size = 1
-                total, n = total + self.floor, n + 1
+                out.append(0)
             # overlap by all but one character of the n-gram just read, so word parts are not cut apart
             i += max(1, size - 1)
-        return total / n
+        return out
+
+    def _learn(self, new: list[str]) -> None:
+        """Adds rows for words that were not met before: their own log frequencies, or the mean of their parts."""
+        if self._gram_rows is None:
+            self._gram_at = {g: k + 1 for k, g in enumerate(self.grams)}
+            self._gram_rows = np.vstack([self.floor, *self.grams.values()]).reshape(-1, len(self.languages))
+        if self._rows is None or len(self._at) > CACHE:
+            self._at, self._rows = {}, np.empty((0, len(self.languages)))
+        known = [w for w in new if w in self.words]
+        unseen = [w for w in new if w not in self.words]
+        rows = [self._rows, *([np.vstack([self.words[w] for w in known])] if known else [])]
+        if unseen:
+            parts = [self._parts(w) for w in unseen]
+            size = np.array([len(x) for x in parts])
+            flat = self._gram_rows[np.concatenate(parts)]
+            rows.append(np.add.reduceat(flat, np.cumsum(size) - size, axis=0) / size[:, None])
+        for w in known + unseen:
+            self._at[w] = len(self._at)
+        self._rows = np.vstack(rows)
+
+    def predict_many(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        found = [Counter(_LETTERS.findall(t.lower())) if t else Counter() for t in texts]
+        out = [(UNKNOWN, 0.0)] * len(texts)
+        some = [k for k, c in enumerate(found) if c]
+        if not some or not self.languages:
+            return out
+        new = list(dict.fromkeys(w for k in some for w in found[k] if w not in self._at))
+        if new:
+            if len(self._at) + len(new) > CACHE:
+                self._rows, new = None, list(dict.fromkeys(w for k in some for w in found[k]))
+            self._learn(new)
+        at = self._at
+        size = np.array([len(found[k]) for k in some])
+        rows = self._rows[[at[w] for k in some for w in found[k]]]
+        times = np.array([n for k in some for n in found[k].values()], dtype=float)
+        first = np.cumsum(size) - size
+        total, count = np.add.reduceat(rows * times[:, None], first, axis=0), np.add.reduceat(times, first)
+        mean = total / count[:, None] * np.minimum(count, EVIDENCE)[:, None]
+        p = np.exp(mean - mean.max(axis=1, keepdims=True))
+        best = p.argmax(axis=1)
+        for k, b, score in zip(some, best, p.max(axis=1) / p.sum(axis=1), strict=True):
+            out[k] = (self.languages[int(b)], float(score))
+        return out
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        found = Counter(_LETTERS.findall((text or "").lower()))
-        if not found or not self.languages:
-            return UNKNOWN, 0.0
-        total = sum((self.word(w) * n for w, n in found.items()), np.zeros(len(self.languages)))
-        count = sum(found.values())
-        mean = total / count * min(count, EVIDENCE)
-        p = np.exp(mean - mean.max())
-        best = int(np.argmax(p))
-        return self.languages[best], float(p[best] / p.sum())
+        return self.predict_many([text])[0]
 
 
 def _log_frequencies(rows: list, languages: list[str]) -> tuple[dict[str, np.ndarray], np.ndarray]:
@@ -125,9 +156,11 @@ def identify_language(docs: DataFrame, model: LanguageModel | None = None) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for batch in batches:
-            said = [m.predict(t) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([s[0] for s in said], pa.string()), pa.array([s[1] for s in said], pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 128):
+                batch = whole.slice(lo, 128)
+                said = m.predict_many(batch.column(2).to_pylist())
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([s[0] for s in said], pa.string()), pa.array([s[1] for s in said], pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
