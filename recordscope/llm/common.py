@@ -2,34 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Word separators of every contract: space and the five ASCII controls tab..CR.
-SPACES = r"[\x20\x09-\x0D]+"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one is set where none is named (tests)."""
-    name = spark.conf.get("spark.checkpoint.dir", None)
-    if not name:
-        name = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", name)
-    return name.rstrip("/")
+from recordscope.sources.io import durable
 
+__all__ = ["SPACES", "connected_components", "durable", "words"]
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared folder and return the table.
-
-    Cuts the lineage, survives lost executors, and later reads fetch only the columns they use.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: Word separators of every contract: space and the five ASCII controls tab..CR.
+SPACES = r"[\x20\x09-\x0D]+"
 
 
 def words(text: Column) -> Column:

@@ -23,6 +23,8 @@ from recordscope.llm.common import durable
 #: Training documents, words and n-grams kept for each language.
 SAMPLE_DOCS = 800
 TOP = 20_000
+#: Words, and as many n-grams, kept over all languages; with many languages each keeps fewer.
+TOP_ALL = 200_000
 #: Longest n-gram.
 GRAM = 4
 #: Words that count as independent evidence; more words sharpen a score no further.
@@ -137,6 +139,8 @@ def train_language_model(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, top: i
     spans = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(GRAM)), lambda size: F.when(F.length(marked) >= size, F.transform(F.sequence(F.lit(1), F.length(marked) - size + 1), lambda i: F.substring(marked, i, size))).otherwise(F.array().cast("array<string>"))))
     grams = found.select("lang", "n", F.explode(spans).alias("item")).groupBy("lang", "item").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "item")
+    langs = max(1, per.count())
+    top = min(top, max(TOP_ALL // langs, 1_000))
     best = lambda df: df.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= top).select("lang", "item", "n").collect()
     word_rows, gram_rows = best(found), best(grams)
     languages = sorted({r["lang"] for r in word_rows})
