@@ -18,6 +18,8 @@ from recordscope.llm.common import durable
 
 FANOUT = 16
 RECORDS_PER_FILE = 1_000
+#: Rows of a file of a small table.
+NODES_PER_FILE = 100_000
 END = b"\r\n\r\n"
 
 
@@ -40,40 +42,44 @@ def to_records(pages: DataFrame, per_file: int = RECORDS_PER_FILE) -> DataFrame:
     return rows.select("file", (F.row_number().over(order) - 1).cast("long").alias("record_no"), F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long").alias("offset"), "length", "record")
 
 
-def merkle_levels(records: DataFrame, fanout: int = FANOUT) -> DataFrame:
-    """(file, level, no, start, end, hash): leaves are level 0; each level covers ``fanout`` nodes of the one below.
+def _written(df: DataFrame, rows: int) -> DataFrame:
+    """A durable table in files of about ``NODES_PER_FILE`` rows, for small tables that would else be many tiny files."""
+    return durable(df.coalesce(max(1, -(-rows // NODES_PER_FILE))))
 
-    A record's leaf hashes its offset with its bytes, so a record that moved differs. Empty input gives no nodes.
+
+def merkle_levels(records: DataFrame, fanout: int = FANOUT) -> list[DataFrame]:
+    """Levels of (file, no, start, end, hash), leaves first; each level covers ``fanout`` nodes of the one below.
+
+    A record's leaf hashes its offset with its bytes, so a record that moved differs. Empty input gives an empty leaf level.
     """
     leaf = F.sha2(F.concat(F.encode(F.concat(F.col("offset").cast("string"), F.lit(":")), "UTF-8"), F.col("record")), 256)
-    level = durable(records.select("file", F.lit(0).alias("level"), F.col("record_no").alias("no"), F.col("offset").alias("start"), (F.col("offset") + F.col("length")).alias("end"), leaf.alias("hash")))
-    top = level.agg(F.max("no")).first()[0]
-    levels, depth = [level], 0
+    level = durable(records.select("file", F.col("record_no").alias("no"), F.col("offset").alias("start"), (F.col("offset") + F.col("length")).alias("end"), leaf.alias("hash")))
+    levels, (top, rows) = [level], level.agg(F.max("no"), F.count("*")).first()
     while top:
-        depth, top = depth + 1, top // fanout
+        top //= fanout
         kids = F.array_sort(F.collect_list(F.struct("no", "hash")))
-        level = durable(level.groupBy("file", F.floor(F.col("no") / fanout).cast("long").alias("up")).agg(F.min("start").alias("start"), F.max("end").alias("end"), kids.alias("kids")).select("file", F.lit(depth).alias("level"), F.col("up").alias("no"), "start", "end", F.sha2(F.array_join(F.col("kids.hash"), ""), 256).alias("hash")))
+        up = level.groupBy("file", F.floor(F.col("no") / fanout).cast("long").alias("up")).agg(F.min("start").alias("start"), F.max("end").alias("end"), kids.alias("kids"))
+        # a node stands for up to ``fanout`` nodes, at least one
+        level = _written(up.select("file", F.col("up").alias("no"), "start", "end", F.sha2(F.array_join(F.col("kids.hash"), ""), 256).alias("hash")), rows)
+        rows = level.count()
         levels.append(level)
-    out = levels[0]
-    for more in levels[1:]:
-        out = out.unionByName(more)
-    return out
+    return levels
 
 
-def audit(ours: DataFrame, theirs: DataFrame, fanout: int = FANOUT) -> DataFrame:
+def audit(ours: list[DataFrame], theirs: list[DataFrame], fanout: int = FANOUT) -> DataFrame:
     """(file, record_no, start, end, status) of records that differ between two trees of ``merkle_levels``.
 
     ``status`` is changed, missing (only ours) or extra (only theirs). Each step joins the children of differing nodes only.
     """
-    ours, theirs = durable(ours), durable(theirs)
-    highest = max(ours.agg(F.max("level")).first()[0] or 0, theirs.agg(F.max("level")).first()[0] or 0)
     suspect = None
-    for level in range(highest, -1, -1):
-        a, b = (t.filter(F.col("level") == level).withColumn("up", F.floor(F.col("no") / fanout).cast("long")) for t in (ours, theirs))
+    for level in range(max(len(ours), len(theirs)) - 1, -1, -1):
+        a, b = (t[level] if level < len(t) else t[0].limit(0) for t in (ours, theirs))
+        rows = a.count() + b.count()
+        a, b = (t.withColumn("up", F.floor(F.col("no") / fanout).cast("long")) for t in (a, b))
         if suspect is not None:
             a, b = (t.join(suspect, ["file", "up"], "left_semi") for t in (a, b))
         a, b = (t.select("file", "no", F.struct("start", "end", "hash").alias(name)) for t, name in ((a, "a"), (b, "b")))
-        differ = durable(a.join(b, ["file", "no"], "full").filter(~F.col("a.hash").eqNullSafe(F.col("b.hash"))))
+        differ = _written(a.join(b, ["file", "no"], "full").filter(~F.col("a.hash").eqNullSafe(F.col("b.hash"))), rows)
         suspect = differ.select("file", F.col("no").alias("up"))
     status = F.when(F.col("b").isNull(), "missing").when(F.col("a").isNull(), "extra").otherwise("changed")
     return differ.select("file", F.col("no").alias("record_no"), F.coalesce("a.start", "b.start").alias("start"), F.coalesce("a.end", "b.end").alias("end"), status.alias("status"))
