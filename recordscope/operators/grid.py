@@ -319,3 +319,9 @@ def blended_fuel_cost(fuel: DataFrame, within: float = 0.05, least: int = 60) ->
     per = good.groupBy("fuel").agg(F.count_distinct("date").alias("days"), F.sum("cost").alias("c"), F.sum("energy").alias("e")).filter(F.col("days") >= least)
     every = Window.partitionBy()
     return per.select("fuel", "days", F.round(F.col("c") / F.sum("c").over(every), 6).alias("cost_share"), F.round(F.col("e") / F.sum("e").over(every), 6).alias("energy_share"))
+
+
+def reported(df: DataFrame, value: str, cutoff: str, date: str = "date") -> DataFrame:
+    """Adds ``reported``: before the cutoff a 0 means that nothing was published, after it any value counts."""
+    told = F.when(F.col(date) < F.lit(cutoff).cast("date"), F.coalesce(F.col(value) > 0, F.lit(False))).otherwise(F.col(value).isNotNull())
+    return df.withColumn("reported", told)

@@ -313,3 +313,14 @@ def w4_w5_w6_ranks(spark, d):
 
     z = zone_days(spark, d).groupBy("zone").agg(F.sum("shed").alias("s")).withColumn("shed", F.round("s", 2))
     return z.select("zone", "shed", F.rank().over(Window.orderBy(F.col("shed").desc())).alias("place"), F.round(F.col("s") / F.sum("s").over(Window.partitionBy()), 6).alias("share"), (F.col("shed") - F.lag("shed").over(Window.orderBy("zone"))).alias("step"))
+
+
+@query(f"""WITH {DAYS}, n AS (SELECT max(date) AS d FROM days), w AS (SELECT b AS back, (d - to_months(12 * b))::DATE AS hi FROM n, range(1, 3) r(b)) SELECT back, count(*) AS days, round(avg(shed), 4) AS mean FROM w JOIN days ON date BETWEEN hi - 29 AND hi GROUP BY 1 HAVING count(*) >= 7""")
+def w8_earlier_years(spark, d):
+    return g.like_for_like(line_days(spark, d), "shed", back=(1, 2), least=7)
+
+
+@query(f"WITH {DAYS} SELECT CASE WHEN date < DATE '1998-01-01' THEN day(date) % 4 <> 0 ELSE true END AS reported, count(*) AS n FROM days GROUP BY 1")
+def c32_reported(spark, d):
+    zeros = line_days(spark, d).withColumn("shed", F.when(F.dayofmonth("date") % 4 == 0, 0.0).otherwise(1.0))
+    return g.reported(zeros, "shed", "1998-01-01").groupBy("reported").agg(F.count("*").alias("n"))

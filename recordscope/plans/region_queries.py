@@ -456,3 +456,10 @@ def l1_l2_l3_order(spark, d):
 @query()
 def l4_random_keys(spark, d):
     return table(spark, d, "orders").select("o_custkey").distinct().orderBy(F.rand(7)).limit(50)
+
+
+@query("""WITH a AS (SELECT p_partkey, list_distinct(list_filter(string_split(lower(p_name), ' '), lambda x: length(x) > 2 AND x NOT IN ('small', 'red'))) AS t FROM part), b AS (SELECT DISTINCT p_name AS other, list_distinct(list_filter(string_split(lower(p_name), ' '), lambda x: length(x) > 2 AND x NOT IN ('small', 'red'))) AS u FROM part WHERE p_size % 4 = 0),
+s AS (SELECT p_partkey, other, round(len(list_intersect(t, u)) / len(list_distinct(list_concat(t, u))), 6) AS score FROM a, b WHERE len(list_intersect(t, u)) > 0) SELECT p_partkey, arg_min(other, (-score, other)) AS other, max(score) AS score FROM s WHERE score >= 0.5 GROUP BY 1""")
+def j13_header_match(spark, d):
+    p = table(spark, d, "part")
+    return mt.token_match(p.select("p_partkey", "p_name"), p.filter("p_size % 4 = 0").select(F.col("p_name").alias("other")), "p_name", "other", ("small", "red"), 0.5).select("p_partkey", "other", "score")
