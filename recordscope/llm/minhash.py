@@ -34,8 +34,10 @@ MATCH = 33
 HEAVY = 100
 HEAVY_COORDS = 10
 BLOCK = 1024
+#: Shingles of a block, so that blocks of long documents hold fewer of them.
+BLOCK_SHINGLES = 1_000_000
 #: Bytes of text hashed at a time in a task.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 _U = np.uint64
 _SEED = np.random.default_rng(20240229)
@@ -234,8 +236,8 @@ def _heavy_links(heavy: DataFrame, sets: DataFrame, similarity: int) -> DataFram
     blocks of about ``BLOCK`` documents; every pair of blocks that can hold a link becomes one group.
     """
     step = F.floor(F.log("n_shingles") / F.log(F.lit(100.0 / similarity))).cast("int")
-    meet = heavy.select("node", step.alias("step"), F.posexplode(F.slice("sig", 1, HEAVY_COORDS)).alias("coord", "value"))
-    count = meet.groupBy("coord", "value", "step").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks")).filter("step is not null")
+    meet = heavy.select("node", "n_shingles", step.alias("step"), F.posexplode(F.slice("sig", 1, HEAVY_COORDS)).alias("coord", "value"))
+    count = meet.groupBy("coord", "value", "step").agg(F.ceil(F.greatest(F.count("*") / F.lit(BLOCK), F.sum("n_shingles") / F.lit(BLOCK_SHINGLES))).cast("int").alias("blocks")).filter("step is not null")
     plan = durable(
         count.alias("c")
         .join(count.alias("n"), (F.col("c.coord") == F.col("n.coord")) & (F.col("c.value") == F.col("n.value")) & (F.col("n.step") == F.col("c.step") + 1), "left")
