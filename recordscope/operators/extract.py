@@ -118,3 +118,55 @@ def table_lines(lines: DataFrame, header: str, total: str) -> DataFrame:
     rows = rows.filter((F.size("_n") >= F.size("_h")) & ~F.col("label").rlike(total))
     last = F.slice("_n", F.size("_n") - F.size("_h") + 1, F.size("_h"))
     return rows.select("doc", "line", "label", F.explode(F.arrays_zip(F.col("_h").alias("fiscal_year"), last.alias("v"))).alias("x")).select("doc", "line", "label", F.col("x.fiscal_year").alias("fiscal_year"), tolerant_number(F.col("x.v")).alias("value"))
+
+
+#: Layouts of published row fragments: field -> (cell, line in the cell, pattern or None); line -1 is the cell's last line. A
+#: pattern's first group is the value.
+LAYOUTS: dict[str, dict[str, tuple[int, int, str | None]]] = {
+    "awards": {
+        "tender_id": (2, 0, r"^([^,]+)"), "package_ref": (2, 0, r"^[^,]+, (.*)$"), "description": (2, 1, None), "ministry": (1, 0, None), "division": (1, 1, None), "procuring_entity": (3, 0, None),
+        "procurement_method": (3, 1, None), "district": (4, 0, None), "contract_signing_date": (5, 0, None), "awarded_to": (6, 0, None), "value_crore": (7, 0, None),
+    },
+    "tenders": {
+        "tender_id": (1, 0, None), "package_ref": (1, 1, None), "status": (1, 2, None), "procurement_nature": (2, 0, None), "description": (2, 1, None), "ministry": (3, 0, None), "division": (3, 1, None),
+        "organization": (3, 2, None), "procuring_entity": (3, 3, None), "procurement_type": (4, 0, None), "procurement_method": (4, 1, None), "publish_date": (5, 0, None), "close_date": (5, 1, None),
+    },
+    "experience": {
+        "division": (1, 0, None), "organization": (1, 1, None), "procuring_entity": (1, -1, None), "procurement_nature": (2, 0, None), "procurement_type": (2, 1, None), "procurement_method": (2, 2, None),
+        "tender_id": (3, 0, r"^(\d+),"), "title": (3, 0, r"^(?:\d+,\s*)?(.*)$"), "awarded_to": (4, 0, None), "company_unique_id": (5, 0, None), "experience_certificate_no": (6, 0, None), "contract_amount": (7, 0, None),
+        "contract_start_date": (8, 0, None), "contract_end_date": (8, 1, None), "work_status": (9, 0, None),
+    },
+    "plan": {"ministry": (0, 0, None), "division": (1, 0, None), "organization": (2, 0, None), "project": (3, 0, None)},
+    "plan_items": {
+        "app_id": (1, 0, None), "app_code": (2, 0, None), "procurement_nature": (3, 0, None), "project_name": (3, 1, None), "package_no": (4, 0, None), "package_description": (4, 1, None), "estimated_cost": (5, 0, None), "planned_method": (5, 1, None),
+    },
+    "bans": {"company": (1, 0, None), "country": (2, 0, None), "address": (3, 0, None), "debarred_by": (4, 0, None), "period": (5, 0, None), "scope": (6, 0, None), "reason": (7, 0, None)},
+}
+
+
+def html_cells(df: DataFrame, html: str) -> DataFrame:
+    """Like ``html_rows``, with each cell as the array of its non-empty lines between breaks."""
+    rows = F.regexp_extract_all(html, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
+    lines = lambda c: F.filter(broken_lines(c), lambda x: x != "")
+    cells = F.transform(F.regexp_extract_all(F.col("_r"), F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), F.lit(1)), lines)
+    out = df.select(*[c for c in df.columns if c != html], F.posexplode(rows).alias("row_no", "_r"))
+    return out.withColumn("cells", cells).drop("_r").filter(F.size("cells") > 0)
+
+
+def parse_layout(rows: DataFrame, layout: dict[str, tuple[int, int, str | None]]) -> DataFrame:
+    """Fields of a layout from ``html_cells`` rows; rows with too few cells are left out, missing lines are null."""
+    def read(cell: int, line: int, pattern: str | None) -> Column:
+        c = F.get("cells", F.lit(cell))
+        text = F.get(c, F.lit(line) if line >= 0 else F.size(c) + line)
+        return F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")) if pattern else text
+
+    full = rows.filter(F.size("cells") > max(cell for cell, _, _ in layout.values()))
+    return full.withColumns({name: read(*where) for name, where in layout.items()}).drop("cells")
+
+
+def owner_table(df: DataFrame, html: str) -> DataFrame:
+    """Adds ``owners``: (name, designation, share, country) structs of the table rows with four cells."""
+    rows = F.regexp_extract_all(html, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
+    cells = F.transform(rows, lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), F.lit(1)), cell_text))
+    four = F.filter(cells, lambda c: F.size(c) >= 4)
+    return df.withColumn("owners", F.transform(four, lambda c: F.struct(c[0].alias("name"), c[1].alias("designation"), c[2].alias("ownership_pct"), c[3].alias("country"))))

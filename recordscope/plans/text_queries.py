@@ -258,3 +258,25 @@ def s20_table_lines(spark, d):
     lines = F.array(F.lit("Country FY22 FY23 FY24"), F.concat_ws("  ", "c_name", n.cast("string"), (n + 1).cast("string"), (n + 2).cast("string")), F.lit("Total 1 2 3"))
     rows = c.select(F.col("c_custkey").alias("doc"), F.posexplode(lines).alias("line", "text"))
     return ex.table_lines(rows, r"FY\d{2}", r"(?i)^total").select("doc", "label", "fiscal_year", "value")
+
+
+def _td(*lines):
+    return F.concat(F.lit("<td> "), F.concat_ws("<br/>", *lines), F.lit(" </td>"))
+
+
+@query("""SELECT o_orderkey::VARCHAR AS tender_id, 'PKG/' || o_custkey AS package_ref, o_orderstatus AS status, 'Goods & works' AS procurement_nature, o_orderpriority AS procuring_entity, strftime(o_orderdate, '%d-%b-%Y') AS publish_date, NULL::VARCHAR AS close_date FROM orders WHERE o_orderkey % 10 = 2""")
+def s10_tenders(spark, d):
+    o = table(spark, d, "orders").filter("o_orderkey % 10 = 2")
+    row = F.concat(
+        F.lit("<tr>"), _td(F.lit("1")), _td(F.col("o_orderkey").cast("string"), F.concat(F.lit("PKG/"), F.col("o_custkey").cast("string")), F.col("o_orderstatus")), _td(F.lit("Goods &amp; works"), F.lit("<b>d</b>")),
+        _td(F.lit("m"), F.lit("d"), F.lit("o"), F.col("o_orderpriority")), _td(F.lit("NCT"), F.lit("OTM")), _td(F.concat(F.date_format("o_orderdate", "dd-MMM-yyyy"), F.lit(","))), F.lit("</tr><tr><td>short</td></tr>"),
+    )
+    out = ex.parse_layout(ex.html_cells(o.select(row.alias("html")), "html"), ex.LAYOUTS["tenders"])
+    return out.select("tender_id", "package_ref", "status", "procurement_nature", "procuring_entity", "publish_date", "close_date")
+
+
+@query("""SELECT c_custkey, c_name AS name, c_mktsegment AS designation FROM customer WHERE c_custkey % 4 = 1""")
+def s10_owner_table(spark, d):
+    c = table(spark, d, "customer").filter("c_custkey % 4 = 1")
+    page = F.concat(F.lit("<table><tr><td>Name</td></tr><tr>"), _td(F.col("c_name")), _td(F.col("c_mktsegment")), _td(F.lit("50%")), _td(F.lit("BD")), F.lit("</tr></table>"))
+    return ex.owner_table(c.select("c_custkey", page.alias("html")), "html").select("c_custkey", F.explode("owners").alias("o")).select("c_custkey", "o.name", "o.designation")
