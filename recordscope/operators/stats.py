@@ -15,18 +15,46 @@ RANKS = {
 }
 
 
+#: Rows up to which a quantile ranks all values; above, only those near it. The sketch errs by at most 1 / SKETCH of the rows,
+#: the margin on both sides is five times that.
+SMALL_ROWS, SKETCH = 10_000, 10_000
+
+
+def _near_quantile(df: DataFrame, value: str, q: float) -> DataFrame:
+    """(value, _low, _rows, _n): counts of the values near a quantile of the whole table, and one row for those below (_low) and above.
+
+    Bounds come from a sketch, so that the window that follows sees a thousandth of a large table instead of all its values.
+    """
+    margin = 5 / SKETCH
+    ends = F.percentile_approx(value, F.array(F.lit(max(0.0, q - margin)), F.lit(min(1.0, q + margin))), SKETCH)
+    bounds = F.broadcast(df.agg(F.count(value).alias("_rows"), ends.alias("_b")))
+    rows = df.select(value).filter(F.col(value).isNotNull()).crossJoin(bounds)
+    place = F.when((F.col("_rows") <= SMALL_ROWS) | F.col(value).between(F.col("_b")[0], F.col("_b")[1]), F.col(value))
+    low = place.isNull() & (F.col(value) < F.col("_b")[0])
+    counts = rows.select(place.alias(value), low.alias("_low"), "_rows").groupBy(value, "_low", "_rows").agg(F.count("*").alias("_n"))
+    return counts
+
+
 def quantile(df: DataFrame, by: Sequence[str], value: str, q: float, kind: str, name: str = "quantile") -> DataFrame:
     """One row a group: the ``kind`` quantile of non-null values (floor, index, upper, interpolated); groups of nulls give null.
 
-    Values are first counted, so that a window sees each distinct value of a group once, with or without grouping.
+    Values are first counted, so that a window sees each distinct value of a group once; over a whole table it sees only the values
+    near the quantile. The result is exact either way.
     """
     if kind == "interpolated":
         return df.groupBy(*by).agg(F.percentile(value, F.lit(q)).alias(name))
+    if not by:
+        counts = _near_quantile(df, value, q)
+        below = F.coalesce(F.max(F.when(F.col("_low"), F.col("_n"))).over(Window.partitionBy()), F.lit(0))
+        upto = Window.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+        near = counts.withColumn("_below", below).filter(F.col(value).isNotNull())
+        ranked = near.withColumn("_upto", F.sum("_n").over(upto) + F.col("_below"))
+        return ranked.agg(F.min(F.when(F.col("_upto") > RANKS[kind](F.col("_rows"), q), F.col(value))).alias(name))
     counts = df.groupBy(*by, value).agg(F.count(value).alias("_n"))
-    part = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    part = Window.partitionBy(*by)
     upto = part.orderBy(F.col(value).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
     ranked = counts.withColumn("_upto", F.sum("_n").over(upto)).withColumn("_all", F.sum("_n").over(part))
-    # null and NaN-free rank arithmetic: the quantile is the least value whose running count passes the rank
+    # the quantile is the least value whose running count passes the rank
     hit = F.when((F.col("_n") > 0) & (F.col("_upto") > RANKS[kind](F.col("_all"), q)), F.col(value))
     return ranked.groupBy(*by).agg(F.min(hit).alias(name))
 

@@ -125,3 +125,16 @@ def test_holiday_dip_needs_a_baseline(spark):
     day = spark.range(40).select(F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("date"), F.when(F.col("id") == 30, 50.0).otherwise(100.0).alias("v"))
     h = spark.sql("select date'2024-01-31' as holiday union all select date'2024-01-05'")
     assert [(str(r["holiday"]), r["dip"]) for r in grid.holiday_dips(day, h, "v").collect()] == [("2024-01-31", 0.5)]
+
+
+@pytest.mark.parametrize("q", [0.0, 0.1, 0.5, 0.95, 1.0])
+def test_whole_table_quantiles_are_exact(spark, monkeypatch, q):
+    """With the short cut for small tables off, values near the quantile give the same result as all of them."""
+    monkeypatch.setattr(stats, "SMALL_ROWS", 100)
+    values = [float((i * 7919) % 30011) ** 1.5 for i in range(40_000)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").repartition(4)
+    values.sort()
+    n = len(values)
+    want = {"floor": values[int(q * (n - 1))], "index": values[min(int(n * q), n - 1)]}
+    assert {k: stats.quantile(df, [], "v", q, k).first()[0] for k in want} == want
+    assert stats.quantile(df.filter("v is null"), [], "v", q, "floor").first()[0] is None
