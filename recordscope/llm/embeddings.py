@@ -1,9 +1,10 @@
-"""Near-duplicate vectors by sorted projection passes.
+"""Near-duplicate vectors by random sign buckets, every bucket compared whole.
 
-In each pass a vector's key is the signs of its projections on fresh random directions, joined to one number; vectors are sorted by
-(pass, group, key) and compared with the next ``WINDOW`` vectors in that order. Cosines are verified in double precision; links
-of all passes are united into components. A pair at the threshold shares the leading signs that set it within a window with a
-known chance, from which the number of passes follows. Windows are bounded, so dense groups are finished exactly: inside each
+A pass gives a vector a bucket: the signs of its projections on a number of fresh random directions, its depth. A pair at the
+threshold shares all signs of a pass with a known chance, from which the number of passes for a depth follows, however the
+vectors lie. The depth of a group is the cheapest one by the bucket sizes measured in one pass; at depth 0 the whole group is
+one bucket and nothing is left to chance. All pairs of a bucket are compared in double precision, large buckets block by block,
+so groups that share a direction are slower but not thinner. Links of all passes are united into components. Inside each
 component all pairs are compared block by block, and only counts leave the tasks.
 """
 
@@ -16,26 +17,39 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordscope.llm.common import connected_components, durable
 
+#: Rows up to which a bucket costs no more than a smaller one.
 WINDOW = 64
-KEY_BITS = 60
-#: Rows of a comparison block; each block also holds the ``WINDOW`` rows before it.
+KEY_BITS = 32
+#: Depths a group can have.
+DEPTHS = range(0, KEY_BITS + 1, 2)
+#: Rows of a comparison block.
 ROWS = 1024
 BLOCK = 512
+#: Comparisons that cost as much as a row of a block.
+ROW_COST = 1000
 #: Chance to miss a pair at the threshold in all passes.
 MISS = 1e-5
 
 
-def passes_for(rows: int, threshold: float, window: int = WINDOW, miss: float = MISS) -> int:
-    """Passes after which a pair at the threshold has met but for the chance ``miss``, for groups of ``rows`` vectors."""
-    agree = 1 - math.acos(min(1.0, threshold)) / math.pi
-    once = agree ** max(0.0, math.log2(max(rows, 1) / window) + 1)
-    return 2 if once >= 1 else max(2, math.ceil(math.log(miss) / math.log(1 - once)))
+def passes_at(depth: float, threshold: float, miss: float = MISS) -> float:
+    """Passes after which a pair at the threshold has shared ``depth`` signs but for the chance ``miss``; infinite if it never can."""
+    agree = 1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi
+    once = agree**depth
+    if depth <= 0:
+        return 1
+    if once >= 1:
+        return 2
+    return max(2, math.ceil(math.log(miss) / math.log1p(-once))) if once > 1e-12 else math.inf
+
+
+def passes_for(rows: int, threshold: float, window: int = WINDOW, miss: float = MISS) -> float:
+    """Passes for ``rows`` vectors that lie evenly, in buckets of about half of ``window``."""
+    return passes_at(max(0.0, math.log2(max(rows, 1) / window) + 1), threshold, miss)
 
 
 def _prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -57,59 +71,79 @@ def _prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(groups, pa.string()), pa.array(nodes, pa.binary()), pa.array(units, pa.list_(pa.float64()))], names=["vec_id", "group", "node", "unit"])
 
 
-def _keys(passes: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = np.int64(1) << np.arange(KEY_BITS - 1, -1, -1, dtype=np.int64)
-        directions: dict[tuple[int, int], np.ndarray] = {}
-        for batch in batches:
-            units = [np.array(u) for u in batch.column(2).to_pylist()]
-            for dims in sorted({len(u) for u in units}):
-                own = [k for k, u in enumerate(units) if len(u) == dims]
-                x = np.stack([units[k] for k in own])
-                part = batch.take(pa.array(own))
-                for p in range(passes):
-                    if (p, dims) not in directions:
-                        directions[p, dims] = np.random.default_rng([p, dims, 5]).standard_normal((dims, KEY_BITS))
-                    key = ((x @ directions[p, dims]) > 0) @ place
-                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([p] * len(own), pa.int32()), pa.array(key, pa.int64())], names=["node", "group", "pass", "key"])
-
-    return run
-
-
-def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the partition and the position in it."""
-    at, part = 0, TaskContext.get().partitionId()
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, group, pass, bucket) of each row of (node, group, unit, depth, passes) and each of its passes."""
+    directions: dict[tuple[int, int], np.ndarray] = {}
     for batch in batches:
-        n = batch.num_rows
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([part] * n, pa.int64()), pa.array(np.arange(at, at + n), pa.int64())], names=["node", "group", "pass", "part", "pos"])
-        at += n
-
-
-def _compare_window(pdf: pd.DataFrame, threshold: float, window: int) -> pd.DataFrame:
-    """Links of a block of rows in sorted order, as a spanning forest."""
-    pdf = pdf.sort_values("rank", kind="stable")
-    nodes = pdf["node"].tolist()
-    mark = pd.factorize(pdf["group"] + ":" + pdf["pass"].astype(str))[0]
-    units = pdf["unit"].tolist()
-    parent = list(range(len(nodes)))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
+        units = [np.array(u) for u in batch.column(2).to_pylist()]
+        depth, passes = (np.array(batch.column(k).to_pylist(), dtype=np.int64) for k in (3, 4))
+        for dims in sorted({len(u) for u in units}):
+            own = np.array([k for k, u in enumerate(units) if len(u) == dims])
+            x = np.stack([units[k] for k in own])
+            for p in range(int(passes[own].max())):
+                if (p, dims) not in directions:
+                    directions[p, dims] = np.random.default_rng([p, dims, 5]).standard_normal((dims, KEY_BITS))
+                now = np.flatnonzero(passes[own] > p)
+                key = ((x[now] @ directions[p, dims]) > 0) @ (np.int64(1) << np.arange(KEY_BITS - 1, -1, -1, dtype=np.int64))
+                part = batch.take(pa.array(own[now]))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([p] * len(now), pa.int32()), pa.array(key >> (KEY_BITS - depth[own[now]]), pa.int64())], names=["node", "group", "pass", "bucket"])
+
+
+def _cost(n: Column, window: int) -> Column:
+    """Comparisons of a bucket of ``n`` vectors, with the cost of moving its rows."""
+    return F.pow(F.greatest(n, F.lit(window)).cast("double"), 2) + n * ROW_COST * F.ceil(n / F.lit(ROWS))
+
+
+def _plan(classes: DataFrame, threshold: float, window: int) -> DataFrame:
+    """(group, depth, passes): the cheapest depth of each group by the bucket sizes of one pass."""
+    costs = {d: passes_at(d, threshold) for d in DEPTHS}
+    sizes = durable(classes.groupBy("group").agg(F.count("*").alias("n")))
+    # a group of one block is compared whole
+    large = sizes.filter(F.col("n") > ROWS).select("group")
+    first = classes.join(large, "group").select("node", "group", "unit", F.lit(KEY_BITS).alias("depth"), F.lit(1).alias("passes"))
+    keys = first.mapInArrow(_buckets, "node binary, group string, pass int, bucket long").groupBy("group", "bucket").agg(F.count("*").alias("n"))
+    depths = F.array(*[F.struct(F.lit(d).alias("depth"), F.lit(int(n)).alias("passes")) for d, n in costs.items() if n < 10_000])
+    cut = keys.select("group", "bucket", "n", F.explode(depths).alias("d")).select("group", "d", "n", F.call_function("shiftright", "bucket", F.lit(KEY_BITS) - F.col("d.depth")).alias("bucket"))
+    each = cut.groupBy("group", "d", "bucket").agg(F.sum("n").alias("n")).groupBy("group", "d").agg((F.sum(_cost(F.col("n"), window)) * F.first("d.passes")).alias("cost"))
+    best = each.groupBy("group").agg(F.min_by("d", F.struct("cost", "d.depth")).alias("d"))
+    return sizes.select("group").join(best, "group", "left").select("group", F.coalesce("d.depth", F.lit(0)).alias("depth"), F.coalesce("d.passes", F.lit(1)).alias("passes"))
+
+
+def _forest(near: np.ndarray) -> list[tuple[int, int]]:
+    """Spanning forest of a symmetric matrix of links."""
+    seen = np.zeros(len(near), dtype=bool)
+    out = []
+    for start in np.flatnonzero(near.any(axis=1)):
+        if seen[start]:
+            continue
+        seen[start] = True
+        todo = [int(start)]
+        while todo:
+            at = todo.pop()
+            new = np.flatnonzero(near[at] & ~seen)
+            seen[new] = True
+            out += [(at, int(k)) for k in new]
+            todo += new.tolist()
+    return out
+
+
+def _compare_buckets(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """Links of whole buckets, or between two blocks of one, as spanning forests."""
+    mark = pdf.groupby(["group", "pass", "bucket"], sort=False).ngroup().to_numpy()
+    order = np.argsort(mark, kind="stable")
+    nodes, units, side = pdf["node"].tolist(), pdf["unit"].tolist(), pdf["side"].to_numpy()
     links = []
-    for lo in sorted({int(k) for k in np.flatnonzero(np.diff(mark, prepend=-1))}):
-        hi = int(np.searchsorted(mark, mark[lo], side="right")) if len(mark) else lo
-        x = np.array(units[lo:hi], dtype=np.float64)
-        for gap in range(1, min(window, hi - lo - 1) + 1):
-            near = np.flatnonzero(np.einsum("ij,ij->i", x[:-gap], x[gap:]) >= threshold)
-            for k in near:
-                a, b = root(lo + int(k)), root(lo + int(k) + gap)
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
-                    links.append((nodes[lo + int(k)], nodes[lo + int(k) + gap]))
+    for own in np.split(order, np.flatnonzero(np.diff(mark[order])) + 1):
+        if len(own) < 2:
+            continue
+        x = np.stack([units[k] for k in own])
+        second = side[own] == 1
+        near = x @ x.T >= threshold
+        if second.any():
+            near &= second[:, None] != second[None, :]
+        near |= near.T
+        np.fill_diagonal(near, False)
+        links += [(nodes[own[a]], nodes[own[b]]) for a, b in _forest(near)]
     return pd.DataFrame(links, columns=["a", "b"])
 
 
@@ -125,6 +159,11 @@ def _count_links(key: tuple, pdf: pd.DataFrame, threshold: float) -> pd.DataFram
     return pd.DataFrame({"node": [n for side, _ in out for n in side["node"]], "n": np.concatenate([c for _, c in out]).astype(np.int64)})
 
 
+def _block_pairs() -> Column:
+    """Pairs of blocks that a row of block ``own`` of ``blocks`` belongs to, and its side in each."""
+    return F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("own", j).alias("i"), F.greatest("own", j).alias("j"), F.when(F.col("own") <= j, 0).otherwise(1).alias("side")))
+
+
 def near_vectors(vectors: DataFrame, threshold: float = 0.98, window: int = WINDOW, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row of ``vectors``.
 
@@ -137,29 +176,29 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, window: int = WIND
     sizes = usable.groupBy("node").agg(F.min("vec_id").alias("rep"), F.count_distinct("vec_id").alias("copies"))
     members = usable.select("node", "vec_id").distinct()
     classes = durable(usable.join(sizes.select("node", F.col("rep").alias("vec_id"), "copies"), ["node", "vec_id"]).dropDuplicates(["node"]).select("node", "group", "unit", F.col("vec_id").alias("rep"), "copies"))
-    largest = classes.groupBy("group").count().agg(F.max("count")).first()[0] or 0
-    keyed = durable(classes.select("node", "group", "unit").mapInArrow(_keys(passes_for(largest, threshold, window)), "node binary, group string, pass int, key long"))
-    order = ["pass", "group", "key", "node"]
-    placed = durable(keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("node", "group", "pass").mapInArrow(_number, "node binary, group string, pass int, part long, pos long"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    base = placed.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    ranked = placed.join(durable(base), "part").withColumn("rank", F.col("base") + F.col("pos"))
-    block = F.floor(F.col("rank") / ROWS).cast("long")
-    blocks = F.when(F.col("rank") % ROWS >= ROWS - window, F.array(block, block + 1)).otherwise(F.array(block))
+    planned = classes.join(durable(_plan(classes, threshold, window)), "group").select("node", "group", "unit", "depth", "passes")
+    keyed = durable(planned.mapInArrow(_buckets, "node binary, group string, pass int, bucket long"))
+    key = ["group", "pass", "bucket"]
+    sized = durable(keyed.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1"))
+    tasks = max(1, (sized.filter(F.col("n") <= ROWS).agg(F.sum("n")).first()[0] or 0) // ROWS)
+    blocks = F.ceil(F.col("n") / F.lit(ROWS)).cast("int")
+    # small buckets share a task's call, larger ones are dealt to blocks that meet in pairs
+    met = keyed.join(sized, key).withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
+    call = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64(*key), F.lit(tasks))).otherwise(F.xxhash64(*key))
     links = (
-        ranked.select("node", "group", "pass", "rank", F.explode(blocks).alias("block"))
+        met.select("node", *key, call.alias("call"), "blocks", F.explode(_block_pairs()).alias("g"))
+        .select("node", *key, "call", "blocks", "g.*")
         .join(classes.select("node", "unit"), "node")
-        .groupBy("block")
-        .applyInPandas(lambda pdf: _compare_window(pdf, threshold, window), "a binary, b binary")
+        .groupBy("call", "blocks", "i", "j")
+        .applyInPandas(lambda pdf: _compare_buckets(pdf, threshold), "a binary, b binary")
     )
     parts = durable(connected_components(links))
     linked = parts.join(classes.select("node", "unit", "rep", "copies"), "node")
     found = durable(linked)
     per = found.groupBy("component").agg(F.min("rep").alias("component_id"), F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
     dealt = found.join(durable(per), "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("own", j).alias("i"), F.greatest("own", j).alias("j"), F.when(F.col("own") <= j, 0).otherwise(1).alias("side")))
     counted = (
-        dealt.select("component", "node", "unit", "copies", F.explode(pairs).alias("g"))
+        dealt.select("component", "node", "unit", "copies", F.explode(_block_pairs()).alias("g"))
         .select("component", "node", "unit", "copies", "g.*")
         .groupBy("component", "i", "j")
         .applyInPandas(lambda key, pdf: _count_links(key, pdf, threshold), "node binary, n long")

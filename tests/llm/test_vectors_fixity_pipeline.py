@@ -73,6 +73,47 @@ def test_passes_grow_with_rows():
     assert _count_links is not None
 
 
+def dense_rows(n, seed=3):
+    """One label around a shared direction: pairs near the threshold everywhere, most rows near hundreds of others by their signs."""
+    rng = np.random.default_rng(seed)
+    centre = rng.standard_normal(64)
+    x = centre / np.linalg.norm(centre) * np.sqrt(64) + np.sqrt(0.035) * rng.standard_normal((n, 64))
+    return [(i, v.tolist(), 0) for i, v in enumerate(x)]
+
+
+def brute_components_of(rows, threshold=0.98):
+    x = np.array([v for _, v, _ in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T >= threshold
+    np.fill_diagonal(near, False)
+    comp = np.arange(len(x))
+    while True:
+        low = np.minimum(comp, np.where(near, comp[None, :], len(x)).min(axis=1))
+        if (low == comp).all():
+            return {i: (int(k), int(c)) for i, k, c in zip((r[0] for r in rows), near.sum(axis=1), comp, strict=True)}
+        comp = low
+
+
+def test_shared_direction_loses_no_link(spark):
+    rows = dense_rows(4000)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    want = brute_components_of(rows)
+    assert 1000 < sum(k > 0 for k, _ in want.values())
+    assert got == want
+
+
+def test_deep_buckets_of_a_shared_direction(spark, monkeypatch):
+    """Depth above 0 with buckets of several blocks: each pair is missed with a chance of 1e-5 at most."""
+    import recordscope.llm.embeddings as e
+
+    monkeypatch.setattr(e, "ROWS", 64)
+    monkeypatch.setattr(e, "ROW_COST", 0)
+    monkeypatch.setattr(e, "DEPTHS", range(4, 5))
+    rows = dense_rows(1200)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == brute_components_of(rows)
+
+
 def pages(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string, level int, hash string")
 
