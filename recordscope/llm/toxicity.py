@@ -3,8 +3,8 @@
 Documents are sets of words and word beginnings. Spark counts features by label over a bounded, hash-chosen sample and keeps the
 most telling ones. A logistic regression is fitted to them with a second penalty: each sampled document that names a group is
 repeated with the group's terms swapped for others, and the squared change of the score is added to the loss. The identity terms
-stay features even when few documents hold them, so that the penalty acts on them. Scores are chances under the sample's mix of
-labels, in which toxic documents are more frequent than in the corpus.
+stay features even when few documents hold them, so that the penalty acts on them. Sampled rows
+weigh as many rows as they stand for, so scores are chances under the mix of all labels, whatever the size of the table.
 """
 
 from __future__ import annotations
@@ -78,8 +78,14 @@ def _featurise(terms: tuple[tuple[str, ...], ...]):
     return run
 
 
-def fit(x: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]], n_features: int, fairness: float = FAIRNESS, ridge: float = RIDGE, steps: int = STEPS) -> tuple[np.ndarray, float]:
-    """Weights and bias that minimise mean log loss + ridge * |w|^2 + fairness * mean squared score change over ``pairs``."""
+def fit(x: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]], n_features: int, fairness: float = FAIRNESS, ridge: float = RIDGE, steps: int = STEPS, counts: np.ndarray | None = None, pair_counts: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+    """Weights and bias that minimise mean log loss + ridge * |w|^2 + fairness * mean squared score change over ``pairs``.
+
+    Means are weighted by ``counts`` and ``pair_counts``, by default alike.
+    """
+    share = np.ones(len(x)) if counts is None else np.asarray(counts, dtype=float)
+    pair_share = np.ones(len(pairs)) if pair_counts is None else np.asarray(pair_counts, dtype=float)
+    share, pair_share = share / max(share.sum(), 1e-12), pair_share / max(pair_share.sum(), 1e-12)
     flat = np.concatenate([*x, np.empty(0, dtype=np.int64)]).astype(np.int64)
     row = np.repeat(np.arange(len(x)), [len(v) for v in x])
     gone = [np.setdiff1d(a, b) for a, b in pairs]
@@ -91,11 +97,11 @@ def fit(x: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray, np.nda
     m, v = np.zeros(n_features + 1), np.zeros(n_features + 1)
     for step in range(1, steps + 1):
         z = np.bincount(row, weights=w[flat], minlength=len(x)) + bias
-        e = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / max(1, len(x))
+        e = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * share
         g = np.bincount(flat, weights=e[row], minlength=n_features) + 2 * ridge * w
         if len(pairs):
-            change = np.bincount(d_row, weights=d_sign * w[d_flat], minlength=len(pairs))
-            g += 2 * fairness / len(pairs) * np.bincount(d_flat, weights=d_sign * change[d_row], minlength=n_features)
+            change = np.bincount(d_row, weights=d_sign * w[d_flat], minlength=len(pairs)) * pair_share
+            g += 2 * fairness * np.bincount(d_flat, weights=d_sign * change[d_row], minlength=n_features)
         g = np.append(g, e.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
@@ -134,7 +140,10 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, terms: tuple[tuple[str, .
     pdf = feats.mapInArrow(number, "doc_id long, toxic int, plain array<int>, swapped array<int>").toPandas().sort_values("doc_id", kind="stable")
     x = [np.asarray(v, dtype=np.int64) for v in pdf["plain"]]
     pairs = [(a, np.asarray(b, dtype=np.int64)) for a, b in zip(x, pdf["swapped"], strict=True) if b is not None]
-    w, bias = fit(x, pdf["toxic"].to_numpy(dtype=float), pairs, len(names), fairness)
+    y = pdf["toxic"].to_numpy(dtype=float)
+    # rows that each row of the sample stands for
+    counts = np.where(y == 1, *(max(sample_each, size.get(k, 0)) / sample_each for k in (1, 0)))
+    w, bias = fit(x, y, pairs, len(names), fairness, counts=counts, pair_counts=counts[pdf["swapped"].notna().to_numpy()])
     return {f: float(w[k]) for f, k in at.items() if abs(w[k]) > 1e-6}, bias
 
 

@@ -49,6 +49,17 @@ def test_toxicity_held_out(spark):
     assert all(r["predicted"] == (r["score"] >= 0.3) for r in rows.values())
 
 
+def test_toxicity_scores_keep_their_meaning_in_a_sample(spark):
+    """A balanced sample of an unbalanced table does not flag more clean documents."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    weights, bias = train_toxicity(docs, labels, sample_each=329)
+    rows = {r["doc_id"]: r for r in score_toxicity(docs, weights, bias).collect()}
+    told = {r["doc_id"]: r["toxic"] for r in labels.collect() if rows[r["doc_id"]]["held_out"]}
+    assert sum(rows[i]["predicted"] for i, t in told.items() if t) >= 0.85 * sum(told.values())
+    assert sum(rows[i]["predicted"] for i, t in told.items() if not t) <= 0.04 * len(told)
+    assert 1 / (1 + np.exp(-bias)) < 0.15
+
+
 def test_toxicity_ignores_group_names(spark):
     """Toxic sentences name one group more often; with the penalty, swapping the name changes the score less."""
     rows, labels = [], []
