@@ -8,6 +8,8 @@ further patterns become spans when they are live; base spans stay, and their ver
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +30,12 @@ WEBTOKEN = r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+\.[A-Z
 KEYBLOCK = r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----[A-Za-z0-9+/=\s]++"
 #: A value under more owners than this is a copied example.
 LIVE_OWNERS = 2
-#: Distinct characters that a live value has at least.
+#: Distinct characters that a live value has at least, or fewer where a random value of its length and alphabet can have fewer.
 LIVE_CHARS = 8
+#: Chance that a random value is under the floor.
+UNDER_FLOOR = 1e-6
+#: Alphabets from small to large: pattern of a value and number of characters.
+ALPHABETS = ((r"^[0-9]+$", 10), (r"^(?:[0-9a-f]+|[0-9A-F]+)$", 16), (None, 62))
 PLACEHOLDER = r"(?i)example|sample|dummy|changeme|placeholder|your[_-]|xxxx|(.)\1{7}|0123456789|123456789|abcdef0123"
 
 
@@ -51,9 +57,26 @@ def scan(text: Column) -> Column:
     return F.array_sort(F.concat(*[F.transform(found[k], one(k, n)) for n, k in enumerate(KINDS)]))
 
 
-def looks_live(value: Column) -> Column:
-    """Enough distinct characters, letters or digits mixed, and no sign of a placeholder."""
-    return (F.size(F.array_distinct(F.split(value, ""))) >= LIVE_CHARS) & ~value.rlike(PLACEHOLDER) & value.rlike("[0-9]")
+def floor_of(length: int, alphabet: int) -> int:
+    """Most distinct characters, up to ``LIVE_CHARS``, that a random value has but for the chance ``UNDER_FLOOR``."""
+    return max(k for k in range(1, LIVE_CHARS + 1) if k == 1 or math.comb(alphabet, k - 1) * ((k - 1) / alphabet) ** length <= UNDER_FLOOR)
+
+
+def _floor(value: Column) -> Column:
+    out = F.lit(LIVE_CHARS)
+    for pattern, size in reversed(ALPHABETS):
+        one = F.lit(LIVE_CHARS)
+        for n in range(48, 0, -1):
+            if floor_of(n, size) < floor_of(n + 1, size):
+                one = F.when(F.length(value) <= n, floor_of(n, size)).otherwise(one)
+        out = one if pattern is None else F.when(value.rlike(pattern), one).otherwise(out)
+    return out
+
+
+def looks_live(value: Column, kind: Column) -> Column:
+    """Enough distinct characters and no sign of a placeholder; a digit too, but for assigned values and access keys."""
+    named = kind.isin("assign", "access")
+    return (F.size(F.array_distinct(F.split(value, ""))) >= _floor(value)) & ~value.rlike(PLACEHOLDER) & (named | value.rlike("[0-9]"))
 
 
 def find_secrets(docs: DataFrame, repository: Column | None = None, owner: Column | None = None, live_owners: int = LIVE_OWNERS) -> DataFrame:
@@ -67,7 +90,7 @@ def find_secrets(docs: DataFrame, repository: Column | None = None, owner: Colum
     repository = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit(""))) if repository is None else repository
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(owner, F.lit("")).alias("owner"), F.coalesce(repository, F.lit("")).alias("repository"), scan(text).alias("found"))
-    hashed = F.transform("found", lambda s: F.struct(s["start"].alias("start"), s["n"].alias("n"), s["kind"].alias("kind"), s["end"].alias("end"), F.sha2(s["value"], 256).alias("hash"), looks_live(s["value"]).alias("random")))
+    hashed = F.transform("found", lambda s: F.struct(s["start"].alias("start"), s["n"].alias("n"), s["kind"].alias("kind"), s["end"].alias("end"), F.sha2(s["value"], 256).alias("hash"), looks_live(s["value"], s["kind"]).alias("random")))
     found = durable(rows.withColumn("found", hashed))
     each = found.select("row", "owner", "repository", F.explode("found").alias("s")).select("row", "owner", "repository", "s.*")
     # distinct counts in two steps: (hash, place) first, so that a value copied everywhere is merged before it meets itself
