@@ -1,11 +1,12 @@
-"""Near-duplicate vectors by random sign buckets, every bucket compared whole.
-
-A pass gives a vector a bucket: the signs of its projections on a number of fresh random directions, its depth. A pair at the
-threshold shares all signs of a pass with a known chance, from which the number of passes for a depth follows, however the
-vectors lie. The depth of a group is the cheapest one by the bucket sizes measured in one pass; at depth 0 the whole group is
-one bucket and nothing is left to chance. All pairs of a bucket are compared in double precision, large buckets block by block,
-so groups that share a direction are slower but not thinner. Links of all passes are united into components. Inside each
-component all pairs are compared block by block, and only counts leave the tasks.
+"""Near-duplicate vectors by sorted projection passes with windows of equal key prefix.
+
+A pass orders the vectors of a label lexicographically by the concatenated sign hashes of fresh random projections. A window is a
+run of that order with an equal prefix, whose length in bits is the depth. (Windows of a fixed number of neighbours lose links
+where many vectors share a direction, so runs are taken whole.) A pair at the threshold shares a prefix with a known chance, from
+which the number of passes for a depth follows, however the vectors lie. The depth of a group is the cheapest one by the run lengths
+measured in one pass; at depth 0 the whole group is one run and nothing is left to chance. All pairs of a run are compared in double
+precision, long runs block by block, so groups that share a direction are slower but not thinner. Links of all passes are united
+into components; a pair is counted in the first pass that brings it together.
 """
 
 from __future__ import annotations
@@ -29,11 +30,10 @@ KEY_BITS = 32
 DEPTHS = range(0, KEY_BITS + 1, 2)
 #: Rows of a comparison block.
 ROWS = 1024
-BLOCK = 512
 #: Comparisons that cost as much as a row of a block.
 ROW_COST = 1000
 #: Chance to miss a pair at the threshold in all passes.
-MISS = 1e-5
+MISS = 1e-7
 
 
 def passes_at(depth: float, threshold: float, miss: float = MISS) -> float:
@@ -71,22 +71,27 @@ def _prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(groups, pa.string()), pa.array(nodes, pa.binary()), pa.array(units, pa.list_(pa.float64()))], names=["vec_id", "group", "node", "unit"])
 
 
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, group, pass, bucket) of each row of (node, group, unit, depth, passes) and each of its passes."""
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, group, keys: the prefix in each pass) of rows of (node, group, unit, depth, passes)."""
     directions: dict[tuple[int, int], np.ndarray] = {}
     for batch in batches:
         units = [np.array(u) for u in batch.column(2).to_pylist()]
         depth, passes = (np.array(batch.column(k).to_pylist(), dtype=np.int64) for k in (3, 4))
-        for dims in sorted({len(u) for u in units}):
-            own = np.array([k for k, u in enumerate(units) if len(u) == dims])
+        keys: list[np.ndarray] = [np.empty(0, dtype=np.int64)] * len(units)
+        for dims, most in sorted({(len(u), int(n)) for u, n in zip(units, passes, strict=True)}):
+            own = np.array([k for k, u in enumerate(units) if len(u) == dims and passes[k] == most])
             x = np.stack([units[k] for k in own])
-            for p in range(int(passes[own].max())):
+            found = np.empty((len(own), most), dtype=np.int64)
+            for p in range(most):
                 if (p, dims) not in directions:
                     directions[p, dims] = np.random.default_rng([p, dims, 5]).standard_normal((dims, KEY_BITS))
-                now = np.flatnonzero(passes[own] > p)
-                key = ((x[now] @ directions[p, dims]) > 0) @ (np.int64(1) << np.arange(KEY_BITS - 1, -1, -1, dtype=np.int64))
-                part = batch.take(pa.array(own[now]))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([p] * len(now), pa.int32()), pa.array(key >> (KEY_BITS - depth[own[now]]), pa.int64())], names=["node", "group", "pass", "bucket"])
+                found[:, p] = ((x @ directions[p, dims]) > 0) @ (np.int64(1) << np.arange(KEY_BITS - 1, -1, -1, dtype=np.int64)) >> (KEY_BITS - depth[own])
+            for k, row in zip(own, found, strict=True):
+                keys[k] = row
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.list_(pa.int64()))], names=["node", "group", "keys"])
+
+
+KEYED = "node binary, group string, keys array<long>"
 
 
 def _cost(n: Column, window: int) -> Column:
@@ -101,7 +106,7 @@ def _plan(classes: DataFrame, threshold: float, window: int) -> DataFrame:
     # a group of one block is compared whole
     large = sizes.filter(F.col("n") > ROWS).select("group")
     first = classes.join(large, "group").select("node", "group", "unit", F.lit(KEY_BITS).alias("depth"), F.lit(1).alias("passes"))
-    keys = first.mapInArrow(_buckets, "node binary, group string, pass int, bucket long").groupBy("group", "bucket").agg(F.count("*").alias("n"))
+    keys = first.mapInArrow(_keys, KEYED).groupBy("group", F.get("keys", F.lit(0)).alias("bucket")).agg(F.count("*").alias("n"))
     depths = F.array(*[F.struct(F.lit(d).alias("depth"), F.lit(int(n)).alias("passes")) for d, n in costs.items() if n < 10_000])
     cut = keys.select("group", "bucket", "n", F.explode(depths).alias("d")).select("group", "d", "n", F.call_function("shiftright", "bucket", F.lit(KEY_BITS) - F.col("d.depth")).alias("bucket"))
     each = cut.groupBy("group", "d", "bucket").agg(F.sum("n").alias("n")).groupBy("group", "d").agg((F.sum(_cost(F.col("n"), window)) * F.first("d.passes")).alias("cost"))
@@ -127,12 +132,16 @@ def _forest(near: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _compare_buckets(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """Links of whole buckets, or between two blocks of one, as spanning forests."""
+def _compare_runs(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """Links (a, b) of whole runs, or between two blocks of one, as spanning forests, and (a, null, n) with each vector's new links.
+
+    A pair is new in the first pass in which it shares a run; copies of a vector count as often as they come.
+    """
     mark = pdf.groupby(["group", "pass", "bucket"], sort=False).ngroup().to_numpy()
     order = np.argsort(mark, kind="stable")
-    nodes, units, side = pdf["node"].tolist(), pdf["unit"].tolist(), pdf["side"].to_numpy()
-    links = []
+    nodes, units, keys = pdf["node"].tolist(), pdf["unit"].tolist(), pdf["keys"].tolist()
+    side, copies, number = pdf["side"].to_numpy(), pdf["copies"].to_numpy(), pdf["pass"].to_numpy()
+    out: list[tuple] = []
     for own in np.split(order, np.flatnonzero(np.diff(mark[order])) + 1):
         if len(own) < 2:
             continue
@@ -143,20 +152,15 @@ def _compare_buckets(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
             near &= second[:, None] != second[None, :]
         near |= near.T
         np.fill_diagonal(near, False)
-        links += [(nodes[own[a]], nodes[own[b]]) for a, b in _forest(near)]
-    return pd.DataFrame(links, columns=["a", "b"])
-
-
-def _count_links(key: tuple, pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """(node, n): vectors linked with each vector between two blocks of a component, copies counted."""
-    left, right = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
-    same = right.empty
-    right = left if same else right
-    near = np.stack(left["unit"].tolist()) @ np.stack(right["unit"].tolist()).T >= threshold
-    if same:
-        np.fill_diagonal(near, False)
-    out = [(left, near @ right["copies"].to_numpy())] + ([] if same else [(right, near.T @ left["copies"].to_numpy())])
-    return pd.DataFrame({"node": [n for side, _ in out for n in side["node"]], "n": np.concatenate([c for _, c in out]).astype(np.int64)})
+        if number[own[0]] and near.any():
+            earlier = np.stack([keys[k][: number[own[0]]] for k in own])
+            for row in np.flatnonzero(near.any(axis=1)):
+                hit = np.flatnonzero(near[row])
+                near[row, hit[(earlier[hit] == earlier[row]).any(axis=1)]] = False
+        count = near @ copies[own]
+        out += [(nodes[own[a]], nodes[own[b]], None) for a, b in _forest(near)]
+        out += [(nodes[own[a]], None, int(count[a])) for a in np.flatnonzero(count)]
+    return pd.DataFrame(out, columns=["a", "b", "n"]).astype({"n": "Int64"})
 
 
 def _block_pairs() -> Column:
@@ -176,37 +180,29 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, window: int = WIND
     sizes = usable.groupBy("node").agg(F.min("vec_id").alias("rep"), F.count_distinct("vec_id").alias("copies"))
     members = usable.select("node", "vec_id").distinct()
     classes = durable(usable.join(sizes.select("node", F.col("rep").alias("vec_id"), "copies"), ["node", "vec_id"]).dropDuplicates(["node"]).select("node", "group", "unit", F.col("vec_id").alias("rep"), "copies"))
-    planned = classes.join(durable(_plan(classes, threshold, window)), "group").select("node", "group", "unit", "depth", "passes")
-    keyed = durable(planned.mapInArrow(_buckets, "node binary, group string, pass int, bucket long"))
+    plan = durable(_plan(classes, threshold, window))
+    planned = classes.join(plan, "group").select("node", "group", "unit", "depth", "passes")
+    keyed = durable(planned.mapInArrow(_keys, KEYED))
     key = ["group", "pass", "bucket"]
-    sized = durable(keyed.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1"))
+    placed = keyed.select("node", "group", F.posexplode("keys").alias("pass", "bucket"))
+    sized = durable(placed.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1"))
     tasks = max(1, (sized.filter(F.col("n") <= ROWS).agg(F.sum("n")).first()[0] or 0) // ROWS)
     blocks = F.ceil(F.col("n") / F.lit(ROWS)).cast("int")
-    # small buckets share a task's call, larger ones are dealt to blocks that meet in pairs
-    met = keyed.join(sized, key).withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
+    # short runs share a task's call, longer ones are dealt to blocks that meet in pairs
+    met = placed.join(sized, key).withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
     call = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64(*key), F.lit(tasks))).otherwise(F.xxhash64(*key))
-    links = (
+    found = durable(
         met.select("node", *key, call.alias("call"), "blocks", F.explode(_block_pairs()).alias("g"))
         .select("node", *key, "call", "blocks", "g.*")
-        .join(classes.select("node", "unit"), "node")
+        .join(classes.select("node", "unit", "copies").join(keyed.select("node", "keys"), "node"), "node")
         .groupBy("call", "blocks", "i", "j")
-        .applyInPandas(lambda pdf: _compare_buckets(pdf, threshold), "a binary, b binary")
-    )
-    parts = durable(connected_components(links))
-    linked = parts.join(classes.select("node", "unit", "rep", "copies"), "node")
-    found = durable(linked)
-    per = found.groupBy("component").agg(F.min("rep").alias("component_id"), F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    dealt = found.join(durable(per), "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
-    counted = (
-        dealt.select("component", "node", "unit", "copies", F.explode(_block_pairs()).alias("g"))
-        .select("component", "node", "unit", "copies", "g.*")
-        .groupBy("component", "i", "j")
-        .applyInPandas(lambda key, pdf: _count_links(key, pdf, threshold), "node binary, n long")
-        .groupBy("node")
-        .agg(F.sum("n").alias("n"))
+        .applyInPandas(lambda pdf: _compare_runs(pdf, threshold), "a binary, b binary, n long")
     )
-    named = dealt.select("node", "component_id").join(counted, "node", "left")
-    by_class = classes.select("node", "rep", "copies").join(durable(named), "node", "left")
+    counted = found.filter("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
+    parts = durable(connected_components(found.filter("b is not null").select("a", "b")).join(classes.select("node", "rep"), "node"))
+    per = durable(parts.groupBy("component").agg(F.min("rep").alias("component_id")))
+    named = parts.join(per, "component").select("node", "component_id").join(counted, "node", "left")
+    by_class = classes.select("node", "rep", "copies").join(named, "node", "left")
     by_class = by_class.select("node", F.coalesce("component_id", "rep").alias("component_id"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     by_id = members.join(by_class, "node").groupBy("vec_id").agg(F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
     out = rows.select("vec_id").join(by_id, "vec_id", "left")

@@ -1,7 +1,7 @@
 """Language identification by known words first, then shorter and shorter character n-grams.
 
 Training counts words and n-grams by language over a bounded, hash-chosen sample of labelled documents (``SAMPLE_DOCS`` a
-language) and keeps the ``TOP`` most frequent of each kind and language. A known word scores its log frequency in each language;
+language) and keeps the ``TOP`` most frequent of each kind and language (fewer with many languages). A known word scores its log frequency in each language;
 an unseen word is read left to right, taking at each place the longest known n-gram, and scores the mean of their log
 frequencies. A document's score is the posterior of the best language.
 """
@@ -9,6 +9,7 @@ frequencies. A document's score is the posterior of the best language.
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -23,14 +24,20 @@ from recordscope.llm.common import durable
 #: Training documents, words and n-grams kept for each language.
 SAMPLE_DOCS = 800
 TOP = 20_000
-#: Words, and as many n-grams, kept over all languages; with many languages each keeps fewer.
+#: A language is learned if it has this many training documents, and is among the ``LANGUAGES`` that have most.
+LEAST_DOCS = 2
+LANGUAGES = 500
+#: Words, and as many n-grams, kept over all languages; with more than ten languages each keeps an equal share. This bounds the
+#: model that the driver gathers and broadcasts, whatever the number of languages.
 TOP_ALL = 200_000
 #: Longest n-gram.
 GRAM = 4
 #: Words that count as independent evidence; more words sharpen a score no further.
 EVIDENCE = 25
 UNKNOWN = "und"
-_LETTERS = re.compile(r"[^\W\d_]+")
+# letters only, as in \p{L}: Python's word characters without digits still hold fractions, superscripts and numerals
+_NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+LETTERS = re.compile(rf"[^\W\d_{_NUMERALS}]+")
 
 
 def held_out(doc_id) -> F.Column:
@@ -38,23 +45,34 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-#: Words whose scores a task keeps.
-CACHE = 400_000
+#: Scores (a word times a language) that a task keeps.
+CACHE = 8_000_000
+
+
+#: Log frequencies of an item by number of its language.
+Sparse = dict[int, float]
 
 
 @dataclass
 class LanguageModel:
-    """Log frequencies by language of words and of n-grams (``^`` and ``$`` mark word ends)."""
+    """Log frequencies of words and of n-grams (``^`` and ``$`` mark word ends) in the languages that have them; others take the floor."""
 
     languages: list[str]
-    words: dict[str, np.ndarray]
-    grams: dict[str, np.ndarray]
+    words: dict[str, Sparse]
+    grams: dict[str, Sparse]
+    word_floor: np.ndarray
     floor: np.ndarray
     _at: dict[str, int] = field(default_factory=dict)
     _rows: np.ndarray | None = None
     _gram_at: dict[str, int] = field(default_factory=dict)
     _gram_rows: np.ndarray | None = None
 
+    def _dense(self, items: list[Sparse], floor: np.ndarray) -> np.ndarray:
+        out = np.tile(floor, (len(items), 1))
+        for row, item in zip(out, items, strict=True):
+            row[list(item)] = list(item.values())
+        return out
+
     def _parts(self, w: str) -> list[int]:
         """Rows of the n-grams that an unseen word is read as: at each place the longest known one, row 0 without any."""
         marked, at, out, i = f"^{w}$", self._gram_at, [], 0
@@ -75,12 +93,12 @@ class LanguageModel:
         """Adds rows for words that were not met before: their own log frequencies, or the mean of their parts."""
         if self._gram_rows is None:
             self._gram_at = {g: k + 1 for k, g in enumerate(self.grams)}
-            self._gram_rows = np.vstack([self.floor, *self.grams.values()]).reshape(-1, len(self.languages))
-        if self._rows is None or len(self._at) > CACHE:
+            self._gram_rows = self._dense([{}, *self.grams.values()], self.floor)
+        if self._rows is None or len(self._at) > self._room():
             self._at, self._rows = {}, np.empty((0, len(self.languages)))
         known = [w for w in new if w in self.words]
         unseen = [w for w in new if w not in self.words]
-        rows = [self._rows, *([np.vstack([self.words[w] for w in known])] if known else [])]
+        rows = [self._rows, self._dense([self.words[w] for w in known], self.word_floor)]
         if unseen:
             parts = [self._parts(w) for w in unseen]
             size = np.array([len(x) for x in parts])
@@ -90,15 +108,18 @@ class LanguageModel:
             self._at[w] = len(self._at)
         self._rows = np.vstack(rows)
 
+    def _room(self) -> int:
+        return CACHE // max(1, len(self.languages))
+
     def predict_many(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        found = [Counter(_LETTERS.findall(t.lower())) if t else Counter() for t in texts]
+        found = [Counter(LETTERS.findall(t.lower())) if t else Counter() for t in texts]
         out = [(UNKNOWN, 0.0)] * len(texts)
         some = [k for k, c in enumerate(found) if c]
         if not some or not self.languages:
             return out
         new = list(dict.fromkeys(w for k in some for w in found[k] if w not in self._at))
         if new:
-            if len(self._at) + len(new) > CACHE:
+            if len(self._at) + len(new) > self._room():
                 self._rows, new = None, list(dict.fromkeys(w for k in some for w in found[k]))
             self._learn(new)
         at = self._at
@@ -118,35 +139,44 @@ class LanguageModel:
         return self.predict_many([text])[0]
 
 
-def _log_frequencies(rows: list, languages: list[str]) -> tuple[dict[str, np.ndarray], np.ndarray]:
+def _log_frequencies(rows: list, languages: list[str]) -> tuple[dict[str, Sparse], np.ndarray]:
+    """Smoothed log frequencies of (lang, item, n) rows, and what an item has in a language that lacks it."""
     at = {lang: k for k, lang in enumerate(languages)}
-    counts: dict[str, np.ndarray] = {}
+    whole, items = np.zeros(len(languages)), {}
     for r in rows:
-        counts.setdefault(r["item"], np.zeros(len(languages)))[at[r["lang"]]] += r["n"]
-    whole = sum(counts.values(), np.zeros(len(languages))) + 0.5 * max(1, len(counts))
-    return {k: np.log((v + 0.5) / whole) for k, v in counts.items()}, np.log(0.5 / whole)
+        whole[at[r["lang"]]] += r["n"]
+        items.setdefault(r["item"], {})[at[r["lang"]]] = r["n"]
+    whole += 0.5 * max(1, len(items))
+    floor = np.log(0.5 / whole)
+    return {w: {k: float(np.log((n + 0.5) / whole[k])) for k, n in by.items()} for w, by in items.items()}, floor
 
 
 def train_language_model(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, top: int = TOP) -> LanguageModel:
-    """Model of the (text, lang) rows that are not held out; rows with a null id, text or language teach nothing."""
+    """Model of the (text, lang) rows that are not held out; rows with a null id, text or language teach nothing.
+
+    A document of several rows teaches once, by the least of its (lang, text). A lower bound of documents, ``LEAST_DOCS``, holds
+    only where some language reaches it.
+    """
     told = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     per = told.groupBy("lang").agg(F.count("*").alias("n"))
+    few = durable(per.orderBy((F.col("n") >= LEAST_DOCS).desc(), F.col("n").desc(), "lang").limit(LANGUAGES))
+    few = few.join(F.broadcast(few.agg(F.least(F.max("n"), F.lit(LEAST_DOCS)).alias("least"))), F.col("n") >= F.col("least")).select("lang", "n")
     # ids are chosen without their texts; the written table is small, so the texts are met by broadcast and stay where they are
-    ids = durable(told.select("doc_id", "lang").join(per, "lang").filter(F.pmod(F.xxhash64("doc_id"), F.greatest("n", F.lit(sample_docs))) < sample_docs).select("doc_id").distinct().coalesce(1))
-    sample = told.join(ids, "doc_id", "left_semi")
-    found = sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("item")).groupBy("lang", "item").agg(F.count("*").alias("n"))
+    ids = durable(told.select("doc_id", "lang").join(few, "lang").filter(F.pmod(F.xxhash64("doc_id"), F.greatest("n", F.lit(sample_docs))) < sample_docs).select("doc_id").distinct().coalesce(1))
+    one = told.join(ids, "doc_id", "left_semi").join(few.select("lang"), "lang", "left_semi").groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("d"))
+    sample = durable(one.select("d.lang", "d.text"))
+    found = durable(sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("item")).groupBy("lang", "item").agg(F.count("*").alias("n")))
     marked = F.concat(F.lit("^"), F.col("item"), F.lit("$"))
     spans = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(GRAM)), lambda size: F.when(F.length(marked) >= size, F.transform(F.sequence(F.lit(1), F.length(marked) - size + 1), lambda i: F.substring(marked, i, size))).otherwise(F.array().cast("array<string>"))))
     grams = found.select("lang", "n", F.explode(spans).alias("item")).groupBy("lang", "item").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "item")
-    langs = max(1, per.count())
-    top = min(top, max(TOP_ALL // langs, 1_000))
+    top = min(top, TOP_ALL // max(1, few.count()))
     best = lambda df: df.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= top).select("lang", "item", "n").collect()
     word_rows, gram_rows = best(found), best(grams)
     languages = sorted({r["lang"] for r in word_rows})
-    words, _ = _log_frequencies(word_rows, languages)
+    words, word_floor = _log_frequencies(word_rows, languages)
     gram, floor = _log_frequencies(gram_rows, languages)
-    return LanguageModel(languages, words, gram, floor)
+    return LanguageModel(languages, words, gram, word_floor, floor)
 
 
 def identify_language(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:

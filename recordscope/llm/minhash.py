@@ -2,15 +2,17 @@
 
 Documents are sets of distinct 5-word shingles. Each distinct set gets a signature of ``K`` minima. Documents are posted
 under (coordinate, value) tokens of the first ``POSTED`` coordinates. A pair with Jaccard 0.75 agrees on at least
-``POSTED_MIN`` of those but for a chance below 1e-5, so with one global token order (rare first) it shares a token among the
+``POSTED_MIN`` of those but for a chance of 2.4e-7, so with one global token order (rare first) it shares a token among the
 first ``POSTED - POSTED_MIN + 1`` of both documents: only these prefixes are merged, the other coordinates are skipped and
-probed on the signatures of the pairs found, which stay when ``MATCH`` of all ``K`` coordinates agree. Every pair that stays
-is confirmed on the full sets.
+probed on the signatures of the pairs found, which stay when ``MATCH`` of all ``K`` coordinates agree (a pair at 0.75 fails this
+with a chance of 3.8e-7). Every pair that stays is confirmed on the full sets.
 
 Long posting lists (over ``HEAVY`` documents) are never paired off in a join. If a pair shares no token of a short list in its
 prefixes, all the tokens it shares are of long lists, so both documents have ``POSTED_MIN`` such tokens. These documents meet on
-``HEAVY_COORDS`` coordinates in blocks of bounded size; a task compares two blocks and returns a spanning forest of confirmed
-links, so a group of any size gives fewer links than block members.
+``HEAVY_COORDS`` coordinates (all of them differ with a chance of 6e-8). First each is compared with the leaders of its lists and
+confirmed with the likest of them, which joins a group of near copies into one component by about as many pairs as it has members. Then
+only what is still apart is compared: in each list the documents outside its largest component, with each other and with that
+component, in blocks of bounded size. A task returns a spanning forest of confirmed links between components.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordscope.llm.common import connected_components, durable
@@ -29,10 +31,12 @@ from recordscope.llm.common import connected_components, durable
 SHINGLE = 5
 K = 64
 POSTED = 32
-POSTED_MIN = 13
-MATCH = 33
+POSTED_MIN = 12
+MATCH = 31
 HEAVY = 100
-HEAVY_COORDS = 10
+HEAVY_COORDS = 12
+#: Leaders that a document of long lists is confirmed with.
+LEADERS = 3
 BLOCK = 1024
 #: Shingles of a block, so that blocks of long documents hold fewer of them.
 BLOCK_SHINGLES = 1_000_000
@@ -149,15 +153,16 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def _compare_blocks(key: tuple, pdf: pd.DataFrame, similarity: int = 75) -> pd.DataFrame:
-    """Confirmed links between two blocks (or within one) of a long list, as a spanning forest."""
+    """Confirmed links between the components of two blocks (or of one) of a long list, as a spanning forest."""
     coord, left, right = key[0], pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
     same = right.empty
     right = left if same else right
     sig_l, sig_r = (np.array(x["sig"].tolist(), dtype=np.int32).reshape(-1, K) for x in (left, right))
     sets_l, sets_r = ([np.sort(np.asarray(s, dtype=np.int64)) for s in x["shingles"]] for x in (left, right))
     size_l, size_r = (np.array([len(s) for s in x], dtype=np.int64) for x in (sets_l, sets_r))
-    names = left["node"].tolist() + ([] if same else right["node"].tolist())
-    shift = 0 if same else len(left)
+    names = list(dict.fromkeys(pdf["component"]))
+    number = {c: k for k, c in enumerate(names)}
+    part_l, part_r = (np.array([number[c] for c in x["component"]], dtype=np.int64) for x in (left, right))
     parent = list(range(len(names)))
 
     def root(x: int) -> int:
@@ -169,18 +174,18 @@ def _compare_blocks(key: tuple, pdf: pd.DataFrame, similarity: int = 75) -> pd.D
     links = []
     for i in range(len(left)):
         agree = sig_r == sig_l[i]
-        ok = (agree.sum(axis=1) >= MATCH) & agree[:, coord] & ~agree[:, :coord].any(axis=1)
-        ok &= (100 * np.minimum(size_l[i], size_r) >= similarity * np.maximum(size_l[i], size_r))
+        ok = (agree.sum(axis=1) >= MATCH) & agree[:, coord] & ~agree[:, :coord].any(axis=1) & (part_r != part_l[i])
+        ok &= 100 * np.minimum(size_l[i], size_r) >= similarity * np.maximum(size_l[i], size_r)
         if same:
             ok[: i + 1] = False
         for j in np.flatnonzero(ok):
-            a, b = root(i), root(j + shift)
+            a, b = root(int(part_l[i])), root(int(part_r[j]))
             if a == b:
                 continue
             x = _common(sets_l[i], sets_r[j])
             if 100 * x >= similarity * (size_l[i] + size_r[j] - x):
                 parent[max(a, b)] = min(a, b)
-                links.append((names[i], names[j + shift]))
+                links.append((names[a], names[b]))
     return pd.DataFrame(links, columns=["a", "b"])
 
 
@@ -189,8 +194,20 @@ def _tokens(sig: Column) -> Column:
     return F.transform(F.slice(sig, 1, POSTED), lambda v, i: F.shiftleft(i.cast("long"), 32) + F.pmod(v.cast("long"), F.lit(1 << 32)))
 
 
-def near_links(docs: DataFrame, classes: DataFrame, similarity: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Confirmed links (a, b) between classes of equal sets whose transitive closure is that of all links.
+def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough."""
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
+    both = both.withColumn("x", F.size(F.array_intersect("sa", "sb")))
+    return both.filter(100 * F.col("x") >= similarity * (F.size("sa") + F.size("sb") - F.col("x"))).select("a", "b")
+
+
+def _fits(a: str, b: str, similarity: int) -> Column:
+    """Whether two set sizes allow the similarity."""
+    return 100 * F.least(a, b) >= similarity * F.greatest(a, b)
+
+
+def near_components(docs: DataFrame, classes: DataFrame, similarity: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(node, component) of the classes that have a link, by the closure of all links.
 
     ``classes`` has (node, rep, n_shingles, sig), one row per distinct non-empty set; ``rep`` is a document with that set.
     """
@@ -209,53 +226,78 @@ def near_links(docs: DataFrame, classes: DataFrame, similarity: int = 75, id_col
         .select("node", "n_shingles", F.col("s.token").alias("token"))
     )
     a, b = prefix.alias("a"), prefix.alias("b")
-    fits = (100 * F.least("a.n_shingles", "b.n_shingles") >= similarity * F.greatest("a.n_shingles", "b.n_shingles")) & (F.col("a.node") < F.col("b.node"))
+    fits = _fits("a.n_shingles", "b.n_shingles", similarity) & (F.col("a.node") < F.col("b.node"))
     met = a.join(b, (F.col("a.token") == F.col("b.token")) & fits).groupBy(F.col("a.node").alias("a"), F.col("b.node").alias("b")).agg(F.count("*").alias("collisions"))
     agree = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda x, y: x == y), lambda x: x))
-    pairs = durable(
-        met.join(classes.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a")
-        .join(classes.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b")
-        .filter(agree >= MATCH)
-        .select("a", "b", "collisions")
-    )
-    heavy = shared.filter(F.col("n_heavy") >= POSTED_MIN).select("node")
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(heavy).distinct()
+
+    def likened(df: DataFrame) -> DataFrame:
+        """Pairs with the number of coordinates on which their signatures agree, if enough."""
+        both = df.join(classes.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a").join(classes.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b")
+        return both.withColumn("agree", agree).filter(F.col("agree") >= MATCH).drop("sig_a", "sig_b")
+
+    pairs = likened(met).select("a", "b")
+    heavy = durable(classes.join(shared.filter(F.col("n_heavy") >= POSTED_MIN).select("node"), "node", "left_semi").select("node", "n_shingles", "sig"))
+    crowded = not heavy.isEmpty()
+    if crowded:
+        pairs = pairs.unionByName(_led(heavy, likened, similarity)).distinct()
+    pairs = durable(pairs)
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(heavy.select("node")).distinct()
     reps = classes.select("node", "rep").join(wanted, "node", "left_semi").select(F.col("rep").alias(id_col)).distinct()
     sets = durable(docs.select(id_col, text_col).join(reps, id_col, "left_semi").select(text_col).mapInArrow(_sets, "node binary, shingles array<long>"))
-    once = sets.groupBy("node").agg(F.first("shingles").alias("shingles"))
-    both = pairs.join(once.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(once.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
-    both = both.withColumn("x", F.size(F.array_intersect("sa", "sb")))
-    light = both.filter(100 * F.col("x") >= similarity * (F.size("sa") + F.size("sb") - F.col("x"))).select("a", "b")
-    return light.unionByName(_heavy_links(classes.join(heavy, "node", "left_semi"), once, similarity))
-
-
-def _heavy_links(heavy: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """Links among documents made of long-list tokens, compared block by block.
-
-    A list is cut by set size (steps of the similarity, so links stay within neighbouring steps) and each step, by hash, into
-    blocks of about ``BLOCK`` documents; every pair of blocks that can hold a link becomes one group.
+    # ids that stand for several texts bring in sets that nobody asked for
+    once = sets.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
+    parts = durable(connected_components(_confirmed(pairs, once, similarity)))
+    if not crowded:
+        return parts
+    joined = connected_components(_apart(heavy, parts, once, similarity))
+    moved = joined.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    named = parts.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    return durable(named.unionByName(joined.join(parts.select("node"), "node", "left_anti")))
+
+
+def _lists(heavy: DataFrame, similarity: int) -> DataFrame:
+    """(node, n_shingles, step, coord, value): the lists of each document; linked sets are at most one size step apart."""
+    step = F.floor(F.log("n_shingles") / F.log(F.lit(100.0 / similarity)) + 1e-9).cast("int") if similarity < 100 else F.col("n_shingles").cast("int")
+    return heavy.select("node", "n_shingles", step.alias("step"), F.posexplode(F.slice("sig", 1, HEAVY_COORDS)).alias("coord", "value"))
+
+
+def _led(heavy: DataFrame, likened, similarity: int) -> DataFrame:
+    """Pairs of each document with the likest leaders of its lists; each list and size step has one leader, drawn by hash."""
+    lists = _lists(heavy, similarity)
+    leaders = lists.groupBy("coord", "value", "step").agg(F.min(F.struct(F.xxhash64("node", "coord"), "node", "n_shingles")).alias("l"))
+    near = F.explode(F.array(F.col("step"), F.col("step") + 1)).alias("step")
+    led = leaders.select("coord", "value", near, F.col("l.node").alias("b"), F.col("l.n_shingles").alias("size_b"))
+    met = lists.withColumnRenamed("node", "a").join(led, ["coord", "value", "step"]).filter((F.col("a") != F.col("b")) & _fits("n_shingles", "size_b", similarity)).select("a", "b").distinct()
+    place = F.row_number().over(Window.partitionBy("a").orderBy(F.col("agree").desc(), "b"))
+    return likened(met).withColumn("k", place).filter(F.col("k") <= LEADERS).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def _apart(heavy: DataFrame, parts: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Links between components that share a list: documents outside the list's largest component against all of the list.
+
+    A list falls into cells by size step and by side (0: the largest component, 1: the rest), cells into blocks by hash; two blocks
+    meet if their steps are neighbours and not both of side 0. Lists of one component are left out.
     """
-    step = F.floor(F.log("n_shingles") / F.log(F.lit(100.0 / similarity))).cast("int")
-    meet = heavy.select("node", "n_shingles", step.alias("step"), F.posexplode(F.slice("sig", 1, HEAVY_COORDS)).alias("coord", "value"))
-    count = meet.groupBy("coord", "value", "step").agg(F.ceil(F.greatest(F.count("*") / F.lit(BLOCK), F.sum("n_shingles") / F.lit(BLOCK_SHINGLES))).cast("int").alias("blocks")).filter("step is not null")
-    plan = durable(
-        count.alias("c")
-        .join(count.alias("n"), (F.col("c.coord") == F.col("n.coord")) & (F.col("c.value") == F.col("n.value")) & (F.col("n.step") == F.col("c.step") + 1), "left")
-        .join(count.alias("p"), (F.col("c.coord") == F.col("p.coord")) & (F.col("c.value") == F.col("p.value")) & (F.col("p.step") == F.col("c.step") - 1), "left")
-        .select("c.coord", "c.value", "c.step", "c.blocks", F.coalesce("n.blocks", F.lit(0)).alias("above"), F.coalesce("p.blocks", F.lit(0)).alias("below"))
-    )
-    placed = meet.join(plan, ["coord", "value", "step"]).withColumn("own", F.pmod(F.xxhash64("node", "coord"), F.col("blocks").cast("long")).cast("int"))
-    others = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))
-    group = lambda lo, i, hi, j, side: F.struct(lo.alias("lo"), i.alias("i"), hi.alias("hi"), j.alias("j"), side.alias("side"))
-    s, own = F.col("step"), F.col("own")
-    within = F.transform(others("blocks"), lambda j: group(s, F.least(own, j), s, F.greatest(own, j), F.when(own <= j, 0).otherwise(1)))
-    upward = F.transform(others("above"), lambda j: group(s, own, s + 1, j, F.lit(0)))
-    downward = F.transform(others("below"), lambda j: group(s - 1, j, s, own, F.lit(1)))
-    dealt = placed.select("node", "coord", "value", F.explode(F.concat(within, upward, downward)).alias("g")).select("node", "coord", "value", "g.*")
-    full = heavy.select("node", "sig").join(sets, "node")
+    placed = _lists(heavy, similarity).join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    per = durable(placed.groupBy("coord", "value", "step", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles")))
+    main = per.groupBy("coord", "value", "component").agg(F.sum("n").alias("n")).groupBy("coord", "value").agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.count("*").alias("components"))
+    main = durable(main.filter("components > 1").drop("components"))
+    cell = (2 * F.col("step") + F.when(F.col("component") == F.col("main"), 0).otherwise(1)).alias("cell")
+    blocks = F.ceil(F.greatest(F.sum("n") / F.lit(BLOCK), F.sum("shingles") / F.lit(BLOCK_SHINGLES))).cast("int").alias("blocks")
+    cells = per.join(main, ["coord", "value"]).groupBy("coord", "value", cell).agg(blocks)
+    # a list has a few dozen size steps, so its cells are a short array
+    plan = cells.groupBy("coord", "value").agg(F.map_from_entries(F.collect_list(F.struct("cell", "blocks"))).alias("plan"))
+    dealt = placed.join(durable(plan.join(main, ["coord", "value"])), ["coord", "value"]).withColumn("cell", cell)
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node", "coord"), F.element_at("plan", F.col("cell")).cast("long")).cast("int"))
+    mine = F.struct(F.col("cell").alias("cell"), F.col("own").alias("block"))
+    around = F.filter(F.sequence(2 * F.col("step") - 2, 2 * F.col("step") + 3), lambda c: F.map_contains_key("plan", c) & ((F.pmod(c, F.lit(2)) == 1) | (F.pmod(F.col("cell"), F.lit(2)) == 1)))
+    others = F.flatten(F.transform(around, lambda c: F.transform(F.sequence(F.lit(0), F.element_at("plan", c) - 1), lambda k: F.struct(c.alias("cell"), k.alias("block")))))
+    meet = F.transform(others, lambda o: F.struct(F.least(mine, o).alias("lo"), F.greatest(mine, o).alias("hi"), F.when(mine <= o, 0).otherwise(1).alias("side")))
+    rows = dealt.select("node", "component", "coord", "value", F.explode(meet).alias("g")).select("node", "component", "coord", "value", "g.*")
     return (
-        dealt.join(full, "node")
-        .groupBy("coord", "value", "lo", "i", "hi", "j")
+        rows.join(heavy.select("node", "sig"), "node")
+        .join(sets, "node")
+        .groupBy("coord", "value", "lo", "hi")
         .applyInPandas(lambda key, pdf: _compare_blocks(key, pdf, similarity), "a binary, b binary")
     )
 
@@ -278,9 +320,7 @@ def minhash_dedup(docs: DataFrame, similarity: int = 75, id_col: str = "doc_id",
     classes = durable(
         usable.join(first.withColumnRenamed("rep", "doc_id"), ["node", "doc_id"], "left_semi").dropDuplicates(["node"]).select("node", F.col("doc_id").alias("rep"), "n_shingles", "sig")
     )
-    links = near_links(docs, classes, similarity, "doc_id", "text")
-    parts = connected_components(links)
-    found = parts.join(classes.select("node", "rep"), "node")
+    found = near_components(docs, classes, similarity, "doc_id", "text").join(classes.select("node", "rep"), "node")
     least = found.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = durable(found.join(least, "component").select("node", "component_id"))
     by_class = classes.select("node", "rep").join(named, "node", "left").select("node", F.coalesce("component_id", "rep").alias("component_id"))
@@ -291,6 +331,19 @@ def minhash_dedup(docs: DataFrame, similarity: int = 75, id_col: str = "doc_id",
     )
 
 
+def drop_near_copies(docs: DataFrame, similarity: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, without near copies: one row of each component stays, that of the smallest id, null ids last.
+
+    Rows are numbered first and told apart by number, so repeated rows leave one, rows that share an id but not a text are judged
+    by their texts, and rows with a null id take part. Rows without words all stay.
+    """
+    rows = durable(docs.withColumn("_row", F.monotonically_increasing_id()))
+    found = minhash_dedup(rows.select("_row", text_col), similarity, "_row", text_col).select(F.col("doc_id").alias("_row"), "component_id")
+    named = rows.select("_row", F.col(id_col).alias("_id")).join(found, "_row")
+    stay = named.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row"))["_row"].alias("_row"))
+    return rows.join(durable(stay.select("_row")), "_row", "left_semi").select(docs.columns)
+
+
 def op1_minhash_dedup(spark, sf_dir: str) -> DataFrame:
     """Query: near-duplicate components of all ``documents``."""
     return minhash_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))

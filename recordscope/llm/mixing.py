@@ -3,8 +3,9 @@
 Each source has a target size; every document of a source has the same expected number of copies, target / source size.
 Documents stand in a fixed order within their source (size class, then a hash), their expected copies are summed along it,
 one offset per source is added, and a document is emitted once for each integer that its step crosses. As the order is by size
-class, the words taken stay close to the target. Ranks come from counts of small buckets plus a row number inside a bucket, so
-no source, however large, is sorted by one task.
+class, the words taken stay close to the target. The order is a range partitioning whose keys end with the row's number, so a hot
+source and rows that are equal in all else are split like others; a row's rank is its place in its partition plus the rows of the
+source in earlier partitions.
 """
 
 from __future__ import annotations
@@ -16,8 +17,8 @@ from recordscope.llm.common import durable, words
 
 #: Steps of the offset; a power of two, so that adding it to a rank is exact.
 OFFSET_STEPS = 1 << 20
-#: Rows that a rank bucket should hold.
-BUCKET_ROWS = 50_000
+#: Bytes of kept columns, and rows, that a range should hold.
+PART_BYTES, PART_ROWS = 64 << 20, 500_000
 
 
 def _size_class(size: Column) -> Column:
@@ -55,31 +56,27 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share
 def mix_sources(docs: DataFrame, keep: tuple[str, ...] = (), weights: tuple[int, ...] = (3, 1, 2), share_percent: int = 150, most: int = 2, seed: int = 7) -> DataFrame:
     """One row per document: doc_id, ``keep`` columns, size, source_size, target, copies, taken = copies * size.
 
-    Needs doc_id, text, source. A null text has size 0. A null source is a source of its own, a null doc_id sorts first.
-    Repeated rows each count; equal rows may swap places, which leaves the result as it is. Runs agree with each other.
+    Needs doc_id, text, source. A null text has size 0. A null source is a source of its own, a null doc_id sorts first. An
+    empty table gives no rows. Repeated rows each count; equal rows may swap places, which leaves the result as it is. Runs agree
+    with each other, however the input is parted.
     """
-    share_row = docs.select(*[F.col(c).alias(f"keep_{c}") for c in keep], F.col("doc_id").cast("long").alias("doc_id"), "source", F.size(words(F.col("text"))).cast("long").alias("size"))
-    sized = durable(share_row.select("doc_id", "source", "size"))
+    kept = [F.col(c).alias(f"keep_{c}") for c in keep]
+    # null ids share a hash, and repeated ids theirs: the text tells them apart, and what is left is equal rows
+    told = [F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("mark"), F.xxhash64("text").alias("tie")]
+    sized = durable(docs.select(*kept, F.col("doc_id").cast("long").alias("doc_id"), F.col("source"), F.size(words(F.col("text"))).cast("long").alias("size"), *told, F.monotonically_increasing_id().alias("row")))
     targets = durable(source_targets(sized, weights, share_percent, most))
-    total = sized.count()
-    digits = 1
-    while 16**digits * BUCKET_ROWS < total and digits < 5:
-        digits += 1
-    mark = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-
-    def placed(rows: DataFrame) -> DataFrame:
-        rows = rows.join(targets, rows["source"].eqNullSafe(targets["source"])).drop("source")
-        return rows.withColumn("class", _size_class(F.col("size"))).withColumn("mark", mark).withColumn("part", F.substring("mark", 1, digits))
-
-    bucket = ["number", "class", "part"]
-    counts = placed(sized).groupBy(*bucket).agg(F.count("*").alias("rows"))
-    along = Window.partitionBy("number").orderBy("class", "part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = durable(counts.select(*bucket, F.coalesce(F.sum("rows").over(along), F.lit(0)).alias("earlier")))
-    ranked = (
-        placed(share_row if keep else sized)
-        .join(offsets, bucket)
-        .withColumn("rank", F.col("earlier") + F.row_number().over(Window.partitionBy(*bucket).orderBy("mark", F.col("doc_id").asc_nulls_first(), "size")))
-    )
+    weight = F.octet_length("keep_text") if "text" in keep else F.lit(0)
+    rows, size = sized.agg(F.count("*"), F.coalesce(F.sum(weight), F.lit(0))).first()
+    order = ["number", "class", "mark", "doc_id", "size", "tie", "row"]
+    placed = sized.join(targets, sized["source"].eqNullSafe(targets["source"])).drop("source").withColumn("class", _size_class(F.col("size")))
+    ranged = placed.repartitionByRange(1 + max(rows // PART_ROWS, size // PART_BYTES), *order).sortWithinPartitions(*order)
+    # the number of a row that Spark gives here is its partition in the upper bits and its place there in the lower 33
+    laid = durable(ranged.withColumn("seat", F.monotonically_increasing_id()).drop("mark", "tie", "row", "class"))
+    part = F.shiftright("seat", 33).alias("part")
+    before = Window.partitionBy("number").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = laid.groupBy("number", part).agg(F.count("*").alias("rows"), F.min("seat").alias("first"))
+    starts = durable(counts.select("number", "part", "first", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("earlier")))
+    ranked = laid.withColumn("part", part).join(starts, ["number", "part"]).withColumn("rank", F.col("earlier") + F.col("seat") - F.col("first") + 1)
     start = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("number").cast("string"))), 1, 5), 16, 10).cast("double") / OFFSET_STEPS
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     crossed = F.floor(start + rate * F.col("rank")) - F.floor(start + rate * (F.col("rank") - 1))

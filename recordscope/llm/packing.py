@@ -1,15 +1,17 @@
 """Packing documents into sequences along a space-filling curve.
 
 A document's tokens are counted in hashed buckets, the counts are projected to a few dimensions and the point's Hilbert index
-is the sort key. Token tables are written once, range-partitioned by (key, hash of the id) and sorted; each partition lays its
-documents end to end and cuts every ``length`` ids, so a sequence holds neighbours along the curve and only the last sequence of
-a partition needs padding. Sequence numbers follow from the partitions' counts. Equal documents share a key, but the hash splits
-them over partitions.
+is the sort key. Token tables are written once, range-partitioned by (key, hash of the row) into partitions of a number that follows
+from their bytes, and sorted; each partition lays its documents end to end and cuts every ``length`` ids, so a sequence holds
+neighbours along the curve and only the last sequence of a partition needs padding. Sequence numbers follow from the partitions'
+counts. Equal documents share a key, but the hash of their row numbers splits them over partitions. Bounds of ranges are sampled, so
+the numbers of sequences may differ between runs; pieces always hold every id once.
 """
 
 from __future__ import annotations
 
-import base64
+import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -27,24 +29,55 @@ BUCKETS = 256
 DIMS = 4
 BITS = 10
 END_ID = 0
+#: Bytes of token ids that a partition should hold.
+PART_BYTES = 64 << 20
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str):
-    """Byte-level BPE from a rank file; the strings of special tokens are ordinary text."""
-    import public_tokenizers
-    import tiktoken
+class Encoder:
+    """Ids as the named tokenizer gives them without special tokens added: strings of its added tokens become their ids, the text
+    between them is encoded by itself.
+
+    The merges are done by a byte-level rank encoder with the same vocabulary, which is several times faster than the tokenizer.
+    """
 
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    def __init__(self, path: str):
+        import public_tokenizers
+        import tiktoken
+
+        with open(path, "rb") as f:
+            model = json.load(f)
+        added = model.get("added_tokens") or []
+        if any(t.get(flag) for t in added for flag in ("lstrip", "rstrip", "single_word")) or model.get("normalizer"):
+            raise ValueError("added tokens that take their surroundings and normalizers are not supported")
+        self.added = {t["content"]: t["id"] for t in added}
+        # printable stand-ins of bytes in byte-level vocabularies: printable characters stand for themselves, the others follow from 256 on
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        byte = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(plain))}
+        ranks = {bytes(byte[c] for c in w): i for w, i in model["model"]["vocab"].items() if w not in self.added}
+        self._plain = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self._split = re.compile("(" + "|".join(re.escape(w) for w in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
+
+    def encode(self, text: str) -> list[int]:
+        if self._split is None or not any(w in text for w in self.added):
+            return self._plain(text)
+        out: list[int] = []
+        for k, part in enumerate(self._split.split(text)):
+            if k % 2:
+                out.append(self.added[part])
+            elif part:
+                out += self._plain(part)
+        return out
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def default_vocabulary() -> str:
-    """Rank file with the ids of ``byte_bpe_50k.json``; it loads and encodes several times faster."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 @lru_cache(maxsize=1)
@@ -93,7 +126,7 @@ def curve_keys(documents: list[np.ndarray]) -> np.ndarray:
 
 def _tokenise(vocabulary: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary).encode_ordinary
+        encode = encoder(vocabulary).encode
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
@@ -133,12 +166,14 @@ def pack_along_curve(docs: DataFrame, length: int = LENGTH, vocabulary: str | No
     """Pieces (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) that hold every id of every document once.
 
     A document is its ids and an end id; a null or empty text is the end id alone. Repeated rows are packed as often as they
-    come; a null id stays null. Other columns are ignored.
+    come; a null id stays null. An empty table gives no pieces. Other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     tokens = durable(rows.mapInArrow(_tokenise(vocabulary or default_vocabulary()), "doc_id long, ids binary, key long"))
     order = ["key", "tie"]
-    ranged = tokens.withColumn("tie", F.xxhash64("doc_id")).repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids")
+    size = tokens.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
+    tied = tokens.withColumn("tie", F.xxhash64("doc_id", F.monotonically_increasing_id()))
+    ranged = tied.repartitionByRange(1 + size // PART_BYTES, *order).sortWithinPartitions(*order).select("doc_id", "ids")
     pieces = durable(ranged.mapInArrow(_lay(length), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, local long, offset long, part long"))
     counts = pieces.groupBy("part").agg((F.max("local") + 1).alias("sequences"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

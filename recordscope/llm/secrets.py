@@ -2,7 +2,7 @@
 
 Fixed patterns give the base spans; further patterns (provider tokens, web tokens, private key blocks) give candidates. The value of
 every span is hashed, and the hash is counted over the whole corpus by distinct repositories and distinct owners: a value
-under many owners is a copied example, a value of one or two owners that looks random is a live credential. Candidates of the
+under many owners or in many repositories is a copied example, a value of one or two owners that looks random is a live credential. Candidates of the
 further patterns become spans when they are live; base spans stay, and their verdicts come beside them.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordscope.llm.common import durable
-from recordscope.llm.spans import find_spans
+from recordscope.llm.spans import find_spans, masked
 
 BASE_KINDS = ("assign", "access", "hex")
 ADDED_KINDS = ("provider", "webtoken", "keyblock")
@@ -28,8 +28,9 @@ HEX = r"[0-9a-f]{16,}+"
 PROVIDER = r"(?<![A-Za-z0-9_-])(?:gh[pousr]_[A-Za-z0-9]{30,}+|xox[abprs]-[A-Za-z0-9-]{16,}+|sk_(?:live|test)_[A-Za-z0-9]{16,}+|AIza[A-Za-z0-9_-]{30,}+)"
 WEBTOKEN = r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+"
 KEYBLOCK = r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----[A-Za-z0-9+/=\s]++"
-#: A value under more owners than this is a copied example.
+#: A value under more owners, or in more repositories, than this is a copied example.
 LIVE_OWNERS = 2
+LIVE_REPOSITORIES = 6
 #: Distinct characters that a live value has at least, or fewer where a random value of its length and alphabet can have fewer.
 LIVE_CHARS = 8
 #: Chance that a random value is under the floor.
@@ -79,18 +80,28 @@ def looks_live(value: Column, kind: Column) -> Column:
     return (F.size(F.array_distinct(F.split(value, ""))) >= _floor(value)) & ~value.rlike(PLACEHOLDER) & (named | value.rlike("[0-9]"))
 
 
-def find_secrets(docs: DataFrame, repository: Column | None = None, owner: Column | None = None, live_owners: int = LIVE_OWNERS) -> DataFrame:
-    """(doc_id, spans: array of (start, n, kind, end, repositories, owners, live)) for each row of ``docs``.
+def find_secrets(docs: DataFrame, keep: tuple[str, ...] = (), **options) -> DataFrame:
+    """(doc_id, ``keep`` columns, spans: array of (start, n, kind, end, repositories, owners, live)) for each row of ``docs``.
 
-    ``spans`` holds all base spans, and candidates of the added kinds that are live. Without columns of their own, a document's
-    owner is its source and its repository source and language. A null text is empty; null owners and repositories count as
-    one. Repeated rows each get a row and count as one owner.
+    ``spans`` holds all base spans, and candidates of the added kinds that are live. A value is live when it looks random and
+    stands under few owners and in few repositories. Without columns of their own, a document's owner is its source and its
+    repository source and language. A null text is empty; null owners and repositories count as one. Rows are told apart by
+    place, not by id: repeated and null ids each get their row and their own spans. Repeated rows count as one owner. Only rows
+    with a candidate are shuffled. ``options`` are the columns ``owner`` and ``repository`` and the bounds ``live_owners`` and
+    ``live_repositories``.
     """
+    return _found(docs, keep, **options).select("doc_id", *[F.col(f"keep_{c}").alias(c) for c in keep], "spans")
+
+
+def _found(docs: DataFrame, keep: tuple[str, ...], repository: Column | None = None, owner: Column | None = None, live_owners: int = LIVE_OWNERS, live_repositories: int = LIVE_REPOSITORIES) -> DataFrame:
+    """doc_id, the ``keep`` columns with keep_ before their names, spans."""
     owner = F.col("source") if owner is None else owner
     repository = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit(""))) if repository is None else repository
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(owner, F.lit("")).alias("owner"), F.coalesce(repository, F.lit("")).alias("repository"), scan(text).alias("found"))
+    kept = [F.col(c).alias(f"keep_{c}") for c in keep]
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), *kept, F.coalesce(owner, F.lit("")).alias("owner"), F.coalesce(repository, F.lit("")).alias("repository"), scan(text).alias("found"))
     hashed = F.transform("found", lambda s: F.struct(s["start"].alias("start"), s["n"].alias("n"), s["kind"].alias("kind"), s["end"].alias("end"), F.sha2(s["value"], 256).alias("hash"), looks_live(s["value"], s["kind"]).alias("random")))
+    # written once: the rows keep their numbers, and texts are scanned a single time
     found = durable(rows.withColumn("found", hashed))
     each = found.select("row", "owner", "repository", F.explode("found").alias("s")).select("row", "owner", "repository", "s.*")
     # distinct counts in two steps: (hash, place) first, so that a value copied everywhere is merged before it meets itself
@@ -98,29 +109,38 @@ def find_secrets(docs: DataFrame, repository: Column | None = None, owner: Colum
     owners = places.groupBy("hash", "owner").agg(F.count("*").alias("r"))
     repositories = places.select("hash", "repository").distinct().groupBy("hash").agg(F.count("*").alias("repositories"))
     seen = owners.groupBy("hash").agg(F.count("*").alias("owners")).join(repositories, "hash")
-    judged = each.join(durable(seen), "hash").withColumn("live", F.col("random") & (F.col("owners") <= live_owners))
+    few = (F.col("owners") <= live_owners) & (F.col("repositories") <= live_repositories)
+    judged = each.join(durable(seen), "hash").withColumn("live", F.col("random") & few)
     stay = judged.filter(F.col("live") | (F.col("n") < len(BASE_KINDS)))
     per_row = stay.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "n", "kind", "end", "repositories", "owners", "live"))).alias("spans"))
     none = F.array().cast("array<struct<start:int,n:int,kind:string,end:int,repositories:bigint,owners:bigint,live:boolean>>")
-    return found.select("row", "doc_id").join(per_row, "row", "left").select("doc_id", F.coalesce("spans", none).alias("spans"))
+    columns = ["doc_id", *[f"keep_{c}" for c in keep]]
+    some = found.filter(F.size("found") > 0).select("row", *columns).join(per_row, "row", "left").select(*columns, F.coalesce("spans", none).alias("spans"))
+    return found.filter(F.size("found") == 0).select(*columns, none.alias("spans")).unionByName(some)
 
 
-def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """Text with the union of ``spans`` (ordered by start, with start and end) replaced by ``mark``."""
-    state = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+def mask_secrets(docs: DataFrame, mark: str = "[SECRET]", **options) -> DataFrame:
+    """The rows of ``docs`` with all their columns, live secrets in ``text`` replaced by ``mark``; ``n_chars``, if there, counts anew.
 
-    def step(s, x):
-        gap = F.when(x["start"] >= s["at"], F.concat(F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.lit(mark))).otherwise(F.lit(""))
-        return F.struct(F.greatest(s["at"], x["end"]).alias("at"), F.concat(s["out"], gap).alias("out"))
-
-    return F.aggregate(spans, state, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
+    Every row is masked by its own spans, whatever its id; null texts stay null. ``options`` go to ``find_secrets``.
+    """
+    marked = _found(docs, tuple(docs.columns), **options)
+    live = F.filter("spans", lambda s: s["live"])
+    changed = F.exists("spans", lambda s: s["live"]) & F.col("keep_text").isNotNull()
+    out = marked.withColumn("keep_text", F.when(changed, masked(F.col("keep_text"), live, mark)).otherwise(F.col("keep_text")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("keep_n_chars", F.when(changed, F.length("keep_text").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("keep_n_chars")))
+    return out.select(*[F.col(f"keep_{c}").alias(c) for c in docs.columns])
 
 
 def op9_secret_scan(spark, sf_dir: str) -> DataFrame:
-    """Query: secrets in all ``documents``."""
+    """Query: secrets in all ``documents``; ``ownership`` names each span's repositories and owners, ``live_spans`` the live ones."""
     found = find_secrets(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source"))
-    said = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    place = lambda s: [s["kind"], s["start"].cast("string"), s["end"].cast("string")]
+    said = lambda c, more=lambda s: []: F.array_join(F.transform(c, lambda s: F.concat_ws(":", *place(s), *more(s))), ",")
     base = F.filter("spans", lambda s: s["n"] < len(BASE_KINDS))
     of = lambda kind: lambda s: s["kind"] == kind
     counts = [F.size(F.filter("spans", of(k))).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
-    return found.select("doc_id", *counts, F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"), said(F.filter("spans", lambda s: s["live"])).alias("live_spans"))
+    counted = said(F.col("spans"), lambda s: [s["repositories"].cast("string"), s["owners"].cast("string")])
+    live = F.filter("spans", lambda s: s["live"])
+    return found.select("doc_id", *counts, F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"), said(live).alias("live_spans"), counted.alias("ownership"))

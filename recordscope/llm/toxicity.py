@@ -1,15 +1,17 @@
 """Toxicity scores from a classifier that is held to ignore identity terms.
 
 Documents are sets of words and word beginnings. Spark counts features by label over a bounded, hash-chosen sample and keeps the
-most telling ones. A logistic regression is fitted to them with a second penalty: each sampled document that names a group is
-repeated with the group's terms swapped for others, and the squared change of the score is added to the loss. The identity terms
-stay features even when few documents hold them, so that the penalty acts on them. Sampled rows
-weigh as many rows as they stand for, so scores are chances under the mix of all labels, whatever the size of the table.
+most telling ones. A logistic regression is fitted to them with a second penalty: in each sentence of the sampled documents each
+identity term is swapped for every other term of its line, one at a time, and the squared change of the score is added to the loss.
+Equal changes are counted by Spark, so the driver sees each kind of change once. The identity terms stay features even when few
+documents hold them, so that the penalty acts on them. Sampled rows weigh as many rows as they stand for, so scores are chances
+under the mix of all labels, whatever the size of the table.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordscope.llm.common import durable
-from recordscope.llm.language import held_out
+from recordscope.llm.language import LETTERS, held_out
 
 #: Labelled documents of either label in the sample, in expectation.
 SAMPLE_EACH = 4_000
@@ -28,7 +30,7 @@ LEAST_DOCS = 3
 RIDGE = 5e-5
 FAIRNESS = 1.0
 STEPS = 300
-#: Neutral names of groups, swapped within a line.
+#: Neutral names of groups in English, German, French and Spanish, swapped within a line.
 IDENTITY_TERMS = (
     ("women", "men"),
     ("woman", "man"),
@@ -41,8 +43,37 @@ IDENTITY_TERMS = (
     ("immigrants", "refugees", "foreigners", "citizens"),
     ("old", "young"),
     ("disabled", "deaf", "blind"),
+    ("frauen", "männer"),
+    ("frau", "mann"),
+    ("muslimisch", "christlich", "jüdisch", "hinduistisch", "buddhistisch"),
+    ("muslime", "christen", "juden", "buddhisten", "atheisten"),
+    ("schwarz", "weiß", "asiatisch"),
+    ("schwul", "lesbisch", "hetero"),
+    ("einwanderer", "flüchtlinge", "ausländer", "bürger"),
+    ("alt", "jung"),
+    ("behindert", "taub"),
+    ("femmes", "hommes"),
+    ("femme", "homme"),
+    ("musulman", "chrétien", "juif", "hindou", "bouddhiste", "athée"),
+    ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées"),
+    ("noir", "blanc", "asiatique"),
+    ("lesbienne", "hétéro"),
+    ("immigré", "réfugié", "étranger", "citoyen"),
+    ("immigrés", "réfugiés", "étrangers", "citoyens"),
+    ("vieux", "jeune"),
+    ("handicapé", "sourd", "aveugle"),
+    ("mujeres", "hombres"),
+    ("mujer", "hombre"),
+    ("musulmán", "cristiano", "judío", "hindú", "budista", "ateo"),
+    ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos"),
+    ("negro", "blanco", "asiático"),
+    ("lesbiana", "heterosexual"),
+    ("inmigrante", "refugiado", "extranjero", "ciudadano"),
+    ("inmigrantes", "refugiados", "extranjeros", "ciudadanos"),
+    ("viejo", "joven"),
+    ("discapacitado", "sordo", "ciego"),
 )
-_LETTERS = re.compile(r"[^\W\d_]+")
+_SENTENCE = re.compile(r"[.!?\n]+")
 #: Word beginnings that are features beside whole words.
 BEGINNINGS = (4, 6)
 
@@ -52,32 +83,52 @@ def word_features(word: str) -> list[str]:
 
 
 def text_words(text: str | None) -> set[str]:
-    return set(_LETTERS.findall((text or "").lower()))
+    return set(LETTERS.findall((text or "").lower()))
 
 
-def swaps(terms: tuple[tuple[str, ...], ...]) -> dict[str, str]:
-    """Each identity term -> the next one of its line."""
-    return {w: line[(k + 1) % len(line)] for line in terms for k, w in enumerate(line)}
+def swaps(terms: tuple[tuple[str, ...], ...]) -> dict[str, tuple[str, ...]]:
+    """Each identity term -> the other terms of its lines."""
+    out: dict[str, tuple[str, ...]] = {}
+    for line in terms:
+        for w in line:
+            out[w] = (*out.get(w, ()), *[x for x in line if x != w and x not in out.get(w, ())])
+    return out
+
+
+def counterfactuals(text: str | None, others: dict[str, tuple[str, ...]]) -> Counter:
+    """(features that go, features that come) -> number of swaps in the sentences of a text that change them so."""
+    out: Counter = Counter()
+    for sentence in _SENTENCE.split((text or "").lower()):
+        words = set(LETTERS.findall(sentence))
+        for term in sorted(words & others.keys()):
+            rest = {f for w in words - {term} for f in word_features(w)}
+            for other in others[term]:
+                gone = [f for f in word_features(term) if f not in rest and f not in word_features(other)]
+                come = [f for f in word_features(other) if f not in rest and f not in word_features(term)]
+                if gone or come:
+                    out[tuple(gone), tuple(come)] += 1
+    return out
 
 
 def _featurise(terms: tuple[tuple[str, ...], ...]):
-    other = swaps(terms)
+    others = swaps(terms)
+    change = pa.list_(pa.struct([("gone", pa.list_(pa.string())), ("come", pa.list_(pa.string())), ("times", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 200):
                 part = batch.slice(lo, 200)
-                plain, swapped = [], []
-                for text in part.column(2).to_pylist():
-                    words = text_words(text)
-                    plain.append(sorted({f for w in words for f in word_features(w)}))
-                    moved = {other.get(w, w) for w in words}
-                    swapped.append(sorted({f for w in moved for f in word_features(w)}) if moved != words else None)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(plain, pa.list_(pa.string())), pa.array(swapped, pa.list_(pa.string()))], names=["doc_id", "toxic", "plain", "swapped"])
+                texts = part.column(2).to_pylist()
+                plain = [sorted({f for w in text_words(t) for f in word_features(w)}) for t in texts]
+                moved = [[{"gone": list(a), "come": list(b), "times": n} for (a, b), n in sorted(counterfactuals(t, others).items())] for t in texts]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(plain, pa.list_(pa.string())), pa.array(moved, change)], names=["doc_id", "toxic", "plain", "moved"])
 
     return run
 
 
+FEATURED = "doc_id long, toxic int, plain array<string>, moved array<struct<gone:array<string>,come:array<string>,times:bigint>>"
+
+
 def fit(x: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]], n_features: int, fairness: float = FAIRNESS, ridge: float = RIDGE, steps: int = STEPS, counts: np.ndarray | None = None, pair_counts: np.ndarray | None = None) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise mean log loss + ridge * |w|^2 + fairness * mean squared score change over ``pairs``.
 
@@ -110,15 +161,19 @@ def fit(x: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray, np.nda
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS, fairness: float = FAIRNESS, sample_each: int = SAMPLE_EACH) -> tuple[dict[str, float], float]:
-    """Feature weights and bias from labelled rows that are not held out; a document labelled both ways is toxic."""
+    """Feature weights and bias from labelled rows that are not held out; a document labelled both ways is toxic.
+
+    A document of several rows teaches once, by its least text.
+    """
     told = labels.filter("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     told = told.filter(~held_out(F.col("doc_id")))
     size = {r["toxic"]: r["count"] for r in told.groupBy("toxic").count().collect()}
     bound = F.when(F.col("toxic") == 1, max(sample_each, size.get(1, 0))).otherwise(max(sample_each, size.get(0, 0)))
     # bounded and small, so that texts are met by broadcast and not shuffled
     few = durable(told.filter(F.pmod(F.xxhash64("doc_id"), bound) < sample_each).coalesce(1))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("text is not null").join(few, "doc_id").select("doc_id", "toxic", "text")
-    feats = durable(rows.mapInArrow(_featurise(terms), "doc_id long, toxic int, plain array<string>, swapped array<string>"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("text is not null").join(few, "doc_id")
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    feats = durable(rows.mapInArrow(_featurise(terms), FEATURED))
     n = {r["toxic"]: r["count"] for r in feats.groupBy("toxic").count().collect()}
     if not n.get(0) or not n.get(1):
         return {}, (-6.0 if n.get(0) else 0.0)
@@ -134,16 +189,18 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, terms: tuple[tuple[str, .
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            ids = lambda c: pa.array([None if x is None else [known[f] for f in x if f in known] for x in c.to_pylist()], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), ids(batch.column(2)), ids(batch.column(3))], names=["doc_id", "toxic", "plain", "swapped"])
+            ids = pa.array([[known[f] for f in x if f in known] for x in batch.column(2).to_pylist()], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), ids], names=["doc_id", "toxic", "plain"])
 
-    pdf = feats.mapInArrow(number, "doc_id long, toxic int, plain array<int>, swapped array<int>").toPandas().sort_values("doc_id", kind="stable")
+    # rows that each row of the sample stands for
+    stands = [max(sample_each, size.get(k, 0)) / sample_each for k in (0, 1)]
+    pdf = feats.select("doc_id", "toxic", "plain").mapInArrow(number, "doc_id long, toxic int, plain array<int>").toPandas().sort_values("doc_id", kind="stable")
     x = [np.asarray(v, dtype=np.int64) for v in pdf["plain"]]
-    pairs = [(a, np.asarray(b, dtype=np.int64)) for a, b in zip(x, pdf["swapped"], strict=True) if b is not None]
     y = pdf["toxic"].to_numpy(dtype=float)
-    # rows that each row of the sample stands for
-    counts = np.where(y == 1, *(max(sample_each, size.get(k, 0)) / sample_each for k in (1, 0)))
-    w, bias = fit(x, y, pairs, len(names), fairness, counts=counts, pair_counts=counts[pdf["swapped"].notna().to_numpy()])
+    told_moves = feats.select("toxic", F.explode("moved").alias("m")).groupBy("m.gone", "m.come").agg(F.sum(F.col("m.times") * F.when(F.col("toxic") == 1, stands[1]).otherwise(stands[0])).alias("times"))
+    moves = told_moves.orderBy("gone", "come").collect()
+    pairs = [tuple(np.array([at[f] for f in fs if f in at], dtype=np.int64) for fs in (r["gone"], r["come"])) for r in moves]
+    w, bias = fit(x, y, pairs, len(names), fairness, counts=np.where(y == 1, stands[1], stands[0]), pair_counts=np.array([r["times"] for r in moves]))
     return {f: float(w[k]) for f, k in at.items() if abs(w[k]) > 1e-6}, bias
 
 

@@ -1,13 +1,16 @@
 """WARC records and Merkle fixity audit of replicas.
 
-Records are hashed one by one; every ``FANOUT`` neighbouring hashes of a file are hashed to a node that covers their offset
-range, level by level up to one root a file. An audit compares roots and goes down only below nodes that differ, so the hashes that
-two intact replicas exchange are one per file.
+Records are hashed one by one where they are read; what is numbered, shuffled and compared from there on are digests and lengths.
+Every ``FANOUT`` neighbouring hashes of a file are hashed to a node that covers their offset range, level by level up to one root a
+file. An audit compares roots and goes down only below nodes that differ, so the hashes that two intact replicas exchange are one
+per file.
 """
 
 from __future__ import annotations
 
 import gzip
+import io
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -18,8 +21,9 @@ from recordscope.llm.common import durable
 
 FANOUT = 16
 RECORDS_PER_FILE = 1_000
-#: Rows of a file of a small table.
-NODES_PER_FILE = 100_000
+#: Pages without an id are named by their content and dealt to this many files, whose numbers lie below those of ids.
+NAMELESS_FILES = 4_096
+NAMELESS = -(1 << 62)
 END = b"\r\n\r\n"
 
 
@@ -30,38 +34,43 @@ def record_bytes(url: Column, payload: Column) -> Column:
     return F.concat(F.encode(head, "UTF-8"), body, F.lit(END))
 
 
-def to_records(pages: DataFrame, per_file: int = RECORDS_PER_FILE) -> DataFrame:
-    """(file, record_no, offset, length, record) of pages: ``per_file`` consecutive ids make a file.
+def floor_div(c: str, by: int) -> Column:
+    """``c`` divided by ``by``, rounded down, in whole numbers."""
+    return F.expr(f"{c} div {by} - if({c} % {by} < 0, 1, 0)")
 
-    Null urls and payloads are empty. Pages with a null id go to file -1. Repeated ids follow one another by url and payload.
-    """
-    rows = pages.select(F.coalesce(F.floor(F.col("page_id") / per_file), F.lit(-1)).cast("long").alias("file"), "page_id", "url", "html")
-    order = Window.partitionBy("file").orderBy("page_id", "url", "html")
-    rows = rows.withColumn("record", record_bytes(F.col("url"), F.col("html"))).withColumn("length", F.octet_length("record").cast("long"))
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    return rows.select("file", (F.row_number().over(order) - 1).cast("long").alias("record_no"), F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long").alias("offset"), "length", "record")
 
+def to_records(pages: DataFrame, per_file: int = RECORDS_PER_FILE, payload: bool = True) -> DataFrame:
+    """(file, record_no, offset, length, digest, record) of pages: ``per_file`` (4 or more) consecutive ids make a file.
 
-def _written(df: DataFrame, rows: int) -> DataFrame:
-    """A durable table in files of about ``NODES_PER_FILE`` rows, for small tables that would else be many tiny files."""
-    return durable(df.coalesce(max(1, -(-rows // NODES_PER_FILE))))
+    Without ``payload`` the record itself is left out, so only its digest is shuffled. Null urls and payloads are empty. Repeated
+    ids follow one another by digest. Pages with a null id go to one of ``NAMELESS_FILES`` files by their digest.
+    """
+    if per_file < 4:
+        raise ValueError("a file holds 4 ids or more")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), record_bytes(F.col("url"), F.col("html")).alias("record"))
+    rows = rows.select("page_id", F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("digest"), *(["record"] if payload else []))
+    nameless = F.lit(NAMELESS) + F.pmod(F.xxhash64("digest"), F.lit(NAMELESS_FILES))
+    rows = rows.withColumn("file", F.coalesce(floor_div("page_id", per_file), nameless))
+    order = Window.partitionBy("file").orderBy("page_id", "digest")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    number, offset = (F.row_number().over(order) - 1).cast("long"), F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long")
+    return rows.select("file", number.alias("record_no"), offset.alias("offset"), "length", "digest", *(["record"] if payload else []))
 
 
 def merkle_levels(records: DataFrame, fanout: int = FANOUT) -> list[DataFrame]:
     """Levels of (file, no, start, end, hash), leaves first; each level covers ``fanout`` nodes of the one below.
 
-    A record's leaf hashes its offset with its bytes, so a record that moved differs. Empty input gives an empty leaf level.
+    A record's leaf hashes its offset with its digest, so a record that moved differs. Empty input gives an empty leaf level.
     """
-    leaf = F.sha2(F.concat(F.encode(F.concat(F.col("offset").cast("string"), F.lit(":")), "UTF-8"), F.col("record")), 256)
+    leaf = F.sha2(F.concat_ws(":", F.col("offset").cast("string"), "digest"), 256)
     level = durable(records.select("file", F.col("record_no").alias("no"), F.col("offset").alias("start"), (F.col("offset") + F.col("length")).alias("end"), leaf.alias("hash")))
-    levels, (top, rows) = [level], level.agg(F.max("no"), F.count("*")).first()
+    levels, top = [level], level.agg(F.max("no")).first()[0]
     while top:
         top //= fanout
         kids = F.array_sort(F.collect_list(F.struct("no", "hash")))
-        up = level.groupBy("file", F.floor(F.col("no") / fanout).cast("long").alias("up")).agg(F.min("start").alias("start"), F.max("end").alias("end"), kids.alias("kids"))
+        up = level.groupBy("file", floor_div("no", fanout).alias("up")).agg(F.min("start").alias("start"), F.max("end").alias("end"), kids.alias("kids"))
         # a node stands for up to ``fanout`` nodes, at least one
-        level = _written(up.select("file", F.col("up").alias("no"), "start", "end", F.sha2(F.array_join(F.col("kids.hash"), ""), 256).alias("hash")), rows)
-        rows = level.count()
+        level = durable(up.select("file", F.col("up").alias("no"), "start", "end", F.sha2(F.array_join(F.col("kids.hash"), ""), 256).alias("hash")))
         levels.append(level)
     return levels
 
@@ -69,54 +78,104 @@ def merkle_levels(records: DataFrame, fanout: int = FANOUT) -> list[DataFrame]:
 def audit(ours: list[DataFrame], theirs: list[DataFrame], fanout: int = FANOUT) -> DataFrame:
     """(file, record_no, start, end, status) of records that differ between two trees of ``merkle_levels``.
 
-    ``status`` is changed, missing (only ours) or extra (only theirs). Each step joins the children of differing nodes only.
+    ``status`` is changed, missing (only ours) or extra (only theirs). Each step joins the children of differing nodes only; the
+    differing nodes of a level, which are few beside it, meet the level below by file and parent.
     """
     suspect = None
     for level in range(max(len(ours), len(theirs)) - 1, -1, -1):
         a, b = (t[level] if level < len(t) else t[0].limit(0) for t in (ours, theirs))
-        rows = a.count() + b.count()
-        a, b = (t.withColumn("up", F.floor(F.col("no") / fanout).cast("long")) for t in (a, b))
+        a, b = (t.withColumn("up", floor_div("no", fanout)) for t in (a, b))
         if suspect is not None:
             a, b = (t.join(suspect, ["file", "up"], "left_semi") for t in (a, b))
         a, b = (t.select("file", "no", F.struct("start", "end", "hash").alias(name)) for t, name in ((a, "a"), (b, "b")))
-        differ = _written(a.join(b, ["file", "no"], "full").filter(~F.col("a.hash").eqNullSafe(F.col("b.hash"))), rows)
+        differ = durable(a.join(b, ["file", "no"], "full").filter(~F.col("a.hash").eqNullSafe(F.col("b.hash"))))
         suspect = differ.select("file", F.col("no").alias("up"))
     status = F.when(F.col("b").isNull(), "missing").when(F.col("a").isNull(), "extra").otherwise("changed")
     return differ.select("file", F.col("no").alias("record_no"), F.coalesce("a.start", "b.start").alias("start"), F.coalesce("a.end", "b.end").alias("end"), status.alias("status"))
 
 
-def parse_warc(data: bytes) -> Iterator[tuple[int, int, str, bytes]]:
-    """(offset, length, target, payload) of the records of an uncompressed WARC file."""
+def stream_warc(data: io.BufferedIOBase) -> Iterator[tuple[int, int, str | None, bytes | None, str | None]]:
+    """(offset, length, target, payload, error) of the records of an uncompressed stream, one record in memory at a time.
+
+    A record without a usable length, or that ends early, is the last of its stream: its error says why (null for good records),
+    its target and payload are null. Targets that are not UTF-8 get replacement characters.
+    """
     at = 0
-    while at < len(data):
-        split = data.find(END, at)
-        if split < 0:
-            raise ValueError(f"no header end after offset {at}")
-        head = {k.strip().lower(): v.strip() for k, _, v in (line.partition(b":") for line in data[at:split].split(b"\r\n")[1:])}
-        size = int(head[b"content-length"])
-        start = split + len(END)
-        yield at, start + size + len(END) - at, head.get(b"warc-target-uri", b"").decode(), data[start : start + size]
-        at = start + size + len(END)
+    while True:
+        size, used, head, error = None, 0, {}, None
+        try:
+            line = data.readline()
+            while line in (b"\r\n", b"\n"):  # spare line ends between records
+                at += len(line)
+                line = data.readline()
+            if not line:
+                return
+            used = len(line)
+            if not line.startswith(b"WARC/"):
+                error = "no record begins here"
+            while error is None:
+                line = data.readline()
+                used += len(line)
+                if line in (b"\r\n", b"\n"):
+                    break
+                if not line:
+                    error = "header ends early"
+                name, _, value = line.partition(b":")
+                head[name.strip().lower()] = value.strip()
+            told = head.get(b"content-length", b"")
+            size = int(told) if told.isdigit() else None
+            if error is None and size is None:
+                error = "no length"
+            if error is None:
+                payload = data.read(size)
+                used += len(payload)
+                if len(payload) < size:
+                    error = "payload ends early"
+            if error is None:
+                closing = data.read(len(END))
+                used += len(closing)
+                if closing != END:
+                    error = "no record end"
+        except (EOFError, OSError, zlib.error) as e:
+            error = f"broken compression: {type(e).__name__}"
+        if error is not None:
+            yield at, used, None, None, error
+            return
+        yield at, used, head.get(b"warc-target-uri", b"").decode("utf-8", "replace"), payload, None
+        at += used
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """(path, record_no, offset, length, url, payload) of all records of .warc and .warc.gz files; one task reads a file."""
+    """(path, record_no, offset, length, url, payload, error) of all records of .warc and .warc.gz files.
+
+    One task reads a file: its stored bytes are in memory, decompressed record by record. Damage gives a row with an error, as
+    ``stream_warc`` says, and never ends the job.
+    """
+    names = ["path", "record_no", "offset", "length", "url", "payload", "error"]
+    types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.string()]
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                data = gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw
+            for name, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                stored = pa.BufferReader(raw.as_buffer())
+                packed = raw.as_buffer()[:2].to_pybytes() == b"\x1f\x8b"
+                data = gzip.GzipFile(fileobj=stored) if packed else io.BufferedReader(stored)
                 part: list[tuple] = []
-                for k, record in enumerate(parse_warc(data)):
-                    part.append((name, k, *record))
-                    if len(part) == 500:
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*part, strict=True)], names=["path", "record_no", "offset", "length", "url", "payload"])
-                        part = []
+                held = 0
+                for k, (at, length, url, payload, error) in enumerate(stream_warc(data)):
+                    part.append((name, k, at, length, url, payload, error))
+                    held += length
+                    if len(part) == 500 or held > 8 << 20:
+                        yield batch_of(part)
+                        part, held = [], 0
                 if part:
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*part, strict=True)], names=["path", "record_no", "offset", "length", "url", "payload"])
+                    yield batch_of(part)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc*").load(path).select("path", "content")
-    return files.mapInArrow(run, "path string, record_no long, offset long, length long, url string, payload binary")
+    return files.mapInArrow(run, "path string, record_no long, offset long, length long, url string, payload binary, error string")
 
 
 def op2_fixity_audit(spark, sf_dir: str) -> DataFrame:
@@ -126,8 +185,7 @@ def op2_fixity_audit(spark, sf_dir: str) -> DataFrame:
     divided by 3 have lost the records after the first 900 of their ids.
     """
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
-    records = to_records(pages)
     damaged = pages.withColumn("html", F.when(F.col("page_id") % 97 == 13, F.translate("html", "e", "3")).otherwise(F.col("html")))
-    lost = (F.floor(F.col("page_id") / RECORDS_PER_FILE) % 3 == 1) & (F.col("page_id") % RECORDS_PER_FILE >= 900)
-    replica = to_records(damaged.filter(~lost))
-    return audit(merkle_levels(records), merkle_levels(replica))
+    lost = (floor_div("page_id", RECORDS_PER_FILE) % 3 == 1) & (F.col("page_id") % RECORDS_PER_FILE >= 900)
+    ours, theirs = (to_records(p, payload=False) for p in (pages, damaged.filter(F.coalesce(~lost, F.lit(True)))))
+    return audit(merkle_levels(ours), merkle_levels(theirs))

@@ -8,12 +8,15 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from recordscope.llm.minhash import _compare_blocks, minhash_dedup, shingle_sets, signatures
+from recordscope.llm.common import connected_components
+from recordscope.llm.minhash import _compare_blocks, drop_near_copies, minhash_dedup, shingle_sets, signatures
 from recordscope.llm.mixing import mix_sources
 from recordscope.llm.packing import hilbert_index, pack_along_curve
-from recordscope.llm.quality import learn_rules, quality_rules
+from recordscope.llm.quality import FEATURES, judge, learn_rules, measure, quality_rules, sample_labels, train_rules
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -25,7 +28,7 @@ def documents(spark, rows):
 
 
 def odd_rows():
-    texts = [None, "", " \t\n", "a", "a b c d", "A B C D", BASE, BASE.upper(), BASE + " extra", "x " * 3000, "straße ÉTÉ ok # * $\nline\nline\n", "<|endoftext|> plain \U0001f600"]
+    texts = [None, "", " \t\n", "a", "a b c d", "A B C D", BASE, BASE.upper(), BASE + " extra", "x " * 3000, "straße ÉTÉ ok # * $\nline\nline\n", "<|endoftext|> plain \U0001f600", "a <|endoftext|><|endoftext|>  b<|endoftext|", "word " * 40_000]
     rows = [(i, t, None if i % 3 else "en", None if i % 4 == 0 else f"s{i % 4}", i, "n", 1, 2, 3) for i, t in enumerate(texts)]
     return rows + [rows[6], rows[6], (None, BASE, None, None, None, None, None, None, None)]
 
@@ -125,16 +128,31 @@ def brute_measures(text):
 
 def test_quality_measures_and_held_labels(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
-    got = {r["doc_id"]: r for r in quality_rules(docs, labels).collect()}
-    truth = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    got = {r["doc_id"]: r for r in quality_rules(docs, labels.filter(~held)).collect()}
+    truth = {r["doc_id"]: r["quality"] for r in labels.filter(held).collect()}
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     for i, r in got.items():
         want = brute_measures(texts[i])
         assert tuple(r[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")) == want
         assert r["base_failed"] == (want[0] < 50 or 100 * want[4] > 50 * want[0])
+    # labels that the rules never saw
     ok = [i for i in truth if not got[i]["base_failed"]]
-    assert sum(got[i]["kept"] == (truth[i] == 1) for i in ok) >= 0.97 * len(ok)
-    assert sum(not got[i]["kept"] for i in ok if truth[i] == 1) <= 0.02 * len(ok)
+    assert len(ok) > 50
+    assert sum(got[i]["kept"] == (truth[i] == 1) for i in ok) >= 0.95 * len(ok)
+    assert sum(not got[i]["kept"] for i in ok if truth[i] == 1) <= 0.03 * len(ok)
+
+
+def test_verdict_follows_the_learned_list(spark):
+    """Each row's rule number equals a plain walk down the list over the same measures."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    measured = measure(docs).cache()
+    rules = train_rules(measured, sample_labels(labels))
+    assert rules
+    facts = [r.asDict() for r in judge(measured, rules).select("*", *[F.expr(v).cast("double").alias(k) for k, v in FEATURES.items()]).collect()]
+    for r in facts:
+        first = next((k for k, rule in enumerate(rules, 1) if all((r[t.feature] > t.cut) == t.above for t in rule)), 0)
+        assert r["rule"] == first and r["kept"] == (not r["base_failed"] and first == 0)
 
 
 def test_quality_odd_rows_and_no_labels(spark):
@@ -171,7 +189,6 @@ def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     table = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     docs = table.withColumn("doc_id", F.col("doc_id") + 1000).unionByName(documents(spark, odd_rows()).select("doc_id", "text"))
     rows = docs.collect()
@@ -197,11 +214,121 @@ def test_packing_round_trip(spark):
     assert pack_along_curve(documents(spark, [])).count() == 0
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(st.text(max_size=20), st.sampled_from(["<|endoftext|>", "<|endof", "text|>", " ", "\n\n", "don't", "42", "é"])), max_size=12))
+def test_ids_equal_the_named_tokenizer(parts):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from recordscope.llm.packing import default_vocabulary, encoder
+
+    text = "".join(parts)
+    plain = _TOKENIZER.setdefault(0, Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")))
+    assert encoder(default_vocabulary()).encode(text) == plain.encode(text, add_special_tokens=False).ids
+
+
+_TOKENIZER = {}
+
+
+def test_neighbours_along_the_curve_are_packed_together(spark):
+    """Of documents that share a sequence, far more share a language than chance would give; equal keys spread over partitions."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    lang = {r["doc_id"]: r["lang"] for r in docs.select("doc_id", "lang").collect()}
+    share = Counter(lang.values())
+    chance = sum((n / len(lang)) ** 2 for n in share.values())
+    by = defaultdict(list)
+    for p in pack_along_curve(docs).collect():
+        by[p["sequence_id"]].append((p["offset"], lang[p["doc_id"]]))
+    near = [a[1] == b[1] for v in by.values() for a, b in zip(sorted(v), sorted(v)[1:], strict=False)]
+    assert np.mean(near) > chance + 0.5 * (1 - chance)
+
+
+def test_packing_splits_equal_rows(spark, monkeypatch):
+    import recordscope.llm.packing as pk
+
+    monkeypatch.setattr(pk, "PART_BYTES", 2_000)
+    docs = spark.createDataFrame([(None, "same words in every row of this table")] * 2_000, "doc_id long, text string")
+    pieces = pk.pack_along_curve(docs)
+    assert pieces.groupBy("sequence_id").agg(F.sum("length").alias("n")).agg(F.max("n")).first()[0] <= 1024
+    assert pieces.agg(F.sum("length")).first()[0] == 2_000 * pieces.first()["doc_tokens"]
+    sequences = pieces.select("sequence_id").distinct().count()
+    # one partition would fill them to the last: 18
+    assert sequences > -(-2_000 * pieces.first()["doc_tokens"] // 1024)
+
+
+def planted_pairs(n):
+    """Pairs of texts with exactly 3/4 of their union of shingles in common: 60 shared ones, 10 of their own each."""
+    out = []
+    for i in range(n):
+        shared = [f"s{i}x{k}" for k in range(64)]
+        out.append((2 * i, " ".join(shared + [f"a{i}x{k}" for k in range(10)])))
+        out.append((2 * i + 1, " ".join(shared + [f"b{i}x{k}" for k in range(10)])))
+    return out
+
+
+def test_recall_at_the_threshold(spark):
+    """2,000 pairs at exactly 0.75: the chance to miss one is below 1e-6, so none may be missed."""
+    rows = planted_pairs(2_000)
+    a, b = shingles(rows[0][1]), shingles(rows[1][1])
+    assert 100 * len(a & b) == 75 * len(a | b)
+    got = {r["doc_id"]: r["component_id"] for r in minhash_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i] == i - i % 2 for i in got)
+
+
+def test_one_group_of_half_the_rows(spark, monkeypatch):
+    """A hot group of near copies: leaders join it, so blocks see what is outside its component only, and the result is exact."""
+    import recordscope.llm.minhash as m
+
+    monkeypatch.setattr(m, "HEAVY", 20)
+    monkeypatch.setattr(m, "BLOCK", 16)
+    rng = np.random.default_rng(4)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(150):
+        w = list(base)
+        for _ in range(int(rng.integers(0, 3))):
+            w[int(rng.integers(0, 200))] = f"x{i}"
+        rows.append((i, " ".join(w)))
+    rows += [(150 + i, " ".join(base[: 140 + i % 20] + [f"y{i}z{k}" for k in range(30)])) for i in range(60)]
+    rows += [(300 + i, " ".join(f"z{i}q{k}" for k in range(50))) for i in range(100)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in minhash_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_components(rows)
+
+
+def test_dropping_near_copies_keeps_rows_apart(spark):
+    """Shared ids with other texts both stay, null ids take part, of repeated rows one stays, rows without words all stay."""
+    rows = [(1, BASE, "a"), (1, "other words " * 9, "b"), (None, BASE, "c"), (None, "third text here " * 9, "d"), (2, BASE.upper(), "e"), (3, None, "f"), (3, None, "f"), (1, BASE, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, component_id string")
+    got = Counter((r["doc_id"], r["text"], r["component_id"]) for r in drop_near_copies(docs).collect())
+    assert got == Counter([rows[0], rows[1], rows[3], rows[5], rows[6]])
+    assert drop_near_copies(docs.limit(0)).count() == 0
+
+
+def test_components_of_a_path(spark):
+    """An ascending path, the worst case of a fixed order of labels."""
+    n = 300
+    got = connected_components(spark.range(n).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))).collect()
+    assert len(got) == n + 1 and len({r["component"] for r in got}) == 1
+
+
+def test_mix_spreads_null_and_equal_ids(spark, monkeypatch):
+    """One source whose rows all lack an id or repeat: no partition holds them all, reruns over other parts agree."""
+    import recordscope.llm.mixing as mx
+
+    monkeypatch.setattr(mx, "PART_ROWS", 100)
+    rows = [(None, f"w{i % 9} " * (1 + i % 5), "s") for i in range(600)] + [(7, "same words", "s")] * 400 + [(8, "other", "t")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    one, two = (sorted((r["doc_id"] or -1, r["text"], r["taken"]) for r in mix_sources(d, keep=("text",)).collect()) for d in (docs, docs.repartition(5)))
+    assert one == two and len(one) == len(rows)
+    taken, target = sum(x[2] for x in one if x[0] != 8), next(r["target"] for r in mix_sources(docs).filter("doc_id = 7").collect())
+    assert abs(taken / target - 1) < 0.02
+
+
 def test_compare_blocks_returns_a_forest():
     import pandas as pd
 
     sets = list(shingle_sets([BASE + f" tail{i}" for i in range(6)]))
     sig = signatures(sets).view(np.int32)
-    pdf = pd.DataFrame({"side": [0] * 6, "node": [bytes([i]) for i in range(6)], "sig": list(sig), "shingles": [s.view(np.int64) for s in sets]})
+    pdf = pd.DataFrame({"side": [0] * 6, "component": [bytes([i]) for i in range(6)], "sig": list(sig), "shingles": [s.view(np.int64) for s in sets]})
     links = {tuple(x) for c in range(3) for x in _compare_blocks((c,), pdf).to_numpy()}
     assert links and all(a != b for a, b in links) and max(len(_compare_blocks((c,), pdf)) for c in range(3)) <= 5

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import gzip
+import io
 import math
 from collections import Counter, defaultdict
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from recordscope.llm.embeddings import _count_links, near_vectors, passes_for
-from recordscope.llm.warc import audit, merkle_levels, parse_warc, read_warc, to_records
+from recordscope.llm.embeddings import near_vectors, passes_for
+from recordscope.llm.warc import NAMELESS, audit, merkle_levels, read_warc, stream_warc, to_records
 
 
 def vector_rows():
@@ -60,7 +61,6 @@ def test_dense_group_beyond_the_window(spark, monkeypatch):
     import recordscope.llm.embeddings as e
 
     monkeypatch.setattr(e, "ROWS", 32)
-    monkeypatch.setattr(e, "BLOCK", 16)
     rng = np.random.default_rng(2)
     centre = rng.standard_normal(16)
     rows = [(i, [float(x) for x in centre + 0.06 * rng.standard_normal(16)], 0) for i in range(120)] + [(200 + i, [float(x) for x in rng.standard_normal(16)], 0) for i in range(60)]
@@ -70,7 +70,6 @@ def test_dense_group_beyond_the_window(spark, monkeypatch):
 
 def test_passes_grow_with_rows():
     assert passes_for(10, 0.98) < passes_for(10_000, 0.98) < passes_for(10_000_000, 0.98)
-    assert _count_links is not None
 
 
 def dense_rows(n, seed=3):
@@ -142,11 +141,85 @@ def test_warc_files_round_trip(spark, tmp_path):
     for f in {r["file"] for r in rows}:
         data = b"".join(bytes(r["record"]) for r in rows if r["file"] == f)
         (tmp_path / (f"{f}.warc" if f else "0.warc.gz")).write_bytes(data if f else gzip.compress(data))
-        assert [(o, n) for o, n, _, _ in parse_warc(data)] == [(r["offset"], r["length"]) for r in rows if r["file"] == f]
+        assert [(o, n) for o, n, *_ in stream_warc(io.BytesIO(data))] == [(r["offset"], r["length"]) for r in rows if r["file"] == f]
     back = sorted((r["url"], bytes(r["payload"]).decode()) for r in read_warc(spark, str(tmp_path)).collect())
     assert back == sorted((u, h) for _, u, h, _, _ in PAGES)
 
 
+def test_damaged_warc_files_give_errors_not_failures(spark, tmp_path):
+    record = lambda target, body, length=None: b"WARC/1.0\r\nWARC-Target-URI: " + target + b"\r\nContent-Length: " + str(len(body) if length is None else length).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
+    good = record(b"http://a", b"one")
+    files = {
+        "cut.warc": good + record(b"http://b", b"two", 99),
+        "bare.warc": good + b"WARC/1.0\r\nWARC-Target-URI: x\r\n\r\nbody",
+        "odd.warc": record(b"http://\xff", b"\x00\xff") + good,
+        "noise.warc": b"not an archive",
+        "empty.warc": b"",
+        "pack.warc.gz": gzip.compress(good) + gzip.compress(record(b"http://c", b"three")),
+        "torn.warc.gz": gzip.compress(good + record(b"http://d", b"x" * 10_000))[:-40],
+    }
+    for name, data in files.items():
+        (tmp_path / name).write_bytes(data)
+    got = defaultdict(list)
+    for r in read_warc(spark, str(tmp_path)).orderBy("path", "record_no").collect():
+        got[r["path"].rpartition("/")[2]].append((r["url"], r["error"]))
+    assert got["cut.warc"] == [("http://a", None), (None, "payload ends early")]
+    assert got["bare.warc"] == [("http://a", None), (None, "no length")]
+    assert got["odd.warc"] == [("http://\ufffd", None), ("http://a", None)]
+    assert got["noise.warc"] == [(None, "no record begins here")] and "empty.warc" not in got
+    assert got["pack.warc.gz"] == [("http://a", None), ("http://c", None)]
+    assert got["torn.warc.gz"][-1][1].startswith("broken compression") and all(u == "http://a" for u, e in got["torn.warc.gz"] if e is None)
+
+
+def test_files_of_null_and_negative_ids(spark):
+    """Pages without an id are spread by content, negative ids have files of their own, large ids are divided exactly."""
+    rows = [(None, f"u{i}", "x", 1, "h") for i in range(300)] + [(i, "u", "x", 1, "h") for i in (-1, -20, -21, 0, 19, 20, 2**62 + 1)]
+    got = to_records(pages(spark, rows), 20, payload=False).collect()
+    named = Counter(r["file"] for r in got if r["file"] > NAMELESS + 5_000)
+    assert named == {-1: 2, -2: 1, 0: 2, 1: 1, (2**62 + 1) // 20: 1}
+    assert len({r["file"] for r in got}) - len(named) > 200
+    ours = to_records(pages(spark, rows), 20, payload=False)
+    assert audit(merkle_levels(ours, 3), merkle_levels(to_records(pages(spark, rows[5:]), 20), 3), 3).filter("status = 'missing'").count() == 5
+
+
+def odd_documents(spark):
+    """Nulls in every column, repeated rows, shared ids, empty and long texts, and columns whose names the stages use themselves."""
+    good = lambda k: " ".join(f"word{(i * 7 + k * 13) % 997}x{k}" for i in range(120))
+    secret = "token = 9f8e7d6c5b4a39281706f5e4d3c2b1a0"
+    rows = [(1, good(1), "en", "s1", 5), (1, good(2), "en", "s1", 5), (1, good(1), "en", "s1", 5), (None, f"{good(3)} {secret}", "en", "s2", 5), (None, good(4), None, None, None), (None, None, None, None, None)]
+    rows += [(5, "", "en", "s1", 0), (6, f"{good(3)} {secret}", "en", "s2", 5), (7, " ".join(good(k) for k in range(9, 60)), "de", "s3", 9), (8, f"{good(8)} {secret[:-1]}f", "en", "s2", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    clash = {c: F.lit("clash") for c in ("row", "spans", "found", "size", "rank", "copies", "component_id", "kept", "_row", "_k", "key", "ids", "part", "rule", "n_words")}
+    return docs.withColumns(clash), rows, secret
+
+
+def test_pipeline_stages_with_odd_rows(spark):
+    import corpus_pipeline as p
+
+    sf = "/root/testdata/sf0.001"
+    docs, rows, secret = odd_documents(spark)
+    stage = dict(p.STAGES)
+    good = [tuple(r) for r in stage["quality rules"](spark, docs, sf).collect()]
+    assert Counter(good) == Counter(r for r in rows if r[1] and len(r[1].split()) >= 50)
+    once = [tuple(r) for r in stage["near-dedup"](spark, docs, sf).collect()]
+    # the repeated row leaves one; of the null id and id 6, which share a text, the smallest id stays
+    assert Counter(once) == Counter([rows[0], rows[1], rows[4], rows[5], rows[6], rows[7], rows[8], rows[9]])
+    safe = stage["secret scans"](spark, docs, sf).collect()
+    assert len(safe) == len(rows) and not any("9f8e7d6c" in (r["text"] or "") for r in safe)
+    assert Counter((r["doc_id"], r["lang"], r["source"]) for r in safe) == Counter((r[0], r[2], r[3]) for r in rows)
+    assert all(r["n_chars"] == len(r["text"]) for r in safe if "[SECRET]" in (r["text"] or "")) and sum(r["text"] is None for r in safe) == 1
+    mixed = stage["source mix"](spark, docs, sf).collect()
+    assert max(Counter(tuple(r) for r in mixed).values()) <= 4 and {tuple(r) for r in mixed} <= set(rows)
+    words = lambda rs: sum(len((t or "").split()) for t in rs)
+    assert 0 < words(r["text"] for r in mixed) <= 2 * words(r[1] for r in rows)
+    packed = stage["packing"](spark, docs, sf)
+    assert packed.agg(F.sum(F.when(F.col("start") == 0, 1))).first()[0] == len(rows)
+    empty = docs.limit(0)
+    for name, f in p.STAGES:
+        out = f(spark, empty, sf)
+        assert out.count() == 0 and (name == "packing" or out.columns == p.COLUMNS)
+
+
 def test_pipeline_matches_brute_force(spark):
     """Each stage on its own input: rejections, one of each component, masks, copies and all ids packed."""
     import corpus_pipeline as p
@@ -173,9 +246,9 @@ def test_pipeline_matches_brute_force(spark):
     for r in once:
         for k, s, e in brute_secrets(r["text"]):
             if k != "assign":
-                holders[r["text"][s:e]].add(r["source"])
+                holders[r["text"][s:e]].add((r["source"], r["lang"]))
     assert len(masked) == len(once)
-    gone = {v for v, o in holders.items() if len(o) <= 2 and len(set(v)) >= 8}
+    gone = {v for v, o in holders.items() if len({x for x, _ in o}) <= 2 and len(o) <= 6 and len(set(v)) >= 8}
     assert gone and not any(v in r["text"] for r in masked for v in gone)
     assert all(r["text"] == before[r["doc_id"]]["text"] for r in masked if not brute_secrets(before[r["doc_id"]]["text"]))
     times = Counter(r["doc_id"] for r in mixed)
