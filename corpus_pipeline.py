@@ -10,44 +10,59 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordscope.llm.common import durable
-from recordscope.llm.minhash import minhash_dedup
+from recordscope.llm.minhash import drop_near_copies
 from recordscope.llm.mixing import mix_sources
 from recordscope.llm.packing import pack_along_curve
 from recordscope.llm.quality import drop_rejected
-from recordscope.llm.secrets import find_secrets, redact
+from recordscope.llm.secrets import mask_secrets
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the learned rules and the base limits keep."""
+    """Rows that the base limits and the learned rules keep.
+
+    Null, empty and short texts fail the base. Every row is judged by its own text, whatever its id: repeated and null ids are
+    kept or dropped row by row. An empty table gives none; columns beside those of ``documents`` are left out.
+    """
     return drop_rejected(docs.select(COLUMNS), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each near-duplicate component, once; rows without an id stay as they are."""
-    kept = minhash_dedup(docs).filter("kept").select("doc_id").distinct()
-    once = docs.select(COLUMNS).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(docs.select(COLUMNS).filter("doc_id is null"))
+    """One row of each near-duplicate component: that of the smallest id, null ids last.
+
+    Rows are told apart by place: of repeated rows one stays, rows that share an id but not a text both stay, and rows with a
+    null id take part like others. Rows without words (null and empty texts) are linked with nothing and all stay. An empty
+    table gives none; other columns are left out.
+    """
+    return drop_near_copies(docs.select(COLUMNS))
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their live secrets masked; copied examples stay."""
-    live = find_secrets(docs).select("doc_id", F.filter("spans", lambda s: s["live"]).alias("spans")).filter((F.size("spans") > 0) & F.col("doc_id").isNotNull())
-    marked = docs.select(COLUMNS).join(live, "doc_id", "left")
-    text = F.when(F.col("spans").isNotNull(), redact(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
-    n_chars = F.when(F.col("spans").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return marked.withColumn("text", text).withColumn("n_chars", n_chars).select(COLUMNS)
+    """All rows, live secrets masked and ``n_chars`` counted anew there; copied examples stay.
+
+    Each row is masked by its own spans, so null and repeated ids are as safe as others. Null texts stay null. An empty table
+    gives none; other columns are left out.
+    """
+    return mask_secrets(docs.select(COLUMNS))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    mixed = mix_sources(docs, keep=("text", "lang", "source", "n_chars")).filter("copies > 0")
+    """Each row as often as the mix takes it.
+
+    A null source is a source of its own. Null ids and repeated rows are taken row by row; rows without words count 0 words but
+    are repeated at their source's rate. An empty table gives none; other columns are left out.
+    """
+    mixed = mix_sources(docs.select(COLUMNS), keep=("text", "lang", "n_chars", "source")).filter("copies > 0")
     return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(COLUMNS)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of at most 1024 ids."""
+    """Pieces of sequences of at most 1024 ids.
+
+    A row without text is its end id alone. Repeated rows are packed as often as they come, null ids stay null. An empty table
+    gives none; other columns are ignored.
+    """
     return pack_along_curve(docs)
 
 
