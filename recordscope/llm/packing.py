@@ -30,7 +30,7 @@ DIMS = 4
 BITS = 10
 END_ID = 0
 #: Bytes of token ids that a partition should hold.
-PART_BYTES = 64 << 20
+PART_BYTES = 16 << 20
 
 
 class Encoder:
