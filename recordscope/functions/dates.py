@@ -27,9 +27,11 @@ def split_period(c: Column) -> Column:
     )
 
 
-def month_label(c: Column) -> Column:
-    """'Jul-26' -> '2026-07'."""
-    return F.date_format(F.try_to_date(c, "MMM-yy"), "yyyy-MM")
+def month_label(c: Column, first_year: int = 2000) -> Column:
+    """'Jul-26' -> '2026-07'; two-digit years lie in the hundred years from ``first_year`` on."""
+    d = F.try_to_date(c, "MMM-yy")
+    year = F.lit(first_year) + F.pmod(F.year(d) - first_year, F.lit(100))
+    return F.concat(F.format_string("%04d-", year), F.date_format(d, "MM"))
 
 
 def make_date_or_null(year: Column, month: Column, day: Column) -> Column:

@@ -36,7 +36,7 @@ CAUSES = (
 )
 BENGALI_DIGITS = "০১২৩৪৫৬৭৮৯"
 PLACE_SUFFIXES = r"(?i)\s*(জেলা|উপজেলা|থানা|সিটি কর্পোরেশন|district|upazila|thana|city corporation)\s*$"
-#: Spellings of one sound, replaced in this order when a name is reduced to its consonants.
+# Spellings of one sound, replaced in this order when a name is reduced to its consonants.
 SOUNDS = (
     ("ksh|kkh", "k"), ("chh|ch", "c"), ("sh|ss", "s"), ("kh", "k"), ("gh", "g"), ("jh", "j"), ("th", "t"), ("dh", "d"),
     ("ph", "f"), ("bh", "b"), ("zh", "j"), ("ng|nk", "n"), ("ee|ii", "i"), ("oo|uu", "u"),
@@ -175,8 +175,8 @@ def repaired_count(c: Column) -> Column:
     ones = F.translate(s, "Il|", "111")
     out = lambda value, note: F.struct(value.cast("long").alias("value"), note.cast("string").alias("note"))
     none = F.lit(None)
-    read = lambda to: F.concat(F.lit("read '"), s, F.lit("' as "), to)
-    refuse = F.concat(F.lit("negative count '"), s, F.lit("' rejected"))
+    read = lambda to: F.concat(F.lit("scan "), s, F.lit(" counts as "), to)
+    refuse = F.concat(F.lit("no count below zero: "), s)
     return (
         F.when(s.isNull() | F.lower(s).isin("", "nan", "none"), out(none, none))
         .when(s.rlike("^[Il|]+$"), out(ones.try_cast("long"), read(ones)))

@@ -59,12 +59,21 @@ def extract_fields(df: DataFrame, text: str, patterns: Mapping[str, str | Sequen
     return df.withColumns({name: first(ps) for name, ps in patterns.items()})
 
 
-def label_by_following_total(df: DataFrame, doc: str, pos: str, label: str, pattern: str = r"^(.*\S)\s+Area Total$", grand: str = r"(?i)^grand total") -> DataFrame:
-    """Adds ``zone``: the name in the next subtotal line at or after a row; a grand total line ends the block before it."""
-    block = F.sum(F.when(F.col(label).rlike(grand), 1).otherwise(0)).over(Window.partitionBy(doc).orderBy(pos).rowsBetween(Window.unboundedPreceding, -1))
-    rows = df.withColumn("_b", F.coalesce(block, F.lit(0)))
-    w = Window.partitionBy(doc, "_b").orderBy(pos).rowsBetween(0, Window.unboundedFollowing)
-    return rows.withColumn("zone", F.first(F.nullif(F.regexp_extract(label, pattern, 1), F.lit("")), ignorenulls=True).over(w)).drop("_b")
+def label_by_following_total(df: DataFrame, doc: str, pos: str, label: str, pattern: str = r"^(.*\S)\s+Area Total$", grand: str = r"(?i)^grand total", block: int = 10_000) -> DataFrame:
+    """Adds ``zone``: the name in the next subtotal line at or after a row; a grand total line ends the search before it.
+
+    A document is cut into blocks of positions: rows look ahead inside their block, and take what the next block with a total
+    begins with otherwise, so a very long document is no single window.
+    """
+    zone = F.nullif(F.regexp_extract(label, pattern, 1), F.lit(""))
+    event = F.when(zone.isNotNull() | F.col(label).rlike(grand), F.struct(zone.alias("zone")))
+    rows = df.withColumn("_e", event).withColumn("_b", F.floor(F.col(pos) / block))
+    inside = Window.partitionBy(doc, "_b").orderBy(pos).rowsBetween(0, Window.unboundedFollowing)
+    heads = rows.groupBy(doc, "_b").agg(F.min_by("_e", F.when(F.col("_e").isNotNull(), F.col(pos))).alias("_h"))
+    later = Window.partitionBy(doc).orderBy("_b").rowsBetween(1, Window.unboundedFollowing)
+    carried = heads.select(doc, "_b", F.first("_h", ignorenulls=True).over(later).alias("_n"))
+    found = rows.withColumn("_f", F.first("_e", ignorenulls=True).over(inside)).join(carried, [doc, "_b"])
+    return found.select(*df.columns, F.coalesce("_f", "_n")["zone"].alias("zone"))
 
 
 def unpack_groups(df: DataFrame, cells: str, names: Sequence[str]) -> DataFrame:
@@ -170,3 +179,29 @@ def owner_table(df: DataFrame, html: str) -> DataFrame:
     cells = F.transform(rows, lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), F.lit(1)), cell_text))
     four = F.filter(cells, lambda c: F.size(c) >= 4)
     return df.withColumn("owners", F.transform(four, lambda c: F.struct(c[0].alias("name"), c[1].alias("designation"), c[2].alias("ownership_pct"), c[3].alias("country"))))
+
+
+#: Labels of an award's detail page, as patterns: field -> label of the cell before the value.
+DETAIL_LABELS = {
+    "tenderer_id": r"Tenderer ID of the Economic Operator[^:<]*",
+    "business_address": r"Business Address of the Economic Operator",
+    "budget_source": r"Budget and Source of Funds",
+    "development_partner": r"Development Partner[^:<]*",
+    "project_code": r"Project/Program Code[^:<]*",
+    "project_name": r"Project/Program Name[^:<]*",
+    "delivery_location": r"Location of Delivery/Works/Service Delivery",
+}
+
+
+def award_details(df: DataFrame, html: str, labels: Mapping[str, str] = DETAIL_LABELS, block: tuple[str, str] = ("Beneficial Ownership Information", "Business Address")) -> DataFrame:
+    """Adds the labelled fields of a detail page (null where a label is missing) and ``beneficial_owners`` (name, designation, ownership_pct, country).
+
+    Owners are the numbered rows of five cells between the two headings; rows without a name are left out.
+    """
+    value = lambda label: F.nullif(cell_text(F.regexp_extract(html, rf"(?s){label}:\s*</td>\s*<td[^>]*>([^<]*)", 1)), F.lit(""))
+    part = F.regexp_extract(html, rf"(?s){block[0]}(.*?){block[1]}", 1)
+    rows = F.regexp_extract_all(part, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
+    cells = F.transform(rows, lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), F.lit(1)), cell_text))
+    owners = F.filter(cells, lambda c: (F.size(c) >= 5) & F.get(c, F.lit(0)).rlike("^[0-9]+$") & ~F.lower(F.get(c, F.lit(1))).isin("", "name"))
+    told = lambda c: F.struct(c[1].alias("name"), c[2].alias("designation"), F.nullif(c[3], F.lit("")).alias("ownership_pct"), c[4].alias("country"))
+    return df.withColumns({name: value(label) for name, label in labels.items()}).withColumn("beneficial_owners", F.transform(owners, told))

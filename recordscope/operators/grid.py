@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordscope.functions.dates import day_of_365
-from recordscope.operators.stats import quantile
+from recordscope.operators.stats import quantile, quantiles, rounded
 
 
 def quarantine(df: DataFrame, limits: Mapping[str, float], key: str) -> tuple[DataFrame, DataFrame]:
@@ -34,8 +34,8 @@ def monthly(day: DataFrame) -> DataFrame:
     m = day.withColumn("month", F.date_format("date", "yyyy-MM"))
     peak = F.when(F.col("peak_demand") != 0, F.col("peak_demand"))
     main = m.groupBy("month").agg(
-        F.count("*").alias("days"), F.count("energy_shed").alias("reported_days"), F.max(peak).alias("peak_demand"), F.round(F.avg(peak), 2).alias("mean_peak_demand"), F.max("max_loadshed").alias("max_loadshed"),
-        F.round(F.sum("energy_shed"), 2).alias("energy_shed"), F.round(F.sum("hours_shed") / F.count("*"), 4).alias("mean_hours_shed"),
+        F.count("*").alias("days"), F.count("energy_shed").alias("reported_days"), F.max(peak).alias("peak_demand"), rounded(F.avg(peak), 2).alias("mean_peak_demand"), F.max("max_loadshed").alias("max_loadshed"),
+        rounded(F.sum("energy_shed"), 2).alias("energy_shed"), rounded(F.sum("hours_shed") / F.count("*"), 4).alias("mean_hours_shed"),
     )
     p95 = quantile(m, ["month"], "max_loadshed", 0.95, "floor", "p95_loadshed")
     mid = quantile(m, ["month"], "energy_shed", 0.5, "floor", "median_energy_shed")
@@ -85,12 +85,23 @@ def fuel_mix(report: DataFrame, nested: str = "zone_fuel") -> DataFrame:
     return per.withColumn("_t", total).filter("_t > 0").select("date", "fuel", F.round("energy", 4).alias("energy"), F.round(F.col("energy") / F.col("_t"), 6).alias("share"))
 
 
-def fuel_monthly(mix: DataFrame, groups: Mapping[str, str]) -> DataFrame:
-    """Fuel groups per month as a daily average over the days with a mix."""
+def fuel_monthly(mix: DataFrame, groups: Mapping[str, str], costs: DataFrame | None = None) -> DataFrame:
+    """Fuel groups per month as a daily average over the days with a mix; with ``costs`` (date, unit_cost) also the mean over priced days."""
     named = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in groups.items() for x in kv]), F.col("fuel")), F.lit("other"))
     m = mix.withColumn("month", F.date_format("date", "yyyy-MM"))
     days = m.groupBy("month").agg(F.count_distinct("date").alias("days"))
-    return m.groupBy("month", named.alias("group")).agg(F.sum("energy").alias("e")).join(days, "month").select("month", "group", "days", F.round(F.col("e") / F.col("days"), 4).alias("daily"))
+    out = m.groupBy("month", named.alias("group")).agg(F.sum("energy").alias("e")).join(days, "month").select("month", "group", "days", F.round(F.col("e") / F.col("days"), 4).alias("daily"))
+    if costs is None:
+        return out
+    priced = costs.filter("unit_cost > 0").join(mix.select("date").distinct(), "date", "left_semi").groupBy(F.date_format("date", "yyyy-MM").alias("month"))
+    return out.join(priced.agg(rounded(F.avg("unit_cost"), 3).alias("unit_cost"), F.count("*").alias("priced_days")), "month", "left").withColumn("priced_days", F.coalesce("priced_days", F.lit(0)))
+
+
+def shortfall_causes(day: DataFrame, causes: Sequence[str]) -> DataFrame:
+    """(date, causes, total): stated shortfalls by cause, nulls as 0, of the days that state any."""
+    said = F.size(F.array_compact(F.array(*causes))) > 0
+    some = day.filter(said).select("date", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in causes])
+    return some.withColumn("total", sum((F.col(c) for c in causes), F.lit(0.0)))
 
 
 def same_month_change(day: DataFrame, value: str, by: Sequence[str] = (), least: int = 1) -> DataFrame:
@@ -151,9 +162,12 @@ def identity_rate(df: DataFrame, left: Column, right: Column, tolerance: float)
 def identity_factor(df: DataFrame, within: float = 0.002, least: int = 24) -> DataFrame:
     """(demand - supply) / shed where load was shed: per month with ``least`` hours and overall, its median and how often it is near that."""
     rows = df.filter("loadshed > 0 and demand is not null and supply is not null").select(F.date_format("datetime", "yyyy-MM").alias("month"), ((F.col("demand") - F.col("supply")) / F.col("loadshed")).alias("factor"))
-    mid = rows.agg(F.median("factor").alias("m"))
-    out = rows.crossJoin(F.broadcast(mid)).rollup("month").agg(F.count("*").alias("n"), F.round(F.median("factor"), 6).alias("median"), F.round(F.count_if(F.abs(F.col("factor") - F.col("m")) <= within) / F.count("*"), 6).alias("near"))
-    return out.filter(F.col("month").isNull() | (F.col("n") >= least))
+    mid = quantile(rows, [], "factor", 0.5, "interpolated", "m")
+    near = F.round(F.count_if(F.abs(F.col("factor") - F.col("m")) <= within) / F.count("*"), 6).alias("near")
+    counts = rows.crossJoin(F.broadcast(mid)).rollup("month").agg(F.count("*").alias("n"), near)
+    per = quantile(rows, ["month"], "factor", 0.5, "interpolated", "_q")
+    out = counts.join(per, "month", "left").crossJoin(F.broadcast(mid)).withColumn("median", F.round(F.coalesce("_q", "m"), 6))
+    return out.filter(F.col("month").isNull() | (F.col("n") >= least)).select("month", "n", "median", "near")
 
 
 def zero_against(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -238,6 +252,25 @@ def profile_features(profile: DataFrame, values: Sequence[str]) -> DataFrame:
     return out.select("value", "swing", "peak_slot", "trough_slot", F.round(F.try_divide("swing", F.sum("swing").over(Window.partitionBy())), 6).alias("share"))
 
 
+def shape_features(half: DataFrame, fuels: Sequence[str], oils: Sequence[str], shortage: str) -> DataFrame:
+    """One row from half-hour readings (slot, fuels, shortage): when the day peaks and dips, the oils' peak and share of the swing, and
+    the slot of worst shortage by median and by mean; earlier slots win ties.
+
+    Slots are summarised first (means of the fuels, median and mean of the shortage), so the last step sees one row a slot.
+    """
+    mean = half.groupBy("slot").agg(*[rounded(F.avg(f), 2).alias(f) for f in fuels], rounded(F.avg(shortage), 2).alias("_mean"))
+    slots = mean.join(quantile(half, ["slot"], shortage, 0.5, "interpolated", "_median"), "slot").withColumn("_median", rounded(F.col("_median"), 2))
+    add = lambda names: sum((F.coalesce(n, F.lit(0.0)) for n in names), F.lit(0.0))
+    slots = slots.withColumn("_all", add(fuels)).withColumn("_oil", add(oils))
+    most = lambda what, by: F.max_by(what, F.when(F.col(by).isNotNull(), F.struct(F.col(by), -F.col("slot"))))
+    swing = lambda c: F.max(c) - F.min(c)
+    return slots.agg(
+        most("slot", "_all").alias("peak_slot"), F.min_by("slot", F.struct("_all", "slot")).alias("trough_slot"), most("slot", "_oil").alias("oil_peak_slot"), rounded(F.max("_oil"), 1).alias("oil_peak"),
+        rounded(F.max("_oil") - F.min_by("_oil", F.struct("_all", "slot")), 1).alias("oil_swing"), rounded(100 * F.try_divide(rounded(swing("_oil"), 1), rounded(swing("_all"), 1)), 1).alias("oil_share_of_swing"),
+        most("slot", "_median").alias("shortage_slot"), F.max("_median").alias("shortage"), most("slot", "_mean").alias("shortage_mean_slot"), F.max("_mean").alias("shortage_mean"),
+    )
+
+
 def like_for_like(day: DataFrame, value: str, span: int = 30, back: Sequence[int] = (0, 1, 2, 3, 4), unit: int = 12, least: int = 1) -> DataFrame:
     """Mean over the last ``span`` days and the same days in earlier periods of ``unit`` months: (back, days, mean)."""
     newest = day.filter(F.col(value).isNotNull()).agg(F.max("date").alias("_d"))
@@ -274,11 +307,33 @@ def same_hour_context(hourly: DataFrame, value: str, last: int = 90) -> DataFram
     w = Window.partitionBy("hour").orderBy(F.col("datetime").desc())
     rows = hourly.filter(F.col(value).isNotNull()).withColumn("k", F.row_number().over(w)).filter(F.col("k") <= last)
     out = rows.groupBy("hour").agg(F.count("*").alias("n"), F.max(F.when(F.col("k") == 1, F.col(value))).alias("latest"))
-    for name, q in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75)):
-        out = out.join(quantile(rows, ["hour"], value, q, "floor", name), "hour")
+    cuts = quantiles(rows, ["hour"], value, [0.25, 0.5, 0.75], "floor").groupBy("hour").agg(*[F.max(F.when(F.col("q") == q, F.col("quantile"))).alias(name) for name, q in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75))])
+    return out.join(cuts, "hour")
+
+
+def people_equivalent(hourly: DataFrame, shed: str = "loadshed", kwh_a_day: float = 560 / 365) -> DataFrame:
+    """(date, shed, people): the people whose daily use equals a day's shed energy; hours without a value count 0."""
+    day = hourly.groupBy("date").agg(F.sum(F.coalesce(shed, F.lit(0.0))).alias("shed"))
+    return day.select("date", rounded(F.col("shed"), 2).alias("shed"), F.floor(F.col("shed") * 1000 / F.lit(kwh_a_day) + 1e-6).alias("people"))
+
+
+def cost_monthly(costs: DataFrame) -> DataFrame:
+    """(month, days, cost, unit_cost, first, last): daily averages of total cost and unit cost of days with cost and energy.
+
+    ``costs`` is (date, cost, energy, stated); a day without a stated unit cost takes cost over energy.
+    """
+    day = costs.filter("cost > 0 and energy > 0").withColumn("u", F.coalesce(F.when(F.col("stated") > 0, F.col("stated")), rounded(F.col("cost") / F.col("energy"), 3)))
+    out = day.groupBy(F.date_format("date", "yyyy-MM").alias("month")).agg(F.count("*").alias("days"), rounded(F.avg("cost"), 1).alias("cost"), rounded(F.avg("u"), 3).alias("unit_cost"), F.min("date").alias("first"), F.max("date").alias("last"))
     return out
 
 
+def cost_coverage(costs: DataFrame) -> DataFrame:
+    """One row: days with cost and energy, the first and last of them, and the last one's cost and blended unit cost."""
+    day = costs.filter("cost > 0 and energy > 0")
+    newest = F.max(F.struct("date", "cost", "energy"))
+    return day.agg(F.count("*").alias("days"), F.min("date").alias("first"), F.max("date").alias("last"), rounded(newest["cost"], 1).alias("cost"), rounded(newest["cost"] / newest["energy"], 3).alias("unit_cost"))
+
+
 def recent_mean(df: DataFrame, by: str, value: str, last: int = 30, date: str = "date") -> DataFrame:
     """Mean of the last ``last`` rows with a value, per group."""
     w = Window.partitionBy(by).orderBy(F.col(date).desc())

@@ -15,19 +15,37 @@ RING = "array<struct<lon:double,lat:double>>"
 def token_match(left: DataFrame, right: DataFrame, name: str, other: str, stop: Sequence[str] = (), least: float = 0.34, place: str | None = None, bonus: float = 0.15) -> DataFrame:
     """Each left row with its best right row by Jaccard overlap of name tokens: (left columns, other, score).
 
-    Candidates share a token, so both sides meet by an equality on tokens and no pair without one is formed. ``place``, a
-    column of both sides, adds ``bonus`` where it agrees. Ties go to the smaller name.
+    Distinct names are matched, then rows take their name's match, so repeated rows all come out. With tokens ordered by rarity,
+    two names of a high enough overlap share a token among the first few of both; only these meet, by an equality on tokens, so
+    common words form no pairs. ``place``, a column of both sides, adds ``bonus`` where it agrees. Ties go to the smaller name.
     """
-    a = left.withColumn("_id", F.monotonically_increasing_id()) if "_id" not in left.columns else left
-    a = a.withColumn("_t", name_tokens(F.col(name), stop))
-    b = right.select(F.col(other).alias("_o"), name_tokens(F.col(other), stop).alias("_u"), *([F.col(place).alias("_p")] if place else [])).distinct()
-    pairs = a.withColumn("_w", F.explode("_t")).join(b.withColumn("_w", F.explode("_u")), "_w").drop("_w").dropDuplicates([*left.columns, "_o"])
+    needed = max(0.0, least - (bonus if place else 0.0)) - 1e-6
+    a = left.select(F.col(name).alias("_n")).distinct().withColumn("_t", name_tokens(F.col("_n"), stop))
+    b = right.select(F.col(other).alias("_o")).distinct().withColumn("_u", name_tokens(F.col("_o"), stop))
+    often = b.select(F.explode("_u").alias("_w")).groupBy("_w").agg(F.count("*").alias("_df"))
+
+    def first_tokens(df: DataFrame, key: str, tokens: str) -> DataFrame:
+        size = F.size(tokens)
+        each = df.select(key, size.alias("_size"), F.explode(tokens).alias("_w")).join(often, "_w", "left")
+        order = F.row_number().over(Window.partitionBy(key).orderBy(F.coalesce("_df", F.lit(0)), "_w"))
+        room = F.col("_size") - F.ceil(F.col("_size") * F.lit(max(needed, 0.0))) + 1
+        return each.withColumn("_k", order).filter((F.col("_k") <= room) & F.col("_df").isNotNull()).select(key, "_size", "_w")
+
+    pa, pb = first_tokens(a, "_n", "_t"), first_tokens(b, "_o", "_u").withColumnRenamed("_size", "_other")
+    fits = F.least("_size", "_other") >= F.lit(max(needed, 0.0)) * F.greatest("_size", "_other")
+    met = pa.join(pb, "_w").filter(fits).select("_n", "_o").distinct().join(a, "_n").join(b, "_o")
     score = F.size(F.array_intersect("_t", "_u")) / F.size(F.array_union("_t", "_u"))
+    pairs = met.select("_n", "_o", score.alias("_j")).filter(F.col("_j") >= needed)
+    key = ["_n", *(["_p"] if place else [])]
     if place:
-        score = score + F.when(F.col("_p") == F.col(place), bonus).otherwise(0.0)
-    best = pairs.withColumn("score", F.round(score, 6)).filter(F.col("score") >= least)
-    k = F.row_number().over(Window.partitionBy(*left.columns).orderBy(F.col("score").desc(), "_o"))
-    return best.withColumn("_k", k).filter("_k = 1").select(*left.columns, F.col("_o").alias(other), "score")
+        rows = left.select(F.col(name).alias("_n"), F.col(place).alias("_p")).distinct()
+        pairs = pairs.join(rows, "_n").join(right.select(F.col(other).alias("_o"), F.col(place).alias("_q")).distinct(), "_o")
+        pairs = pairs.withColumn("_j", F.col("_j") + F.when(F.col("_p") == F.col("_q"), bonus).otherwise(0.0))
+    scored = pairs.withColumn("score", F.round("_j", 6)).filter(F.col("score") >= least)
+    best = scored.groupBy(*key).agg(F.max("score").alias("score"), F.min_by("_o", F.struct(-F.col("score"), F.col("_o"))).alias("_o"))
+    same = F.col(name) == F.col("_n")
+    same = same & F.col(place).eqNullSafe(F.col("_p")) if place else same
+    return left.join(best, same).select(*left.columns, F.col("_o").alias(other), "score")
 
 
 def tiered(df: DataFrame, tiers: Sequence[tuple[str, DataFrame]], key: Sequence[str], value: str) -> DataFrame:
@@ -99,10 +117,16 @@ def point_in_polygon(points: DataFrame, polygons: DataFrame, cell: float = 1.0)
 
 
 def nearest_centre(words: DataFrame, centres: DataFrame, key: Sequence[str], x: str, centre: str, within: float) -> DataFrame:
-    """Words with the nearest centre of their page inside the tolerance, the smaller on a tie; others are left out."""
-    near = words.join(centres, list(key)).withColumn("gap", F.abs(F.col(centre) - F.col(x))).filter(F.col("gap") <= within)
-    k = F.row_number().over(Window.partitionBy(*words.columns).orderBy("gap", centre))
-    return near.withColumn("_k", k).filter("_k = 1").drop("_k")
+    """Words with the nearest centre of their page inside the tolerance, the smaller on a tie; others are left out.
+
+    A page's centres, which are few, travel as one array, so every word row comes out once, repeated ones too.
+    """
+    own = [centre, *[c for c in centres.columns if c not in (*key, centre)]]
+    listed = centres.groupBy(*key).agg(F.collect_list(F.struct(*own)).alias("_c"))
+    gaps = F.transform("_c", lambda c: F.struct(F.abs(c[centre] - F.col(x)).alias("gap"), *[c[name].alias(name) for name in own]))
+    near = words.join(listed, list(key)).withColumn("_b", F.array_min(F.filter(gaps, lambda g: g["gap"] <= within)))
+    rest = [c for c in words.columns if c not in key]
+    return near.filter("_b is not null").select(*key, *rest, *[F.col(f"_b.{name}").alias(name) for name in own], F.col("_b.gap").alias("gap"))
 
 
 def resolve_places(queries: DataFrame, gazetteer: DataFrame, q: str = "q", aliases: DataFrame | None = None) -> DataFrame:
@@ -129,12 +153,19 @@ def resolve_places(queries: DataFrame, gazetteer: DataFrame, q: str = "q", alias
 
 
 def same_name(df: DataFrame, other: DataFrame, name: str = "name", district: str = "district") -> DataFrame:
-    """Rows with the record of another kind that has the same cleaned name, one of the same district first: adds match, same_district."""
+    """Rows with the record of another kind that has the same cleaned name, one of the same district first: adds match, same_district.
+
+    The best record is found once for each (name, district) that occurs, then rows take it, repeated ones too.
+    """
     key = lambda c: F.regexp_replace(F.lower(F.col(c)), "[^a-z0-9]", "")
-    b = other.select(key(name).alias("_k"), F.col(name).alias("match"), F.col(district).alias("_d"))
-    pairs = df.withColumn("_k", key(name)).join(b, "_k").withColumn("same_district", F.col("_d") == F.col(district))
-    k = F.row_number().over(Window.partitionBy(*df.columns).orderBy(F.col("same_district").desc(), "match", "_d"))
-    return pairs.withColumn("_r", k).filter("_r = 1").drop("_k", "_d", "_r")
+    b = other.select(key(name).alias("_k"), F.col(name).alias("match"), F.col(district).alias("_d")).distinct()
+    rows = df.withColumn("_k", key(name))
+    asked = rows.select("_k", F.col(district).alias("_a")).distinct()
+    met = asked.join(b, "_k").withColumn("same_district", F.col("_d") == F.col("_a"))
+    order = F.struct((~F.coalesce("same_district", F.lit(False))).alias("away"), F.col("same_district").isNull().alias("unknown"), F.col("match"), F.col("_d"))
+    best = met.groupBy("_k", "_a").agg(F.min_by(F.struct("match", "same_district"), order).alias("_m"))
+    same = (rows["_k"] == best["_k"]) & rows[district].eqNullSafe(best["_a"])
+    return rows.join(best, same).select(*[rows[c] for c in df.columns], F.col("_m.match").alias("match"), F.col("_m.same_district").alias("same_district"))
 
 
 def gazetteer(points: DataFrame, polygons: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordscope.functions.text import address_tail, company_key, has_tokens, owner_key, reference_key
+from recordscope.functions.text import address_tail, company_key, has_tokens, owner_key, reference_key, scope, severity, tags
+from recordscope.sources.io import durable
 
 UNKNOWN = "Unknown"
 # How open a procurement method is.
@@ -66,13 +67,16 @@ def top_entities(df: DataFrame, name: str, value: str, top: int) -> DataFrame:
 def vendor_profile(df: DataFrame) -> DataFrame:
     """Per vendor key: modal name, count, value, distinct entities and ministries, active years, top entity and its share.
 
-    Aggregates by (vendor, entity) first; ties go to the smaller name.
+    Rows are added up once by printed name, entity, ministry and year, which repeat a lot; keys are made from the names that are
+    left, and all figures come from that small table. Ties go to the smaller name.
     """
-    named = df.withColumn("vendor", company_key(F.col("awarded_to"))).filter("vendor <> ''")
-    best = lambda keys, out: named.groupBy("vendor", *keys).agg(F.count("*").alias("_n")).groupBy("vendor").agg(F.min_by(keys[0], F.struct(-F.col("_n"), F.col(keys[0]))).alias(out), F.max("_n").alias(f"_{out}"))
-    main = named.groupBy("vendor").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("value"), F.count_distinct("entity").alias("n_entities"), F.count_distinct("ministry").alias("n_ministries"), F.array_sort(F.collect_set(F.year("signed"))).alias("years"))
-    out = main.join(best(["awarded_to"], "name"), "vendor").join(best(["entity"], "top_entity"), "vendor")
-    return out.select("vendor", "name", "n", "value", "n_entities", "n_ministries", F.size("years").alias("n_years"), "top_entity", F.round(F.col("_top_entity") / F.col("n"), 3).alias("top_share"))
+    small = durable(df.groupBy("awarded_to", "entity", "ministry", F.year("signed").alias("year")).agg(F.count("*").alias("c"), F.sum("value").alias("v")))
+    named = small.withColumn("vendor", company_key(F.col("awarded_to"))).filter("vendor <> ''")
+    best = lambda key, out: named.groupBy("vendor", key).agg(F.sum("c").alias("_n")).groupBy("vendor").agg(F.min_by(key, F.struct(-F.col("_n"), F.col(key))).alias(out), F.max("_n").alias(f"_{out}"))
+    sets = [F.count_distinct(c).alias(name) for c, name in (("entity", "n_entities"), ("ministry", "n_ministries"))]
+    main = named.groupBy("vendor").agg(F.sum("c").alias("n"), F.round(F.sum("v"), 2).alias("value"), *sets, F.size(F.collect_set("year")).alias("n_years"))
+    out = main.join(best("awarded_to", "name"), "vendor").join(best("entity", "top_entity"), "vendor")
+    return out.select("vendor", "name", "n", "value", "n_entities", "n_ministries", "n_years", "top_entity", F.round(F.col("_top_entity") / F.col("n"), 3).alias("top_share"))
 
 
 def vendor_lists(profiles: DataFrame, top: int = 40, least: int = 5, share: float = 0.8) -> DataFrame:
@@ -122,12 +126,16 @@ def month_rush(df: DataFrame, month: int = 6, least: int = 500, partial_from: st
     return out.filter(F.col("n") >= least).select("year", "n", F.round(F.try_divide(F.coalesce("m", F.lit(0.0)), "v"), 6).alias("share"), partial.alias("partial"))
 
 
-def office_concentration(df: DataFrame, least_n: int = 50, least_value: float = 5e8) -> DataFrame:
-    """Per office with enough awards: share of its largest vendor and its 20-point bucket; all rows count in its value."""
+def office_concentration(df: DataFrame, least_n: int = 50, least_value: float = 5e8, worst: int | None = None) -> DataFrame:
+    """Per office with enough awards: share of its largest vendor and its 20-point bucket; all rows count in its value.
+
+    ``worst`` keeps that many offices of largest share.
+    """
     per = df.groupBy("entity", "awarded_to").agg(F.count("*").alias("c"), F.sum("value").alias("v"))
     out = per.groupBy("entity").agg(F.sum("c").alias("n"), F.sum("v").alias("value"), F.max(F.when(F.col("awarded_to").isNotNull(), F.col("v"))).alias("most"))
     out = out.filter((F.col("n") >= least_n) & (F.col("value") >= least_value)).withColumn("share", F.col("most") / F.col("value"))
-    return out.select("entity", "n", F.round("value", 2).alias("value"), F.round("share", 6).alias("share"), F.least(F.floor(F.col("share") * 5), F.lit(4)).cast("int").alias("bucket"))
+    out = out.select("entity", "n", F.round("value", 2).alias("value"), F.round("share", 6).alias("share"), F.least(F.floor(F.col("share") * 5), F.lit(4)).cast("int").alias("bucket"))
+    return out.orderBy(F.col("share").desc(), "entity").limit(worst) if worst else out
 
 
 def price_points(df: DataFrame, method: str, top: int = 25) -> DataFrame:
@@ -162,14 +170,18 @@ def ratio_bands(pairs: DataFrame) -> DataFrame:
     return out.select("n", *bands, F.round(F.try_divide("above", "n"), 6).alias("share_above"))
 
 
-def method_changes(pairs: DataFrame, rank: dict[str, int] = OPENNESS) -> DataFrame:
-    """(planned, awarded, n, change, equal_rank): same, less_open or, for all others, more_open; unknown methods rank 0."""
+def method_changes(pairs: DataFrame, rank: dict[str, int] = OPENNESS, top: int | None = None) -> DataFrame:
+    """(planned, awarded, n, change, equal_rank): same, less_open or, for all others, more_open; unknown methods rank 0.
+
+    ``top`` keeps that many of the most frequent pairs.
+    """
     table = F.create_map(*[F.lit(x) for kv in rank.items() for x in kv])
     openness = lambda c: F.coalesce(F.element_at(table, c), F.lit(0))
     per = pairs.groupBy("planned_method", "method").agg(F.count("*").alias("n"))
     p, a = openness(F.col("planned_method")), openness(F.col("method"))
     change = F.when(F.col("planned_method") == F.col("method"), "same").when(a < p, "less_open").otherwise("more_open")
-    return per.select("planned_method", "method", "n", change.alias("change"), ((p == a) & (F.col("planned_method") != F.col("method"))).alias("equal_rank"))
+    out = per.select("planned_method", "method", "n", change.alias("change"), ((p == a) & (F.col("planned_method") != F.col("method"))).alias("equal_rank"))
+    return out.orderBy(F.col("n").desc(), "planned_method", "method").limit(top) if top else out
 
 
 def generic_keys(awards: DataFrame, bans: DataFrame, most: int = 5) -> DataFrame:
@@ -186,9 +198,10 @@ def ban_flags(awards: DataFrame, bans: DataFrame, most: int = 5) -> DataFrame:
     side; Spark broadcasts it when its size allows and otherwise splits the keyed join.
     """
     b = bans.select(company_key(F.col("company")).alias("key"), address_tail(F.col("address")).alias("place"), "company", "start", "end").filter("key <> ''")
-    a = awards.withColumn("key", company_key(F.col("awarded_to"))).filter("key <> ''")
+    # awards are read twice, for the generic keys and for the match, and may be dear to make: the columns needed are written once
+    a = awards.withColumn("key", company_key(F.col("awarded_to"))).join(b.select("key").distinct(), "key", "left_semi")
+    a = durable(a.select("key", "district", F.lower(F.trim(F.coalesce("district", F.lit("")))).alias("place"), "tender_id", "pkg_lot_id", "signed", "value"))
     b = b.join(generic_keys(a, b, most), "key", "left_anti")
-    a = a.withColumn("place", F.lower(F.trim(F.coalesce("district", F.lit("")))))
     hit = a.join(b, ["key", "place"]).filter(F.col("signed") >= F.col("start"))
     kind = F.when(F.col("signed") <= F.col("end"), "violation").otherwise("later_award")
     return hit.select("company", "tender_id", "pkg_lot_id", "signed", "value", "start", "end", kind.alias("kind"))
@@ -222,3 +235,42 @@ def work_list(df: DataFrame, office: str, kinds: Sequence[str], done: DataFrame)
     """(office, kind, n): pairs still to fetch, most frequent offices first."""
     per = df.groupBy(office).agg(F.count("*").alias("n")).withColumn("kind", F.explode(F.array(*[F.lit(k) for k in kinds])))
     return per.join(done, [office, "kind"], "left_anti").select(office, "kind", "n")
+
+
+def plan_rollup(plan: DataFrame, top: int = 20) -> DataFrame:
+    """(grain, fiscal_year, ministry, n): projects by year, by ministry and year, and of the ``top`` ministries, in one pass over the plan."""
+    per = plan.groupBy(F.coalesce("ministry", F.lit(UNKNOWN)).alias("ministry"), "fiscal_year").agg(F.count("*").alias("n"))
+    years = per.groupBy("fiscal_year").agg(F.sum("n").alias("n")).select(F.lit("year").alias("grain"), "fiscal_year", F.lit(None).cast("string").alias("ministry"), "n")
+    both = per.select(F.lit("ministry_year").alias("grain"), "fiscal_year", "ministry", "n")
+    most = per.groupBy("ministry").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "ministry").limit(top)
+    return years.unionByName(both).unionByName(most.select(F.lit("top_ministry").alias("grain"), F.lit(None).cast("string").alias("fiscal_year"), "ministry", "n"))
+
+
+def ban_register(bans: DataFrame) -> DataFrame:
+    """Adds to bans (company, scope, debarred_by, reason, start, end): key, repeats, scope_label, days, severity, tags.
+
+    ``repeats`` counts the bans of a company by its key; a blank key stands for no company and counts once.
+    """
+    rows = bans.withColumn("key", company_key(F.col("company")))
+    per = rows.filter("key <> ''").groupBy("key").agg(F.count("*").alias("repeats"))
+    said = scope(F.col("scope"), F.col("debarred_by"))
+    out = rows.join(per, "key", "left").withColumn("repeats", F.coalesce("repeats", F.lit(1))).withColumn("days", F.datediff("end", "start"))
+    return out.withColumns({"scope_label": said["label"], "severity": severity(said["score"], F.col("days"), F.col("repeats")), "tags": tags(F.col("reason"))})
+
+
+def ban_rollup(register: DataFrame) -> DataFrame:
+    """(grain, name, n): bans by severity, by tag (a ban counts under each of its tags) and of each company with more than one."""
+    by = lambda grain, df, name: df.groupBy(F.col(name).alias("name")).agg(F.count("*").alias("n")).select(F.lit(grain).alias("grain"), "name", "n")
+    again = register.filter("repeats > 1").groupBy("key").agg(F.min("company").alias("name"), F.count("*").alias("n")).select(F.lit("repeat").alias("grain"), "name", "n")
+    return by("severity", register, "severity").unionByName(by("tag", register.select(F.explode("tags").alias("tag")), "tag")).unionByName(again)
+
+
+def tender_funnel(tenders: DataFrame, statuses: Sequence[str], at: str = "published", status: str = "status") -> DataFrame:
+    """One row a year, one column a status: numbers of tenders."""
+    out = tenders.groupBy(F.year(at).alias("year")).pivot(status, list(statuses)).agg(F.count(F.lit(1)))
+    return out.select("year", *[F.coalesce(c, F.lit(0)).alias(c) for c in statuses])
+
+
+def owner_coverage(details: DataFrame, owner: str, person: str) -> DataFrame:
+    """One row: contracts, those with an owner, distinct persons behind them and the share that is covered."""
+    return details.agg(F.count("*").alias("n"), F.count(owner).alias("n_with_owner"), F.count_distinct(person).alias("n_owners"), F.round(F.count(owner) / F.count("*"), 6).alias("coverage"))

@@ -64,6 +64,24 @@ def override(base: DataFrame, better: DataFrame, key: Sequence[str]) -> DataFram
     return base.join(better.select(*key).distinct(), list(key), "left_anti").unionByName(better, allowMissingColumns=True)
 
 
+def superseded(base: DataFrame, better: DataFrame, key: Sequence[str], fields: Sequence[str]) -> DataFrame:
+    """(key, rows, differing): keys that both tables hold, how many rows of the base they replace and how many of its values change.
+
+    Rows meet on the key and all columns beside the fields; a row that the better table lacks counts with all its fields.
+    """
+    rest = [c for c in base.columns if c not in fields]
+    a = base.join(better.select(*key).distinct(), list(key), "left_semi")
+    b = better.select(*rest, F.struct(*fields).alias("_b"))
+    changed = sum((F.when(F.col(f).eqNullSafe(F.col(f"_b.{f}")), 0).otherwise(1) for f in fields), F.lit(0))
+    return a.join(b, rest, "left").groupBy(*key).agg(F.count("*").alias("rows"), F.sum(changed).alias("differing"))
+
+
+def flag_rows(df: DataFrame, id_col: str, allowed: Sequence[int], date: str, sentinels: Sequence[str], flag: str = "volatile_sentinel") -> DataFrame:
+    """Adds ``valid`` (the id is one of those allowed; null is not) and ``date_flag`` (the flag on dates that stand for no day)."""
+    marked = F.when(F.col(date).isin(*[F.lit(s).cast("date") for s in sentinels]), flag)
+    return df.withColumns({"valid": F.coalesce(F.col(id_col).isin(*allowed), F.lit(False)), "date_flag": marked})
+
+
 def apply_fixes(df: DataFrame, fixes: DataFrame, key: Sequence[str], value: str) -> DataFrame:
     """Values of listed cells replaced; ``fixed`` marks them."""
     out = df.join(fixes.select(*key, F.col(value).alias("_fix")), list(key), "left")
@@ -214,6 +232,11 @@ def missing_days(have: DataFrame, spine: DataFrame, by: Sequence[str] = ()) -> D
     return grid.join(have.select(*by, "date").distinct(), [*by, "date"], "left_anti")
 
 
+def dead_periods(log: DataFrame, control: DataFrame, by: Sequence[str] = (), period: str = "date") -> DataFrame:
+    """(by, period): periods that were fetched but for which the control series has no count above 0, per slice with ``by``."""
+    return log.select(*by, period).distinct().join(control.filter("n > 0").select(*by, period), [*by, period], "left_anti")
+
+
 def log_gap(log: DataFrame, facts: DataFrame, key: Column, names: Sequence[str]) -> DataFrame:
     """(names, rows): fetches logged with rows whose facts are absent; names are parsed from the log's key at '|'."""
     parts = F.split(key, r"\|")

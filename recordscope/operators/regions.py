@@ -20,15 +20,32 @@ def category_totals(df: DataFrame, merge: Mapping[str, str], first: str, last: s
     return rows.groupBy("unit", "category").agg(F.sum("n").alias("n"))
 
 
-def tenure_rate(monthly: DataFrame, tenures: DataFrame) -> DataFrame:
+def tenure_shares(months: DataFrame, tenures: DataFrame, splits: DataFrame) -> DataFrame:
+    """(tenure, no, month, share): months inside a tenure (tenure, no, first, last) belong to it, months of ``splits`` (month, tenure, share) as listed there."""
+    whole = months.select("month").distinct().join(splits.select("month").distinct(), "month", "left_anti").join(F.broadcast(tenures), F.col("month").between(F.col("first"), F.col("last")))
+    told = splits.join(tenures.select("tenure", "no"), "tenure")
+    return whole.select("tenure", "no", "month", F.lit(1.0).alias("share")).unionByName(told.select("tenure", "no", "month", "share"))
+
+
+def tenure_rate(monthly: DataFrame, tenures: DataFrame, by: Sequence[str] = (), exceptions: DataFrame | None = None) -> DataFrame:
     """Mean per month in each tenure, months split by their share, and its change from the tenure before.
 
-    ``tenures`` is (tenure, no, month, share); change is null unless the earlier mean is over 0.5.
+    ``tenures`` is (tenure, no, month, share), ``monthly`` (month, by, n); with ``by`` there is a rate for each offence. ``exceptions`` is
+    (by, month, tenure, share): cases that count elsewhere than their month does, while the number of months stays as it is. Change is
+    null unless the earlier mean is over 0.5.
     """
-    per = monthly.join(tenures, "month").groupBy("tenure", "no").agg(F.sum(F.col("n") * F.col("share")).alias("s"), F.sum("share").alias("w"))
-    per = per.withColumn("mean", F.try_divide("s", "w"))
-    before = F.lag("mean").over(Window.orderBy("no"))
-    return per.select("tenure", "no", F.round("w", 4).alias("months"), F.round("mean", 4).alias("mean"), F.when(before > 0.5, F.round((F.col("mean") / before - 1) * 100, 4)).alias("change_pct"))
+    names = tenures.select("tenure", "no").distinct()
+    cases = monthly.join(tenures, "month").select("tenure", "no", "month", *by, F.col("n") * F.col("share"))
+    cases = cases.toDF("tenure", "no", "month", *by, "s")
+    if exceptions is not None:
+        moved = monthly.join(exceptions, [*by, "month"]).join(names, "tenure").select("tenure", "no", "month", *by, (F.col("n") * F.col("share")).alias("s"))
+        cases = cases.join(exceptions.select(*by, "month").distinct(), [*by, "month"], "left_anti").select(moved.columns).unionByName(moved)
+    length = tenures.groupBy("tenure", "no").agg(F.sum("share").alias("w"))
+    per = length.crossJoin(monthly.select(*by).distinct()) if by else length
+    per = per.join(cases.groupBy("tenure", "no", *by).agg(F.sum("s").alias("s")), ["tenure", "no", *by], "left")
+    per = per.withColumn("mean", F.try_divide(F.coalesce("s", F.lit(0.0)), "w"))
+    before = F.lag("mean").over(Window.partitionBy(*by).orderBy("no"))
+    return per.select("tenure", "no", *by, F.round("w", 4).alias("months"), F.round("mean", 4).alias("mean"), F.when(before > 0.5, F.round((F.col("mean") / before - 1) * 100, 4)).alias("change_pct"))
 
 
 def month_index(month: Column) -> Column:
@@ -53,8 +70,9 @@ def year_matrix(df: DataFrame, value: str) -> DataFrame:
 
 def remaining_population(units: DataFrame) -> DataFrame:
     """Population of a division's range without the cities (kind 'metro') that police themselves."""
-    cities = F.sum(F.when(F.col("kind") == "metro", F.col("population")).otherwise(0)).over(Window.partitionBy("division"))
-    return units.withColumn("remaining", F.when(F.col("kind") == "range", F.col("population") - cities).otherwise(F.col("population")))
+    cities = units.filter("kind = 'metro'").groupBy("division").agg(F.sum("population").alias("_cities"))
+    left = F.when(F.col("kind") == "range", F.col("population") - F.coalesce("_cities", F.lit(0))).otherwise(F.col("population"))
+    return units.join(cities, "division", "left").withColumn("remaining", left).drop("_cities")
 
 
 def sum_up(df: DataFrame, parts: DataFrame, key: str, group: str, value: str) -> DataFrame:
@@ -124,3 +142,13 @@ def screening_plan(live: DataFrame, weeks_live: DataFrame, dense: int, done: Dat
     thin = live.filter(F.col("n") < dense).select("country", F.col("month_start").alias("_m"))
     rest = weeks_live.join(thin, "country").filter(F.trunc("start", "month") == F.col("_m")).select("country", F.explode(F.sequence("start", "end")).alias("date"))
     return busy.unionByName(rest).distinct().join(done, ["country", "date"], "left_anti").join(dead, "date", "left_anti")
+
+
+def exports(facts: DataFrame, top: int = 10) -> DataFrame:
+    """(grain, month, division, district, country, n): the monthly rollup and the ``top`` countries and districts by total."""
+    none = lambda name: F.lit(None).cast("string").alias(name)
+    rows = facts.groupBy(F.date_format("date", "yyyy-MM").alias("month"), F.col("division").cast("string").alias("division"), "district", "country").agg(F.sum("n").alias("n"))
+    best = lambda key: rows.groupBy(key).agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), key).limit(top)
+    countries = best("country").select(F.lit("top_country").alias("grain"), none("month"), none("division"), none("district"), "country", "n")
+    districts = best("district").select(F.lit("top_district").alias("grain"), none("month"), none("division"), "district", none("country"), "n")
+    return rows.select(F.lit("month").alias("grain"), "month", "division", "district", "country", "n").unionByName(countries).unionByName(districts)

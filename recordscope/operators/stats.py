@@ -2,70 +2,121 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: 0-based rank of each definition among n sorted values.
+#: 0-based rank of each definition among n sorted values; the interpolated one lies between two ranks.
 RANKS = {
     "floor": lambda n, q: F.floor(F.lit(q) * (n - 1)),
     "index": lambda n, q: F.least(F.floor(n * F.lit(q)), n - 1),
     "upper": lambda n, q: F.floor(n / F.lit(2)),
 }
+KINDS = (*RANKS, "interpolated")
+#: Rows up to which a quantile ranks all values of a whole table; above, only those near it. The sketch errs by at most 1 / SKETCH of
+#: the rows, the margin on both sides is five times that.
+SMALL_ROWS, SKETCH = 10_000, 10_000
 
 
-#: Rows up to which a quantile ranks all values; above, only those near it. The sketch errs by at most 1 / SKETCH of the rows,
-#: the margin on both sides is five times that.
-SMALL_ROWS, SKETCH = 10_000, 10_000
+def rounded(c: Column, places: int) -> Column:
+    """A double rounded half away from zero by its decimal digits, after six places are made exact.
+
+    Sums that differ in their last bits, and engines that round binary fractions differently, then agree on ties.
+    """
+    return F.round(c.cast("decimal(38,6)"), places).cast("double")
 
 
-def _near_quantile(df: DataFrame, value: str, q: float) -> DataFrame:
-    """(value, _low, _rows, _n): counts of the values near a quantile of the whole table, and one row for those below (_low) and above.
+def _near(df: DataFrame, value: str, shares: Sequence[float]) -> DataFrame:
+    """(value, _far, _n, _all): counts of the values of a whole table near some quantiles, and of all others between them.
 
-    Bounds come from a sketch, so that the window that follows sees a thousandth of a large table instead of all its values.
+    Bounds come from a sketch, so that the window that follows sees a thousandth of a large table instead of all its values. A far
+    value stands for all up to the next bound; it carries the last bound below it and sorts after that one.
     """
     margin = 5 / SKETCH
-    ends = F.percentile_approx(value, F.array(F.lit(max(0.0, q - margin)), F.lit(min(1.0, q + margin))), SKETCH)
-    bounds = F.broadcast(df.agg(F.count(value).alias("_rows"), ends.alias("_b")))
+    ends = [min(1.0, max(0.0, q + d)) for q in shares for d in (-margin, margin)]
+    bounds = F.broadcast(df.agg(F.count(value).alias("_all"), F.percentile_approx(value, F.array(*[F.lit(e) for e in ends]), SKETCH).alias("_b")))
     rows = df.select(value).filter(F.col(value).isNotNull()).crossJoin(bounds)
-    place = F.when((F.col("_rows") <= SMALL_ROWS) | F.col(value).between(F.col("_b")[0], F.col("_b")[1]), F.col(value))
-    low = place.isNull() & (F.col(value) < F.col("_b")[0])
-    counts = rows.select(place.alias(value), low.alias("_low"), "_rows").groupBy(value, "_low", "_rows").agg(F.count("*").alias("_n"))
-    return counts
+    low, high = (lambda k: F.get("_b", F.lit(2 * k))), (lambda k: F.get("_b", F.lit(2 * k + 1)))
+    near = F.col("_all") <= SMALL_ROWS
+    for k in range(len(shares)):
+        near = near | F.col(value).between(low(k), high(k))
+    below = F.array_max(F.filter(F.array(*[high(k) for k in range(len(shares))]), lambda h: h < F.col(value)))
+    placed = rows.select(F.when(near, F.col(value)).otherwise(below).alias(value), (~near).alias("_far"), "_all")
+    return placed.groupBy(value, "_far", "_all").agg(F.count("*").alias("_n"))
 
 
-def quantile(df: DataFrame, by: Sequence[str], value: str, q: float, kind: str, name: str = "quantile") -> DataFrame:
-    """One row a group: the ``kind`` quantile of non-null values (floor, index, upper, interpolated); groups of nulls give null.
+def at_ranks(df: DataFrame, by: Sequence[str], value: str, ranks: Sequence[tuple[float, Callable[[Column], Column]]]) -> DataFrame:
+    """(by, _all, _v0, _v1, ...): exact values at 0-based ranks among a group's non-null values.
 
-    Values are first counted, so that a window sees each distinct value of a group once; over a whole table it sees only the values
-    near the quantile. The result is exact either way.
+    A rank is (share of the rows near which it lies, function of their number). Values are first counted, so that a window sees each
+    distinct value of a group once; over a whole table it sees only values near the ranks.
+    """
+    if by:
+        counts = df.groupBy(*by, value).agg(F.count(value).alias("_n")).withColumn("_far", F.lit(False))
+        counts = counts.withColumn("_all", F.sum("_n").over(Window.partitionBy(*by)))
+    else:
+        counts = _near(df, value, [q for q, _ in ranks])
+    part = Window.partitionBy(*by) if by else Window
+    upto = part.orderBy(F.col(value).asc_nulls_first(), "_far").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.withColumn("_upto", F.sum("_n").over(upto))
+    # the value at a rank is the least one whose running count passes it
+    hit = lambda rank: F.min(F.when((F.col("_n") > 0) & ~F.col("_far") & (F.col("_upto") > rank(F.col("_all"))), F.col(value)))
+    return ranked.groupBy(*by).agg(F.max("_all").alias("_all"), *[hit(rank).alias(f"_v{k}") for k, (_, rank) in enumerate(ranks)])
+
+
+def quantiles(df: DataFrame, by: Sequence[str], value: str, shares: Sequence[float], kind: str) -> DataFrame:
+    """(by, q, quantile): several quantiles of one definition in one pass; groups of nulls give null.
+
+    Kinds are floor, index, upper and interpolated (linear between the two ranks around q * (n - 1)).
     """
+    if kind not in KINDS:
+        raise ValueError(f"kind is one of {KINDS}")
+    spot = lambda n, q: F.lit(q) * (n - 1)
     if kind == "interpolated":
-        return df.groupBy(*by).agg(F.percentile(value, F.lit(q)).alias(name))
-    if not by:
-        counts = _near_quantile(df, value, q)
-        below = F.coalesce(F.max(F.when(F.col("_low"), F.col("_n"))).over(Window.partitionBy()), F.lit(0))
-        upto = Window.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-        near = counts.withColumn("_below", below).filter(F.col(value).isNotNull())
-        ranked = near.withColumn("_upto", F.sum("_n").over(upto) + F.col("_below"))
-        return ranked.agg(F.min(F.when(F.col("_upto") > RANKS[kind](F.col("_rows"), q), F.col(value))).alias(name))
-    counts = df.groupBy(*by, value).agg(F.count(value).alias("_n"))
-    part = Window.partitionBy(*by)
-    upto = part.orderBy(F.col(value).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.withColumn("_upto", F.sum("_n").over(upto)).withColumn("_all", F.sum("_n").over(part))
-    # the quantile is the least value whose running count passes the rank
-    hit = F.when((F.col("_n") > 0) & (F.col("_upto") > RANKS[kind](F.col("_all"), q)), F.col(value))
-    return ranked.groupBy(*by).agg(F.min(hit).alias(name))
-
-
-def concentration(df: DataFrame, by: Sequence[str], key: str, value: str, top: int = 10) -> DataFrame:
-    """Per group: total, number of keys, HHI on the 0 to 10,000 scale and the share of the ``top`` keys."""
+        ranks = [(q, (lambda n, q=q, f=f: f(spot(n, q)))) for q in shares for f in (F.floor, F.ceil)]
+    else:
+        ranks = [((0.5 if kind == "upper" else q), (lambda n, q=q: RANKS[kind](n, q))) for q in shares]
+    at = at_ranks(df, by, value, ranks)
+
+    def one(k: int, q: float) -> Column:
+        if kind != "interpolated":
+            return F.col(f"_v{k}")
+        low, high = F.col(f"_v{2 * k}"), F.col(f"_v{2 * k + 1}")
+        return low + (high - low) * (spot(F.col("_all"), q) - F.floor(spot(F.col("_all"), q)))
+
+    each = F.explode(F.array(*[F.struct(F.lit(q).alias("q"), one(k, q).alias("quantile")) for k, q in enumerate(shares)])).alias("x")
+    return at.select(*by, each).select(*by, "x.q", "x.quantile")
+
+
+def quantile(df: DataFrame, by: Sequence[str], value: str, q: float, kind: str, name: str = "quantile") -> DataFrame:
+    """One row a group: the ``kind`` quantile of non-null values; groups of nulls, and an empty table, give null."""
+    return quantiles(df, by, value, [q], kind).select(*by, F.col("quantile").alias(name))
+
+
+def medians(df: DataFrame, by: Sequence[str], values: Sequence[str], places: int = 4) -> DataFrame:
+    """(by, n, one column a value): rows and rounded medians of each group."""
+    out = df.groupBy(*by).agg(F.count("*").alias("n"))
+    for v in values:
+        out = out.join(quantile(df, by, v, 0.5, "interpolated", v), list(by))
+    return out.select(*by, "n", *[rounded(F.col(v), places).alias(v) for v in values])
+
+
+def concentration(df: DataFrame, by: Sequence[str], key: str, value: str, top: int = 10, groups: int | None = None) -> DataFrame:
+    """Per group, or of the whole table without ``by``: total, number of keys, HHI on the 0 to 10,000 scale and the share of the ``top`` keys.
+
+    ``groups`` keeps that many groups of largest total.
+    """
     per = df.groupBy(*by, key).agg(F.sum(value).alias("_v"))
-    part = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    per = per.withColumn("_k", F.row_number().over(part.orderBy(F.col("_v").desc(), key)))
-    sums = per.groupBy(*by).agg(F.sum("_v").alias("total"), F.count("*").alias("n_keys"), F.sum(F.col("_v") * F.col("_v")).alias("_s"), F.sum(F.when(F.col("_k") <= top, F.col("_v"))).alias("_t"))
-    return sums.select(*by, F.round("total", 2).alias("total"), "n_keys", F.round(F.try_divide(F.col("_s"), F.col("total") * F.col("total")) * 10000, 4).alias("hhi"), F.round(F.try_divide("_t", "total"), 6).alias("top_share"))
+    if by:
+        few = per.withColumn("_k", F.row_number().over(Window.partitionBy(*by).orderBy(F.col("_v").desc(), key)))
+        most = few.filter(F.col("_k") <= top).groupBy(*by).agg(F.sum("_v").alias("_t"))
+    else:
+        most = per.orderBy(F.col("_v").desc(), key).limit(top).agg(F.sum("_v").alias("_t"))
+    sums = per.groupBy(*by).agg(F.sum("_v").alias("total"), F.count("*").alias("n_keys"), F.sum(F.col("_v") * F.col("_v")).alias("_s"))
+    both = sums.join(most, list(by)) if by else sums.crossJoin(most)
+    out = both.select(*by, F.round("total", 2).alias("total"), "n_keys", F.round(F.try_divide(F.col("_s"), F.col("total") * F.col("total")) * 10000, 4).alias("hhi"), F.round(F.try_divide("_t", "total"), 6).alias("top_share"))
+    return out.orderBy(F.col("total").desc(), *by).limit(groups) if groups else out
 
 
 def histogram(df: DataFrame, value: str, width: float, below: float) -> DataFrame:
@@ -89,15 +140,19 @@ def centred_mean(df: DataFrame, by: Sequence[str], order: str, value: str, half:
 
 
 def tercile_bands(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """Rows with ``band`` low, middle, high; cut points are the values of ranks n//3 and 2n//3, ties fall in the edge bands."""
-    part = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
-    upto = part.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    counts = counts.withColumn("_u", F.sum("_n").over(upto)).withColumn("_a", F.sum("_n").over(part))
-    least = lambda k: F.min(F.when(F.col("_u") > F.floor(F.col("_a") * k / 3), F.col(value))).over(part)
-    cut = counts.withColumn("lo", least(1)).withColumn("hi", least(2))
-    band = F.when(F.col(value) <= F.col("lo"), "low").when(F.col(value) >= F.col("hi"), "high").otherwise("middle")
-    return df.join(cut.withColumn("band", band).select(*by, value, "band"), [*by, value])
+    """Rows with ``band`` low, middle, high; cut points are the values of ranks n//3 and 2n//3, ties fall in the edge bands. Nulls go."""
+    cut = at_ranks(df, by, value, [(k / 3, lambda n, k=k: F.floor(n * k / 3)) for k in (1, 2)]).select(*by, F.col("_v0").alias("_lo"), F.col("_v1").alias("_hi"))
+    rows = df.filter(F.col(value).isNotNull())
+    cut_rows = rows.join(cut, list(by)) if by else rows.crossJoin(F.broadcast(cut))
+    band = F.when(F.col(value) <= F.col("_lo"), "low").when(F.col(value) >= F.col("_hi"), "high").otherwise("middle")
+    return cut_rows.withColumn("band", band).drop("_lo", "_hi")
+
+
+def band_medians(df: DataFrame, value: str, measures: Sequence[str], months: Sequence[int] | None = None, least: int = 60, date: str = "date", places: int = 4) -> DataFrame:
+    """(band, n, medians of ``value`` and the measures) of terciles over the days of some months; no rows with under ``least`` such days."""
+    rows = df.filter(F.col(value).isNotNull()) if months is None else df.filter(F.col(value).isNotNull() & F.month(date).isin(*months))
+    enough = rows.agg((F.count("*") >= least).alias("_ok"))
+    return medians(tercile_bands(rows, value).join(F.broadcast(enough)).filter("_ok"), ["band"], [value, *measures], places)
 
 
 def half_trend(df: DataFrame, by: Sequence[str], order: str, value: str, least: int = 6, base: float = 0.0) -> DataFrame:
@@ -111,14 +166,19 @@ def half_trend(df: DataFrame, by: Sequence[str], order: str, value: str, least:
 
 def quantile_bins(df: DataFrame, value: str, steps: int) -> DataFrame:
     """Rows with ``bin``: number of interpolated quantile breaks that the value is strictly above."""
-    breaks = df.agg(F.percentile(value, F.array(*[F.lit(k / steps) for k in range(1, steps)])).alias("_b"))
+    breaks = quantiles(df, [], value, [k / steps for k in range(1, steps)], "interpolated").agg(F.array_sort(F.collect_list("quantile")).alias("_b"))
     return df.crossJoin(F.broadcast(breaks)).withColumn("bin", F.size(F.filter("_b", lambda b: F.col(value) > b))).drop("_b")
 
 
 def rank_bins(df: DataFrame, value: str, steps: int) -> DataFrame:
-    """Rows with ``bin`` 0 for zero or null and 1.. by rank among the positive values."""
-    pos = df.filter(F.col(value) > 0).groupBy(value).agg(F.count("*").alias("_n"))
-    w = Window.orderBy(value)
-    pos = pos.withColumn("_before", F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("_all", F.sum("_n").over(Window.partitionBy()))
-    pos = pos.select(value, (1 + F.floor(F.col("_before") * (steps - 1) / F.col("_all"))).cast("int").alias("bin"))
-    return df.join(pos, value, "left").withColumn("bin", F.coalesce("bin", F.lit(0)))
+    """Rows with ``bin`` 0 for zero or null and 1.. by rank among the positive values.
+
+    A value with r values before it falls in bin 1 + floor(r * (steps - 1) / n): it is above the value at rank ceil(k * n / (steps - 1)) - 1
+    for each earlier bin k, so a few cut points decide.
+    """
+    pos = df.filter(F.col(value) > 0)
+    ranks = [(k / (steps - 1), lambda n, k=k: F.ceil(n * k / F.lit(steps - 1)) - 1) for k in range(1, steps - 1)]
+    cut = at_ranks(pos, [], value, ranks or [(0.0, lambda n: F.lit(0))])
+    cuts = F.array(*[F.col(f"_v{k}") for k in range(len(ranks))]).cast("array<double>").alias("_b")
+    inside = F.when(F.col(value) > 0, 1 + F.size(F.filter("_b", lambda b: F.col(value) > b))).otherwise(0)
+    return df.crossJoin(F.broadcast(cut.select(cuts))).withColumn("bin", F.coalesce(inside, F.lit(0)).cast("int")).drop("_b")

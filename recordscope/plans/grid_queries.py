@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from recordscope.functions.text import cause
 from recordscope.operators import grid as g
+from recordscope.operators import sets
 from recordscope.operators import stats as st
 from recordscope.plans.base import DAYS, FUELS, HOURLY, ZONES, fuel_days, hourly, line_days, query, table, zone_days
 
@@ -29,11 +30,11 @@ def a28_daily(spark, d):
     return g.daily(hourly(spark, d))
 
 
-@query(f"""WITH {DAYS}, m AS (SELECT date, demand, shed / 3.14159265::DOUBLE AS shed, strftime(date, '%Y-%m') AS month FROM days), r AS (SELECT month, shed, row_number() OVER (PARTITION BY month ORDER BY shed) - 1 AS k, count(*) OVER (PARTITION BY month) AS n FROM m)
-SELECT month, count(*) AS days, count(shed) AS reported_days, max(demand / 3.14159265::DOUBLE) AS peak_demand, round(avg(demand / 3.14159265::DOUBLE), 2) AS mean_peak_demand, max(shed) AS max_loadshed, round(sum(shed), 2) AS energy_shed, round(sum(day(date) % 5)::DOUBLE / count(*), 4) AS mean_hours_shed,
+@query(f"""WITH {DAYS}, m AS (SELECT date, demand, shed, strftime(date, '%Y-%m') AS month FROM days), r AS (SELECT month, shed, row_number() OVER (PARTITION BY month ORDER BY shed) - 1 AS k, count(*) OVER (PARTITION BY month) AS n FROM m)
+SELECT month, count(*) AS days, count(shed) AS reported_days, max(demand) AS peak_demand, round(avg(demand)::DECIMAL(38,6), 2)::DOUBLE AS mean_peak_demand, max(shed) AS max_loadshed, round(sum(shed)::DECIMAL(38,6), 2)::DOUBLE AS energy_shed, round((sum(day(date) % 5)::DOUBLE / count(*))::DECIMAL(38,6), 4)::DOUBLE AS mean_hours_shed,
   (SELECT max(shed) FROM r WHERE r.month = m.month AND k = floor(0.95::DOUBLE * (n - 1))) AS p95_loadshed, (SELECT max(shed) FROM r WHERE r.month = m.month AND k = floor(0.5::DOUBLE * (n - 1))) AS median_energy_shed FROM m GROUP BY month""")
 def a29_monthly(spark, d):
-    day = line_days(spark, d).select("date", (F.col("demand") / 3.14159265).alias("peak_demand"), (F.col("shed") / 3.14159265).alias("max_loadshed"), (F.col("shed") / 3.14159265).alias("energy_shed"), (F.dayofmonth("date") % 5).alias("hours_shed"))
+    day = line_days(spark, d).select("date", F.col("demand").alias("peak_demand"), F.col("shed").alias("max_loadshed"), F.col("shed").alias("energy_shed"), (F.dayofmonth("date") % 5).alias("hours_shed"))
     return g.monthly(day)
 
 
@@ -71,6 +72,23 @@ def a31_fuel_monthly(spark, d):
     return g.fuel_monthly(g.fuel_mix(zone_maps(spark, d)), {"A": "oil", "R": "oil"})
 
 
+@query(f"""WITH {FUELS}, m AS (SELECT strftime(date, '%Y-%m') AS month, CASE WHEN fuel IN ('A', 'R') THEN 'oil' ELSE 'other' END AS grp, round(2 * energy, 4) AS energy, date FROM fuels), d AS (SELECT month, count(DISTINCT date) AS days FROM m GROUP BY 1),
+c AS (SELECT strftime(date, '%Y-%m') AS month, round(avg(stated)::DECIMAL(38,6), 3)::DOUBLE AS unit_cost, count(*) AS priced FROM (SELECT date, max(stated) AS stated FROM fuels GROUP BY 1) WHERE day(date) % 4 <> 0 GROUP BY 1)
+SELECT month, grp AS "group", days, round(e / days, 4) AS daily, unit_cost, coalesce(priced, 0) AS priced_days FROM (SELECT month, grp, sum(energy) AS e FROM m GROUP BY 1, 2) JOIN d USING (month) LEFT JOIN c USING (month)""")
+def a31_fuel_costs(spark, d):
+    costs = fuel_days(spark, d).groupBy("date").agg(F.max("stated").alias("stated")).select("date", F.when(F.dayofmonth("date") % 4 != 0, F.col("stated")).alias("unit_cost"))
+    return g.fuel_monthly(g.fuel_mix(zone_maps(spark, d)), {"A": "oil", "R": "oil"}, costs)
+
+
+@query("""WITH c AS (SELECT l_shipdate::DATE AS date, round(sum(l_quantity) FILTER (l_returnflag = 'A'), 2) AS gas, round(sum(l_quantity) FILTER (l_returnflag = 'R'), 2) AS coal, round(sum(l_quantity) FILTER (l_linenumber = 7), 2) AS maintenance FROM lineitem WHERE l_returnflag <> 'N' GROUP BY 1)
+SELECT date, coalesce(gas, 0) AS gas, coalesce(coal, 0) AS coal, coalesce(maintenance, 0) AS maintenance, coalesce(gas, 0) + coalesce(coal, 0) + coalesce(maintenance, 0) AS total FROM c""")
+def a36_causes(spark, d):
+    l, q = table(spark, d, "lineitem"), F.col("l_quantity")  # noqa: E741
+    some = lambda ok: F.round(F.sum(F.when(ok & (F.col("l_returnflag") != "N"), q)), 2)
+    day = l.groupBy(F.to_date("l_shipdate").alias("date")).agg(some(F.col("l_returnflag") == "A").alias("gas"), some(F.col("l_returnflag") == "R").alias("coal"), some(F.col("l_linenumber") == 7).alias("maintenance"))
+    return g.shortfall_causes(day, ["gas", "coal", "maintenance"])
+
+
 @query(f"WITH {FUELS} SELECT date, stated_energy / CASE WHEN stated_energy > 1200 THEN 1000 ELSE 1 END AS energy, fuel, energy / CASE WHEN stated_energy > 1200 THEN 1000 ELSE 1 END AS north, stated_energy > 1200 AS unit_slip FROM fuels")
 def c15_rescaled(spark, d):
     out = g.scale_units(zone_maps(spark, d), "energy", ["energy"], "zone_fuel", 1200.0)
@@ -105,20 +123,22 @@ def c28_idle_and_use(spark, d):
 
 
 def plant_reports(spark, d):
-    return plants(spark, d).groupBy("date").agg(F.array_sort(F.collect_list(F.struct("plant", "capacity"))).alias("plants")).withColumn("plants", F.when(F.month("date") > 3, F.array().cast("array<struct<plant:bigint,capacity:double>>")).otherwise(F.col("plants")))
+    return plants(spark, d).groupBy("date").agg(F.array_sort(F.collect_list(F.struct("plant", "capacity"))).alias("plants"))
 
 
 @query(f"WITH {PLANTS} SELECT date, count(*) AS n FROM plants WHERE month(date) <= 3 AND date = (SELECT max(date) FROM plants WHERE month(date) <= 3) GROUP BY 1")
 def a34_latest_with(spark, d):
-    return g.latest_with(plant_reports(spark, d), "plants").select("date", F.size("plants").cast("long").alias("n"))
+    # the reports of later months list no plants
+    listed = F.when(F.month("date") <= 3, F.col("plants")).otherwise(F.array().cast("array<struct<plant:bigint,capacity:double>>"))
+    return g.latest_with(plant_reports(spark, d).withColumn("plants", listed), "plants").select("date", F.size("plants").cast("long").alias("n"))
 
 
-@query(f"WITH {PLANTS} SELECT date, count(*) FILTER (capacity <= 40) AS n FROM plants WHERE month(date) <= 3 GROUP BY 1")
+@query(f"WITH {PLANTS} SELECT date, count(*) FILTER (capacity <= 40) AS n FROM plants GROUP BY 1")
 def c14_plausible(spark, d):
-    return g.drop_implausible(plant_reports(spark, d).filter("month(date) <= 3"), "plants", "capacity", 40.0)[0].select("date", F.size("plants").cast("long").alias("n"))
+    return g.drop_implausible(plant_reports(spark, d), "plants", "capacity", 40.0)[0].select("date", F.size("plants").cast("long").alias("n"))
 
 
-@query(f"WITH {PLANTS} SELECT date, plant, capacity FROM plants WHERE month(date) <= 3 AND capacity > 40")
+@query(f"WITH {PLANTS} SELECT date, plant, capacity FROM plants WHERE capacity > 40")
 def c14_ledger(spark, d):
     return g.drop_implausible(plant_reports(spark, d), "plants", "capacity", 40.0)[1].select("date", "item.plant", "item.capacity")
 
@@ -195,10 +215,23 @@ def a38_fuel_cost(spark, d):
     return g.blended_fuel_cost(fuel_days(spark, d))
 
 
-@query(f"WITH {FUELS} SELECT strftime(date, '%Y-%m') AS month, count(*) AS days, round(avg(stated), 4) AS unit_cost, max(date) AS latest FROM (SELECT date, max(stated) AS stated FROM fuels GROUP BY 1) GROUP BY 1")
+COSTS = FUELS + """, costs AS (SELECT date, CASE WHEN day(date) = 3 THEN NULL ELSE sum(cost) END AS cost, sum(energy) AS energy, CASE WHEN day(date) % 4 = 0 THEN NULL ELSE max(stated) END AS stated FROM fuels GROUP BY date), good AS (SELECT *, coalesce(stated, round((cost / energy)::DECIMAL(38,6), 3)::DOUBLE) AS u FROM costs WHERE cost > 0 AND energy > 0)"""
+
+
+def daily_costs(spark, d):
+    day = F.dayofmonth("date")
+    per = fuel_days(spark, d).groupBy("date").agg(F.sum("cost").alias("cost"), F.sum("energy").alias("energy"), F.max("stated").alias("stated"))
+    return per.select("date", F.when(day != 3, F.col("cost")).alias("cost"), "energy", F.when(day % 4 != 0, F.col("stated")).alias("stated"))
+
+
+@query(f"WITH {COSTS} SELECT strftime(date, '%Y-%m') AS month, count(*) AS days, round(avg(cost)::DECIMAL(38,6), 1)::DOUBLE AS cost, round(avg(u)::DECIMAL(38,6), 3)::DOUBLE AS unit_cost, min(date) AS first, max(date) AS last FROM good GROUP BY 1")
 def a48_cost_monthly(spark, d):
-    per = fuel_days(spark, d).groupBy("date").agg(F.max("stated").alias("stated"))
-    return per.groupBy(F.date_format("date", "yyyy-MM").alias("month")).agg(F.count("*").alias("days"), F.round(F.avg("stated"), 4).alias("unit_cost"), F.max("date").alias("latest"))
+    return g.cost_monthly(daily_costs(spark, d))
+
+
+@query(f"WITH {COSTS} SELECT count(*) AS days, min(date) AS first, max(date) AS last, round(arg_max(cost, date)::DECIMAL(38,6), 1)::DOUBLE AS cost, round((arg_max(cost, date) / arg_max(energy, date))::DECIMAL(38,6), 3)::DOUBLE AS unit_cost FROM good")
+def a48_cost_coverage(spark, d):
+    return g.cost_coverage(daily_costs(spark, d))
 
 
 @query(f"""WITH {ZONES}, a AS (SELECT *, dense_rank() OVER (ORDER BY date DESC) AS age FROM zones), w AS (SELECT * FROM a, (VALUES (30), (90), (365), (0)) v(w) WHERE w = 0 OR age <= w),
@@ -221,6 +254,24 @@ def w9_profile_features(spark, d):
     return g.profile_features(profile, ["demand", "loadshed"])
 
 
+SHAPE = """half AS (SELECT hour(ts) AS slot, ts, CASE WHEN event_type = 'view' THEN value END AS gas, CASE WHEN event_type = 'click' THEN value END AS hfo, CASE WHEN event_type = 'purchase' THEN value ELSE 0 END AS hsd, CASE WHEN event_type = 'error' THEN value END AS shortage FROM events),
+slots AS (SELECT slot, coalesce(round(avg(gas)::DECIMAL(38,6), 2)::DOUBLE, 0) AS gas, coalesce(round(avg(hfo)::DECIMAL(38,6), 2)::DOUBLE, 0) AS hfo, coalesce(round(avg(hsd)::DECIMAL(38,6), 2)::DOUBLE, 0) AS hsd, round(avg(shortage)::DECIMAL(38,6), 2)::DOUBLE AS mean, round(median(shortage)::DECIMAL(38,6), 2)::DOUBLE AS med FROM half GROUP BY 1),
+s AS (SELECT *, gas + hfo + hsd AS whole, hfo + hsd AS oil FROM slots)"""
+
+
+@query(f"""WITH {SHAPE} SELECT arg_max(slot, (whole, -slot)) AS peak_slot, arg_min(slot, (whole, slot)) AS trough_slot, arg_max(slot, (oil, -slot)) AS oil_peak_slot, round(max(oil)::DECIMAL(38,6), 1)::DOUBLE AS oil_peak, round((max(oil) - arg_min(oil, (whole, slot)))::DECIMAL(38,6), 1)::DOUBLE AS oil_swing,
+round((100 * round((max(oil) - min(oil))::DECIMAL(38,6), 1)::DOUBLE / round((max(whole) - min(whole))::DECIMAL(38,6), 1)::DOUBLE)::DECIMAL(38,6), 1)::DOUBLE AS oil_share_of_swing, arg_max(slot, (med, -slot)) FILTER (med IS NOT NULL) AS shortage_slot, max(med) AS shortage, arg_max(slot, (mean, -slot)) FILTER (mean IS NOT NULL) AS shortage_mean_slot, max(mean) AS shortage_mean FROM s""")
+def w9_shape_features(spark, d):
+    kind, value = F.col("event_type"), F.col("value")
+    half = table(spark, d, "events").select(F.hour("ts").alias("slot"), F.when(kind == "view", value).alias("gas"), F.when(kind == "click", value).alias("hfo"), F.when(kind == "purchase", value).otherwise(0.0).alias("hsd"), F.when(kind == "error", value).alias("shortage"))
+    return g.shape_features(half, ["gas", "hfo", "hsd"], ["hfo", "hsd"], "shortage")
+
+
+@query(f"WITH {HOURLY} SELECT date, round(sum(coalesce(loadshed, 0))::DECIMAL(38,6), 2)::DOUBLE AS shed, floor(sum(coalesce(loadshed, 0)) * 1000 / (560::DOUBLE / 365) + 1e-6)::BIGINT AS people FROM hourly GROUP BY 1")
+def a75_people(spark, d):
+    return g.people_equivalent(hourly(spark, d))
+
+
 @query(f"""WITH {DAYS}, n AS (SELECT max(date) AS d FROM days), w AS (SELECT b AS back, (d - to_months(12 * b))::DATE AS hi FROM n, range(5) r(b)) SELECT back, count(*) AS days, round(avg(demand), 4) AS mean FROM w JOIN days ON date BETWEEN hi - 29 AND hi GROUP BY 1""")
 def w10_like_for_like(spark, d):
     return g.like_for_like(line_days(spark, d), "demand")
@@ -280,15 +331,22 @@ def a41_pearson(spark, d):
     return hourly(spark, d).groupBy("hour").agg(F.round(st.pearson(F.col("demand"), F.col("loadshed")), 6).alias("r"))
 
 
-@query(f"WITH {DAYS} SELECT strftime(date, '%Y-%m') AS month, count(*) AS days, round(median(demand) + 1e-7, 4) AS demand, round(median(shed) + 1e-7, 4) AS shed FROM days GROUP BY 1 HAVING count(*) >= 5")
+@query(f"WITH {DAYS} SELECT strftime(date, '%Y-%m') AS month, count(*) AS n, round(median(demand)::DECIMAL(38,6), 4)::DOUBLE AS demand, round(median(shed)::DECIMAL(38,6), 4)::DOUBLE AS shed FROM days GROUP BY 1 HAVING count(*) >= 5")
 def a39_monthly_medians(spark, d):
-    return line_days(spark, d).groupBy(F.date_format("date", "yyyy-MM").alias("month")).agg(F.count("*").alias("days"), F.round(F.median("demand") + 1e-7, 4).alias("demand"), F.round(F.median("shed") + 1e-7, 4).alias("shed")).filter("days >= 5")
+    day = line_days(spark, d).withColumn("month", F.date_format("date", "yyyy-MM"))
+    return st.medians(day, ["month"], ["demand", "shed"]).filter("n >= 5")
+
+
+@query(f"""WITH {DAYS}, h AS (SELECT * FROM days WHERE month(date) BETWEEN 4 AND 9), s AS (SELECT *, row_number() OVER (ORDER BY demand) - 1 AS k, count(*) OVER () AS n FROM h), c AS (SELECT max(demand) FILTER (k = n // 3) AS lo, max(demand) FILTER (k = 2 * n // 3) AS hi FROM s)
+SELECT CASE WHEN demand <= lo THEN 'low' WHEN demand >= hi THEN 'high' ELSE 'middle' END AS band, count(*) AS n, round(median(demand)::DECIMAL(38,6), 4)::DOUBLE AS demand, round(median(shed)::DECIMAL(38,6), 4)::DOUBLE AS shed FROM h, c GROUP BY 1""")
+def a40_hot_months(spark, d):
+    return st.band_medians(line_days(spark, d), "demand", ["shed"], months=range(4, 10))
 
 
 @query(f"""WITH {DAYS}, s AS (SELECT *, row_number() OVER (ORDER BY demand) - 1 AS k, count(*) OVER () AS n FROM days), c AS (SELECT max(demand) FILTER (k = n // 3) AS lo, max(demand) FILTER (k = 2 * n // 3) AS hi FROM s)
-SELECT CASE WHEN demand <= lo THEN 'low' WHEN demand >= hi THEN 'high' ELSE 'middle' END AS band, count(*) AS n, round(median(shed), 4) AS shed FROM days, c GROUP BY 1""")
+SELECT CASE WHEN demand <= lo THEN 'low' WHEN demand >= hi THEN 'high' ELSE 'middle' END AS band, count(*) AS n, round(median(shed)::DECIMAL(38,6), 4)::DOUBLE AS shed FROM days, c GROUP BY 1""")
 def a40_tercile_bands(spark, d):
-    return st.tercile_bands(line_days(spark, d), "demand").groupBy("band").agg(F.count("*").alias("n"), F.round(F.median("shed"), 4).alias("shed"))
+    return st.medians(st.tercile_bands(line_days(spark, d), "demand"), ["band"], ["shed"])
 
 
 @query(f"WITH {DAYS}, q AS (SELECT quantile_cont(demand, 0.25) AS a, quantile_cont(demand, 0.5) AS b, quantile_cont(demand, 0.75) AS c FROM days) SELECT ((demand > a)::INT + (demand > b)::INT + (demand > c)::INT)::INT AS bin, count(*) AS n FROM days, q GROUP BY 1")
@@ -304,15 +362,13 @@ def w13_rank_bins(spark, d):
 
 @query(f"WITH {DAYS}, l AS (SELECT date, demand, dense_rank() OVER (ORDER BY date DESC) AS k FROM days) SELECT date, demand FROM l WHERE k <= 30")
 def w3_trailing(spark, d):
-    return line_days(spark, d).orderBy(F.col("date").desc()).limit(30).select("date", "demand")
+    return sets.trailing(line_days(spark, d), "date", 30).select("date", "demand")
 
 
-@query(f"WITH {ZONES} SELECT zone, round(sum(shed), 2) AS shed, rank() OVER (ORDER BY round(sum(shed), 2) DESC) AS place, round(sum(shed) / sum(sum(shed)) OVER (), 6) AS share, round(sum(shed), 2) - lag(round(sum(shed), 2)) OVER (ORDER BY zone) AS step FROM zones GROUP BY 1")
+@query(f"WITH {ZONES} SELECT zone, round(sum(shed), 2) AS shed, rank() OVER (ORDER BY round(sum(shed), 2) DESC) AS place, round(round(sum(shed), 2) / sum(round(sum(shed), 2)) OVER (), 6) AS share, round(sum(shed), 2) - lag(round(sum(shed), 2)) OVER (ORDER BY zone) AS step FROM zones GROUP BY 1")
 def w4_w5_w6_ranks(spark, d):
-    from pyspark.sql import Window
-
-    z = zone_days(spark, d).groupBy("zone").agg(F.sum("shed").alias("s")).withColumn("shed", F.round("s", 2))
-    return z.select("zone", "shed", F.rank().over(Window.orderBy(F.col("shed").desc())).alias("place"), F.round(F.col("s") / F.sum("s").over(Window.partitionBy()), 6).alias("share"), (F.col("shed") - F.lag("shed").over(Window.orderBy("zone"))).alias("step"))
+    z = zone_days(spark, d).groupBy("zone").agg(F.round(F.sum("shed"), 2).alias("shed"))
+    return sets.ranked(z, "zone", "shed")
 
 
 @query(f"""WITH {DAYS}, n AS (SELECT max(date) AS d FROM days), w AS (SELECT b AS back, (d - to_months(12 * b))::DATE AS hi FROM n, range(1, 3) r(b)) SELECT back, count(*) AS days, round(avg(shed), 4) AS mean FROM w JOIN days ON date BETWEEN hi - 29 AND hi GROUP BY 1 HAVING count(*) >= 7""")

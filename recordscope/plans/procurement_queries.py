@@ -60,24 +60,36 @@ def a5_top_counts(spark, d):
     return pr.value_counts(contracts(spark, d), "awarded_to", 50)
 
 
-@query("""WITH p AS (SELECT CASE WHEN month(o_orderdate) >= 7 THEN year(o_orderdate) ELSE year(o_orderdate) - 1 END AS y, o_orderpriority AS ministry, o_custkey FROM orders)
-SELECT 'FY' || y || '-' || lpad(((y + 1) % 100)::VARCHAR, 2, '0') AS fiscal_year, ministry, count(*) AS n, count(DISTINCT o_custkey) AS n_projects FROM p GROUP BY y, ministry""")
+@query("""WITH p AS (SELECT 'FY' || y || '-' || lpad(((y + 1) % 100)::VARCHAR, 2, '0') AS fiscal_year, coalesce(m, 'Unknown') AS ministry FROM (SELECT CASE WHEN month(o_orderdate) >= 7 THEN year(o_orderdate) ELSE year(o_orderdate) - 1 END AS y, CASE WHEN o_custkey % 41 = 0 THEN NULL ELSE 'Ministry ' || o_custkey % 41 END AS m FROM orders)),
+t AS (SELECT ministry, count(*) AS n FROM p GROUP BY 1 ORDER BY n DESC, ministry LIMIT 20)
+SELECT 'year' AS grain, fiscal_year, NULL AS ministry, count(*) AS n FROM p GROUP BY 2 UNION ALL SELECT 'ministry_year', fiscal_year, ministry, count(*) FROM p GROUP BY 2, 3 UNION ALL SELECT 'top_ministry', NULL, ministry, n FROM t""")
 def a6_plan_rollup(spark, d):
     from recordscope.functions.dates import fiscal_year
 
-    o = table(spark, d, "orders").withColumn("fiscal_year", fiscal_year(F.year("o_orderdate"), F.month("o_orderdate")))
-    return o.groupBy("fiscal_year", F.col("o_orderpriority").alias("ministry")).agg(F.count("*").alias("n"), F.count_distinct("o_custkey").alias("n_projects"))
+    k = F.col("o_custkey") % 41
+    o = table(spark, d, "orders").select(fiscal_year(F.year("o_orderdate"), F.month("o_orderdate")).alias("fiscal_year"), F.when(k != 0, F.concat(F.lit("Ministry "), k.cast("string"))).alias("ministry"))
+    return pr.plan_rollup(o)
 
 
-@query(f"""WITH {BANS}, k AS (SELECT *, date_diff('day', start, stop) AS days, CASE reason WHEN 'BUILDING' THEN 4 WHEN 'AUTOMOBILE' THEN 2 ELSE 1 END AS points, count(*) OVER (PARTITION BY reason, start) AS repeats FROM bans),
-s AS (SELECT *, points + CASE WHEN days >= 730 THEN 2 WHEN days >= 365 THEN 1 ELSE 0 END + CASE WHEN repeats > 1 THEN 2 ELSE 0 END AS p FROM k)
-SELECT CASE WHEN p >= 6 THEN 'critical' WHEN p >= 4 THEN 'high' WHEN p >= 2 THEN 'medium' ELSE 'low' END AS severity, reason, count(*) AS n FROM s GROUP BY 1, 2""")
-def a7_ban_rollup(spark, d):
-    from pyspark.sql import Window
+def register(spark, d):
+    """Orders as bans: companies of one or several bans and some without a name, scopes and reasons in their words."""
+    o, k = table(spark, d, "orders"), F.col("o_orderkey")
+    start = F.to_date("o_orderdate")
+    pick = lambda c, words: F.get(F.array(*[F.lit(w) for w in words]), (c % len(words)).cast("int"))
+    name = F.when(F.col("o_custkey") % 17 == 0, "Co. Ltd.").otherwise(F.concat(F.lit("Firm no"), F.col("o_custkey").cast("string"), F.when(k % 2 == 0, " Ltd.").otherwise("")))
+    rows = o.select(name.alias("company"), pick(k, ("this Package only", "e-GP Portal", "whole PROCURING ENTITY")).alias("scope"), F.lit(None).cast("string").alias("debarred_by"), pick(F.col("o_custkey"), ("forged papers and a bribe", "late", "Failed to complete")).alias("reason"), start.alias("start"), F.date_add(start, (F.col("o_custkey") % 3 * 365 + 100).cast("int")).alias("end"))
+    return pr.ban_register(rows)
+
+
+REGISTER = """r AS (SELECT CASE WHEN o_custkey % 17 = 0 THEN '' ELSE 'firm no' || o_custkey END AS "key", CASE WHEN o_custkey % 17 = 0 THEN 'Co. Ltd.' ELSE 'Firm no' || o_custkey || CASE WHEN o_orderkey % 2 = 0 THEN ' Ltd.' ELSE '' END END AS company,
+  [1, 4, 2][o_orderkey % 3 + 1] AS points, o_custkey % 3 * 365 + 100 AS days, [['forgery_false_document', 'corruption'], ['unspecified'], ['non_performance']][o_custkey % 3 + 1] AS tags FROM orders),
+g AS (SELECT *, CASE WHEN "key" = '' THEN 1 ELSE count(*) OVER (PARTITION BY "key") END AS repeats FROM r), s AS (SELECT *, points + CASE WHEN days >= 730 THEN 2 WHEN days >= 365 THEN 1 ELSE 0 END + CASE WHEN repeats > 1 THEN 2 ELSE 0 END AS p FROM g)"""
+
 
-    b = bans(spark, d).withColumn("repeats", F.count("*").over(Window.partitionBy("reason", "start")))
-    points = F.when(F.col("reason") == "BUILDING", 4).when(F.col("reason") == "AUTOMOBILE", 2).otherwise(1)
-    return b.groupBy(tx.severity(points, F.datediff("end", "start"), F.col("repeats")).alias("severity"), "reason").agg(F.count("*").alias("n"))
+@query(f"""WITH {REGISTER} SELECT 'severity' AS grain, CASE WHEN p >= 6 THEN 'critical' WHEN p >= 4 THEN 'high' WHEN p >= 2 THEN 'medium' ELSE 'low' END AS name, count(*) AS n FROM s GROUP BY 2
+UNION ALL SELECT 'tag', tag, count(*) FROM (SELECT unnest(tags) AS tag FROM s) GROUP BY 2 UNION ALL SELECT 'repeat', min(company), count(*) FROM s WHERE repeats > 1 GROUP BY "key" """)
+def a7_ban_rollup(spark, d):
+    return pr.ban_rollup(register(spark, d))
 
 
 @query(f"""WITH {CONTRACTS}, y AS (SELECT *, year(signed) AS year FROM contracts)
@@ -117,8 +129,7 @@ def a11_vendor_lists(spark, d):
 
 @query("SELECT year(o_orderdate) AS year, count(*) FILTER (o_orderstatus = 'F') AS \"F\", count(*) FILTER (o_orderstatus = 'O') AS \"O\", count(*) FILTER (o_orderstatus = 'P') AS \"P\" FROM orders GROUP BY 1")
 def a12_tender_funnel(spark, d):
-    o = table(spark, d, "orders").groupBy(F.year("o_orderdate").alias("year")).pivot("o_orderstatus", ["F", "O", "P"]).agg(F.count(F.lit(1)))
-    return o.select("year", *[F.coalesce(c, F.lit(0)).alias(c) for c in "FOP"])
+    return pr.tender_funnel(table(spark, d, "orders"), ["F", "O", "P"], "o_orderdate", "o_orderstatus")
 
 
 def with_nature(spark, d):
@@ -170,6 +181,24 @@ def a17_concentration(spark, d):
     return st.concentration(contracts(spark, d), ["ministry"], "awarded_to", "value")
 
 
+@query(f"""WITH {CONTRACTS}, p AS (SELECT awarded_to, sum(value) AS v FROM contracts GROUP BY 1), k AS (SELECT *, row_number() OVER (ORDER BY v DESC, awarded_to) AS k FROM p)
+SELECT round(sum(v), 2) AS total, count(*) AS n_keys, round(sum(v * v) / (sum(v) * sum(v)) * 10000, 4) AS hhi, round(sum(v) FILTER (k <= 10) / sum(v), 6) AS top_share FROM k""")
+def a17_national(spark, d):
+    return st.concentration(contracts(spark, d), [], "awarded_to", "value")
+
+
+@query(f"""WITH {CONTRACTS}, p AS (SELECT entity, awarded_to, sum(value) AS v FROM contracts GROUP BY 1, 2), k AS (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY v DESC, awarded_to) AS k FROM p)
+SELECT entity, round(sum(v), 2) AS total, count(*) AS n_keys, round(sum(v * v) / (sum(v) * sum(v)) * 10000, 4) AS hhi, round(sum(v) FILTER (k <= 10) / sum(v), 6) AS top_share FROM k GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15""")
+def a17_largest_groups(spark, d):
+    return st.concentration(contracts(spark, d), ["entity"], "awarded_to", "value", groups=15)
+
+
+@query(f"""WITH {CONTRACTS}, p AS (SELECT entity, awarded_to, count(*) AS c, sum(value) AS v FROM contracts GROUP BY 1, 2), o AS (SELECT entity, sum(c)::BIGINT AS n, sum(v) AS value, max(v) AS most FROM p GROUP BY 1)
+SELECT entity, n, round(value, 2) AS value, round(most / value, 6) AS share, least(floor(most / value * 5), 4)::INT AS bucket FROM o WHERE n >= 50 AND value >= 1e6 ORDER BY 4 DESC, 1 LIMIT 20""")
+def a18_worst_offices(spark, d):
+    return pr.office_concentration(contracts(spark, d), least_value=1e6, worst=20)
+
+
 @query(f"""WITH {CONTRACTS}, p AS (SELECT entity, awarded_to, count(*) AS c, sum(value) AS v FROM contracts GROUP BY 1, 2), o AS (SELECT entity, sum(c)::BIGINT AS n, sum(v) AS value, max(v) AS most FROM p GROUP BY 1)
 SELECT entity, n, round(value, 2) AS value, round(most / value, 6) AS share, least(floor(most / value * 5), 4)::INT AS bucket FROM o WHERE n >= 50 AND value >= 1e6""")
 def a18_office_concentration(spark, d):
@@ -233,12 +262,7 @@ def a21_ratio_bands(spark, d):
 @query(f"""WITH {PAIRS}, s AS (SELECT ratio, row_number() OVER (ORDER BY ratio) - 1 AS k, count(*) OVER () AS n FROM pairs)
 SELECT q, max(ratio) AS ratio FROM s, (VALUES (0.1::DOUBLE), (0.25::DOUBLE), (0.75::DOUBLE), (0.9::DOUBLE)) v(q) WHERE k = least(floor(n * q), n - 1) GROUP BY q""")
 def a21_ratio_quantiles(spark, d):
-    p = plan_pairs(spark, d).select("ratio")
-    out = None
-    for q in (0.1, 0.25, 0.75, 0.9):
-        one = st.quantile(p, [], "ratio", q, "index", "ratio").select(F.lit(q).alias("q"), "ratio")
-        out = one if out is None else out.unionByName(one)
-    return out
+    return st.quantiles(plan_pairs(spark, d), [], "ratio", [0.1, 0.25, 0.75, 0.9], "index").withColumnRenamed("quantile", "ratio")
 
 
 @query(f"""WITH {PAIRS}, r AS (SELECT {RANK_SQL} AS r) SELECT planned_method, method, count(*) AS n,
@@ -248,6 +272,13 @@ def a22_method_changes(spark, d):
     return pr.method_changes(plan_pairs(spark, d), RANK)
 
 
+@query(f"""WITH {PAIRS}, r AS (SELECT {RANK_SQL} AS r) SELECT planned_method, method, count(*) AS n,
+CASE WHEN planned_method = method THEN 'same' WHEN any_value(r[method]) < any_value(r[planned_method]) THEN 'less_open' ELSE 'more_open' END AS change,
+any_value(r[method]) = any_value(r[planned_method]) AND planned_method <> method AS equal_rank FROM pairs, r GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 15""")
+def a22_top_changes(spark, d):
+    return pr.method_changes(plan_pairs(spark, d), RANK, top=15)
+
+
 @query(f"WITH {PAIRS} SELECT tender_id, pkg_lot_id, batch, round(value - estimate, 2) AS excess FROM pairs ORDER BY round(value - estimate, 2) DESC, tender_id, pkg_lot_id, batch LIMIT 20")
 def a23_top_overruns(spark, d):
     p = plan_pairs(spark, d).withColumn("excess", F.round(F.col("value") - F.col("estimate"), 2))
@@ -307,7 +338,7 @@ def j7_id_aliases(spark, d):
 @query("SELECT count(*) AS n, count(*) FILTER (c_custkey % 5 <> 0) AS n_with_owner, count(DISTINCT c_mktsegment || c_nationkey) AS n_owners, round(count(*) FILTER (c_custkey % 5 <> 0) / count(*), 6) AS coverage FROM customer")
 def a25_owner_coverage(spark, d):
     c = table(spark, d, "customer").withColumn("owner", F.when(F.col("c_custkey") % 5 != 0, F.col("c_mktsegment")))
-    return c.agg(F.count("*").alias("n"), F.count("owner").alias("n_with_owner"), F.count_distinct(F.concat("c_mktsegment", F.col("c_nationkey").cast("string"))).alias("n_owners"), F.round(F.count("owner") / F.count("*"), 6).alias("coverage"))
+    return pr.owner_coverage(c.withColumn("person", F.concat("c_mktsegment", F.col("c_nationkey").cast("string"))), "owner", "person")
 
 
 @query(f"""WITH {CONTRACTS} SELECT awarded_to, round(sum(value), 2) AS value, max(signed) AS signed, arg_min(tender_id, (-(epoch(signed::TIMESTAMP) // 86400), tender_id, pkg_lot_id)) AS tender_id FROM contracts GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 100""")

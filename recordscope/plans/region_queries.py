@@ -8,6 +8,7 @@ from recordscope.functions import dates as dt
 from recordscope.operators import match as mt
 from recordscope.operators import quality as ql
 from recordscope.operators import regions as rg
+from recordscope.operators import sets
 from recordscope.operators import stats as st
 from recordscope.plans.base import DAYS, line_days, query, table
 
@@ -118,6 +119,13 @@ def a69_pivot(spark, d):
     return fact_cube(spark, d).groupBy("district").pivot("country", ["AUTOMOBILE", "BUILDING"]).agg(F.sum("n"))
 
 
+@query(f"""WITH {FACTS}, r AS (SELECT strftime(date, '%Y-%m') AS month, division::VARCHAR AS division, district, country, sum(n)::BIGINT AS n FROM facts WHERE district IS NOT NULL GROUP BY ALL)
+SELECT 'month' AS grain, month, division, district, country, n FROM r UNION ALL SELECT * FROM (SELECT 'top_country', NULL, NULL, NULL, country, sum(n)::BIGINT AS n FROM r GROUP BY country ORDER BY n DESC, country LIMIT 10)
+UNION ALL SELECT * FROM (SELECT 'top_district', NULL, NULL, district, NULL, sum(n)::BIGINT AS n FROM r GROUP BY district ORDER BY n DESC, district LIMIT 10)""")
+def a69_exports(spark, d):
+    return rg.exports(facts(spark, d).filter("district is not null"))
+
+
 @query("""SELECT CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'MACHINERY') THEN 'Vehicles' ELSE c_mktsegment END AS country, count(*) AS n FROM customer GROUP BY 1""")
 def c18_canonical(spark, d):
     c = table(spark, d, "customer")
@@ -157,6 +165,14 @@ def c11_j11_override(spark, d):
     return ql.override(base, better, ["month"])
 
 
+@query("""WITH b AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, o_orderstatus, count(*) AS n, sum(o_custkey)::BIGINT AS s FROM orders GROUP BY 1, 2)
+SELECT month, count(*) AS rows, sum(CASE WHEN o_orderstatus = 'P' THEN 2 WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END)::BIGINT AS differing FROM b WHERE month LIKE '%-03' GROUP BY 1""")
+def c11_superseded(spark, d):
+    base = table(spark, d, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month"), "o_orderstatus").agg(F.count("*").alias("n"), F.sum("o_custkey").alias("s"))
+    better = base.filter("month like '%-03' and o_orderstatus <> 'P'").withColumn("n", F.when(F.col("o_orderstatus") == "F", F.col("n") + 1).otherwise(F.col("n")))
+    return ql.superseded(base, better, ["month"], ["n", "s"])
+
+
 @query("SELECT strftime(o_orderdate, '%Y-%m') AS month, o_orderstatus, CASE WHEN month(o_orderdate) = 4 AND o_orderstatus = 'F' THEN -1 ELSE count(*) END AS n, month(o_orderdate) = 4 AND o_orderstatus = 'F' AS fixed FROM orders GROUP BY month(o_orderdate), 1, 2")
 def c11_fixes(spark, d):
     base = compiled(spark, d)
@@ -251,16 +267,39 @@ def a57_rates(spark, d):
     return c.select("unit", F.round(rg.rate_per_100k(F.col("n"), F.when(F.col("unit") % 8 != 0, F.col("p")), F.lit(80)), 4).alias("rate"))
 
 
-@query(f"""WITH {CASES}, s AS (SELECT month, sum(n) AS n FROM cases GROUP BY 1), i AS (SELECT *, (substr(month, 1, 4)::INT * 12 + substr(month, 6, 2)::INT - 1) AS i FROM s),
-t AS (SELECT i // 18 AS no, n, CASE WHEN i % 18 = 0 THEN 0.4::DOUBLE ELSE 1.0::DOUBLE END AS share FROM i UNION ALL SELECT i // 18 - 1, n, 0.6 FROM i WHERE i % 18 = 0), p AS (SELECT no, sum(share) AS w, sum(n * share) / sum(share) AS mean FROM t GROUP BY 1)
-SELECT 'tenure ' || no AS tenure, no::INT AS no, round(w, 4) AS months, round(mean, 4) AS mean, CASE WHEN lag(mean) OVER (ORDER BY no) > 0.5 THEN round((mean / lag(mean) OVER (ORDER BY no) - 1) * 100, 4) END AS change_pct FROM p""")
+TENURES = """tn AS (SELECT 'tenure ' || k AS tenure, k::INT AS no, strftime(DATE '1992-01-01' + to_months((k * 18)::INT), '%Y-%m') AS first, strftime(DATE '1992-01-01' + to_months((k * 18 + 17)::INT), '%Y-%m') AS last FROM range(6) t(k)),
+sp AS (SELECT first AS month, tenure, no, 0.4::DOUBLE AS share FROM tn WHERE no > 0 UNION ALL SELECT n.first, p.tenure, p.no, 0.6 FROM tn n JOIN tn p ON p.no = n.no - 1),
+sh AS (SELECT tenure, no, month, share FROM sp UNION ALL SELECT tenure, no, m.month, 1.0 FROM (SELECT DISTINCT month FROM cases) m JOIN tn ON m.month BETWEEN first AND last WHERE m.month NOT IN (SELECT month FROM sp)),
+tenures AS (SELECT * FROM sh WHERE month IN (SELECT month FROM cases)), w AS (SELECT tenure, no, sum(share) AS w FROM sh GROUP BY 1, 2)"""
+
+
+def tenures(spark, months):
+    """Six tenures of 18 months; the first month of each is split with the one before."""
+    k = F.col("id").cast("int")
+    at = lambda n: F.date_format(F.add_months(F.lit("1992-01-01").cast("date"), n), "yyyy-MM")
+    tn = spark.range(6).select(F.concat(F.lit("tenure "), k.cast("string")).alias("tenure"), k.alias("no"), at(k * 18).alias("first"), at(k * 18 + 17).alias("last"))
+    before = tn.select((F.col("no") + 1).alias("no"), "tenure")
+    splits = tn.filter("no > 0").select(F.col("first").alias("month"), "tenure", F.lit(0.4).alias("share")).unionByName(tn.select("no", F.col("first").alias("month")).join(before, "no").select("month", "tenure", F.lit(0.6).alias("share")))
+    return rg.tenure_shares(months, tn, splits)
+
+
+@query(f"""WITH {CASES}, {TENURES}, p AS (SELECT tenure, no, w.w, sum(n * share) / w.w AS mean FROM (SELECT month, sum(n) AS n FROM cases GROUP BY 1) JOIN tenures USING (month) RIGHT JOIN w USING (tenure, no) GROUP BY 1, 2, 3)
+SELECT tenure, no, round(w, 4) AS months, round(coalesce(mean, 0), 4) AS mean, CASE WHEN lag(mean) OVER (ORDER BY no) > 0.5 THEN round((coalesce(mean, 0) / lag(mean) OVER (ORDER BY no) - 1) * 100, 4) END AS change_pct FROM p""")
 def a59_tenures(spark, d):
     m = cases(spark, d).groupBy("month").agg(F.sum("n").alias("n"))
-    i = rg.month_index(F.col("month"))
-    k = F.floor(i / 18).cast("int")
-    parts = F.when(i % 18 == 0, F.array(F.struct(k.alias("no"), F.lit(0.4).alias("share")), F.struct((k - 1).alias("no"), F.lit(0.6).alias("share")))).otherwise(F.array(F.struct(k.alias("no"), F.lit(1.0).alias("share"))))
-    tenures = m.select("month", F.explode(parts).alias("t")).select("month", "t.*").withColumn("tenure", F.concat(F.lit("tenure "), F.col("no").cast("string")))
-    return rg.tenure_rate(m, tenures)
+    return rg.tenure_rate(m, tenures(spark, m))
+
+
+@query(f"""WITH {CASES}, {TENURES}, m AS (SELECT month, category, sum(n) AS n FROM cases GROUP BY 1, 2), x AS (SELECT category, first AS month, no - 1 AS no FROM tn, (SELECT 'F' AS category) WHERE no > 0),
+c AS (SELECT no, category, n * share AS s FROM m JOIN tenures USING (month) WHERE (category, month) NOT IN (SELECT (category, month) FROM x) UNION ALL SELECT x.no, m.category, n FROM m JOIN x ON x.category = m.category AND x.month = m.month),
+p AS (SELECT w.tenure, w.no, k.category, w.w, coalesce(sum(c.s), 0) / w.w AS mean FROM w CROSS JOIN (SELECT DISTINCT category FROM m) k LEFT JOIN c ON c.no = w.no AND c.category = k.category GROUP BY 1, 2, 3, 4)
+SELECT tenure, no, category, round(w, 4) AS months, round(mean, 4) AS mean, CASE WHEN lag(mean) OVER (PARTITION BY category ORDER BY no) > 0.5 THEN round((mean / lag(mean) OVER (PARTITION BY category ORDER BY no) - 1) * 100, 4) END AS change_pct FROM p""")
+def a59_offences(spark, d):
+    """Cases of one category in a split month count with the earlier tenure as a whole."""
+    m = cases(spark, d).groupBy("month", "category").agg(F.sum("n").alias("n"))
+    shares = tenures(spark, m)
+    moved = shares.filter("share = 0.6").select(F.lit("F").alias("category"), "month", "tenure", F.lit(1.0).alias("share"))
+    return rg.tenure_rate(m, shares, ["category"], moved)
 
 
 @query(f"WITH {CASES} SELECT unit, (sum(n) FILTER (month BETWEEN '1998-01' AND '1998-06'))::BIGINT AS now, (sum(n) FILTER (month BETWEEN '1997-07' AND '1997-12'))::BIGINT AS before, round((avg(n) FILTER (month BETWEEN '1998-01' AND '1998-06') - avg(n) FILTER (month BETWEEN '1997-07' AND '1997-12')) / avg(n) FILTER (month BETWEEN '1997-07' AND '1997-12') * 100, 4) AS change_pct FROM cases GROUP BY 1")
@@ -280,14 +319,13 @@ def a62_year_matrix(spark, d):
     return rg.year_matrix(line_days(spark, d), "demand")
 
 
-UNITS = "u AS (SELECT n_name AS unit, n_regionkey AS division, CASE WHEN n_nationkey % 5 = n_regionkey AND n_nationkey < 10 THEN 'metro' ELSE 'range' END AS kind, n_nationkey * 1000 + 5000 AS population FROM nation)"
+UNITS = "u AS (SELECT c_name AS unit, c_nationkey AS division, CASE WHEN c_custkey % 10 = 0 THEN 'metro' ELSE 'range' END AS kind, c_custkey * 10 + 5000 AS population FROM customer)"
 
 
 @query(f"WITH {UNITS} SELECT unit, kind, population, CASE WHEN kind = 'range' THEN population - coalesce(sum(population) FILTER (kind = 'metro') OVER (PARTITION BY division), 0) ELSE population END::BIGINT AS remaining FROM u")
 def j17_remaining(spark, d):
-    n = table(spark, d, "nation")
-    kind = F.when((F.col("n_nationkey") % 5 == F.col("n_regionkey")) & (F.col("n_nationkey") < 10), "metro").otherwise("range")
-    u = n.select(F.col("n_name").alias("unit"), F.col("n_regionkey").alias("division"), kind.alias("kind"), (F.col("n_nationkey") * 1000 + 5000).alias("population"))
+    kind = F.when(F.col("c_custkey") % 10 == 0, "metro").otherwise("range")
+    u = table(spark, d, "customer").select(F.col("c_name").alias("unit"), F.col("c_nationkey").alias("division"), kind.alias("kind"), (F.col("c_custkey") * 10 + 5000).alias("population"))
     return rg.remaining_population(u).select("unit", "kind", "population", "remaining")
 
 
@@ -406,16 +444,32 @@ def u3_missing_days(spark, d):
     return ql.missing_days(line_days(spark, d), dt.days(spark, "1995-01-01", "2002-01-31"))
 
 
+@query(f"""WITH {FACTS}, f AS (SELECT DISTINCT date, gender FROM facts WHERE day(date) <> 21), c AS (SELECT date, gender FROM facts WHERE day(date) % 6 <> 0 GROUP BY 1, 2) SELECT date FROM f ANTI JOIN (SELECT DISTINCT date FROM c WHERE gender = 'F') USING (date) GROUP BY 1""")
+def u3_dead_days(spark, d):
+    f = facts(spark, d)
+    log = f.filter(F.dayofmonth("date") != 21).select("date")
+    control = f.filter("gender = 'F'").withColumn("n", F.when(F.dayofmonth("date") % 6 == 0, 0).otherwise(F.col("n")))
+    return ql.dead_periods(log, control)
+
+
+@query(f"""WITH {FACTS}, f AS (SELECT DISTINCT gender, strftime(date, '%Y-%m') AS month FROM facts), c AS (SELECT DISTINCT gender, strftime(date, '%Y-%m') AS month FROM facts WHERE NOT (gender = 'P' AND month(date) % 3 = 1)) SELECT gender, month FROM f ANTI JOIN c USING (gender, month)""")
+def u3_dead_months(spark, d):
+    f = facts(spark, d).withColumn("month", F.date_format("date", "yyyy-MM"))
+    quiet = (F.col("gender") == "P") & (F.month("date") % 3 == 1)
+    return ql.dead_periods(f, f.withColumn("n", F.when(quiet, 0).otherwise(F.col("n"))), ["gender"], "month")
+
+
 @query("SELECT c_nationkey AS k FROM customer INTERSECT SELECT s_nationkey FROM supplier")
 def u2_intersection(spark, d):
-    return table(spark, d, "customer").select(F.col("c_nationkey").alias("k")).intersect(table(spark, d, "supplier").select("s_nationkey"))
+    a, b = table(spark, d, "customer").select(F.col("c_nationkey").alias("k")), table(spark, d, "supplier").select(F.col("s_nationkey").alias("k"))
+    return sets.common_keys(a, b, ["k"])
 
 
 @query("SELECT name, max(balance) AS balance, count(brand) AS brands FROM (SELECT c_name AS name, c_acctbal AS balance, NULL AS brand FROM customer UNION ALL SELECT p_name, NULL, p_brand FROM part) GROUP BY 1")
 def u1_union(spark, d):
     a = table(spark, d, "customer").select(F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"))
     b = table(spark, d, "part").select(F.col("p_name").alias("name"), F.col("p_brand").alias("brand"))
-    return a.unionByName(b, allowMissingColumns=True).groupBy("name").agg(F.max("balance").alias("balance"), F.count("brand").alias("brands"))
+    return sets.union_all([a, b]).groupBy("name").agg(F.max("balance").alias("balance"), F.count("brand").alias("brands"))
 
 
 @query("""WITH m AS (SELECT unnest(generate_series(DATE '1997-01-01', DATE '1998-03-17', INTERVAL 1 MONTH))::DATE AS ms), c AS (SELECT ms, greatest(ms, DATE '1997-01-10') AS a, least(last_day(ms), DATE '1998-03-17') AS b FROM m),
@@ -441,21 +495,21 @@ def u7_screening(spark, d):
     return rg.screening_plan(live, weeks, 40, done, year.filter(F.dayofmonth("date") == 13))
 
 
-@query("SELECT c_custkey, c_custkey % 12 BETWEEN 1 AND 8 AS valid, CASE WHEN c_custkey % 100 = 0 THEN 'sentinel' END AS flag FROM customer")
+@query("SELECT o_orderkey, o_custkey % 12 BETWEEN 1 AND 8 AS valid, CASE WHEN o_orderdate::DATE IN (DATE '1996-01-01', DATE '1997-06-19') THEN 'volatile_sentinel' END AS date_flag FROM orders")
 def c24_c25_flags(spark, d):
-    c = table(spark, d, "customer")
-    return c.select("c_custkey", (F.col("c_custkey") % 12).isin(*range(1, 9)).alias("valid"), F.when((F.col("c_custkey") % 100).isin(0), "sentinel").alias("flag"))
+    o = table(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") % 12).alias("division"), F.to_date("o_orderdate").alias("date"))
+    return ql.flag_rows(o, "division", range(1, 9), "date", ["1996-01-01", "1997-06-19"]).select("o_orderkey", "valid", "date_flag")
 
 
 @query("SELECT o_orderkey, o_totalprice, CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE o_custkey END AS c FROM orders ORDER BY o_orderstatus = 'P' DESC, c DESC NULLS LAST, o_totalprice, o_orderkey LIMIT 200")
 def l1_l2_l3_order(spark, d):
     o = table(spark, d, "orders").withColumn("c", F.when(F.col("o_custkey") % 5 != 0, F.col("o_custkey")))
-    return o.orderBy((F.col("o_orderstatus") == "P").desc(), F.col("c").desc_nulls_last(), "o_totalprice", "o_orderkey").limit(200).select("o_orderkey", "o_totalprice", "c")
+    return sets.first_rows(o, [(F.col("o_orderstatus") == "P").desc(), F.col("c").desc_nulls_last(), "o_totalprice", "o_orderkey"], 200).select("o_orderkey", "o_totalprice", "c")
 
 
-@query()
+@query("SELECT o_custkey FROM (SELECT DISTINCT o_custkey FROM orders) ORDER BY md5(o_custkey || ':7'), o_custkey LIMIT 50")
 def l4_random_keys(spark, d):
-    return table(spark, d, "orders").select("o_custkey").distinct().orderBy(F.rand(7)).limit(50)
+    return sets.random_keys(table(spark, d, "orders"), "o_custkey", 50)
 
 
 @query("""WITH a AS (SELECT p_partkey, list_distinct(list_filter(string_split(lower(p_name), ' '), lambda x: length(x) > 2 AND x NOT IN ('small', 'red'))) AS t FROM part), b AS (SELECT DISTINCT p_name AS other, list_distinct(list_filter(string_split(lower(p_name), ' '), lambda x: length(x) > 2 AND x NOT IN ('small', 'red'))) AS u FROM part WHERE p_size % 4 = 0),

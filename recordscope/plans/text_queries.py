@@ -68,25 +68,25 @@ def c9_tolerant_number(spark, d):
     return customers(spark, d).select("c_custkey", tx.tolerant_number(said).alias("number"))
 
 
-@query("""SELECT c_custkey, CASE c_custkey % 7 WHEN 0 THEN 111 WHEN 1 THEN NULL WHEN 3 THEN NULL ELSE c_nationkey END::BIGINT AS value,
-CASE c_custkey % 7 WHEN 0 THEN 'read ''Il|'' as 111' WHEN 1 THEN CASE WHEN c_nationkey = 0 THEN NULL ELSE 'negative count ''-' || c_nationkey || ''' rejected' END WHEN 2 THEN 'read ''. ' || c_nationkey || '-'' as ' || c_nationkey END AS note FROM customer WHERE NOT (c_custkey % 7 = 1 AND c_nationkey = 0)""")
+@query("""SELECT c_custkey, CASE c_custkey % 7 WHEN 0 THEN 111 WHEN 1 THEN CASE WHEN c_nationkey = 0 THEN 0 END WHEN 3 THEN NULL ELSE c_nationkey END::BIGINT AS value,
+CASE c_custkey % 7 WHEN 0 THEN 'scan Il| counts as 111' WHEN 1 THEN CASE WHEN c_nationkey = 0 THEN NULL ELSE 'no count below zero: -' || c_nationkey END WHEN 2 THEN 'scan . ' || c_nationkey || '- counts as ' || c_nationkey END AS note FROM customer""")
 def c10_scanned_count(spark, d):
     n, k = F.col("c_nationkey").cast("string"), F.col("k")
     raw = F.when(k == 0, F.lit("Il|")).when(k == 1, F.concat(F.lit("-"), n)).when(k == 2, F.concat(F.lit(". "), n, F.lit("-"))).when(k == 3, F.lit(" nan ")).otherwise(F.concat(n, F.lit(".0")))
     r = tx.repaired_count(raw)
-    return customers(spark, d).filter(~((k == 1) & (F.col("c_nationkey") == 0))).select("c_custkey", r["value"].alias("value"), r["note"].alias("note"))
+    return customers(spark, d).select("c_custkey", r["value"].alias("value"), r["note"].alias("note"))
 
 
 @query("SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n FROM orders GROUP BY 1")
 def c12_month_label(spark, d):
-    return table(spark, d, "orders").groupBy(dt.month_label(F.date_format("o_orderdate", "MMM-yy")).alias("month")).agg(F.count("*").alias("n")).withColumn("month", F.regexp_replace("month", "^20(9.)", "19$1"))
+    return table(spark, d, "orders").groupBy(dt.month_label(F.date_format("o_orderdate", "MMM-yy"), 1970).alias("month")).agg(F.count("*").alias("n"))
 
 
-@query("""WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate::DATE AS listing, CASE WHEN l_partkey % 3 = 0 THEN l_shipdate::DATE - (l_partkey % 9)::INT ELSE (l_shipdate::DATE - (l_partkey % 9)::INT) - INTERVAL 1 YEAR END::DATE AS report FROM lineitem WHERE l_shipdate < '1999-06-01'),
+@query("""WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate::DATE AS listing, CASE WHEN l_partkey % 3 = 0 THEN l_shipdate::DATE - (l_partkey % 9)::INT ELSE (l_shipdate::DATE - (l_partkey % 9)::INT) - INTERVAL 1 YEAR END::DATE AS report FROM lineitem),
 m AS (SELECT *, try_cast(year(listing) || '-' || lpad(month(report)::VARCHAR, 2, '0') || '-' || lpad(day(report)::VARCHAR, 2, '0') AS DATE) AS moved FROM l)
 SELECT CASE WHEN listing - report BETWEEN 0 AND 5 THEN report WHEN listing - moved BETWEEN 0 AND 5 THEN moved END AS date, count(*) AS n FROM m GROUP BY 1""")
 def c16_repaired_year(spark, d):
-    l = table(spark, d, "lineitem").filter("l_shipdate < timestamp'1999-06-01'").withColumn("listing", F.to_date("l_shipdate"))  # noqa: E741
+    l = table(spark, d, "lineitem").withColumn("listing", F.to_date("l_shipdate"))  # noqa: E741
     near = F.date_sub("listing", (F.col("l_partkey") % 9).cast("int"))
     report = F.when(F.col("l_partkey") % 3 == 0, near).otherwise(F.add_months(near, -12))
     return l.groupBy(dt.repair_year(report, F.col("listing")).alias("date")).agg(F.count("*").alias("n"))
@@ -154,9 +154,9 @@ def c33_search(spark, d):
     return table(spark, d, "part").filter(tx.contains_either("RiNg", F.col("p_name"), F.col("p_type"))).select("p_partkey", "p_name")
 
 
-@query("""WITH f AS (SELECT o_orderkey, o_orderdate::DATE AS s, (o_orderdate::DATE + 364)::DATE AS e FROM orders WHERE o_orderkey % 10 = 0) SELECT o_orderkey, s AS "start", e AS "end", CASE WHEN o_orderkey % 20 = 0 THEN 'stay order' END AS note FROM f""")
+@query("""WITH f AS (SELECT o_orderkey, o_orderdate::DATE AS s, (o_orderdate::DATE + 364)::DATE AS e FROM orders) SELECT o_orderkey, s AS "start", e AS "end", CASE WHEN o_orderkey % 20 = 0 THEN 'stay order' END AS note FROM f""")
 def s11_period(spark, d):
-    o = table(spark, d, "orders").filter("o_orderkey % 10 = 0").withColumn("e", F.date_add(F.to_date("o_orderdate"), 364))
+    o = table(spark, d, "orders").withColumn("e", F.date_add(F.to_date("o_orderdate"), 364))
     said = F.concat(F.date_format("o_orderdate", "d-MMM-yyyy"), F.lit(" to "), F.date_format("e", "d-MMM-yyyy"), F.when(F.col("o_orderkey") % 20 == 0, " (stay order )").otherwise(""))
     p = dt.split_period(said)
     return o.select("o_orderkey", p["start"].alias("start"), p["end"].alias("end"), p["note"].alias("note"))
@@ -177,9 +177,9 @@ def s16_units_sum(spark, d):
 
 
 # Rows of award tables as a publisher prints them: tags inside cells, entities, breaks, uneven white space.
-@query("""SELECT o_orderkey, [o_orderkey::VARCHAR, 'Ref & <' || o_custkey || '>', o_orderpriority, strftime(o_orderdate, '%d-%b-%Y')] AS cells, o_custkey AS reference_no, o_orderdate::DATE AS signed FROM orders WHERE o_orderkey % 10 = 1""")
+@query("""SELECT o_orderkey, [o_orderkey::VARCHAR, 'Ref & <' || o_custkey || '>', o_orderpriority, strftime(o_orderdate, '%d-%b-%Y')] AS cells, o_custkey AS reference_no, o_orderdate::DATE AS signed FROM orders""")
 def s9_s10_html_rows(spark, d):
-    o = table(spark, d, "orders").filter("o_orderkey % 10 = 1")
+    o = table(spark, d, "orders")
     page = F.concat(
         F.lit("<table><tr class='x'><td>"), F.col("o_orderkey").cast("string"), F.lit("</td>\n<td> Ref &amp; <b>&lt;"), F.col("o_custkey").cast("string"), F.lit("&gt;</b>,</td><TD>"), "o_orderpriority",
         F.lit("</TD><td>\n"), F.date_format("o_orderdate", "dd-MMM-yyyy"), F.lit(" &nbsp;</td></tr></table>"),
@@ -189,25 +189,24 @@ def s9_s10_html_rows(spark, d):
     return ex.map_cells(rows, fields).select("o_orderkey", "cells", "reference_no", "signed")
 
 
-@query("""WITH x AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS pos FROM documents),
-z AS (SELECT *, CASE WHEN pos % 4 = 0 THEN 'Zone' || pos END AS zone FROM x WHERE pos <= 10)
-SELECT source, pos, first_value(zone IGNORE NULLS) OVER (PARTITION BY source ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS zone FROM z""")
+# documents of a source as the lines of one long sheet, every fourth id a subtotal, every 50th a grand total
+@query("""WITH z AS (SELECT source, doc_id AS pos, CASE WHEN doc_id % 50 = 7 THEN '' WHEN doc_id % 4 = 0 THEN 'Zone' || doc_id END AS event FROM documents),
+n AS (SELECT source, pos, first_value(event IGNORE NULLS) OVER (PARTITION BY source ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS event FROM z)
+SELECT source, pos, nullif(event, '') AS zone FROM n""")
 def s15_following_total(spark, d):
-    from pyspark.sql import Window
-
-    x = table(spark, d, "documents").withColumn("pos", F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))).filter("pos <= 10")
-    said = x.withColumn("label", F.when(F.col("pos") % 4 == 0, F.concat(F.lit("Zone"), F.col("pos").cast("string"), F.lit(" Area Total"))).otherwise(F.lit("plant")))
-    return ex.label_by_following_total(said, "source", "pos", "label").select("source", "pos", "zone")
+    k = F.col("doc_id")
+    label = F.when(k % 50 == 7, F.lit("Grand Total")).when(k % 4 == 0, F.concat(F.lit("Zone"), k.cast("string"), F.lit(" Area Total"))).otherwise(F.lit("plant"))
+    lines = table(spark, d, "documents").select("source", k.alias("pos"), label.alias("label"))
+    return ex.label_by_following_total(lines, "source", "pos", "label", block=500).select("source", "pos", "zone")
 
 
 CELLS = """cells AS (SELECT c_custkey AS doc, r AS "row", k AS col, CASE WHEN r = 2 THEN ['Plant', 'Date', 'Output (MW)', 'Peak'][k + 1] WHEN r = 0 AND k = 0 THEN 'Date :' WHEN r = 0 AND k = 2 THEN strftime(DATE '2024-01-01' + (c_custkey % 300)::INT, '%d-%m-%Y')
-  WHEN r > 2 THEN [c_name || r, 'x', (c_nationkey * r)::VARCHAR, ''][k + 1] END AS text FROM customer, range(5) a(r), range(4) b(k) WHERE c_custkey % 5 = 0)"""
+  WHEN r > 2 THEN [c_name || r, 'x', (c_nationkey * r)::VARCHAR, ''][k + 1] END AS text FROM customer, range(5) a(r), range(4) b(k))"""
 
 
 def sheet_cells(spark, d):
     """Customers as small sheets of cells (doc, row, col, text): a date line, a header line and two data lines."""
-    c = table(spark, d, "customer").filter("c_custkey % 5 = 0")
-    c = c.withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(4)))).withColumn("col", F.explode(F.sequence(F.lit(0), F.lit(3))))
+    c = table(spark, d, "customer").withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(4)))).withColumn("col", F.explode(F.sequence(F.lit(0), F.lit(3))))
     at = lambda *xs: F.element_at(F.array(*xs), F.col("col") + 1)
     when = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("c_custkey") % 300).cast("int")), "dd-MM-yyyy")
     text = (
@@ -219,27 +218,27 @@ def sheet_cells(spark, d):
     return c.select(F.col("c_custkey").alias("doc"), "row", "col", text.alias("text")).filter("text is not null")
 
 
-@query("""SELECT c_custkey AS doc, r AS "row", c_name || r AS plant, (c_nationkey * r)::DOUBLE AS output FROM customer, range(3, 5) a(r) WHERE c_custkey % 5 = 0""")
+@query("""SELECT c_custkey AS doc, r AS "row", c_name || r AS plant, (c_nationkey * r)::DOUBLE AS output FROM customer, range(3, 5) a(r)""")
 def s18_rows_under_header(spark, d):
     rows = ex.rows_under_header(sheet_cells(spark, d), {"plant": "(?i)^plant", "output": "(?i)output", "remarks": "(?i)remark"})
     return rows.select("doc", "row", "plant", tx.tolerant_number(F.col("output")).alias("output"))
 
 
-@query("""SELECT c_custkey AS doc, DATE '2024-01-01' + (c_custkey % 300)::INT AS date FROM customer WHERE c_custkey % 5 = 0""")
+@query("""SELECT c_custkey AS doc, DATE '2024-01-01' + (c_custkey % 300)::INT AS date FROM customer""")
 def s19_sheet_date(spark, d):
     return ex.sheet_date(sheet_cells(spark, d))
 
 
-@query("""SELECT c_custkey AS doc, r AS "row", (c_nationkey * r)::DOUBLE AS value FROM customer, range(3, 5) a(r) WHERE c_custkey % 5 = 0""")
+@query("""SELECT c_custkey AS doc, r AS "row", (c_nationkey * r)::DOUBLE AS value FROM customer, range(3, 5) a(r)""")
 def s17_value_right_of(spark, d):
     return ex.value_right_of(sheet_cells(spark, d), "^Customer", 3).select("doc", "row", "value")
 
 
-@query("""SELECT n_nationkey AS doc, g AS "group", n_name || g AS name, (n_nationkey + g)::DOUBLE AS load FROM nation, range(3) x(g)""")
+@query("""SELECT c_custkey AS doc, g AS "group", c_name || g AS name, (c_nationkey + g)::DOUBLE AS load FROM customer, range(3) x(g)""")
 def s14_unpacked_groups(spark, d):
-    n = table(spark, d, "nation")
-    cells = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(2)), lambda g: F.array(F.concat("n_name", g.cast("string")), (F.col("n_nationkey") + g).cast("string"), F.lit("12:00"))))
-    out = ex.unpack_groups(n.select(F.col("n_nationkey").alias("doc"), cells.alias("cells")), "cells", ["name", "load", "time"])
+    c = table(spark, d, "customer")
+    cells = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(2)), lambda g: F.array(F.concat("c_name", g.cast("string")), (F.col("c_nationkey") + g).cast("string"), F.lit("12:00"))))
+    out = ex.unpack_groups(c.select(F.col("c_custkey").alias("doc"), cells.alias("cells")), "cells", ["name", "load", "time"])
     return out.select("doc", "group", "name", F.col("load").cast("double").alias("load"))
 
 
@@ -251,9 +250,9 @@ def s12_report_fields(spark, d):
     return out.select("doc", "total", "gas", F.when(F.col("report").rlike("(?i)^daily forecast"), "forecast").otherwise("report").alias("form"))
 
 
-@query("""SELECT c_custkey AS doc, c_name AS label, y AS fiscal_year, (c_nationkey + k)::DOUBLE AS value FROM customer, (VALUES ('FY22', 0), ('FY23', 1), ('FY24', 2)) v(y, k) WHERE c_custkey % 5 = 0""")
+@query("""SELECT c_custkey AS doc, c_name AS label, y AS fiscal_year, (c_nationkey + k)::DOUBLE AS value FROM customer, (VALUES ('FY22', 0), ('FY23', 1), ('FY24', 2)) v(y, k)""")
 def s20_table_lines(spark, d):
-    c = table(spark, d, "customer").filter("c_custkey % 5 = 0")
+    c = table(spark, d, "customer")
     n = F.col("c_nationkey")
     lines = F.array(F.lit("Country FY22 FY23 FY24"), F.concat_ws("  ", "c_name", n.cast("string"), (n + 1).cast("string"), (n + 2).cast("string")), F.lit("Total 1 2 3"))
     rows = c.select(F.col("c_custkey").alias("doc"), F.posexplode(lines).alias("line", "text"))
@@ -264,9 +263,9 @@ def _td(*lines):
     return F.concat(F.lit("<td> "), F.concat_ws("<br/>", *lines), F.lit(" </td>"))
 
 
-@query("""SELECT o_orderkey::VARCHAR AS tender_id, 'PKG/' || o_custkey AS package_ref, o_orderstatus AS status, 'Goods & works' AS procurement_nature, o_orderpriority AS procuring_entity, strftime(o_orderdate, '%d-%b-%Y') AS publish_date, NULL::VARCHAR AS close_date FROM orders WHERE o_orderkey % 10 = 2""")
+@query("""SELECT o_orderkey::VARCHAR AS tender_id, 'PKG/' || o_custkey AS package_ref, o_orderstatus AS status, 'Goods & works' AS procurement_nature, o_orderpriority AS procuring_entity, strftime(o_orderdate, '%d-%b-%Y') AS publish_date, NULL::VARCHAR AS close_date FROM orders""")
 def s10_tenders(spark, d):
-    o = table(spark, d, "orders").filter("o_orderkey % 10 = 2")
+    o = table(spark, d, "orders")
     row = F.concat(
         F.lit("<tr>"), _td(F.lit("1")), _td(F.col("o_orderkey").cast("string"), F.concat(F.lit("PKG/"), F.col("o_custkey").cast("string")), F.col("o_orderstatus")), _td(F.lit("Goods &amp; works"), F.lit("<b>d</b>")),
         _td(F.lit("m"), F.lit("d"), F.lit("o"), F.col("o_orderpriority")), _td(F.lit("NCT"), F.lit("OTM")), _td(F.concat(F.date_format("o_orderdate", "dd-MMM-yyyy"), F.lit(","))), F.lit("</tr><tr><td>short</td></tr>"),
@@ -275,8 +274,65 @@ def s10_tenders(spark, d):
     return out.select("tender_id", "package_ref", "status", "procurement_nature", "procuring_entity", "publish_date", "close_date")
 
 
-@query("""SELECT c_custkey, c_name AS name, c_mktsegment AS designation FROM customer WHERE c_custkey % 4 = 1""")
+@query("""SELECT c_custkey, c_name AS name, c_mktsegment AS designation FROM customer""")
 def s10_owner_table(spark, d):
-    c = table(spark, d, "customer").filter("c_custkey % 4 = 1")
+    c = table(spark, d, "customer")
     page = F.concat(F.lit("<table><tr><td>Name</td></tr><tr>"), _td(F.col("c_name")), _td(F.col("c_mktsegment")), _td(F.lit("50%")), _td(F.lit("BD")), F.lit("</tr></table>"))
     return ex.owner_table(c.select("c_custkey", page.alias("html")), "html").select("c_custkey", F.explode("owners").alias("o")).select("c_custkey", "o.name", "o.designation")
+
+
+def layout_rows(spark, d, cells):
+    """One row fragment an order, each cell the lines given."""
+    row = F.concat(F.lit("<tr>"), *[_td(*lines) for lines in cells], F.lit("</tr>"))
+    return ex.html_cells(table(spark, d, "orders").select("o_orderkey", row.alias("html")), "html")
+
+
+@query("""SELECT o_orderkey, o_orderkey::VARCHAR AS tender_id, 'REF-' || o_custkey AS package_ref, 'Ministry' AS ministry, 'Office' AS procuring_entity, o_orderpriority AS procurement_method, 'Firm ' || o_custkey AS awarded_to, o_totalprice::VARCHAR AS value_crore FROM orders""")
+def s10_awards(spark, d):
+    s = F.col("o_custkey").cast("string")
+    rows = layout_rows(spark, d, [[F.lit("1")], [F.lit("Ministry"), F.lit("Division")], [F.concat(F.col("o_orderkey").cast("string"), F.lit(", REF-"), s), F.lit("supply")], [F.lit("Office"), F.col("o_orderpriority")], [F.lit("District")], [F.date_format("o_orderdate", "dd-MMM-yyyy")], [F.concat(F.lit("Firm "), s)], [F.col("o_totalprice").cast("string")]])
+    return ex.parse_layout(rows, ex.LAYOUTS["awards"]).select("o_orderkey", "tender_id", "package_ref", "ministry", "procuring_entity", "procurement_method", "awarded_to", "value_crore")
+
+
+@query("""SELECT o_orderkey, 'Office' AS procuring_entity, 'Goods' AS procurement_nature, o_orderkey::VARCHAR AS tender_id, 'road ' || o_custkey AS title, 'Firm ' || o_custkey AS awarded_to, strftime(o_orderdate, '%d-%b-%Y') AS contract_start_date, CASE WHEN o_orderkey % 2 = 0 THEN '31-Dec-2001' END AS contract_end_date, o_orderstatus AS work_status FROM orders""")
+def s10_experience(spark, d):
+    s, k = F.col("o_custkey").cast("string"), F.col("o_orderkey")
+    rows = layout_rows(spark, d, [[F.lit("1")], [F.lit("Division"), F.lit("Organization"), F.lit("Office")], [F.lit("Goods"), F.lit("NCT"), F.lit("OTM")], [F.concat(k.cast("string"), F.lit(", road "), s)], [F.concat(F.lit("Firm "), s)], [s], [s], [F.col("o_totalprice").cast("string")], [F.date_format("o_orderdate", "dd-MMM-yyyy"), F.when(k % 2 == 0, "31-Dec-2001")], [F.col("o_orderstatus")]])
+    return ex.parse_layout(rows, ex.LAYOUTS["experience"]).select("o_orderkey", "procuring_entity", "procurement_nature", "tender_id", "title", "awarded_to", "contract_start_date", "contract_end_date", "work_status")
+
+
+@query("""SELECT o_orderkey, 'Ministry ' || o_custkey % 40 AS ministry, 'Division' AS division, 'Organization' AS organization, o_orderpriority AS project FROM orders""")
+def s10_plan(spark, d):
+    rows = layout_rows(spark, d, [[F.concat(F.lit("Ministry "), (F.col("o_custkey") % 40).cast("string"))], [F.lit("Division")], [F.lit("Organization")], [F.col("o_orderpriority")]])
+    return ex.parse_layout(rows, ex.LAYOUTS["plan"]).select("o_orderkey", "ministry", "division", "organization", "project")
+
+
+@query("""SELECT o_orderkey, o_custkey::VARCHAR AS app_id, 'APP' AS app_code, 'Works' AS procurement_nature, 'PKG ' || o_orderkey AS package_no, CASE WHEN o_orderkey % 3 = 0 THEN 'paint' END AS package_description, o_totalprice::VARCHAR AS estimated_cost, o_orderpriority AS planned_method FROM orders""")
+def s10_plan_items(spark, d):
+    k = F.col("o_orderkey")
+    rows = layout_rows(spark, d, [[F.lit("1")], [F.col("o_custkey").cast("string")], [F.lit("APP")], [F.lit("Works"), F.lit("Project")], [F.concat(F.lit("PKG "), k.cast("string")), F.when(k % 3 == 0, "paint")], [F.col("o_totalprice").cast("string"), F.col("o_orderpriority")]])
+    return ex.parse_layout(rows, ex.LAYOUTS["plan_items"]).select("o_orderkey", "app_id", "app_code", "procurement_nature", "package_no", "package_description", "estimated_cost", "planned_method")
+
+
+@query("""SELECT o_orderkey, 'Firm ' || o_custkey AS company, 'BD' AS country, 'House 1, Dhaka' AS address, o_orderdate::DATE AS "start", (o_orderdate::DATE + 364)::DATE AS "end", 'Package' AS scope, o_orderpriority AS reason FROM orders""")
+def s10_bans(spark, d):
+    period = F.concat(F.date_format("o_orderdate", "d-MMM-yyyy"), F.lit(" to "), F.date_format(F.date_add(F.to_date("o_orderdate"), 364), "d-MMM-yyyy"))
+    rows = layout_rows(spark, d, [[F.lit("1")], [F.concat(F.lit("Firm "), F.col("o_custkey").cast("string"))], [F.lit("BD")], [F.lit("House 1, Dhaka")], [F.lit("Office")], [period], [F.lit("Package")], [F.col("o_orderpriority")]])
+    p = dt.split_period(F.col("period"))
+    return ex.parse_layout(rows, ex.LAYOUTS["bans"]).select("o_orderkey", "company", "country", "address", p["start"].alias("start"), p["end"].alias("end"), "scope", "reason")
+
+
+@query("""SELECT c_custkey, c_custkey::VARCHAR AS tenderer_id, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE 'Own Funds' END AS budget_source, 'Road ' || c_nationkey AS business_address, 'Site ' || c_custkey AS delivery_location, 'P-' || c_nationkey AS project_code,
+CASE WHEN c_custkey % 4 = 0 THEN [] ELSE [c_name] END AS owners, CASE WHEN c_custkey % 4 = 0 THEN [] ELSE [c_mktsegment] END AS designations, CASE WHEN c_custkey % 4 = 0 THEN [] ELSE [CASE WHEN c_custkey % 2 = 0 THEN NULL ELSE '50.0' END] END AS parts FROM customer""")
+def s10_award_details(spark, d):
+    line = lambda label, value: F.concat(F.lit(f"<tr><td class='l'>{label}: </td>\n <td> "), value, F.lit(" </td></tr>"))
+    k, nation = F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string")
+    owner = F.concat(F.lit("<tr><td>1</td><td> "), "c_name", F.lit("</td><td>"), "c_mktsegment", F.lit("</td><td>"), F.when(F.col("c_custkey") % 2 == 0, "").otherwise("50.0"), F.lit("</td><td>BD</td></tr><tr><td>2</td><td></td><td>x</td><td>1</td><td>y</td></tr>"))
+    page = F.concat(
+        line("Tenderer ID of the Economic Operator (if any)", k), line("Budget and Source of Funds", F.when(F.col("c_custkey") % 3 == 0, "").otherwise("Own &nbsp; Funds")), line("Project/Program Code (if any)", F.concat(F.lit("P-"), nation)),
+        line("Location of Delivery/Works/Service Delivery", F.concat(F.lit("Site "), k)), F.lit("<h4>Beneficial Ownership Information</h4><table>"), F.when(F.col("c_custkey") % 4 == 0, "").otherwise(owner), F.lit("</table>"),
+        line("Business Address of the Economic Operator", F.concat(F.lit("Road "), nation)),
+    )
+    out = ex.award_details(table(spark, d, "customer").select("c_custkey", page.alias("html")), "html")
+    part = lambda f: F.transform("beneficial_owners", lambda o: o[f])
+    return out.select("c_custkey", "tenderer_id", "budget_source", "business_address", "delivery_location", "project_code", part("name").alias("owners"), part("designation").alias("designations"), part("ownership_pct").alias("parts"))

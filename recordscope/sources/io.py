@@ -2,52 +2,90 @@
 
 from __future__ import annotations
 
+import contextlib
+import re
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one is set where none is named (tests)."""
+    """The folder named by ``spark.checkpoint.dir``. Without one a temporary folder is made in local mode (tests); a cluster must name one."""
     name = spark.conf.get("spark.checkpoint.dir", None)
     if not name:
-        name = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="spark-")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("name a folder that all machines share in spark.checkpoint.dir")
+        name = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", name)
     return name.rstrip("/")
 
 
+#: Tables of each open ``scratch``, innermost last.
+_OPEN: list[list[tuple[str, T.StructType]]] = []
+
+
 def durable(df: DataFrame) -> DataFrame:
-    """``df`` written as a Parquet table in the shared folder and read again: a cut lineage that survives lost executors."""
+    """``df`` written as a Parquet table in the shared folder and read again: a cut lineage that survives lost executors.
+
+    The table stays until the ``scratch`` around it ends, or, outside of one, until the folder's owner clears it.
+    """
     path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _OPEN:
+        _OPEN[-1].append((path, df.schema))
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType, parts: int | None = None) -> DataFrame:
-    """JSON lines, plain or gzip, with ``batch`` (file path) and ``pos`` (order in it); broken lines are left out.
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Empties at its end the tables that ``durable`` wrote inside it; results must be written or collected by then."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path, schema in _OPEN.pop():
+            spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
 
-    A gzip file is one split, so a repartition follows where ``parts`` is given.
-    """
+
+def _with_broken(spark: SparkSession, path: str, schema: T.StructType, pattern: str) -> DataFrame:
     broken = T.StructField("_corrupt_record", T.StringType())
-    df = spark.read.schema(T.StructType([*schema.fields, broken])).option("mode", "PERMISSIVE").json(path, pathGlobFilter="*.jsonl*")
-    df = df.select("*", F.col("_metadata.file_path").alias("batch"), F.monotonically_increasing_id().alias("pos"))
-    df = df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    df = spark.read.schema(T.StructType([*schema.fields, broken])).option("mode", "PERMISSIVE").json(path, pathGlobFilter=pattern)
+    pos = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return df.select("*", F.col("_metadata.file_path").alias("batch"), pos.alias("pos"))
+
+
+def read_batches(spark: SparkSession, path: str, schema: T.StructType, parts: int | None = None, pattern: str = "*.jsonl*") -> DataFrame:
+    """JSON lines, plain or gzip, with ``batch`` (file path) and ``pos`` (order in it: block of the file, then row).
+
+    Broken lines are left out here and listed by ``broken_lines``. A gzip file is one split, so a repartition follows where
+    ``parts`` is given.
+    """
+    df = _with_broken(spark, path, schema, pattern).filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
     return df.repartition(parts) if parts else df
 
 
-def read_buckets(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Year files of JSON arrays (``2012.json``, ``unknown.json``) with their ``bucket``; summaries and dimensions are left out."""
-    df = spark.read.schema(schema).option("multiLine", True).json(path, pathGlobFilter="{[0-9][0-9][0-9][0-9],unknown}.json")
-    return df.withColumn("bucket", F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.json$", 1))
+def broken_lines(spark: SparkSession, path: str, schema: T.StructType, pattern: str = "*.jsonl*") -> DataFrame:
+    """(batch, pos, line): lines of the same files that are no JSON of the schema, such as a last line cut short."""
+    found = _with_broken(spark, path, schema, pattern).filter(F.col("_corrupt_record").isNotNull())
+    # Spark reads the column of broken lines only beside another one
+    return found.select("batch", "pos", F.coalesce("_corrupt_record", F.col(schema.names[0]).cast("string")).alias("line"))
+
+
+def read_buckets(spark: SparkSession, path: str, schema: T.StructType, pattern: str = "{[0-9][0-9][0-9][0-9],unknown}.json", bucket: str = r"([^/]+)\.json$") -> DataFrame:
+    """Files of JSON arrays (``2012.json``, ``unknown.json``) with their ``bucket``, taken from the path; summaries and dimensions are left out."""
+    df = spark.read.schema(schema).option("multiLine", True).json(path, pathGlobFilter=pattern)
+    return df.withColumn("bucket", F.regexp_extract(F.col("_metadata.file_path"), bucket, 1))
 
 
 def read_time_series(spark: SparkSession, path: str, schema: T.StructType, at: str, first: int = 2010, last: int = 2035) -> DataFrame:
-    """CSV buckets with a header; rows of implausible years are left out."""
-    df = spark.read.schema(schema).option("header", True).csv(path)
+    """CSV buckets with a header; rows of implausible years, and of times that are none, are left out. Times may have a fraction of a second."""
+    said = T.StructType([T.StructField(f.name, T.StringType()) if f.name == at else f for f in schema.fields])
+    df = spark.read.schema(said).option("header", True).csv(path).withColumn(at, F.col(at).try_cast(schema[at].dataType))
     return df.filter(F.year(at).between(first, last))
 
 
@@ -66,22 +104,44 @@ def read_keyed(spark: SparkSession, path: str, value: T.DataType, key: str = "da
     return last.select(key, "v.*") if isinstance(value, T.StructType) else last.withColumnRenamed("v", "value")
 
 
-def read_sheets(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """Monthly files ``yyyy-MM.json`` of unit -> list of counts: (month, unit, column, value), lists cut to the columns."""
-    text = spark.read.option("wholetext", True).text(path, pathGlobFilter="[0-9][0-9][0-9][0-9]-[0-9][0-9].json")
-    text = text.withColumn("month", F.regexp_extract(F.col("_metadata.file_name"), r"^(\d{4}-\d{2})", 1))
+def read_sheets(spark: SparkSession, path: str, columns: Sequence[str], pattern: str = "[0-9][0-9][0-9][0-9]-[0-9][0-9].json", month: str = r"/(\d{4}-\d{2})[^/]*$") -> DataFrame:
+    """Monthly files ``yyyy-MM.json`` of unit -> list of counts: (month, unit, column, value), lists cut to the columns; the month is in the path."""
+    text = spark.read.option("wholetext", True).text(path, pathGlobFilter=pattern)
+    text = text.select("value", F.regexp_extract(F.col("_metadata.file_path"), month, 1).alias("month"))
     units = text.select("month", F.explode(F.from_json("value", "map<string,array<int>>")).alias("unit", "v"))
     cells = units.select("month", "unit", F.posexplode(F.slice("v", 1, len(columns))).alias("k", "value"))
     return cells.select("month", "unit", F.get(F.array(*[F.lit(c) for c in columns]), F.col("k")).alias("column"), "value")
 
 
+def or_nothing(df: Callable[[], DataFrame], spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """What ``df`` reads, or no rows of the schema where its path does not exist."""
+    try:
+        return df()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_optional(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A side CSV, or no rows of its schema when the path does not exist."""
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    if not place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return or_nothing(lambda: spark.read.schema(schema).option("header", True).csv(path), spark, schema)
+
+
+def read_database(spark: SparkSession, url: str, query: str, split: str | None = None, bounds: tuple[int, int] | None = None, parts: int = 16, **options: str) -> DataFrame:
+    """Rows of a SQL query over JDBC, such as the fact and district queries of a crawl database.
+
+    With ``split``, a numeric column of the query, ``parts`` tasks read ranges of it between ``bounds`` (asked of the database
+    where not given); rows outside the bounds are in the first and last range. The driver class must be on Spark's class path.
+    """
+    reader = spark.read.format("jdbc").option("url", url).options(**options)
+    if split is None:
+        return reader.option("query", query).load()
+    if bounds is None:
+        low, high = reader.option("query", f"SELECT min({split}) AS low, max({split}) AS high FROM ({query}) q").load().first()
+        bounds = (int(low or 0), int(high or 0) + 1)
+    ranges = {"partitionColumn": split, "lowerBound": str(bounds[0]), "upperBound": str(bounds[1]), "numPartitions": str(parts)}
+    return spark.read.format("jdbc").option("url", url).options(**options).options(**ranges).option("dbtable", f"({query}) q").load()
 
 
 def write_buckets(df: DataFrame, path: str, year: str = "year") -> None:

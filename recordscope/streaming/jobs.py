@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from recordscope.operators.quality import checksum_audit
-from recordscope.sources.io import durable, rewrite_buckets
+from recordscope.sources.io import or_nothing, rewrite_buckets
 
 
 def unseen(batch: DataFrame, known: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -59,23 +59,25 @@ def settled_counts(events: DataFrame, at: str, delay: str) -> DataFrame:
     return events.withWatermark(at, delay).groupBy(F.window(at, "1 day")).agg(F.count("*").alias("n")).select(F.to_date("window.start").alias("day"), "n")
 
 
-def _read(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
-        return spark.read.schema(like.schema).parquet(path)
-    return spark.createDataFrame([], like.schema)
+def _aside(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to a folder that the next batch overwrites, and read again."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def merge_stream(stream: DataFrame, path: str, checkpoint: str, bucket: str, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> StreamingQuery:
-    """Runs all available input through ``merge(table, batch)`` and replaces the buckets of the table that a batch touches."""
+    """Runs all available input through ``merge(table, batch)`` and replaces the buckets of the table that a batch touches.
+
+    Two work tables lie beside the checkpoint and are overwritten by each batch, so they do not pile up.
+    """
 
     def write(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        batch = durable(batch)
+        batch = _aside(batch, f"{checkpoint}-batch")
         touched = batch.select(bucket).distinct()
-        old = _read(spark, path, batch).join(touched, bucket, "left_semi")
+        old = or_nothing(lambda: spark.read.schema(batch.schema).parquet(path), spark, batch.schema).join(touched, bucket, "left_semi")
         # written aside first: the buckets that are read are the ones that are replaced
-        rewrite_buckets(durable(merge(old, batch).select(batch.columns)), path, bucket)
+        rewrite_buckets(_aside(merge(old, batch).select(batch.columns), f"{checkpoint}-merged"), path, bucket)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -84,7 +86,7 @@ def gate_stream(stream: DataFrame, constraints: DataFrame, published: str, revie
     """Sheets that balance go to one table, the others to review; each batch has folders of its own, so a replay replaces them."""
 
     def write(batch: DataFrame, number: int) -> None:
-        batch = durable(batch)
+        batch = _aside(batch, f"{checkpoint}-batch")
         good, bad = gate(batch, constraints)
         good.write.mode("overwrite").parquet(f"{published}/batch={number}")
         bad.write.mode("overwrite").parquet(f"{review}/batch={number}")
