@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordscope.functions.dates import day_of_365
-from recordscope.operators.stats import quantile, quantiles, rounded
+from recordscope.operators.stats import quantile, rounded, small_quantile
 
 
 def quarantine(df: DataFrame, limits: Mapping[str, float], key: str) -> tuple[DataFrame, DataFrame]:
@@ -33,13 +33,11 @@ def monthly(day: DataFrame) -> DataFrame:
     """Per month: days, reported days, peaks (zeros left out), 95th percentile and mean of shed load, energy, hours over all days."""
     m = day.withColumn("month", F.date_format("date", "yyyy-MM"))
     peak = F.when(F.col("peak_demand") != 0, F.col("peak_demand"))
-    main = m.groupBy("month").agg(
+    return m.groupBy("month").agg(
         F.count("*").alias("days"), F.count("energy_shed").alias("reported_days"), F.max(peak).alias("peak_demand"), rounded(F.avg(peak), 2).alias("mean_peak_demand"), F.max("max_loadshed").alias("max_loadshed"),
         rounded(F.sum("energy_shed"), 2).alias("energy_shed"), rounded(F.sum("hours_shed") / F.count("*"), 4).alias("mean_hours_shed"),
+        small_quantile(F.col("max_loadshed"), 0.95, "floor").alias("p95_loadshed"), small_quantile(F.col("energy_shed"), 0.5, "floor").alias("median_energy_shed"),
     )
-    p95 = quantile(m, ["month"], "max_loadshed", 0.95, "floor", "p95_loadshed")
-    mid = quantile(m, ["month"], "energy_shed", 0.5, "floor", "median_energy_shed")
-    return main.join(p95, "month").join(mid, "month")
 
 
 def settled(day: DataFrame) -> DataFrame:
@@ -185,8 +183,8 @@ def completeness(df: DataFrame, columns: Sequence[str], date: str = "date") -> D
 def annual_growth(day: DataFrame, value: str, least: int = 200) -> DataFrame:
     """Per year with enough positive days: days, upper median, 95th percentile, minimum, and growth since the first such year."""
     rows = day.filter(F.col(value) > 0).withColumn("year", F.year("date"))
-    main = rows.groupBy("year").agg(F.count("*").alias("days"), F.min(value).alias("least")).filter(F.col("days") >= least)
-    out = main.join(quantile(rows, ["year"], value, 0.5, "upper", "median"), "year").join(quantile(rows, ["year"], value, 0.95, "floor", "p95"), "year")
+    cuts = [small_quantile(F.col(value), 0.5, "upper").alias("median"), small_quantile(F.col(value), 0.95, "floor").alias("p95")]
+    out = rows.groupBy("year").agg(F.count("*").alias("days"), F.min(value).alias("least"), *cuts).filter(F.col("days") >= least)
     w = Window.orderBy("year").rowsBetween(Window.unboundedPreceding, 0)
     first, start = F.first("median").over(w), F.first("year").over(w)
     span = F.col("year") - start
@@ -288,7 +286,7 @@ def holiday_dips(day: DataFrame, holidays: DataFrame, value: str, least: int = 8
     rows = day.join(near, "date").withColumn("gap", F.datediff("date", "holiday")).filter(F.col(value).isNotNull())
     low = rows.filter(F.col("gap").between(-1, 3)).groupBy("holiday").agg(F.min(value).alias("low"), F.min_by("date", F.struct(value, "date")).alias("low_date"))
     before = rows.filter(F.col("gap").between(-28, -8))
-    base = quantile(before, ["holiday"], value, 0.5, "upper", "base").join(before.groupBy("holiday").agg(F.count("*").alias("n")), "holiday").filter(F.col("n") >= least)
+    base = before.groupBy("holiday").agg(F.count("*").alias("n"), small_quantile(F.col(value), 0.5, "upper").alias("base")).filter(F.col("n") >= least)
     out = low.join(base, "holiday").withColumn("dip", 1 - F.col("low") / F.col("base"))
     return out.filter(F.col("dip") >= drop).select("holiday", "low_date", "low", "base", F.round("dip", 6).alias("dip"))
 
@@ -306,9 +304,8 @@ def same_hour_context(hourly: DataFrame, value: str, last: int = 90) -> DataFram
     """Per hour of day: the newest reading against quartiles of the last ``last`` readings of that hour."""
     w = Window.partitionBy("hour").orderBy(F.col("datetime").desc())
     rows = hourly.filter(F.col(value).isNotNull()).withColumn("k", F.row_number().over(w)).filter(F.col("k") <= last)
-    out = rows.groupBy("hour").agg(F.count("*").alias("n"), F.max(F.when(F.col("k") == 1, F.col(value))).alias("latest"))
-    cuts = quantiles(rows, ["hour"], value, [0.25, 0.5, 0.75], "floor").groupBy("hour").agg(*[F.max(F.when(F.col("q") == q, F.col("quantile"))).alias(name) for name, q in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75))])
-    return out.join(cuts, "hour")
+    cuts = [small_quantile(F.col(value), q, "floor").alias(name) for name, q in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75))]
+    return rows.groupBy("hour").agg(F.count("*").alias("n"), F.max(F.when(F.col("k") == 1, F.col(value))).alias("latest"), *cuts)
 
 
 def people_equivalent(hourly: DataFrame, shed: str = "loadshed", kwh_a_day: float = 560 / 365) -> DataFrame:

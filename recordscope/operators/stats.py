@@ -94,8 +94,24 @@ def quantile(df: DataFrame, by: Sequence[str], value: str, q: float, kind: str,
     return quantiles(df, by, value, [q], kind).select(*by, F.col("quantile").alias(name))
 
 
-def medians(df: DataFrame, by: Sequence[str], values: Sequence[str], places: int = 4) -> DataFrame:
-    """(by, n, one column a value): rows and rounded medians of each group."""
+def small_quantile(c: Column, q: float, kind: str) -> Column:
+    """Aggregate: a quantile of groups whose rows are few by nature, such as the days of a month or year; a larger group needs ``quantile``.
+
+    It shares one aggregation with other measures, where ``quantile`` reads its input once more.
+    """
+    values = F.array_sort(F.collect_list(c))
+    n = F.size(values)
+    if kind == "interpolated":
+        spot = F.lit(q) * (n - 1)
+        low, high = (F.get(values, f(spot).cast("int")) for f in (F.floor, F.ceil))
+        return F.when(n > 0, low + (high - low) * (spot - F.floor(spot)))
+    return F.when(n > 0, F.get(values, RANKS[kind](n, q).cast("int")))
+
+
+def medians(df: DataFrame, by: Sequence[str], values: Sequence[str], places: int = 4, small: bool = False) -> DataFrame:
+    """(by, n, one column a value): rows and rounded medians of each group; ``small`` groups are done in one aggregation."""
+    if small:
+        return df.groupBy(*by).agg(F.count("*").alias("n"), *[rounded(small_quantile(F.col(v), 0.5, "interpolated"), places).alias(v) for v in values])
     out = df.groupBy(*by).agg(F.count("*").alias("n"))
     for v in values:
         out = out.join(quantile(df, by, v, 0.5, "interpolated", v), list(by))

@@ -334,7 +334,7 @@ def a41_pearson(spark, d):
 @query(f"WITH {DAYS} SELECT strftime(date, '%Y-%m') AS month, count(*) AS n, round(median(demand)::DECIMAL(38,6), 4)::DOUBLE AS demand, round(median(shed)::DECIMAL(38,6), 4)::DOUBLE AS shed FROM days GROUP BY 1 HAVING count(*) >= 5")
 def a39_monthly_medians(spark, d):
     day = line_days(spark, d).withColumn("month", F.date_format("date", "yyyy-MM"))
-    return st.medians(day, ["month"], ["demand", "shed"]).filter("n >= 5")
+    return st.medians(day, ["month"], ["demand", "shed"], small=True).filter("n >= 5")
 
 
 @query(f"""WITH {DAYS}, h AS (SELECT * FROM days WHERE month(date) BETWEEN 4 AND 9), s AS (SELECT *, row_number() OVER (ORDER BY demand) - 1 AS k, count(*) OVER () AS n FROM h), c AS (SELECT max(demand) FILTER (k = n // 3) AS lo, max(demand) FILTER (k = 2 * n // 3) AS hi FROM s)

@@ -52,11 +52,13 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
 
 
-def _with_broken(spark: SparkSession, path: str, schema: T.StructType, pattern: str) -> DataFrame:
-    broken = T.StructField("_corrupt_record", T.StringType())
-    df = spark.read.schema(T.StructType([*schema.fields, broken])).option("mode", "PERMISSIVE").json(path, pathGlobFilter=pattern)
+def _lines(spark: SparkSession, path: str, schema: T.StructType, pattern: str) -> DataFrame:
+    """(line, batch, pos, r): each line with its parsed form, whose field _broken is not null where it is no JSON of the schema."""
+    told = T.StructType([*schema.fields, T.StructField("_broken", T.StringType())])
     pos = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
-    return df.select("*", F.col("_metadata.file_path").alias("batch"), pos.alias("pos"))
+    lines = spark.read.text(path, pathGlobFilter=pattern).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("batch"), pos.alias("pos"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
+    return lines.filter(F.trim("line") != "").withColumn("r", F.from_json("line", told, options))
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType, parts: int | None = None, pattern: str = "*.jsonl*") -> DataFrame:
@@ -65,15 +67,14 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType, parts: in
     Broken lines are left out here and listed by ``broken_lines``. A gzip file is one split, so a repartition follows where
     ``parts`` is given.
     """
-    df = _with_broken(spark, path, schema, pattern).filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    df = _lines(spark, path, schema, pattern).filter(F.col("r._broken").isNull())
+    df = df.select(*[F.col(f"r.{name}").alias(name) for name in schema.names], "batch", "pos")
     return df.repartition(parts) if parts else df
 
 
 def broken_lines(spark: SparkSession, path: str, schema: T.StructType, pattern: str = "*.jsonl*") -> DataFrame:
     """(batch, pos, line): lines of the same files that are no JSON of the schema, such as a last line cut short."""
-    found = _with_broken(spark, path, schema, pattern).filter(F.col("_corrupt_record").isNotNull())
-    # Spark reads the column of broken lines only beside another one
-    return found.select("batch", "pos", F.coalesce("_corrupt_record", F.col(schema.names[0]).cast("string")).alias("line"))
+    return _lines(spark, path, schema, pattern).filter(F.col("r._broken").isNotNull()).select("batch", "pos", "line")
 
 
 def read_buckets(spark: SparkSession, path: str, schema: T.StructType, pattern: str = "{[0-9][0-9][0-9][0-9],unknown}.json", bucket: str = r"([^/]+)\.json$") -> DataFrame:

@@ -138,3 +138,102 @@ def test_whole_table_quantiles_are_exact(spark, monkeypatch, q):
     want = {"floor": values[int(q * (n - 1))], "index": values[min(int(n * q), n - 1)]}
     assert {k: stats.quantile(df, [], "v", q, k).first()[0] for k in want} == want
     assert stats.quantile(df.filter("v is null"), [], "v", q, "floor").first()[0] is None
+
+
+@pytest.mark.parametrize("small", [100, 10_000_000])
+def test_cut_points_of_a_whole_table_are_exact(spark, monkeypatch, small):
+    """Interpolated quantiles, bands and bins with and without the short cut for small tables."""
+    monkeypatch.setattr(stats, "SMALL_ROWS", small)
+    values = [float((i * 7919) % 20011) ** 1.3 for i in range(30_000)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").repartition(3)
+    values.sort()
+    n = len(values)
+    got = {r["q"]: r["quantile"] for r in stats.quantiles(df, [], "v", [0.0, 0.1, 0.77, 1.0], "interpolated").collect()}
+    for q, v in got.items():
+        low = int(q * (n - 1))
+        want = values[low] + (values[min(low + 1, n - 1)] - values[low]) * (q * (n - 1) - low)
+        assert v == pytest.approx(want, rel=1e-12)
+    bands = {r["band"]: r["n"] for r in stats.tercile_bands(df, "v").groupBy("band").agg(F.count("*").alias("n")).collect()}
+    low, high = values[n // 3], values[2 * n // 3]
+    assert bands == {"low": sum(v <= low for v in values), "high": sum(v >= high and v > low for v in values), "middle": sum(low < v < high for v in values)}
+    bins = {r["bin"]: r["n"] for r in stats.rank_bins(df, "v", 5).groupBy("bin").agg(F.count("*").alias("n")).collect()}
+    pos = [v for v in values if v > 0]
+    first = {}
+    for k, v in enumerate(pos):
+        first.setdefault(v, k)
+    want = {}
+    for v in pos:
+        b = 1 + first[v] * 4 // len(pos)
+        want[b] = want.get(b, 0) + 1
+    want[0] = n - len(pos) + 1
+    assert bins == want
+
+
+def test_small_quantiles_equal_the_ranked_ones(spark):
+    rows = [("a", float(v)) for v in (5, 1, 4, 2, 9)] + [("b", 7.0), ("c", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    for kind in stats.KINDS:
+        a = {r["g"]: r["q"] for r in df.groupBy("g").agg(stats.small_quantile(F.col("v"), 0.6, kind).alias("q")).collect()}
+        assert a == {r["g"]: r["quantile"] for r in stats.quantile(df, ["g"], "v", 0.6, kind).collect()}
+
+
+def test_rounding_follows_one_rule(spark):
+    got = [r["x"] for r in spark.createDataFrame([(2.345,), (-2.345,), (0.1 + 0.2,), (None,)], "v double").select(stats.rounded(F.col("v"), 2).alias("x")).collect()]
+    assert got == [2.35, -2.35, 0.3, None]
+
+
+def test_repeated_rows_all_find_their_match(spark):
+    people = spark.createDataFrame([(1, "Red Small Box", "x")] * 3 + [(2, None, None), (3, "nothing alike", "x")], "id int, name string, place string")
+    names = spark.createDataFrame([("small red box", "y"), ("red box", "x"), ("red box", "x")], "other string, place string")
+    assert [r["other"] for r in match.token_match(people, names, "name", "other").collect()] == ["small red box"] * 3
+    with_place = match.token_match(people, names, "name", "other", place="place", bonus=0.4).collect()
+    assert [(r["other"], r["score"]) for r in with_place] == [("red box", 1.066667)] * 3
+    words = spark.createDataFrame([(1, "p", 10.0)] * 2 + [(2, "p", 90.0)], "id int, page string, x double")
+    centres = spark.createDataFrame([("p", 12.0, "B"), ("p", 8.0, "A"), ("q", 10.0, "C")], "page string, centre double, label string")
+    assert [(r["id"], r["label"], r["gap"]) for r in match.nearest_centre(words, centres, ["page"], "x", "centre", 5.0).collect()] == [(1, "A", 2.0)] * 2
+    towns = spark.createDataFrame([("Old Town", None)] * 2 + [("old-town", "d1")], "name string, district string")
+    other = spark.createDataFrame([("OLD TOWN", "d2"), ("Oldtown", "d1")], "name string, district string")
+    got = sorted((r["name"], r["match"], r["same_district"]) for r in match.same_name(towns, other).collect())
+    assert got == [("Old Town", "OLD TOWN", None)] * 2 + [("old-town", "Oldtown", True)]
+
+
+def test_common_words_form_no_pairs(spark):
+    """Every name holds one of two common words; candidates come from the rare ones."""
+    names = [f"common word {''.join(chr(97 + int(d)) for d in f'{i:04d}')}" for i in range(300)]
+    left = spark.createDataFrame(list(enumerate(names)), "id int, name string")
+    right = spark.createDataFrame([(n,) for n in names], "other string")
+    got = match.token_match(left, right, "name", "other", least=0.6)
+    assert {(r["name"], r["other"]) for r in got.collect()} == {(n, n) for n in names}
+
+
+def test_subtotals_over_blocks(spark):
+    labels = ["a", "b", "X Area Total", "c", "Grand Total", "d", "e", "f", "Y Area Total", "g"]
+    df = spark.createDataFrame([("doc", k, x) for k, x in enumerate(labels)], "doc string, pos int, label string")
+    for block in (2, 3, 100):
+        got = [r["zone"] for r in extract.label_by_following_total(df, "doc", "pos", "label", block=block).orderBy("pos").collect()]
+        assert got == ["X", "X", "X", None, None, "Y", "Y", "Y", "Y", None]
+
+
+def test_tenure_exceptions_move_cases_not_months(spark):
+    months = spark.createDataFrame([("2024-07", "murder", 10), ("2024-08", "murder", 40), ("2024-08", "theft", 8), ("2024-09", "theft", 6)], "month string, category string, n int")
+    tenures = spark.createDataFrame([("one", 0, "2024-01", "2024-07"), ("two", 1, "2024-08", "2024-12")], "tenure string, no int, first string, last string")
+    splits = spark.createDataFrame([("2024-08", "two", 1.0)], "month string, tenure string, share double")
+    shares = regions.tenure_shares(months, tenures, splits)
+    moved = spark.createDataFrame([("murder", "2024-08", "one", 1.0)], "category string, month string, tenure string, share double")
+    got = {(r["tenure"], r["category"]): (r["months"], r["mean"], r["change_pct"]) for r in regions.tenure_rate(months, shares, ["category"], moved).collect()}
+    assert got[("one", "murder")] == (1.0, 50.0, None) and got[("two", "murder")] == (2.0, 0.0, -100.0)
+    assert got[("one", "theft")] == (1.0, 0.0, None) and got[("two", "theft")] == (2.0, 7.0, None)
+
+
+def test_ban_register_counts_blank_keys_once(spark):
+    rows = [("Alpha Ltd.", "e-GP Portal", "forged"), ("alpha", "Package", "late"), ("Co.", "Package", None), ("Ltd", "Package", None)]
+    bans = spark.createDataFrame([(c, s, None, r, dt.date(2024, 1, 1), dt.date(2024, 3, 1)) for c, s, r in rows], "company string, scope string, debarred_by string, reason string, start date, end date")
+    reg = procurement.ban_register(bans)
+    assert {(r["company"], r["repeats"]) for r in reg.collect()} == {("Alpha Ltd.", 2), ("alpha", 2), ("Co.", 1), ("Ltd", 1)}
+    assert ("repeat", "Alpha Ltd.", 2) in {tuple(r) for r in procurement.ban_rollup(reg).collect()}
+
+
+def test_award_details_without_owners(spark):
+    page = "<td>Budget and Source of Funds: </td><td>Own&nbsp;Funds</td>"
+    r = extract.award_details(spark.createDataFrame([(page,), (None,)], "html string"), "html").collect()
+    assert r[0]["budget_source"] == "Own Funds" and r[0]["project_code"] is None and r[0]["beneficial_owners"] == [] and r[1]["budget_source"] is None

@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import json
 
+import pytest
 from pyspark.sql import types as T
 
 from recordscope.sources import io
@@ -23,6 +24,58 @@ def test_batches_skip_a_broken_last_line(spark, tmp_path):
     assert {r["id"]: r["v"] for r in last} == {"1": 2.0, "3": None}
 
 
+def test_broken_lines_are_listed_and_order_holds_over_splits(spark, tmp_path):
+    lines = [f'{{"id": "{k}", "v": {k}}}' for k in range(3_000)]
+    (tmp_path / "a.jsonl").write_text("\n".join([*lines[:1500], '{"id": "cut', *lines[1500:]]))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        rows = io.read_batches(spark, str(tmp_path), SCHEMA)
+        assert rows.select("pos.block").distinct().count() > 3
+        assert [r["id"] for r in rows.orderBy("pos").collect()] == [str(k) for k in range(3_000)]
+        broken = io.broken_lines(spark, str(tmp_path), SCHEMA).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r["line"] for r in broken] == ['{"id": "cut']
+
+
+def test_work_tables_go_with_their_scratch(spark):
+    from pathlib import Path
+
+    folder = Path(io.shared_dir(spark))
+    before = {p.name for p in folder.glob("table-*")}
+    with io.scratch(spark):
+        kept = io.durable(spark.range(1_000))
+        assert kept.count() == 1_000
+    (name,) = {p.name for p in folder.glob("table-*")} - before
+    assert spark.read.parquet(str(folder / name)).count() == 0
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        io.shared_dir(Session())
+
+
+def test_database_source(spark, tmp_path):
+    """Reads by ranges of a key, from the engine that comes with Spark."""
+    url = f"jdbc:derby:{tmp_path / 'db'}"
+    facts = spark.createDataFrame([(k, f"2024-01-{k % 28 + 1:02d}", k % 3) for k in range(100)], "ID int, DAY string, N int")
+    try:
+        facts.write.jdbc(f"{url};create=true", "FACTS", properties={"driver": "org.apache.derby.jdbc.EmbeddedDriver"})
+    except Exception:
+        pytest.skip("no database driver on the class path")
+    whole = io.read_database(spark, url, "SELECT ID, N FROM FACTS WHERE N > 0")
+    parts = io.read_database(spark, url, "SELECT ID, N FROM FACTS WHERE N > 0", split="ID", parts=4)
+    assert parts.rdd.getNumPartitions() == 4
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, parts.collect())) == [(k, k % 3) for k in range(100) if k % 3]
+
+
 def test_year_buckets(spark, tmp_path):
     for name in ("2012.json", "unknown.json", "summary.json", "dimensions.json"):
         (tmp_path / name).write_text(json.dumps([{"id": name, "v": 1.0}]))
