@@ -26,12 +26,12 @@ def test_language_held_out_accuracy(spark):
 
 
 def test_language_odd_rows(spark):
-    rows = [(i, t, lang, "s", 1.0) for i, (t, lang) in enumerate([("the house is old", "en")] * 30 + [("das Haus ist alt", "de")] * 30 + [(None, "en"), ("", None), ("² ½ 12 Ⅷ ①", "de"), ("hausung", None)])]
+    rows = [(i, t, lang, "s", 1.0) for i, (t, lang) in enumerate([("the house is old", "en")] * 30 + [("das Haus ist alt", "de")] * 30 + [(None, "en"), ("", None), ("² ½ 12 Ⅷ ①", "de"), ("hausung", None), ("das alte Haus " * 50_000, None)])]
     docs = spark.createDataFrame([*rows, rows[0], (None, "das alte Haus", None, None, None)], "doc_id long, text string, lang string, source string, score double")
     got = [(r["doc_id"], r["lang_pred"], r["score"]) for r in identify_language(docs).collect()]
     assert len(got) == len(rows) + 2
     by = {i: (lang, s) for i, lang, s in got}
-    assert by[60] == by[61] == by[62] == ("und", 0.0) and by[63][0] == "de" and by[None][0] == "de" and by[0][0] == "en"
+    assert by[60] == by[61] == by[62] == ("und", 0.0) and by[63][0] == "de" and by[64][0] == "de" and by[None][0] == "de" and by[0][0] == "en"
     assert identify_language(docs.limit(0)).count() == 0
     assert {r["lang_pred"] for r in identify_language(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
@@ -212,13 +212,13 @@ def test_toxicity_ignores_group_names(spark):
 
 
 def test_toxicity_odd_rows(spark):
-    docs = spark.createDataFrame([(1, None, "a"), (2, "", "a"), (3, "x y", "a"), (3, "x y", "a"), (None, "x", None)], "doc_id long, text string, predicted string")
+    docs = spark.createDataFrame([(1, None, "a"), (2, "", "a"), (3, "x y", "a"), (3, "x y", "a"), (4, "the men. x y " * 50_000, "a"), (None, "x", None)], "doc_id long, text string, predicted string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
     got = toxicity(docs, none).collect()
-    assert len(got) == 5 and all(0 <= r["score"] <= 1 for r in got)
+    assert len(got) == 6 and all(0 <= r["score"] <= 1 for r in got)
     assert toxicity(docs.limit(0), none).count() == 0
-    nulls = spark.createDataFrame([(1, None), (None, 1), (3, 1), (3, 0)], "doc_id long, toxic int")
-    assert toxicity(docs, nulls).count() == 5
+    nulls = spark.createDataFrame([(1, None), (None, 1), (3, 1), (3, 0), (4, 0)], "doc_id long, toxic int")
+    assert toxicity(docs, nulls).count() == 6
 
 
 def test_fit_separates():

@@ -135,11 +135,11 @@ def test_many_matches_take_time_in_proportion(spark):
     want = brute_pii(text)
     began = time.time()
     got = find_personal_data(frame(spark, [text])).first()
-    assert [("email", s["start"], s["end"]) for s in got["email"]] == want and time.time() - began < 60
+    assert [("email", s["start"], s["end"]) for s in got["email"]] == want and time.time() - began < 120
     began = time.time()
     values = [hashlib.md5(str(i).encode()).hexdigest() for i in range(200_000)]
     row = mask_secrets(frame(spark, [" ".join(values)]).withColumn("doc_id", F.lit(None).cast("long"))).first()
-    assert row["text"] == " ".join(["[SECRET]"] * len(values)) and time.time() - began < 90
+    assert row["text"] == " ".join(["[SECRET]"] * len(values)) and time.time() - began < 150
 
 
 def test_masking_over_blocks_equals_a_loop(spark):
