@@ -181,7 +181,7 @@ def owner_table(df: DataFrame, html: str) -> DataFrame:
     return df.withColumn("owners", F.transform(four, lambda c: F.struct(c[0].alias("name"), c[1].alias("designation"), c[2].alias("ownership_pct"), c[3].alias("country"))))
 
 
-#: Labels of an award's detail page, as patterns: field -> label of the cell before the value.
+# Labels of an award's detail page, as patterns; field -> label of the cell before the value.
 DETAIL_LABELS = {
     "tenderer_id": r"Tenderer ID of the Economic Operator[^:<]*",
     "business_address": r"Business Address of the Economic Operator",
