@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from recordscope.sources.io import durable
 
-__all__ = ["SPACES", "connected_components", "durable", "words"]
+__all__ = ["SPACES", "connected_components", "durable", "row_key", "words"]
 
 #: Word separators of every contract: space and the five ASCII controls tab..CR.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -18,6 +18,12 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")
 
 
+def row_key(columns: list[str]) -> Column:
+    """A 128-bit key of a row's content, equal for equal rows alone; it is the same however often and wherever it is computed."""
+    told = [F.md5(F.coalesce(F.concat(F.lit("v"), F.col(f"`{c}`").cast("string")), F.lit("n")).cast("binary")) for c in columns]
+    return F.md5(F.concat(*told).cast("binary"))
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) over undirected ``edges``, only nodes with an edge; ``component`` is one of the component's nodes.
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordscope.llm.common import connected_components, durable
+from recordscope.llm.common import connected_components, durable, row_key
 
 SHINGLE = 5
 K = 64
@@ -308,12 +308,14 @@ def minhash_dedup(docs: DataFrame, similarity: int = 75, id_col: str = "doc_id",
     ``component_id`` is the smallest id reachable over links of ``100 * intersection >= similarity * union`` (similarity 75
     to 100), ``kept`` marks it. Null and empty texts have an empty set and no links. Repeated rows come out once each; rows that
     share an id but not a text are linked by their own texts. A null id takes no part: its component is null, kept false.
-    Other columns are ignored. The threshold must be 75 or more, for which the match bounds above are set.
+    Other columns are ignored. Ids are longs, or strings where the column is one. The threshold must be 75 or more, for which the
+    match bounds above are set.
     """
     if not 75 <= similarity <= 100:
         raise ValueError("similarity must be 75 to 100")
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = durable(docs.mapInArrow(_sign, "doc_id long, n_shingles long, node binary, sig array<int>"))
+    kind = "string" if dict(docs.dtypes)[id_col] == "string" else "long"
+    docs = docs.select(F.col(id_col).cast(kind).alias("doc_id"), F.col(text_col).alias("text"))
+    signed = durable(docs.mapInArrow(_sign, f"doc_id {kind}, n_shingles long, node binary, sig array<int>"))
     usable = signed.filter("n_shingles > 0 and doc_id is not null")
     first = usable.groupBy("node").agg(F.min("doc_id").alias("rep"))
     # the signature is fetched from one row of the class rather than aggregated, which would ship it for every copy
@@ -334,14 +336,19 @@ def minhash_dedup(docs: DataFrame, similarity: int = 75, id_col: str = "doc_id",
 def drop_near_copies(docs: DataFrame, similarity: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, without near copies: one row of each component stays, that of the smallest id, null ids last.
 
-    Rows are numbered first and told apart by number, so repeated rows leave one, rows that share an id but not a text are judged
-    by their texts, and rows with a null id take part. Rows without words all stay.
+    Rows are told apart by a key of their content, which needs no table of its own: of repeated rows one stays, rows that share
+    an id but not a text are judged by their texts, and rows with a null id take part. Rows without words all stay.
     """
-    rows = durable(docs.withColumn("_row", F.monotonically_increasing_id()))
-    found = minhash_dedup(rows.select("_row", text_col), similarity, "_row", text_col).select(F.col("doc_id").alias("_row"), "component_id")
-    named = rows.select("_row", F.col(id_col).alias("_id")).join(found, "_row")
-    stay = named.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row"))["_row"].alias("_row"))
-    return rows.join(durable(stay.select("_row")), "_row", "left_semi").select(docs.columns)
+    keyed = docs.withColumn("_key", row_key(docs.columns))
+    found = minhash_dedup(keyed.select("_key", text_col), similarity, "_key", text_col)
+    bare = durable(found.select(F.col("doc_id").alias("_key"), "component_id", (F.col("n_shingles") > 0).alias("_words")))
+    named = keyed.select("_key", F.col(id_col).alias("_id")).join(bare.filter("_words").select("_key", "component_id").distinct(), "_key")
+    stay = named.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_key"))["_key"].alias("_key"))
+    stay = durable(stay.select("_key", F.lit(True).alias("_once")).unionByName(bare.filter("not _words").select("_key", F.lit(False).alias("_once")).distinct()))
+    # equal rows meet in the join on their key; rows without words are not numbered and all pass
+    met = keyed.join(stay, "_key")
+    once = met.filter("_once").dropDuplicates(["_key"])
+    return once.unionByName(met.filter("not _once")).select(docs.columns)
 
 
 def op1_minhash_dedup(spark, sf_dir: str) -> DataFrame:

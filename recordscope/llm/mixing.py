@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordscope.llm.common import durable, words
+from recordscope.llm.common import durable, row_key, words
 
 #: Steps of the offset; a power of two, so that adding it to a rank is exact.
 OFFSET_STEPS = 1 << 20
@@ -84,6 +84,18 @@ def mix_sources(docs: DataFrame, keep: tuple[str, ...] = (), weights: tuple[int,
     return ranked.select("doc_id", *[F.col(f"keep_{c}").alias(c) for c in keep], "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
+def mixed_rows(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, all columns, each as often as the mix takes it; ``options`` go to ``mix_sources``.
+
+    Copies are counted by a key of the rows' content, so texts meet their number in one join. Equal rows share a number, the sum
+    of theirs.
+    """
+    keyed = docs.withColumn("_key", row_key(docs.columns))
+    taken = mix_sources(keyed, keep=("_key",), **options).groupBy("_key").agg(F.sum("copies").cast("int").alias("_copies")).filter("_copies > 0")
+    met = keyed.join(durable(taken), "_key").dropDuplicates(["_key"])
+    return met.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(docs.columns)
+
+
 def op3_source_mix(spark, sf_dir: str) -> DataFrame:
     """Query: the mix of all ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")

@@ -119,18 +119,27 @@ def _found(docs: DataFrame, keep: tuple[str, ...], repository: Column | None = N
     return found.filter(F.size("found") == 0).select(*columns, none.alias("spans")).unionByName(some)
 
 
+#: What every text with a candidate holds somewhere.
+HINTS = r"(?i:passw|secret|token|api_?key|private key)|AKIA|[0-9a-f]{16}|gh[pousr]_|xox[abprs]-|sk_|AIza|eyJ"
+
+
 def mask_secrets(docs: DataFrame, mark: str = "[SECRET]", **options) -> DataFrame:
     """The rows of ``docs`` with all their columns, live secrets in ``text`` replaced by ``mark``; ``n_chars``, if there, counts anew.
 
-    Every row is masked by its own spans, whatever its id; null texts stay null. ``options`` go to ``find_secrets``.
+    Spans and verdicts follow from a text and the counts of the whole corpus, so rows take the spans of their text, whatever their
+    ids; null texts stay null. Only texts that hold some hint of a secret are shuffled. ``options`` go to ``find_secrets``.
     """
-    marked = _found(docs, tuple(docs.columns), **options)
+    told = F.md5(F.col("text").cast("binary"))
+    marked = _found(docs.withColumn("_text", told), ("_text",), **options)
     live = F.filter("spans", lambda s: s["live"])
-    changed = F.exists("spans", lambda s: s["live"]) & F.col("keep_text").isNotNull()
-    out = marked.withColumn("keep_text", F.when(changed, masked(F.col("keep_text"), live, mark)).otherwise(F.col("keep_text")))
+    spans = durable(marked.select(F.col("keep__text").alias("_text"), live.alias("_live")).filter((F.size("_live") > 0) & F.col("_text").isNotNull()).dropDuplicates(["_text"]))
+    hint = F.coalesce(F.col("text").rlike(HINTS), F.lit(False))
+    some = docs.filter(hint).withColumn("_text", told).join(spans, "_text", "left")
+    changed = F.col("_live").isNotNull()
+    out = some.withColumn("text", F.when(changed, masked(F.col("text"), F.col("_live"), mark)).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("keep_n_chars", F.when(changed, F.length("keep_text").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("keep_n_chars")))
-    return out.select(*[F.col(f"keep_{c}").alias(c) for c in docs.columns])
+        out = out.withColumn("n_chars", F.when(changed, F.length("text").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars")))
+    return docs.filter(~hint).unionByName(out.select(docs.columns))
 
 
 def op9_secret_scan(spark, sf_dir: str) -> DataFrame:
