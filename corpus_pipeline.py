@@ -7,11 +7,10 @@ documents. All but the last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from recordscope.llm.common import durable
 from recordscope.llm.minhash import drop_near_copies
-from recordscope.llm.mixing import mix_sources
+from recordscope.llm.mixing import mixed_rows
 from recordscope.llm.packing import pack_along_curve
 from recordscope.llm.quality import drop_rejected
 from recordscope.llm.secrets import mask_secrets
@@ -53,8 +52,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     A null source is a source of its own. Null ids and repeated rows are taken row by row; rows without words count 0 words but
     are repeated at their source's rate. An empty table gives none; other columns are left out.
     """
-    mixed = mix_sources(docs.select(COLUMNS), keep=("text", "lang", "n_chars", "source")).filter("copies > 0")
-    return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(COLUMNS)
+    return mixed_rows(docs.select(COLUMNS))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
