@@ -28,15 +28,15 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """(node, component) over undirected ``edges``, only nodes with an edge; ``component`` is one of the component's nodes.
 
     Contraction: each node moves to the node of the least mark in its neighbourhood, edges are rewritten to where their ends
-    moved and self-loops dropped. Marks are hashes drawn anew each round, so the nodes that are left fall by a constant share a
-    round in expectation whatever the graph; a long path of ascending ids takes a logarithmic number of rounds like any other.
-    Hot nodes are met only in partial minimum aggregates and skew-splittable joins; each round is written to the shared folder.
-    Null ends and self-loops are ignored; no edges give no rows.
+    moved and self-loops dropped. Marks are hashes of the nodes, so a long path of ascending ids shrinks by a constant share a round
+    in expectation, like any other graph, and a star is done in two rounds, as its least node stays the least. Hot nodes are met
+    only in partial minimum aggregates and skew-splittable joins; each round is written to the shared folder. Null ends and
+    self-loops are ignored; no edges give no rows.
     """
     live = durable(edges.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).filter("a is not null and b is not null and a <> b").distinct())
-    label, number = None, 0
+    label = None
+    marked = lambda c: F.struct(F.xxhash64(c).alias("mark"), F.col(c).alias("to"))
     while not live.isEmpty():
-        marked = lambda c: F.struct(F.xxhash64(c, F.lit(number)).alias("mark"), F.col(c).alias("to"))  # noqa: B023, E731
         both = live.select(F.col("a").alias("node"), F.col("b").alias("near")).unionByName(live.select(F.col("b").alias("node"), F.col("a").alias("near")))
         least = both.groupBy("node").agg(F.min(marked("near")).alias("near"))
         step = durable(least.select("node", F.least("near", marked("node"))["to"].alias("to")))
@@ -47,7 +47,6 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             label = durable(label.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component")))
         ends = live.join(step.select(F.col("node").alias("a"), F.col("to").alias("ta")), "a").join(step.select(F.col("node").alias("b"), F.col("to").alias("tb")), "b")
         live = durable(ends.filter("ta <> tb").select(F.least("ta", "tb").alias("a"), F.greatest("ta", "tb").alias("b")).distinct())
-        number += 1
     if label is None:
         return live.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return label
