@@ -46,7 +46,7 @@ def held_out(doc_id) -> F.Column:
 
 
 #: Scores (a word times a language) that a task keeps.
-CACHE = 8_000_000
+CACHE = 1_600_000
 
 
 #: Log frequencies of an item by number of its language.
