@@ -100,11 +100,15 @@ def counterfactuals(text: str | None, others: dict[str, tuple[str, ...]]) -> Cou
     out: Counter = Counter()
     for sentence in _SENTENCE.split((text or "").lower()):
         words = set(LETTERS.findall(sentence))
-        for term in sorted(words & others.keys()):
-            rest = {f for w in words - {term} for f in word_features(w)}
+        named = sorted(words & others.keys())
+        held = Counter(f for w in words for f in word_features(w)) if named else Counter()
+        for term in named:
+            own = word_features(term)
             for other in others[term]:
-                gone = [f for f in word_features(term) if f not in rest and f not in word_features(other)]
-                come = [f for f in word_features(other) if f not in rest and f not in word_features(term)]
+                new = word_features(other)
+                # a feature stays while another word of the sentence has it
+                gone = [f for f in own if held[f] == 1 and f not in new]
+                come = [f for f in new if f not in held]
                 if gone or come:
                     out[tuple(gone), tuple(come)] += 1
     return out
@@ -163,7 +167,7 @@ def fit(x: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray, np.nda
 def train_toxicity(docs: DataFrame, labels: DataFrame, terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS, fairness: float = FAIRNESS, sample_each: int = SAMPLE_EACH) -> tuple[dict[str, float], float]:
     """Feature weights and bias from labelled rows that are not held out; a document labelled both ways is toxic.
 
-    A document of several rows teaches once, by its least text.
+    A document of several rows teaches once, by the row of least features.
     """
     told = labels.filter("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     told = told.filter(~held_out(F.col("doc_id")))
@@ -172,8 +176,10 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, terms: tuple[tuple[str, .
     # bounded and small, so that texts are met by broadcast and not shuffled
     few = durable(told.filter(F.pmod(F.xxhash64("doc_id"), bound) < sample_each).coalesce(1))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("text is not null").join(few, "doc_id")
-    rows = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
-    feats = durable(rows.mapInArrow(_featurise(terms), FEATURED))
+    rows = rows.select("doc_id", "toxic", "text")
+    # rows of one document are told apart after the texts are read where they lie; what is shuffled is features
+    each = rows.mapInArrow(_featurise(terms), FEATURED).groupBy("doc_id", "toxic").agg(F.min(F.struct("plain", "moved")).alias("d"))
+    feats = durable(each.select("doc_id", "toxic", "d.plain", "d.moved"))
     n = {r["toxic"]: r["count"] for r in feats.groupBy("toxic").count().collect()}
     if not n.get(0) or not n.get(1):
         return {}, (-6.0 if n.get(0) else 0.0)
