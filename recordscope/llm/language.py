@@ -35,9 +35,14 @@ GRAM = 4
 #: Words that count as independent evidence; more words sharpen a score no further.
 EVIDENCE = 25
 UNKNOWN = "und"
-# letters only, as in \p{L}: Python's word characters without digits still hold fractions, superscripts and numerals
-_NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
-LETTERS = re.compile(rf"[^\W\d_{_NUMERALS}]+")
+# letters only, as in \\p{L}: Python's word characters without digits still hold fractions, superscripts and numerals
+_NUMERAL = re.compile("[" + "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal()) + "]")
+_WORD = re.compile(r"[^\W\d_]+")
+
+
+def letters(text: str) -> list[str]:
+    """Runs of letters of a text."""
+    return _WORD.findall(text if text.isascii() else _NUMERAL.sub(" ", text))
 
 
 def held_out(doc_id) -> F.Column:
@@ -112,7 +117,7 @@ class LanguageModel:
         return CACHE // max(1, len(self.languages))
 
     def predict_many(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        found = [Counter(LETTERS.findall(t.lower())) if t else Counter() for t in texts]
+        found = [Counter(letters(t.lower())) if t else Counter() for t in texts]
         out = [(UNKNOWN, 0.0)] * len(texts)
         some = [k for k, c in enumerate(found) if c]
         if not some or not self.languages:

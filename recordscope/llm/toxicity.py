@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordscope.llm.common import durable
-from recordscope.llm.language import LETTERS, held_out
+from recordscope.llm.language import held_out, letters
 
 #: Labelled documents of either label in the sample, in expectation.
 SAMPLE_EACH = 4_000
@@ -83,7 +83,7 @@ def word_features(word: str) -> list[str]:
 
 
 def text_words(text: str | None) -> set[str]:
-    return set(LETTERS.findall((text or "").lower()))
+    return set(letters((text or "").lower()))
 
 
 def swaps(terms: tuple[tuple[str, ...], ...]) -> dict[str, tuple[str, ...]]:
@@ -99,7 +99,7 @@ def counterfactuals(text: str | None, others: dict[str, tuple[str, ...]]) -> Cou
     """(features that go, features that come) -> number of swaps in the sentences of a text that change them so."""
     out: Counter = Counter()
     for sentence in _SENTENCE.split((text or "").lower()):
-        words = set(LETTERS.findall(sentence))
+        words = set(letters(sentence))
         named = sorted(words & others.keys())
         held = Counter(f for w in words for f in word_features(w)) if named else Counter()
         for term in named:
