@@ -36,13 +36,14 @@ GRAM = 4
 EVIDENCE = 25
 UNKNOWN = "und"
 # letters only, as in \\p{L}: Python's word characters without digits still hold fractions, superscripts and numerals
-_NUMERAL = re.compile("[" + "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal()) + "]")
+_NUMERALS = frozenset(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+_BLANKS = dict.fromkeys(map(ord, _NUMERALS), " ")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 def letters(text: str) -> list[str]:
     """Runs of letters of a text."""
-    return _WORD.findall(text if text.isascii() else _NUMERAL.sub(" ", text))
+    return _WORD.findall(text if text.isascii() or _NUMERALS.isdisjoint(text) else text.translate(_BLANKS))
 
 
 def held_out(doc_id) -> F.Column:
