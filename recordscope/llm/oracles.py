@@ -69,3 +69,18 @@ WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddi
 SELECT v.vec_id, coalesce(n.n, 0) AS n_links, min(r.b) AS component_id, v.vec_id = min(r.b) AS kept
 FROM v JOIN reach r ON r.a = v.vec_id LEFT JOIN n ON n.a = v.vec_id GROUP BY v.vec_id, n.n
 """
+
+#: Scores of all anchors; whole numbers of this size are exact as doubles.
+OP11 = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND coalesce(list_aggregate(list_transform(embedding, lambda x: coalesce(isfinite(x), false)), 'bool_and'), true)
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+), n AS (
+  SELECT p.anchor_id, p.other AS positive_id, row_number() OVER (PARTITION BY p.anchor_id, p.other ORDER BY s.score DESC, s.other)::INT AS rank, s.other AS negative_id, p.score AS positive_score, s.score AS negative_score
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same WHERE 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+)
+SELECT * FROM n WHERE rank <= 5
+"""

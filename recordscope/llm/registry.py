@@ -7,6 +7,7 @@ from recordscope.llm.embeddings import op10_near_vectors
 from recordscope.llm.language import op5_language_id
 from recordscope.llm.minhash import op1_minhash_dedup
 from recordscope.llm.mixing import op3_source_mix
+from recordscope.llm.negatives import op11_hard_negatives
 from recordscope.llm.packing import op8_curve_packing
 from recordscope.llm.pii import op7_personal_data
 from recordscope.llm.quality import op4_quality_rules
@@ -27,6 +28,7 @@ QUERIES = {
         op8_curve_packing,
         op9_secret_scan,
         op10_near_vectors,
+        op11_hard_negatives,
     )
 }
-ORACLES = {"op1_minhash_dedup": oracles.OP1, "op2_fixity_audit": oracles.OP2, "op3_source_mix": oracles.OP3, "op10_near_vectors": oracles.OP10}
+ORACLES = {"op1_minhash_dedup": oracles.OP1, "op2_fixity_audit": oracles.OP2, "op3_source_mix": oracles.OP3, "op10_near_vectors": oracles.OP10, "op11_hard_negatives": oracles.OP11}
