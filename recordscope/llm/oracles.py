@@ -84,3 +84,24 @@ WITH v AS (
 )
 SELECT * FROM n WHERE rank <= 5
 """
+
+#: All grams of all pieces are counted; longer phrases are tried for each drop.
+OP12 = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p
+), t AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang
+), g AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: list_slice(ws, i, i + k - 1))) AS ph FROM w, (SELECT unnest([1, 2, 3, 4, 5]) AS k) x WHERE len(ws) >= k
+), f AS MATERIALIZED (SELECT lang, k, ph, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100
+), inside AS (
+  SELECT DISTINCT q.lang, p.ph FROM f q JOIN f p ON p.lang = q.lang AND p.k > 1 AND p.k < q.k AND 100 * q.f >= 100 * p.f
+    AND list_bool_or(list_transform(range(1, q.k - p.k + 2), lambda i: list_slice(q.ph, i, i + p.k - 1) = p.ph))
+), c AS (SELECT f.* FROM f WHERE k > 1 AND (lang, ph) NOT IN (SELECT (lang, ph) FROM inside)
+), s AS (
+  SELECT c.lang, c.ph, c.f AS a, x.cut, l.f AS l, r.f AS r, t.n, ((1000::HUGEINT * c.f * t.n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM c JOIN (SELECT unnest([1, 2, 3, 4]) AS cut) x ON x.cut < c.k JOIN f l ON l.lang = c.lang AND l.ph = list_slice(c.ph, 1, x.cut) JOIN f r ON r.lang = c.lang AND r.ph = list_slice(c.ph, x.cut + 1, c.k) JOIN t ON t.lang = c.lang
+), b AS (SELECT *, array_to_string(ph, ' ') AS phrase FROM s QUALIFY row_number() OVER (PARTITION BY lang, ph ORDER BY score, cut) = 1
+), o AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM b)
+SELECT * FROM o WHERE rank <= 2000
+"""

@@ -9,6 +9,7 @@ from recordscope.llm.minhash import op1_minhash_dedup
 from recordscope.llm.mixing import op3_source_mix
 from recordscope.llm.negatives import op11_hard_negatives
 from recordscope.llm.packing import op8_curve_packing
+from recordscope.llm.phrases import op12_collocations
 from recordscope.llm.pii import op7_personal_data
 from recordscope.llm.quality import op4_quality_rules
 from recordscope.llm.secrets import op9_secret_scan
@@ -29,6 +30,14 @@ QUERIES = {
         op9_secret_scan,
         op10_near_vectors,
         op11_hard_negatives,
+        op12_collocations,
     )
 }
-ORACLES = {"op1_minhash_dedup": oracles.OP1, "op2_fixity_audit": oracles.OP2, "op3_source_mix": oracles.OP3, "op10_near_vectors": oracles.OP10, "op11_hard_negatives": oracles.OP11}
+ORACLES = {
+    "op1_minhash_dedup": oracles.OP1,
+    "op2_fixity_audit": oracles.OP2,
+    "op3_source_mix": oracles.OP3,
+    "op10_near_vectors": oracles.OP10,
+    "op11_hard_negatives": oracles.OP11,
+    "op12_collocations": oracles.OP12,
+}
