@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from recordscope.llm.licenses import BASE_SCORE, LEAST, templates
+
 #: Brute force over an inverted index of shingles; components by repeated minimum along links.
 OP1 = r"""
 WITH RECURSIVE w AS (
@@ -105,3 +107,27 @@ WITH p AS (
 ), o AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM b)
 SELECT * FROM o WHERE rank <= 2000
 """
+
+
+def _templates() -> str:
+    rows = [f"('{label}', {words}, {key}, {at}, {str(base).lower()})" for label, words, key, at, base in templates()]
+    return "(VALUES " + ", ".join(rows) + ") t(label, words, key, key_at, base)"
+
+
+#: Every word of every text is tried as the first of each key phrase.
+OP13 = rf"""
+WITH w AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), p AS (
+  SELECT rid, ws, t.*, unnest(list_filter(range(len(ws)), lambda i: ws[i + 1] = t.key[1] AND list_slice(ws, i + 1, i + len(t.key)) = t.key)) AS i FROM w JOIN {_templates()} ON list_has_all(ws, t.key)
+), m AS (
+  SELECT rid, label, base, i, len(list_filter(range(len(words)), lambda o: i - key_at + o >= 0 AND coalesce(ws[i - key_at + o + 1] = words[o + 1], false))) AS same, len(words) AS n FROM p
+), f AS (SELECT *, same::DOUBLE / n AS share FROM m WHERE 100 * same >= {LEAST} * n
+), g AS (
+  SELECT rid, count(*) FILTER (base) AS n_base, min(i) FILTER (base) AS first_word, max(i) FILTER (base) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) FILTER (NOT base) AS share, string_agg(label || ':' || i, ',' ORDER BY i, label, base) AS places FROM f GROUP BY rid
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  greatest(coalesce(share, 0::DOUBLE), CASE WHEN n_base > 0 THEN {BASE_SCORE}::DOUBLE ELSE 0::DOUBLE END) AS score, coalesce(places, '') AS places
+FROM w LEFT JOIN g USING (rid)
+"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from recordscope.llm import oracles
 from recordscope.llm.embeddings import op10_near_vectors
 from recordscope.llm.language import op5_language_id
+from recordscope.llm.licenses import op13_license_scan
 from recordscope.llm.minhash import op1_minhash_dedup
 from recordscope.llm.mixing import op3_source_mix
 from recordscope.llm.negatives import op11_hard_negatives
@@ -31,6 +32,7 @@ QUERIES = {
         op10_near_vectors,
         op11_hard_negatives,
         op12_collocations,
+        op13_license_scan,
     )
 }
 ORACLES = {
@@ -40,4 +42,5 @@ ORACLES = {
     "op10_near_vectors": oracles.OP10,
     "op11_hard_negatives": oracles.OP11,
     "op12_collocations": oracles.OP12,
+    "op13_license_scan": oracles.OP13,
 }
