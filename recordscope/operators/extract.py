@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from recordscope.functions.dates import parse_dmy
 from recordscope.functions.text import squeeze, tolerant_number
 
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"))
+# Entities in the order in which pages are decoded; the ampersand first, so that what it hides is decoded as well.
+ENTITIES = (("&amp;", "&"), ("&nbsp;", " "), ("&#39;", "'"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"))
 
 
 def cell_text(c: Column) -> Column:
-    """Text of a table cell: tags become spaces, four entities are decoded, white space is squeezed, a trailing comma goes."""
+    """Text of a table cell: tags become spaces, entities are decoded in their order, white space is squeezed, a trailing comma goes."""
     t = F.regexp_replace(c, "<[^>]*>", " ")
     for entity, to in ENTITIES:
         t = F.replace(t, F.lit(entity), F.lit(to))

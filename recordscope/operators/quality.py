@@ -108,65 +108,153 @@ def checksum_audit(cells: DataFrame, constraints: DataFrame) -> DataFrame:
     return per.filter((F.col("_gaps") == 0) & (F.col("members") != F.col("total"))).select("sheet", "constraint", "members", "total", (F.col("members") - F.col("total")).alias("delta"))
 
 
-def deduce_missing(cells: DataFrame, constraints: DataFrame, rounds: int = 3) -> DataFrame:
-    """Fills cells that a constraint determines alone, a fixed number of times; a negative value is refused.
+def deduce_missing(cells: DataFrame, constraints: DataFrame) -> DataFrame:
+    """Fills cells that a constraint determines alone, until no constraint does; a negative value is refused.
 
-    Adds ``deduced``. Where two constraints disagree about a cell in one round, the smaller value is taken.
+    ``cells`` is (sheet, row, col, value); cells of a constraint that are null or absent are holes, filled ones of either kind come out,
+    marked by ``deduced``. All constraints are judged at once in a round; where two disagree about a cell, the first by name counts.
+    Of repeated cells the largest value counts. What is known of a constraint is a sum over its known cells, so a round adds the
+    cells of the last one and judges only the constraints that hold them.
     """
-    out = cells.withColumn("deduced", F.lit(False))
-    for _ in range(rounds):
-        rows = constraints.join(out, ["row", "col"])
-        total = F.col("role") == "total"
-        per = rows.groupBy("sheet", "constraint").agg(
-            F.count_if(F.col("value").isNull()).alias("gaps"), F.sum(F.when(~total, F.col("value"))).alias("members"), F.max(F.when(total, F.col("value"))).alias("total"),
-            F.max(F.when(F.col("value").isNull(), F.struct("role", "row", "col"))).alias("at"),
-        )
-        members = F.coalesce("members", F.lit(0))
-        told = per.filter("gaps = 1").select("sheet", "at.row", "at.col", F.when(F.col("at.role") == "total", members).otherwise(F.col("total") - members).alias("_v"))
-        told = told.filter("_v >= 0").groupBy("sheet", "row", "col").agg(F.min("_v").alias("_v"))
-        out = out.join(told, ["sheet", "row", "col"], "left").select("sheet", "row", "col", F.coalesce("value", "_v").alias("value"), (F.col("deduced") | (F.col("value").isNull() & F.col("_v").isNotNull())).alias("deduced"))
-        out = durable(out)
-    return out
-
-
-def repair_sheets(cells: DataFrame, constraints: DataFrame, most: int = 3) -> DataFrame:
-    """Repairs of low-confidence cells: (sheet, row, col, before, after), only where all of a sheet's constraints then hold.
-
-    ``cells`` also has ``sure``. A sheet is small and is repaired by one call; each step changes the unsure cell and takes the
-    value by which the total residual falls most.
-    """
-    rules = [(r["constraint"], r["role"], r["row"], r["col"]) for r in constraints.collect()]
+    sign = F.when(F.col("role") == "total", -1).otherwise(1).alias("sign")
+    rules = durable(constraints.select("constraint", "row", "col", sign, F.xxhash64("row", "col").alias("code")))
+    terms = durable(rules.groupBy("constraint").agg(F.count("*").alias("terms"), F.bit_xor("code").alias("all")))
+    cells = cells.groupBy("sheet", "row", "col").agg(F.max("value").alias("value"))
+
+    def told(known: DataFrame) -> DataFrame:
+        """What known cells (sheet, row, col, value) add to each of their constraints."""
+        rows = known.join(rules, ["row", "col"])
+        return rows.groupBy("sheet", "constraint").agg(F.count("*").alias("n"), F.sum(F.col("sign") * F.col("value")).alias("balance"), F.bit_xor("code").alias("code"))
+
+    def state(parts: DataFrame) -> DataFrame:
+        """(sheet, constraint, balance, gaps, n, code): constraints with a hole; ``code`` is that of the known cells."""
+        sums = parts.groupBy("sheet", "constraint").agg(F.sum("n").alias("n"), F.sum("balance").alias("balance"), F.bit_xor("code").alias("code"))
+        return sums.join(terms, "constraint").withColumn("gaps", F.col("terms") - F.col("n")).filter("gaps > 0")
+
+    opened = durable(state(told(cells.filter("value is not null"))))
+    ledger = opened.select("sheet", "constraint", "n", "balance", "code")
+    touched, found = opened, None
+    while True:
+        # the codes of all cells but the known ones leave that of the hole
+        ready = touched.filter("gaps = 1").withColumn("code", F.col("code").bitwiseXOR(F.col("all")))
+        solved = ready.join(rules, ["constraint", "code"]).withColumn("value", -F.col("sign") * F.col("balance")).filter("value >= 0")
+        fills = durable(solved.groupBy("sheet", "row", "col").agg(F.min_by("value", "constraint").alias("value")))
+        if fills.isEmpty():
+            break
+        found = fills if found is None else found.unionByName(fills)
+        more = durable(told(fills))
+        ledger = ledger.unionByName(more)
+        touched = durable(state(ledger.join(more.select("sheet", "constraint"), ["sheet", "constraint"], "left_semi")))
+    if found is None:
+        return cells.withColumn("deduced", F.lit(False))
+    out = cells.join(found.withColumnRenamed("value", "_v"), ["sheet", "row", "col"], "full")
+    return out.select("sheet", "row", "col", F.coalesce("value", "_v").alias("value"), (F.col("value").isNull() & F.col("_v").isNotNull()).alias("deduced"))
+
+
+class _Sheet:
+    """A sheet's cells, and for each constraint its number of holes and its balance (members less total) over the known cells."""
+
+    def __init__(self, terms: list[dict], values: dict):
+        self.terms, self.values = terms, values
+        self.of: dict = {}
+        for k, part in enumerate(terms):
+            for cell in part:
+                self.of.setdefault(cell, []).append(k)
+        self.holes = [sum(values.get(c) is None for c in part) for part in terms]
+        self.balance = [sum(s * (values.get(c) or 0) for c, s in part.items()) for part in terms]
+
+    def put(self, cell, value: int) -> None:
+        before = self.values.get(cell)
+        for k in self.of.get(cell, ()):
+            self.holes[k] -= before is None
+            self.balance[k] += self.terms[k][cell] * (value - (before or 0))
+        self.values[cell] = value
+
+    def implied(self, k: int, cell) -> int:
+        """The value by which constraint ``k`` would balance, its other cells being known."""
+        sign = self.terms[k][cell]
+        return (self.values.get(cell) or 0) - sign * self.balance[k]
+
+    def deduce(self, todo: list[int]) -> None:
+        """Fills what constraints determine alone, beginning with those of ``todo`` and going on with those of each filled cell."""
+        while todo:
+            later: list[int] = []
+            for k in todo:
+                if self.holes[k] == 1:
+                    cell = next(c for c in self.terms[k] if self.values.get(c) is None)
+                    if (value := self.implied(k, cell)) >= 0:
+                        self.put(cell, value)
+                        later += self.of[cell]
+            todo = sorted(set(later))
+
+    def broken(self) -> list[int]:
+        return [k for k, b in enumerate(self.balance) if b and not self.holes[k]]
+
+    def step(self, unsure: set) -> tuple | None:
+        """(cell, value): the change of an unsure cell of a broken constraint by which the residual of all known constraints falls most; the smaller change on a tie."""
+        best = (0, 0, None)
+        for cell in dict.fromkeys(c for k in self.broken() for c in self.terms[k] if c in unsure):
+            now = self.values[cell]
+            for value in sorted({self.implied(k, cell) for k in self.of[cell] if not self.holes[k]}):
+                if value >= 0 and value != now:
+                    fall = sum(abs(self.balance[k] + self.terms[k][cell] * (value - now)) - abs(self.balance[k]) for k in self.of[cell] if not self.holes[k])
+                    if fall < 0 and (fall, abs(value - now)) < best[:2]:
+                        best = (fall, abs(value - now), (cell, value))
+        return best[2]
+
+    def repair(self, unsure: set, most: int) -> None:
+        """Deduces, then changes one unsure cell after the other, each once, deducing in between; changes that do not make all known constraints balance are undone."""
+        self.deduce(list(range(len(self.terms))))
+        deduced, left = dict(self.values), set(unsure)
+        for _ in range(most):
+            change = self.step(left)
+            if change is None:
+                break
+            self.put(*change)
+            left.discard(change[0])
+            self.deduce(self.of[change[0]])
+        if self.broken():
+            self.__init__(self.terms, deduced)
+
+
+def reconcile_sheets(cells: DataFrame, constraints: DataFrame, most: int = 12) -> DataFrame:
+    """(sheet, row, col, read, value, clean): cells after deduction and repair; ``clean`` sheets have no hole and no broken constraint.
 
-    def residuals(grid: dict) -> dict:
-        sums: dict = {}
-        for name, role, row, col in rules:
-            sums[name] = sums.get(name, 0) + (grid.get((row, col)) or 0) * (1 if role == "member" else -1)
-        return sums
+    Holes are filled where constraints determine them. If some still do not balance, cells whose ``sure`` is not true are changed, at most
+    ``most`` of them and each once; unless everything that is known balances then, a sheet keeps its deductions only. Without a
+    column ``sure`` all cells count as sure. Cells that a constraint names and a sheet lacks are holes; cells without a constraint
+    pass; of repeated cells the largest value counts. A sheet is small by nature and is reconciled by one call; sheets are dealt to tasks.
+    """
+    by_name: dict = {}
+    for r in constraints.collect():
+        part = by_name.setdefault(r["constraint"], {})
+        part[r["row"], r["col"]] = part.get((r["row"], r["col"]), 0) + (-1 if r["role"] == "total" else 1)
+    terms = [dict(sorted(by_name[name].items())) for name in sorted(by_name)]
+    named = list(dict.fromkeys(c for part in terms for c in part))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        grid = {(r, c): int(v) for r, c, v in zip(pdf["row"], pdf["col"], pdf["value"], strict=True) if pd.notna(v)}
-        unsure = [(r, c) for r, c, s in zip(pdf["row"], pdf["col"], pdf["sure"], strict=True) if not s and (r, c) in grid]
-        first = dict(grid)
-        for _ in range(most):
-            now = residuals(grid)
-            size = sum(map(abs, now.values()))
-            best = (size, None, None)
-            for cell in unsure:
-                for name, role, row, col in rules:
-                    if (row, col) == cell and now[name]:
-                        value = grid[cell] + (-now[name] if role == "member" else now[name])
-                        if value >= 0:
-                            left = sum(map(abs, residuals(grid | {cell: value}).values()))
-                            if left < best[0]:
-                                best = (left, cell, value)
-            if best[1] is None:
-                break
-            grid[best[1]] = best[2]
-        changed = [(pdf["sheet"].iloc[0], r, c, first[r, c], v) for (r, c), v in grid.items() if first[r, c] != v]
-        return pd.DataFrame(changed if not any(residuals(grid).values()) else [], columns=["sheet", "row", "col", "before", "after"])
+        read: dict = dict.fromkeys(named)
+        sure = set()
+        for r, c, v, s in zip(pdf["row"], pdf["col"], pdf["value"], pdf["sure"], strict=True):
+            read[r, c] = max((x for x in (read.get((r, c)), None if pd.isna(v) else int(v)) if x is not None), default=None)
+            if s and not pd.isna(v):
+                sure.add((r, c))
+        sheet = _Sheet(terms, dict(read))
+        sheet.repair({c for c in named if c not in sure}, most)
+        clean = not sheet.broken() and not any(sheet.holes)
+        rows = [(pdf["sheet"].iloc[0], *cell, v, sheet.values[cell], clean) for cell, v in read.items()]
+        return pd.DataFrame(rows, columns=["sheet", "row", "col", "read", "value", "clean"]).astype({"read": "Int64", "value": "Int64"})
 
     kinds = dict(cells.dtypes)
-    return cells.groupBy("sheet").applyInPandas(run, f"sheet {kinds['sheet']}, row {kinds['row']}, col {kinds['col']}, before long, after long")
+    known = F.coalesce("sure", F.lit(False)) if "sure" in kinds else F.lit(True)
+    rows = cells.select("sheet", "row", "col", F.col("value").cast("long").alias("value"), known.alias("sure"))
+    return rows.groupBy("sheet").applyInPandas(run, f"sheet {kinds['sheet']}, row {kinds['row']}, col {kinds['col']}, read long, value long, clean boolean")
+
+
+def repair_sheets(cells: DataFrame, constraints: DataFrame, most: int = 12) -> DataFrame:
+    """(sheet, row, col, before, after): cells that ``reconcile_sheets`` filled (before is null) or changed."""
+    rows = reconcile_sheets(cells, constraints, most).filter(~F.col("read").eqNullSafe(F.col("value")))
+    return rows.select("sheet", "row", "col", F.col("read").alias("before"), F.col("value").alias("after"))
 
 
 def total_row_audit(rows: DataFrame, totals: DataFrame, period: str, columns: Sequence[str]) -> DataFrame:

@@ -206,17 +206,52 @@ def a53_checksums(spark, d):
     return ql.checksum_audit(sheets(spark, d).withColumn("value", F.col("value") + F.when(bad, 7).otherwise(0)), sheet_rules(spark))
 
 
-@query(f"""WITH {SHEETS} SELECT sheet, "row", col, value, sheet = '2-HIGH' AND ("row" = 1 AND col = 1 OR "row" = 2 AND col = 0) AS deduced FROM cells""")
+#: One complete sheet for each priority and month; ``m`` is the month's number.
+MONTH_SHEETS = """o AS (SELECT o_orderpriority || '/' || strftime(o_orderdate, '%Y-%m') AS sheet, month(o_orderdate)::INT AS m, (c_nationkey % 5)::INT AS r, CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS c FROM orders JOIN customer ON c_custkey = o_custkey),
+cells AS (SELECT sheet, m, x.r::INT AS "row", y.c::INT AS col, count(*) FILTER ((o.r = x.r OR x.r = 5) AND (o.c = y.c OR y.c = 3)) AS value FROM o, range(6) x(r), range(4) y(c) GROUP BY ALL)"""
+#: A chain of holes, each of which is determined once the one before it is known.
+CHAIN = [(0, 0), (0, 1), (1, 1), (1, 2), (2, 2), (2, 3), (3, 3)]
+IN_CHAIN = "(" + " OR ".join(f'"row" = {r} AND col = {c}' for r, c in CHAIN) + ")"
+#: Holes that no constraint determines.
+IN_SQUARE = """("row" IN (1, 3) AND col IN (0, 2))"""
+
+
+def month_sheets(spark, d):
+    """(sheet, m, row, col, value): order counts by nation group and status with their totals, complete."""
+    o = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    r, c = F.col("c_nationkey") % 5, F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
+    o = o.select(F.concat_ws("/", "o_orderpriority", F.date_format("o_orderdate", "yyyy-MM")).alias("sheet"), F.month("o_orderdate").alias("m"), r.alias("r"), c.alias("c"))
+    grid = [(i, j) for i in range(6) for j in range(4)]
+    counts = [F.count_if((F.lit(i == 5) | (F.col("r") == i)) & (F.lit(j == 3) | (F.col("c") == j))).alias(f"n{i}_{j}") for i, j in grid]
+    cells = F.array(*[F.struct(F.lit(i).alias("row"), F.lit(j).alias("col"), F.col(f"n{i}_{j}").alias("value")) for i, j in grid])
+    return o.groupBy("sheet", "m").agg(*counts).select("sheet", "m", F.inline(cells))
+
+
+@query(f"""WITH {MONTH_SHEETS} SELECT sheet, "row", col, CASE WHEN m % 3 <> 2 OR NOT {IN_SQUARE} THEN value END AS value, m % 3 = 1 AND {IN_CHAIN} AS deduced FROM cells""")
 def a54_deduced(spark, d):
-    gone = (F.col("sheet") == "2-HIGH") & ((F.col("row") == 1) & (F.col("col") == 1) | (F.col("row") == 2) & (F.col("col") == 0))
-    return ql.deduce_missing(sheets(spark, d).withColumn("value", F.when(~gone, F.col("value"))), sheet_rules(spark))
+    gone = (F.col("m") % 3 == 1) & F.expr(IN_CHAIN.replace('"', "")) | (F.col("m") % 3 == 2) & F.expr(IN_SQUARE.replace('"', ""))
+    cells = month_sheets(spark, d).withColumn("value", F.when(~gone, F.col("value")))
+    # holes of both kinds: null, and not there at all
+    return ql.deduce_missing(cells.filter("value is not null or row > 0").drop("m"), sheet_rules(spark))
+
+
+#: By the month's number: 0 a doubtful misread, 1 two in one row, 2 a hole beside it, 3 a misread that was read as sure, 4 a hole alone, which leaves nothing to change.
+MISREAD = """CASE WHEN m % 5 < 4 AND "row" = 2 AND col = 1 THEN 7 WHEN m % 5 = 1 AND "row" = 2 AND col = 0 THEN 2 ELSE 0 END"""
+MISSED = """(m % 5 = 2 AND "row" = 4 AND col = 2 OR m % 5 = 4 AND "row" = 2 AND col = 1)"""
+UNSURE = """("row" = 2 AND col < 2 AND m % 5 <> 3)"""
+
+
+def misread_sheets(spark, d):
+    """``month_sheets`` with holes and misread cells, and ``sure``."""
+    sql = lambda text: F.expr(text.replace('"', ""))
+    cells = month_sheets(spark, d).withColumn("read", F.when(~sql(MISSED), F.col("value") + sql(MISREAD)))
+    return cells.select("sheet", "row", "col", F.col("read").alias("value"), (~sql(UNSURE)).alias("sure"))
 
 
-@query(f"""WITH {SHEETS} SELECT sheet, "row", col, value + 7 AS before, value AS after FROM cells WHERE sheet IN ('1-URGENT', '3-MEDIUM') AND "row" = 2 AND col = 1""")
+@query(f"""WITH {MONTH_SHEETS}, b AS (SELECT *, CASE WHEN NOT {MISSED} THEN value + {MISREAD} END AS read FROM cells)
+SELECT sheet, "row", col, read AS before, value AS after FROM b WHERE read IS DISTINCT FROM value AND m % 5 <> 3""")
 def a55_repaired(spark, d):
-    bad = F.col("sheet").isin("1-URGENT", "3-MEDIUM") & (F.col("row") == 2) & (F.col("col") == 1)
-    cells = sheets(spark, d).withColumn("value", F.col("value") + F.when(bad, 7).otherwise(0)).withColumn("sure", ~((F.col("row") == 2) & (F.col("col") < 3)))
-    return ql.repair_sheets(cells, sheet_rules(spark))
+    return ql.repair_sheets(misread_sheets(spark, d), sheet_rules(spark))
 
 
 MONTHS = "m AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, o_orderpriority AS unit, count(*) FILTER (o_orderstatus = 'F') AS f, count(*) FILTER (o_orderstatus = 'O') AS o FROM orders GROUP BY 1, 2)"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from recordscope.plans.base import DAYS, line_days, query, table
-from recordscope.plans.region_queries import SHEETS, sheet_rules, sheets
+from recordscope.plans.region_queries import IN_SQUARE, MISREAD, MISSED, MONTH_SHEETS, misread_sheets, month_sheets, sheet_rules
 from recordscope.streaming import jobs
 
 
@@ -33,11 +33,13 @@ def t4_trailing(spark, d):
     return jobs.replace_trailing(day, new, "date", 21)
 
 
-@query(f"WITH {SHEETS} SELECT sheet, sum(value)::BIGINT AS total, sheet <> '4-NOT SPECIFIED' AS published FROM (SELECT sheet, value + CASE WHEN sheet = '4-NOT SPECIFIED' AND \"row\" = 0 AND col = 0 THEN 1 ELSE 0 END AS value FROM cells) GROUP BY 1")
+@query(f"""WITH {MONTH_SHEETS}, b AS (SELECT *, CASE WHEN NOT {MISSED} AND NOT (m % 5 = 0 AND sheet < '3' AND {IN_SQUARE}) THEN value + {MISREAD} END AS read, m % 5 <> 3 AND NOT (m % 5 = 0 AND sheet < '3') AS good FROM cells)
+SELECT sheet, sum(CASE WHEN good THEN value ELSE read END)::BIGINT AS total, count(CASE WHEN good THEN value ELSE read END) AS known, good AS published FROM b GROUP BY sheet, good""")
 def t5_gate(spark, d):
-    bad = (F.col("sheet") == "4-NOT SPECIFIED") & (F.col("row") == 0) & (F.col("col") == 0)
-    good, review = jobs.gate(sheets(spark, d).withColumn("value", F.col("value") + F.when(bad, 1).otherwise(0)), sheet_rules(spark))
-    total = lambda df, p: df.groupBy("sheet").agg(F.sum("value").alias("total")).withColumn("published", F.lit(p))
+    square = (F.col("m") % 5 == 0) & (F.col("sheet") < "3") & F.expr(IN_SQUARE.replace('"', ""))
+    gone = month_sheets(spark, d).filter(square).select("sheet", "row", "col")
+    good, review = jobs.gate(misread_sheets(spark, d).join(gone, ["sheet", "row", "col"], "left_anti"), sheet_rules(spark))
+    total = lambda df, p: df.groupBy("sheet").agg(F.sum("value").alias("total"), F.count("value").alias("known")).withColumn("published", F.lit(p))
     return total(good, True).unionByName(total(review, False))
 
 

@@ -177,12 +177,12 @@ def s16_units_sum(spark, d):
 
 
 # Rows of award tables as a publisher prints them: tags inside cells, entities, breaks, uneven white space.
-@query("""SELECT o_orderkey, [o_orderkey::VARCHAR, 'Ref & <' || o_custkey || '>', o_orderpriority, strftime(o_orderdate, '%d-%b-%Y')] AS cells, o_custkey AS reference_no, o_orderdate::DATE AS signed FROM orders""")
+@query("""SELECT o_orderkey, [o_orderkey::VARCHAR, 'Ref & <' || o_custkey || '>', o_orderpriority, strftime(o_orderdate, '%d-%b-%Y'), 'Son''s "' || o_orderstatus || '" ''&amp;quot;'] AS cells, o_custkey AS reference_no, o_orderdate::DATE AS signed FROM orders""")
 def s9_s10_html_rows(spark, d):
     o = table(spark, d, "orders")
     page = F.concat(
         F.lit("<table><tr class='x'><td>"), F.col("o_orderkey").cast("string"), F.lit("</td>\n<td> Ref &amp; <b>&lt;"), F.col("o_custkey").cast("string"), F.lit("&gt;</b>,</td><TD>"), "o_orderpriority",
-        F.lit("</TD><td>\n"), F.date_format("o_orderdate", "dd-MMM-yyyy"), F.lit(" &nbsp;</td></tr></table>"),
+        F.lit("</TD><td>\n"), F.date_format("o_orderdate", "dd-MMM-yyyy"), F.lit(" &nbsp;</td><td>Son&#39;s &quot;"), "o_orderstatus", F.lit("&quot; &amp;#39;&amp;amp;quot;</td></tr></table>"),
     )
     rows = ex.html_rows(o.select("o_orderkey", page.alias("html")), "html")
     fields = {"reference_no": ex.number_in(1), "signed": ex.date_in(3)}

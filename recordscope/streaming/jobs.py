@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.types import StructType
 
-from recordscope.operators.quality import checksum_audit
+from recordscope.operators.quality import reconcile_sheets
 from recordscope.sources.io import or_nothing, rewrite_buckets
 
 
@@ -44,9 +45,11 @@ def replace_keys(old: DataFrame, new: DataFrame, key: Sequence[str], order: Sequ
 
 
 def gate(cells: DataFrame, constraints: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(published, review): sheets all of whose constraints hold, and the others."""
-    bad = checksum_audit(cells, constraints).select("sheet").distinct()
-    return cells.join(bad, "sheet", "left_anti"), cells.join(bad, "sheet", "left_semi")
+    """(published, review): sheets are deduced, repaired, then judged. Clean ones (no hole, all constraints hold) are published with
+    their final values; the others come out as they were read."""
+    done = reconcile_sheets(cells, constraints)
+    good = done.filter("clean").select("sheet", "row", "col", F.col("value").cast(dict(cells.dtypes)["value"]).alias("value"))
+    return good, cells.join(done.filter("not clean").select("sheet").distinct(), "sheet", "left_semi")
 
 
 def still_to_do(want: DataFrame, done: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -82,13 +85,50 @@ def merge_stream(stream: DataFrame, path: str, checkpoint: str, bucket: str, mer
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def gate_stream(stream: DataFrame, constraints: DataFrame, published: str, review: str, checkpoint: str) -> StreamingQuery:
-    """Sheets that balance go to one table, the others to review; each batch has folders of its own, so a replay replaces them."""
+def gate_stream(stream: DataFrame, constraints: DataFrame, published: str, review: str, checkpoint: str, manifest: str | None = None) -> StreamingQuery:
+    """Clean sheets go to one table, the others to review, both committed by one line of a manifest.
+
+    A batch writes its folder of each table, then its entry of the manifest (``published``-manifest where not given), which lists the
+    files of both. Readers use ``read_gated`` and see a batch in both tables or in none. A batch that is replayed before its entry
+    stands overwrites its folders; after that it is left alone, so failures of either table at any point give the same two tables.
+    """
+    manifest = manifest or f"{published}-manifest"
 
     def write(batch: DataFrame, number: int) -> None:
-        batch = _aside(batch, f"{checkpoint}-batch")
-        good, bad = gate(batch, constraints)
-        good.write.mode("overwrite").parquet(f"{published}/batch={number}")
-        bad.write.mode("overwrite").parquet(f"{review}/batch={number}")
+        spark = batch.sparkSession
+        if not committed(spark, manifest).filter(F.col("batch") == number).isEmpty():
+            return
+        good, bad = gate(_aside(batch, f"{checkpoint}-batch"), constraints)
+        files = []
+        for df, folder in ((good, published), (bad, review)):
+            df.write.mode("overwrite").parquet(f"{folder}/batch={number}")
+            files.append(spark.read.schema(df.schema).parquet(f"{folder}/batch={number}").inputFiles())
+        spark.createDataFrame([(number, *files)], ENTRY).coalesce(1).write.mode("append").json(manifest)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+#: An entry of the manifest of a gate.
+ENTRY = "batch long, published array<string>, review array<string>"
+
+
+def committed(spark: SparkSession, manifest: str) -> DataFrame:
+    """Entries of a manifest; none where there is no such folder yet."""
+    return or_nothing(lambda: spark.read.schema(ENTRY).json(manifest), spark, ENTRY)
+
+
+def read_gated(spark: SparkSession, manifest: str, table: str, schema: StructType) -> DataFrame:
+    """Rows of ``published`` or ``review`` of the batches that the manifest holds."""
+    files = [f for r in committed(spark, manifest).select(table).collect() for f in r[table]]
+    return spark.read.schema(schema).parquet(*files) if files else spark.createDataFrame([], schema)
+
+
+def first_seen_stream(stream: DataFrame, path: str, checkpoint: str, key: Sequence[str], at: str, keep: str, bucket: str | None = None) -> StreamingQuery:
+    """Appends the first row of each key to a table; later rows of a known key, in whatever bucket, are dropped.
+
+    Known keys are keyed state of the stream, kept until the watermark of ``at`` has passed their first row by ``keep``: a batch costs
+    what its own rows cost, however large the table. Rows that come later than the watermark are dropped as too late.
+    """
+    first = stream.withWatermark(at, keep).dropDuplicatesWithinWatermark(list(key))
+    writer = first.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    return (writer.partitionBy(bucket) if bucket else writer).start()
