@@ -1,6 +1,7 @@
 """MinHash near-duplicate detection by a signature-coordinate inverted join.
 
-Documents are sets of distinct 5-word shingles. Each distinct set gets a signature of ``K`` minima. Documents are posted
+Documents are sets of distinct 5-word shingles, each known by 64 bits that are mixed from digests of its words; texts cannot be made
+to share them, and two different shingles do with a chance of 5e-20. Each distinct set gets a signature of ``K`` minima. Documents are posted
 under (coordinate, value) tokens of the first ``POSTED`` coordinates. A pair with Jaccard 0.75 agrees on at least
 ``POSTED_MIN`` of those but for a chance of 2.4e-7, so with one global token order (rare first) it shares a token among the
 first ``POSTED - POSTED_MIN + 1`` of both documents: only these prefixes are merged, the other coordinates are skipped and
@@ -27,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordscope.llm.common import connected_components, durable, row_key
+from recordscope.llm.tokens import WordHashes, slices
 
 SHINGLE = 5
 K = 64
@@ -48,8 +50,6 @@ _SEED = np.random.default_rng(20240229)
 _MUL = _SEED.integers(1, 2**63, K, dtype=np.uint64) * _U(2) + _U(1)
 _ADD = _SEED.integers(0, 2**63, K, dtype=np.uint64)
 _PLACE = _SEED.integers(1, 2**63, SHINGLE, dtype=np.uint64) * _U(2) + _U(1)
-_BASE = _U(0x9E3779B97F4A7C15)
-_BASE_INV = _U(pow(int(_BASE), -1, 2**64))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -59,24 +59,20 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(33))
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+#: Hashes of words that this process has met.
+_KNOWN = WordHashes()
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of lower-cased texts, in order, and each text's first word position (with the end appended)."""
-    data = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
-    gap = (data == 32) | ((data >= 9) & (data <= 13))
-    edge = np.flatnonzero(np.diff(np.concatenate(([True], gap)).astype(np.int8)))
-    start, end = edge[0::2], edge[1::2]
-    first = np.searchsorted(start, np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts]))))
-    if not len(start):
-        return np.empty(0, dtype=np.uint64), first
-    n = len(data)
-    total = np.concatenate(([_U(0)], np.cumsum((data.astype(np.uint64) + _U(1)) * _powers(_BASE, n), dtype=np.uint64)))
-    return _mix((total[end] - total[start]) * _powers(_BASE_INV, n)[start] + (end - start).astype(np.uint64)), first
+    """Hashes of the words of texts, in order, and each text's first word position (with the end appended); long texts go slice by slice."""
+    parts, first = [np.empty(0, dtype=np.uint64)], [0]
+    for text in texts:
+        n = first[-1]
+        for part in slices(text):
+            parts.append(_KNOWN.of(part.split()))
+            n += len(parts[-1])
+        first.append(n)
+    return np.concatenate(parts), np.array(first)
 
 
 def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:

@@ -29,15 +29,20 @@ BUCKETS = 256
 DIMS = 4
 BITS = 10
 END_ID = 0
-#: Bytes of token ids that a partition should hold.
+#: Bytes of token ids that a partition should hold, and partitions at most; beyond their product partitions grow.
 PART_BYTES = 16 << 20
+PARTS = 1 << 15
+#: Characters in a row without a change between white space and other characters, from which the named tokenizer itself is used.
+RUN = 10_000
+_RUNS = re.compile(r"\s+|\S+")
 
 
 class Encoder:
     """Ids as the named tokenizer gives them without special tokens added: strings of its added tokens become their ids, the text
     between them is encoded by itself.
 
-    The merges are done by a byte-level rank encoder with the same vocabulary, which is several times faster than the tokenizer.
+    The merges are done by a byte-level rank encoder with the same vocabulary, which is several times faster than the tokenizer
+    but fails on very long runs of one kind of characters. Texts with such runs, and any on which it fails, go to the tokenizer.
     """
 
     def __init__(self, path: str):
@@ -55,9 +60,28 @@ class Encoder:
         byte = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(plain))}
         ranks = {bytes(byte[c] for c in w): i for w, i in model["model"]["vocab"].items() if w not in self.added}
         self._plain = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self._path, self._named = path, None
         self._split = re.compile("(" + "|".join(re.escape(w) for w in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
 
+    def named(self, text: str) -> list[int]:
+        if self._named is None:
+            from tokenizers import Tokenizer
+
+            self._named = Tokenizer.from_file(self._path)
+        return self._named.encode(text, add_special_tokens=False).ids
+
     def encode(self, text: str) -> list[int]:
+        if len(text) >= RUN and any(m.end() - m.start() >= RUN for m in _RUNS.finditer(text)):
+            return self.named(text)
+        try:
+            return self._fast(text)
+        except BaseException as e:
+            # the encoder's panics are no Exceptions
+            if not isinstance(e, Exception) and type(e).__name__ != "PanicException":
+                raise
+            return self.named(text)
+
+    def _fast(self, text: str) -> list[int]:
         if self._split is None or not any(w in text for w in self.added):
             return self._plain(text)
         out: list[int] = []
@@ -173,7 +197,8 @@ def pack_along_curve(docs: DataFrame, length: int = LENGTH, vocabulary: str | No
     order = ["key", "tie"]
     size = tokens.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
     tied = tokens.withColumn("tie", F.xxhash64("doc_id", F.monotonically_increasing_id()))
-    ranged = tied.repartitionByRange(1 + size // PART_BYTES, *order).sortWithinPartitions(*order).select("doc_id", "ids")
+    parts = min(PARTS, 1 + size // PART_BYTES)
+    ranged = tied.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "ids")
     pieces = durable(ranged.mapInArrow(_lay(length), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, local long, offset long, part long"))
     counts = pieces.groupBy("part").agg((F.max("local") + 1).alias("sequences"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordscope.llm.common import durable
-from recordscope.llm.spans import find_spans, masked
+from recordscope.llm.spans import find_spans, let, masked
 
 BASE_KINDS = ("assign", "access", "hex")
 ADDED_KINDS = ("provider", "webtoken", "keyblock")
@@ -35,8 +35,12 @@ LIVE_REPOSITORIES = 6
 LIVE_CHARS = 8
 #: Chance that a random value is under the floor.
 UNDER_FLOOR = 1e-6
+#: Characters, and digits among them, that the rest of a value with a placeholder's sign must have to look random.
+REST_CHARS = 10
+REST_DIGITS = 2
 #: Alphabets from small to large: pattern of a value and number of characters.
 ALPHABETS = ((r"^[0-9]+$", 10), (r"^(?:[0-9a-f]+|[0-9A-F]+)$", 16), (None, 62))
+#: Signs of a placeholder. They do not excuse the rest of a value: without them it is judged again.
 PLACEHOLDER = r"(?i)example|sample|dummy|changeme|placeholder|your[_-]|xxxx|(.)\1{7}|0123456789|123456789|abcdef0123"
 
 
@@ -75,9 +79,13 @@ def _floor(value: Column) -> Column:
 
 
 def looks_live(value: Column, kind: Column) -> Column:
-    """Enough distinct characters and no sign of a placeholder; a digit too, but for assigned values and access keys."""
+    """Enough distinct characters, and a digit too but for assigned values and access keys; a value with signs of a placeholder must
+    have a rest that looks random without them."""
+    distinct = lambda v: F.size(F.array_distinct(F.split(v, "")))
     named = kind.isin("assign", "access")
-    return (F.size(F.array_distinct(F.split(value, ""))) >= _floor(value)) & ~value.rlike(PLACEHOLDER) & (named | value.rlike("[0-9]"))
+    plain = (distinct(value) >= _floor(value)) & (named | value.rlike("[0-9]"))
+    random = lambda rest: (F.length(rest) >= REST_CHARS) & (distinct(rest) >= LIVE_CHARS) & (F.length(F.regexp_replace(rest, "[^0-9]", "")) >= REST_DIGITS)
+    return F.when(value.rlike(PLACEHOLDER), let(F.regexp_replace(value, PLACEHOLDER, ""), random)).otherwise(plain)
 
 
 def find_secrets(docs: DataFrame, keep: tuple[str, ...] = (), **options) -> DataFrame:

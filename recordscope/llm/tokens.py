@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +11,7 @@ import numpy as np
 #: Bytes that are split at a time; words and what is kept of them are some ten times as large.
 SLICE = 1 << 20
 #: Distinct words whose hashes a task remembers.
-CACHE = 1 << 20
+CACHE = 1 << 17
 
 
 #: A byte that no UTF-8 text holds; as a word it stands for a break and alone has the hash 0.
@@ -30,13 +31,16 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
-def slices(data: bytes, size: int = SLICE, space: bytes = b" ") -> Iterator[bytes]:
-    """``data`` in slices of about ``size`` bytes, cut at ``space``, which goes with none of them."""
+_SPACE = re.compile(rb"[ \t-\r]")
+
+
+def slices(data: bytes, size: int = SLICE) -> Iterator[bytes]:
+    """``data`` in slices of about ``size`` bytes, cut at white space, which goes with none of them; a longer word stays whole."""
     at = 0
     while len(data) - at > size:
-        cut = data.find(space, at + size)
-        if cut < 0:
+        cut = _SPACE.search(data, at + size)
+        if cut is None:
             break
-        yield data[at:cut]
-        at = cut + 1
+        yield data[at : cut.start()]
+        at = cut.end()
     yield data[at:]

@@ -206,3 +206,13 @@ def test_account_numbers_pass_their_check(spark):
     docs = frame(spark, [f"iban {good}." for _ in range(20)] + [f"order {bad}" for _ in range(20)])
     got = {r["doc_id"]: [x["kind"] for x in r["added"]] for r in find_personal_data(docs).collect()}
     assert all(got[i] == ["account"] for i in range(20)) and not any(got[20 + i] for i in range(20))
+
+
+def test_placeholder_signs_do_not_excuse_a_random_rest(spark):
+    """Values of one owner that hold a placeholder's word beside a random part are live; placeholders alone are not."""
+    live = ["example.Q8vTz4LmWx2k", "sampleKey9f3Kd82LqPz", "0123456789kP3xZ8qLm2Rt"]
+    tame = ["your_api_key_here", "example-example", "changeme_changeme", "your-secret-token", "0123456789abcdef", "xxxxxxxxxxxxxxxx", "example_key_2024"]
+    texts = [f"password = {v}" for v in live + tame]
+    df = frame(spark, texts)
+    out = {r["doc_id"]: r["text"] for r in mask_secrets(df).collect()}
+    assert [i for i, t in enumerate(texts) if out[i] != t] == list(range(len(live)))

@@ -332,3 +332,51 @@ def test_compare_blocks_returns_a_forest():
     pdf = pd.DataFrame({"side": [0] * 6, "component": [bytes([i]) for i in range(6)], "sig": list(sig), "shingles": [s.view(np.int64) for s in sets]})
     links = {tuple(x) for c in range(3) for x in _compare_blocks((c,), pdf).to_numpy()}
     assert links and all(a != b for a, b in links) and max(len(_compare_blocks((c,), pdf)) for c in range(3)) <= 5
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(k).count("1") % 2] for k in range(n))
+
+
+def test_words_made_to_collide_under_polynomial_hashes(spark):
+    """Complementary Thue-Morse words have equal values of any polynomial modulo 2^64; they are different words all the same."""
+    x = thue_morse(2048)
+    y = x.translate(str.maketrans("ab", "ba"))
+    got = {r["doc_id"]: r["component_id"] for r in minhash_dedup(documents(spark, [(i, t, "en", "s", 1, "n", 1, 2, 3) for i, t in enumerate((x, y))])).collect()}
+    assert got == {0: 0, 1: 1}
+    rows = [(0, f"A {x} u B {y} u", "en", "s", 1, "n", 1, 2, 3), (1, f"A {x} u B {x} u A {x} u", "en", "s", 1, "n", 1, 2, 3)]
+    assert {r["doc_id"]: r["n_repeat_words"] for r in measure(documents(spark, rows)).collect()} == {0: 0, 1: 6}
+
+
+def test_very_long_texts_are_hashed_in_slices(spark, monkeypatch):
+    import recordscope.llm.minhash as m
+    import recordscope.llm.tokens as t
+
+    words = [f"w{k % 70_001}" for k in range(600_000)]
+    long = "\t ".join(words)
+    assert len(long.encode()) > 3 * t.SLICE
+    whole = next(iter(shingle_sets([long])))
+    monkeypatch.setattr(m, "slices", lambda data: [data])
+    assert (next(iter(shingle_sets([long]))) == whole).all() and len(whole) == len(shingles(long))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash_dedup(documents(spark, [(i, x, "en", "s", 1, "n", 1, 2, 3) for i, x in enumerate((long, long + " end", "y" * 5_000_000))])).collect()}
+    assert got == {0: (len(whole), 0), 1: (len(whole) + 1, 0), 2: (1, 2)}
+
+
+def test_runs_of_one_kind_of_characters_are_packed(spark):
+    """Where the fast encoder fails, ids are those of the named tokenizer; every id lies in exactly one piece."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    named = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [" " * 1_500_000, "\n" * 1_200_000, "a" * 200_000, "!" * 200_000, "x" + " " * 9_999 + "y" * 9_999, "é" * 60_000, "7" * 100_000 + "<|endoftext|> a"]
+    rows = [(i, t, "en", "s", 1, "n", 1, 2, 3) for i, t in enumerate(texts)]
+    pieces = defaultdict(list)
+    for r in pack_along_curve(documents(spark, rows)).collect():
+        pieces[r["doc_id"]].append((r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]))
+    for i, t in enumerate(texts):
+        ids = [*named.encode(t, add_special_tokens=False).ids, 0]
+        at = 0
+        for start, length, crc, total in sorted(pieces[i]):
+            assert start == at and total == len(ids) and crc == zlib.crc32(np.array(ids[start : start + length], dtype="<u4").tobytes())
+            at += length
+        assert at == len(ids)
