@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Sequence
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -34,6 +36,7 @@ CAUSES = (
     (r"contract\s*expire|expired|decommission|retire|not\s*in\s*operation", "contract_ended"),
     (r"reserve|standby|stand\s*by|backing\s*down|low\s*demand|shut\s*down\s*for\s*low", "not_needed"),
 )
+# Digits of the reports' other script, and administrative words at the end of place names.
 BENGALI_DIGITS = "০১২৩৪৫৬৭৮৯"
 PLACE_SUFFIXES = r"(?i)\s*(জেলা|উপজেলা|থানা|সিটি কর্পোরেশন|district|upazila|thana|city corporation)\s*$"
 # Spellings of one sound, replaced in this order when a name is reduced to its consonants.
@@ -158,9 +161,22 @@ def name_tokens(c: Column, stop: Sequence[str] = ()) -> Column:
     return F.array_distinct(F.array_except(words, F.array(*[F.lit(s) for s in stop])) if stop else words)
 
 
+@lru_cache(maxsize=1)
+def _folds() -> tuple[str, str]:
+    """Small Latin letters with marks, and the letters that Unicode decomposes them to."""
+    pairs = [(chr(k), unicodedata.normalize("NFKD", chr(k))[0]) for k in (*range(0xDF, 0x250), *range(0x1E00, 0x1F00))]
+    pairs = [(x, to) for x, to in pairs if "a" <= to <= "z" and len(unicodedata.normalize("NFKD", x).rstrip("".join(map(chr, range(0x300, 0x370))))) == 1]
+    return "".join(x for x, _ in pairs), "".join(to for _, to in pairs)
+
+
+def unmarked(c: Column) -> Column:
+    """Small Latin letters without their diacritics."""
+    return F.translate(c, *_folds())
+
+
 def phonetic(c: Column) -> Column:
-    """Consonant skeleton of a Latin-script name."""
-    t = F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"[^a-z\s]", "")
+    """Consonant skeleton of a Latin-script name; letters with diacritics count as their base letters."""
+    t = F.regexp_replace(unmarked(F.lower(F.coalesce(c, F.lit("")))), r"[^a-z\s]", "")
     for pattern, to in SOUNDS:
         t = F.regexp_replace(t, pattern, to)
     return F.regexp_replace(F.regexp_replace(t, r"(.)\1+", "$1"), r"\s+", "")

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from recordscope.functions.dates import parse_dmy
 from recordscope.functions.text import squeeze, tolerant_number
 
-# Entities in the order in which pages are decoded; the ampersand first, so that what it hides is decoded as well.
-ENTITIES = (("&amp;", "&"), ("&nbsp;", " "), ("&#39;", "'"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"))
+# Entities in the order in which pages are decoded; blanks and quotes come after the ampersand, which may hide them.
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"), ("&nbsp;", " "), ("&#39;", "'"), ("&quot;", '"'))
 
 
 def cell_text(c: Column) -> Column:

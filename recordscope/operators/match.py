@@ -8,34 +8,50 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordscope.functions.text import name_tokens, phonetic, place_name
+from recordscope.sources.io import durable
 
 RING = "array<struct<lon:double,lat:double>>"
 
 
-def token_match(left: DataFrame, right: DataFrame, name: str, other: str, stop: Sequence[str] = (), least: float = 0.34, place: str | None = None, bonus: float = 0.15) -> DataFrame:
+def token_match(left: DataFrame, right: DataFrame, name: str, other: str, stop: Sequence[str] = (), least: float = 0.34, place: str | None = None, bonus: float = 0.15, places: DataFrame | None = None) -> DataFrame:
     """Each left row with its best right row by Jaccard overlap of name tokens: (left columns, other, score).
 
     Distinct names are matched, then rows take their name's match, so repeated rows all come out. With tokens ordered by rarity,
     two names of a high enough overlap share a token among the first few of both; only these meet, by an equality on tokens, so
-    common words form no pairs. ``place``, a column of both sides, adds ``bonus`` where it agrees. Ties go to the smaller name.
+    common words form no pairs. ``place``, a column of both sides, adds ``bonus`` where it agrees; so does a shared token of the
+    dictionary ``places`` (token). A bonus lowers the overlap that a pair needs, so names that can earn one show more of their
+    tokens, the others no more than without it. Ties go to the smaller name.
     """
-    needed = max(0.0, least - (bonus if place else 0.0)) - 1e-6
-    a = left.select(F.col(name).alias("_n")).distinct().withColumn("_t", name_tokens(F.col("_n"), stop))
-    b = right.select(F.col(other).alias("_o")).distinct().withColumn("_u", name_tokens(F.col("_o"), stop))
+    always = max(0.0, least - (bonus if place else 0.0)) - 1e-6
+    lowest = max(0.0, always - (bonus if places is not None else 0.0))
+    known = None if places is None else places.select(F.lower("token").alias("_w")).distinct()
+
+    def named(df: DataFrame, key: str, tokens: str, mark: str) -> DataFrame:
+        """Distinct names with their tokens, and those of them that are places."""
+        out = df.withColumn(tokens, name_tokens(F.col(key), stop))
+        if known is None:
+            return out.withColumn(mark, F.lit(None).cast("array<string>"))
+        said = out.select(key, F.explode(tokens).alias("_w")).join(known, "_w").groupBy(key).agg(F.collect_set("_w").alias(mark))
+        return out.join(said, key, "left")
+
+    needs = lambda mark: F.when(F.col(mark).isNull(), always).otherwise(lowest)
+    a = named(left.select(F.col(name).alias("_n")).distinct(), "_n", "_t", "_pt")
+    b = named(right.select(F.col(other).alias("_o")).distinct(), "_o", "_u", "_pu")
     often = b.select(F.explode("_u").alias("_w")).groupBy("_w").agg(F.count("*").alias("_df"))
 
-    def first_tokens(df: DataFrame, key: str, tokens: str) -> DataFrame:
+    def first_tokens(df: DataFrame, key: str, tokens: str, mark: str) -> DataFrame:
         size = F.size(tokens)
-        each = df.select(key, size.alias("_size"), F.explode(tokens).alias("_w")).join(often, "_w", "left")
+        each = df.select(key, size.alias("_size"), needs(mark).alias("_need"), F.explode(tokens).alias("_w")).join(often, "_w", "left")
         order = F.row_number().over(Window.partitionBy(key).orderBy(F.coalesce("_df", F.lit(0)), "_w"))
-        room = F.col("_size") - F.ceil(F.col("_size") * F.lit(max(needed, 0.0))) + 1
-        return each.withColumn("_k", order).filter((F.col("_k") <= room) & F.col("_df").isNotNull()).select(key, "_size", "_w")
+        room = F.col("_size") - F.ceil(F.col("_size") * F.greatest("_need", F.lit(0.0))) + 1
+        return each.withColumn("_k", order).filter((F.col("_k") <= room) & F.col("_df").isNotNull()).select(key, "_size", "_need", "_w")
 
-    pa, pb = first_tokens(a, "_n", "_t"), first_tokens(b, "_o", "_u").withColumnRenamed("_size", "_other")
-    fits = F.least("_size", "_other") >= F.lit(max(needed, 0.0)) * F.greatest("_size", "_other")
+    pa, pb = first_tokens(a, "_n", "_t", "_pt"), first_tokens(b, "_o", "_u", "_pu").select("_o", F.col("_size").alias("_other"), F.col("_need").alias("_needs"), "_w")
+    fits = F.least("_size", "_other") >= F.greatest("_need", "_needs", F.lit(0.0)) * F.greatest("_size", "_other")
     met = pa.join(pb, "_w").filter(fits).select("_n", "_o").distinct().join(a, "_n").join(b, "_o")
-    score = F.size(F.array_intersect("_t", "_u")) / F.size(F.array_union("_t", "_u"))
-    pairs = met.select("_n", "_o", score.alias("_j")).filter(F.col("_j") >= needed)
+    earned = F.when(F.coalesce(F.arrays_overlap("_pt", "_pu"), F.lit(False)), bonus).otherwise(0.0)
+    score = F.size(F.array_intersect("_t", "_u")) / F.size(F.array_union("_t", "_u")) + earned
+    pairs = met.select("_n", "_o", score.alias("_j")).filter(F.col("_j") >= always)
     key = ["_n", *(["_p"] if place else [])]
     if place:
         rows = left.select(F.col(name).alias("_n"), F.col(place).alias("_p")).distinct()
@@ -48,6 +64,33 @@ def token_match(left: DataFrame, right: DataFrame, name: str, other: str, stop:
     return left.join(best, same).select(*left.columns, F.col("_o").alias(other), "score")
 
 
+def locate(stations: DataFrame, tiers: Sequence[tuple[str, DataFrame]], curated: DataFrame, zones: DataFrame, stop: Sequence[str] = (), least: float = 0.34, bonus: float = 0.15) -> DataFrame:
+    """``stations`` (name, zone, ...) with ``lat``, ``lon``, ``tier`` and ``score``: where a name lies and how that is known.
+
+    ``tiers`` are (tag, features of name, lat, lon) in order; a name goes to the first whose best feature by ``token_match``, with
+    ``bonus`` for a shared token of ``curated`` (token, lat, lon), scores ``least``. Only names without a match go on: to the position
+    of their first curated token (tier curated), then the centre of their zone (tier zone; (zone, lat, lon)), else none. Scores have
+    two digits; of features that share a name the least position counts. Repeated rows and null names come out row by row.
+    """
+    here = F.struct("lat", "lon")
+    todo = stations.select("name").filter("name is not null").distinct()
+    found = None
+    for tag, features in tiers:
+        spots = features.groupBy(F.col("name").alias("other")).agg(F.min(here).alias("at"))
+        best = durable(token_match(todo, spots.select("other"), "name", "other", stop, least, bonus=bonus, places=curated).join(spots, "other").select("name", "at", F.lit(tag).alias("tier"), F.round("score", 2).alias("score")))
+        found = best if found is None else found.unionByName(best)
+        todo = todo.join(best.select("name"), "name", "left_anti")
+    words = todo.select("name", F.posexplode(name_tokens(F.col("name"), stop)).alias("k", "token"))
+    towns = words.join(curated.groupBy(F.lower("token").alias("token")).agg(F.min(here).alias("at")), "token")
+    towns = towns.groupBy("name").agg(F.min_by("at", "k").alias("at")).select("name", "at", F.lit("curated").alias("tier"), F.lit(None).cast("double").alias("score"))
+    every = towns if found is None else found.unionByName(towns)
+    centres = zones.groupBy("zone").agg(F.min(here).alias("_z"))
+    out = stations.join(every, "name", "left").join(centres, "zone", "left")
+    at = F.coalesce("at", "_z")
+    tier = F.coalesce("tier", F.when(F.col("_z").isNotNull(), "zone").otherwise("none"))
+    return out.select(*stations.columns, at["lat"].alias("lat"), at["lon"].alias("lon"), tier.alias("tier"), "score")
+
+
 def tiered(df: DataFrame, tiers: Sequence[tuple[str, DataFrame]], key: Sequence[str], value: str) -> DataFrame:
     """Adds ``value`` from the first tier that knows the key and ``tier``, its name ('none' without one)."""
     out = df
@@ -129,27 +172,58 @@ def nearest_centre(words: DataFrame, centres: DataFrame, key: Sequence[str], x:
     return near.filter("_b is not null").select(*key, *rest, *[F.col(f"_b.{name}").alias(name) for name in own], F.col("_b.gap").alias("gap"))
 
 
-def resolve_places(queries: DataFrame, gazetteer: DataFrame, q: str = "q", aliases: DataFrame | None = None) -> DataFrame:
-    """Ranked answers for typed names: (q, name, district, rank), one row per (name, district).
+#: Kinds of places in the order in which they answer.
+KINDS = ("district", "upazila", "place", "zone", "plant", "substation")
+#: Answers for a typed name.
+MOST = 8
+
+
+def resolve_places(queries: DataFrame, gazetteer: DataFrame, q: str = "q", aliases: DataFrame | None = None, kinds: Sequence[str] = KINDS, most: int = MOST) -> DataFrame:
+    """(q, place, rank, kind, name, district, zone): the best ``most`` answers for each typed name, one a (name, district), ``place`` from 1.
+
+    ``gazetteer`` has name and district, and where it has them kind, zone and ``local`` (the name in another script). Ranks: 0 exact,
+    1 the name begins with the text, 2 another spelling (``aliases``: name, alias) begins with it, 3 the name holds it, 4 same
+    consonants as the name or a spelling, 5 consonants of three letters or more but for one edit; then the order of ``kinds``,
+    shorter names, names. Texts of fewer than two characters find nothing; case does not count.
 
-    Ranks: 0 exact, 1 listed spelling, 2 name begins with the text, 3 same consonants, 4 one edit. Each way is an equality on a
-    derived key (whole name, prefixes, skeleton, name with one letter left out), so no query meets the whole gazetteer.
+    Ways 0 to 3 share an inverted index of pairs and triples of characters with their places: a text looks up its rarest triple and
+    stays where its other characters stand around it. Ways 4 and 5 meet on skeletons with at most one letter left out. So no text
+    meets the whole gazetteer, and what a text finds is cut to its best rows by partial sorts.
     """
-    clean = lambda c: F.lower(place_name(c))
-    typed = queries.select(q).distinct().withColumn("_q", clean(F.col(q))).filter("_q <> ''")
-    places = gazetteer.select("name", "district").distinct().withColumn("_n", clean(F.col("name")))
-    exact = typed.join(places, F.col("_q") == F.col("_n")).withColumn("rank", F.lit(0))
-    prefixes = places.withColumn("_p", F.explode(F.transform(F.sequence(F.lit(1), F.length("_n")), lambda i: F.substring("_n", F.lit(1), i)))).filter("_n <> ''")
-    begins = typed.join(prefixes, F.col("_q") == F.col("_p")).drop("_p").withColumn("rank", F.lit(2))
-    sounds = typed.withColumn("_k", phonetic(F.col("_q"))).join(places.withColumn("_k", phonetic(F.col("_n"))).filter("_k <> ''"), "_k").drop("_k").withColumn("rank", F.lit(3))
+    has = lambda c, other: F.col(c) if c in gazetteer.columns else F.lit(other).cast("string")
+    asked = queries.select(q).distinct().withColumn("_q", F.lower(F.trim(F.col(q)))).filter(F.length("_q") >= 2)
+    entries = gazetteer.select(has("kind", kinds[0]).alias("kind"), "name", "district", has("zone", None).alias("zone"), has("local", None).alias("local")).filter("name is not null").distinct()
+    said = aliases.select("name", "alias").filter("alias is not null") if aliases is not None else queries.sparkSession.createDataFrame([], "name string, alias string")
+    texts = entries.select("name", F.explode(F.array_compact(F.array("name", "local"))).alias("text"), F.lit(False).alias("_alias"))
+    texts = texts.unionByName(said.join(entries.select("name").distinct(), "name").select("name", F.col("alias").alias("text"), F.lit(True).alias("_alias")))
+    texts = texts.withColumn("text", F.lower("text")).distinct()
+    pieces = lambda c, n: F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i: F.struct(F.substring(c, i, F.lit(n) if isinstance(n, int) else n).alias("gram"), i.cast("int").alias("at")))
+    both = F.when(F.length("text") >= 2, F.concat(pieces(F.col("text"), 2), F.when(F.length("text") >= 3, pieces(F.col("text"), 3)).otherwise(F.array().cast("array<struct<gram:string,at:int>>"))))
+    posted = texts.select("name", "text", "_alias", F.inline(both))
+    often = posted.groupBy("gram").agg(F.count("*").alias("_df"))
+    # a text's rarest gram; one that is nowhere ends the search
+    grams = asked.select(q, "_q", F.inline(pieces(F.col("_q"), F.least(F.length("_q"), F.lit(3))))).join(often, "gram", "left")
+    rare = grams.groupBy(q, "_q").agg(F.min(F.struct(F.coalesce("_df", F.lit(0)).alias("df"), F.col("at").alias("_off"), F.col("gram"))).alias("g")).select(q, "_q", "g.gram", "g._off")
+    start = F.col("at") - F.col("_off") + 1
+    held = rare.join(posted, "gram").filter((start >= 1) & (F.substring("text", F.greatest(start, F.lit(1)), F.length("_q")) == F.col("_q")))
+    way = F.when(F.col("_alias"), F.when(start == 1, 2)).otherwise(F.when(F.col("text") == F.col("_q"), 0).when(start == 1, 1).otherwise(3))
+    found = held.select(q, "name", way.alias("rank")).filter("rank is not null")
+
+    spoken = texts.select("name", phonetic(F.col("text")).alias("_k")).filter("_k <> ''").distinct()
+    heard = asked.select(q, phonetic(F.col("_q")).alias("_s")).filter("_s <> ''")
+    found = found.unionByName(heard.join(spoken, F.col("_s") == F.col("_k")).select(q, "name", F.lit(4).alias("rank")))
     shorter = lambda c: F.array_distinct(F.concat(F.array(c), F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.concat(F.substring(c, F.lit(1), i - 1), F.substring(c, i + 1, F.length(c))))))
-    edits = typed.withColumn("_d", F.explode(shorter(F.col("_q")))).join(places.filter("_n <> ''").withColumn("_d", F.explode(shorter(F.col("_n")))), "_d").drop("_d")
-    edits = edits.filter(F.levenshtein("_q", "_n", 1) >= 0).withColumn("rank", F.lit(4))
-    every = exact.unionByName(begins).unionByName(sounds).unionByName(edits)
-    if aliases is not None:
-        said = typed.join(aliases.select(F.lower("alias").alias("_q"), F.lower("canonical").alias("_n")), "_q").join(places, "_n").withColumn("rank", F.lit(1))
-        every = every.unionByName(said)
-    return every.groupBy(q, "name", "district").agg(F.min("rank").alias("rank"))
+    skeletons = spoken.select("_k").distinct().select("_k", F.explode(shorter(F.col("_k"))).alias("_d"))
+    wanted = heard.filter(F.length("_s") >= 3).select("_s").distinct().select("_s", F.explode(shorter(F.col("_s"))).alias("_d"))
+    edited = wanted.join(skeletons, "_d").select("_s", "_k").distinct().filter(F.levenshtein("_s", "_k", 1) >= 0)
+    found = found.unionByName(heard.join(edited, "_s").join(spoken, "_k").select(q, "name", F.lit(5).alias("rank")))
+
+    best = found.groupBy(q, "name").agg(F.min("rank").alias("rank"))
+    kind = F.coalesce(F.array_position(F.array(*[F.lit(k) for k in kinds]), F.col("kind")), F.lit(0))
+    order = F.struct("rank", F.when(kind == 0, len(kinds) + 1).otherwise(kind).alias("k"), F.length("name").alias("n"), "name", "kind", "zone")
+    one = best.join(entries, "name").groupBy(q, F.lower("name").alias("_l"), "district").agg(F.min(order).alias("o"))
+    place = F.row_number().over(Window.partitionBy(q).orderBy("o", "district"))
+    return one.withColumn("place", place).filter(F.col("place") <= most).select(q, "place", "o.rank", "o.kind", "o.name", "district", "o.zone")
 
 
 def same_name(df: DataFrame, other: DataFrame, name: str = "name", district: str = "district") -> DataFrame:
