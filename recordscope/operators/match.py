@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -144,19 +145,82 @@ def ring_centroid(ring: Column) -> Column:
     return F.struct(side("lon").alias("lon"), side("lat").alias("lat"))
 
 
-def point_in_polygon(points: DataFrame, polygons: DataFrame, cell: float = 1.0) -> DataFrame:
-    """Points (id, lon, lat) with the first polygon by name whose ring holds them: (id, name); points outside all have null.
+#: Cells along a polygon's longer side at first, points from which a cell at a polygon's edge is cut into four, and cells' least level.
+ACROSS, CROWD, DEEPEST = 8, 10_000, 40
+
+
+def _cut(cells: DataFrame) -> DataFrame:
+    """(name, ring, level, gx, gy, inside) of cells (name, ring, level, gx, gy): those that an edge of the ring crosses, and those inside."""
+    size = F.pow(F.lit(2.0), -F.col("level"))
+    x0, y0 = F.col("gx") * size, F.col("gy") * size
+    n = F.size("ring")
+
+    def crosses(i: Column) -> Column:
+        """Whether an edge touches the closed cell: their boxes overlap and the corners are not all on one side of it."""
+        a, b = F.element_at("ring", i), F.element_at("ring", F.when(i == n, F.lit(1)).otherwise(i + 1))
+        side = lambda x, y: (b["lon"] - a["lon"]) * (y - a["lat"]) - (b["lat"] - a["lat"]) * (x - a["lon"])
+        sides = [side(x, y) for x in (x0, x0 + size) for y in (y0, y0 + size)]
+        boxes = (F.least(a["lon"], b["lon"]) <= x0 + size) & (F.greatest(a["lon"], b["lon"]) >= x0) & (F.least(a["lat"], b["lat"]) <= y0 + size) & (F.greatest(a["lat"], b["lat"]) >= y0)
+        return boxes & (F.least(*sides) <= 0) & (F.greatest(*sides) >= 0)
+
+    edge = F.exists(F.sequence(F.lit(1), n), crosses)
+    told = cells.withColumn("_edge", edge).withColumn("inside", ~F.col("_edge") & in_ring(x0 + size / 2, y0 + size / 2, F.col("ring")))
+    return told.filter("_edge or inside").select("name", "ring", "level", "gx", "gy", "inside")
+
 
-    Polygons are listed for the grid cells that their box touches, points for their own cell, so the sides meet by equality;
-    the box test stands before the ring test.
+def _in_cells(points: DataFrame, levels: Sequence[int]) -> DataFrame:
+    """Points with the cell they are in at each of the levels."""
+    at = F.explode(F.array(*[F.lit(k) for k in levels])).alias("level")
+    grid = lambda c: F.floor(F.col(c) * F.pow(F.lit(2.0), F.col("level")))
+    return points.select("id", "lon", "lat", at).withColumns({"gx": grid("lon"), "gy": grid("lat")})
+
+
+def polygon_cover(points: DataFrame, polygons: DataFrame, crowd: int = CROWD) -> DataFrame:
+    """(name, ring, level, gx, gy, inside): cells of side 2^-level that cover the polygons, marked where they lie wholly inside.
+
+    A polygon begins with cells of an eighth of its longer side, whatever its size. Cells at an edge in which over ``crowd`` points lie
+    are cut into four, again and again, so the more points there are, the fewer meet an edge.
     """
     bound = lambda f, axis: f(F.transform("ring", lambda p: p[axis]))
-    box = polygons.withColumns({"x0": bound(F.array_min, "lon"), "x1": bound(F.array_max, "lon"), "y0": bound(F.array_min, "lat"), "y1": bound(F.array_max, "lat")})
-    at = lambda c: F.floor(c / F.lit(cell))
-    tiles = box.withColumn("gx", F.explode(F.sequence(at(F.col("x0")), at(F.col("x1"))))).withColumn("gy", F.explode(F.sequence(at(F.col("y0")), at(F.col("y1")))))
-    near = points.withColumns({"gx": at(F.col("lon")), "gy": at(F.col("lat"))}).join(tiles, ["gx", "gy"]).filter("lon between x0 and x1 and lat between y0 and y1")
-    hit = near.filter(in_ring(F.col("lon"), F.col("lat"), F.col("ring"))).groupBy("id").agg(F.min("name").alias("name"))
-    return points.select("id").join(hit, "id", "left")
+    box = polygons.filter(F.size("ring") >= 3).select("name", "ring", *[bound(f, axis).alias(c) for c, f, axis in (("x0", F.array_min, "lon"), ("x1", F.array_max, "lon"), ("y0", F.array_min, "lat"), ("y1", F.array_max, "lat"))])
+    side = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
+    level = F.when(side > 0, F.floor(F.log2(ACROSS / side))).otherwise(DEEPEST)
+    box = box.withColumn("level", F.least(F.greatest(level, F.lit(-DEEPEST)), F.lit(DEEPEST)).cast("int"))
+    at = lambda c: F.floor(F.col(c) * F.pow(F.lit(2.0), F.col("level")))
+    cells = box.withColumn("gx", F.explode(F.sequence(at("x0"), at("x1")))).withColumn("gy", F.explode(F.sequence(at("y0"), at("y1"))))
+    cover = durable(_cut(cells.select("name", "ring", "level", "gx", "gy")))
+    done = []
+    while True:
+        levels = [r["level"] for r in cover.filter("not inside").select("level").distinct().collect()]
+        if not levels:
+            break
+        key = ["level", "gx", "gy"]
+        full = cover.filter("not inside").select(*key).distinct().join(_in_cells(points, levels), key).groupBy(*key).agg(F.count("*").alias("n"))
+        full = durable(full.filter((F.col("n") > crowd) & (F.col("level") < DEEPEST)).select(*key))
+        if full.isEmpty():
+            break
+        done.append(cover.join(full, key, "left_anti"))
+        part = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)])).alias("_q")
+        split = cover.filter("not inside").join(full, key).select("name", "ring", (F.col("level") + 1).alias("level"), "gx", "gy", part)
+        done.append(cover.filter("inside").join(full, key, "left_semi"))
+        cover = durable(_cut(split.select("name", "ring", "level", (2 * F.col("gx") + F.col("_q.i")).alias("gx"), (2 * F.col("gy") + F.col("_q.j")).alias("gy"))))
+    return reduce(lambda a, b: a.unionByName(b), done, cover)
+
+
+def point_in_polygon(points: DataFrame, polygons: DataFrame, crowd: int = CROWD) -> DataFrame:
+    """Points (id, lon, lat) with the first polygon by name whose ring holds them: (id, name); points outside all have null.
+
+    Points meet the polygons' ``polygon_cover`` by equality on cells; where a cell is wholly inside nothing else is asked, at an edge
+    the ring is tested. Repeated ids come out once each; null positions and rings of under three corners match nothing.
+    """
+    cover = durable(polygon_cover(points, polygons, crowd))
+    levels = [r["level"] for r in cover.select("level").distinct().collect()]
+    if not levels:
+        return points.select("id", F.lit(None).cast("string").alias("name"))
+    met = _in_cells(points, levels).join(cover, ["level", "gx", "gy"])
+    hit = met.filter(F.col("inside") | in_ring(F.col("lon"), F.col("lat"), F.col("ring"))).groupBy(F.col("id").alias("_id"), F.col("lon").alias("_x"), F.col("lat").alias("_y")).agg(F.min("name").alias("name"))
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("lon") == F.col("_x")) & (F.col("lat") == F.col("_y"))
+    return points.select("id", "lon", "lat").join(hit, same, "left").select("id", "name")
 
 
 def nearest_centre(words: DataFrame, centres: DataFrame, key: Sequence[str], x: str, centre: str, within: float) -> DataFrame:

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recordscope.sources.io import durable
+
 #: 0-based rank of each definition among n sorted values; the interpolated one lies between two ranks.
 RANKS = {
     "floor": lambda n, q: F.floor(F.lit(q) * (n - 1)),
@@ -14,7 +17,7 @@ RANKS = {
     "upper": lambda n, q: F.floor(n / F.lit(2)),
 }
 KINDS = (*RANKS, "interpolated")
-#: Rows up to which a quantile ranks all values of a whole table; above, only those near it. The sketch errs by at most 1 / SKETCH of
+#: Rows up to which a quantile ranks all values of a group; above, only those near it. The sketch errs by at most 1 / SKETCH of
 #: the rows, the margin on both sides is five times that.
 SMALL_ROWS, SKETCH = 10_000, 10_000
 
@@ -27,36 +30,38 @@ def rounded(c: Column, places: int) -> Column:
     return F.round(c.cast("decimal(38,6)"), places).cast("double")
 
 
-def _near(df: DataFrame, value: str, shares: Sequence[float]) -> DataFrame:
-    """(value, _far, _n, _all): counts of the values of a whole table near some quantiles, and of all others between them.
+def _near(df: DataFrame, by: Sequence[str], value: str, shares: Sequence[float]) -> DataFrame:
+    """(by, value, _far, _n, _all): counts of a group's values near some quantiles, and of all others between them.
 
-    Bounds come from a sketch, so that the window that follows sees a thousandth of a large table instead of all its values. A far
-    value stands for all up to the next bound; it carries the last bound below it and sorts after that one.
+    Bounds come from a mergeable sketch of each group, so that the window that follows sees a thousandth of a large group instead of
+    all its values. A far value stands for all up to the next bound; it carries the last bound below it and sorts after that one.
     """
     margin = 5 / SKETCH
     ends = [min(1.0, max(0.0, q + d)) for q in shares for d in (-margin, margin)]
-    bounds = F.broadcast(df.agg(F.count(value).alias("_all"), F.percentile_approx(value, F.array(*[F.lit(e) for e in ends]), SKETCH).alias("_b")))
-    rows = df.select(value).filter(F.col(value).isNotNull()).crossJoin(bounds)
+    rows = df.select(*by, value)
+    keys = [F.col(c).alias(f"_by{k}") for k, c in enumerate(by)]
+    bounds = rows.groupBy(*keys).agg(F.count(value).alias("_all"), F.percentile_approx(value, F.array(*[F.lit(e) for e in ends]), SKETCH).alias("_b"))
+    if by:
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_by{k}")) for k, c in enumerate(by)])
+        rows = rows.join(bounds, same)
+    else:
+        rows = rows.filter(F.col(value).isNotNull()).crossJoin(F.broadcast(bounds))
     low, high = (lambda k: F.get("_b", F.lit(2 * k))), (lambda k: F.get("_b", F.lit(2 * k + 1)))
-    near = F.col("_all") <= SMALL_ROWS
+    near = (F.col("_all") <= SMALL_ROWS) | F.col(value).isNull()
     for k in range(len(shares)):
         near = near | F.col(value).between(low(k), high(k))
     below = F.array_max(F.filter(F.array(*[high(k) for k in range(len(shares))]), lambda h: h < F.col(value)))
-    placed = rows.select(F.when(near, F.col(value)).otherwise(below).alias(value), (~near).alias("_far"), "_all")
-    return placed.groupBy(value, "_far", "_all").agg(F.count("*").alias("_n"))
+    placed = rows.select(*by, F.when(near, F.col(value)).otherwise(below).alias(value), (~near).alias("_far"), "_all")
+    return placed.groupBy(*by, value, "_far", "_all").agg(F.sum(F.when(F.col("_far") | F.col(value).isNotNull(), 1).otherwise(0)).alias("_n"))
 
 
 def at_ranks(df: DataFrame, by: Sequence[str], value: str, ranks: Sequence[tuple[float, Callable[[Column], Column]]]) -> DataFrame:
     """(by, _all, _v0, _v1, ...): exact values at 0-based ranks among a group's non-null values.
 
-    A rank is (share of the rows near which it lies, function of their number). Values are first counted, so that a window sees each
-    distinct value of a group once; over a whole table it sees only values near the ranks.
+    A rank is (share of the rows near which it lies, function of their number). Values are first counted, those far from the ranks of
+    a large group between its bounds, so that a window sees few rows of each group, however hot it is.
     """
-    if by:
-        counts = df.groupBy(*by, value).agg(F.count(value).alias("_n")).withColumn("_far", F.lit(False))
-        counts = counts.withColumn("_all", F.sum("_n").over(Window.partitionBy(*by)))
-    else:
-        counts = _near(df, value, [q for q, _ in ranks])
+    counts = _near(df, by, value, [q for q, _ in ranks])
     part = Window.partitionBy(*by) if by else Window
     upto = part.orderBy(F.col(value).asc_nulls_first(), "_far").rowsBetween(Window.unboundedPreceding, 0)
     ranked = counts.withColumn("_upto", F.sum("_n").over(upto))
@@ -148,11 +153,40 @@ def pearson(x: Column, y: Column, least: int = 10) -> Column:
     return F.when(F.count(F.when(x.isNotNull() & y.isNotNull(), 1)) >= least, r)
 
 
+#: Rows of a series that one window sees, beside those it borrows from its neighbours.
+SERIES_ROWS = 100_000
+_PART = (1 << 33) - 1
+
+
+def numbered(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """``df`` with ``name``: 0-based number of each row by ``order``, from ranges that are sorted and counted apart.
+
+    Ranges are written once, so numbers stay the same; only the counts of the ranges meet in one task.
+    """
+    rows = durable(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()))
+    part = F.shiftright("_id", 33)
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = sizes.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    out = rows.withColumn("_part", part).join(before, "_part")
+    return out.withColumn(name, F.col("_before") + F.col("_id").bitwiseAND(F.lit(_PART))).drop("_id", "_part", "_before")
+
+
 def centred_mean(df: DataFrame, by: Sequence[str], order: str, value: str, half: int, name: str, nulls_as_zero: bool = False) -> DataFrame:
-    """Mean over ``half`` rows on both sides, shorter at the edges; nulls skipped or taken as 0."""
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(-half, half)
+    """Mean over ``half`` rows on both sides, shorter at the edges; nulls skipped or taken as 0.
+
+    Groups are windows of their own. A series without groups is cut into blocks of numbered rows, each with ``half`` rows of its
+    neighbours on both sides, so it runs in many tasks and every frame is whole. Rows of equal ``order`` come in any order.
+    """
     v = F.coalesce(F.col(value), F.lit(0.0)) if nulls_as_zero else F.col(value)
-    return df.withColumn(name, F.avg(v).over(w))
+    frame = lambda w: F.avg(v).over(w.rowsBetween(-half, half))
+    if by:
+        return df.withColumn(name, frame(Window.partitionBy(*by).orderBy(order)))
+    size = max(SERIES_ROWS, 2 * half)
+    at = lambda c: F.floor(c / F.lit(size))
+    rows = numbered(df, [order], "_k")
+    shared = rows.withColumn("_block", F.explode(F.sequence(at(F.greatest(F.col("_k") - half, F.lit(0))), at(F.col("_k") + half))))
+    out = shared.withColumn(name, frame(Window.partitionBy("_block").orderBy("_k")))
+    return out.filter(F.col("_block") == at(F.col("_k"))).drop("_k", "_block")
 
 
 def tercile_bands(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:

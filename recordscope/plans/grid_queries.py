@@ -277,11 +277,11 @@ def w10_like_for_like(spark, d):
     return g.like_for_like(line_days(spark, d), "demand")
 
 
-@query(f"""WITH {DAYS}, h AS (SELECT make_date(y, 7, 4) AS holiday FROM range(1996, 2001) t(y)), r AS (SELECT holiday, date, demand, date - holiday AS gap FROM days JOIN h ON date BETWEEN holiday - 28 AND holiday + 3),
+@query(f"""WITH {DAYS}, h AS (SELECT make_date(y, 7, 4) AS holiday FROM (SELECT DISTINCT year(o_orderdate) AS y FROM orders)), r AS (SELECT holiday, date, demand, date - holiday AS gap FROM days JOIN h ON date BETWEEN holiday - 28 AND holiday + 3),
 l AS (SELECT holiday, min(demand) AS low, arg_min(date, (demand, date)) AS low_date FROM r WHERE gap BETWEEN -1 AND 3 GROUP BY 1), b AS (SELECT holiday, demand, row_number() OVER (PARTITION BY holiday ORDER BY demand) - 1 AS k, count(*) OVER (PARTITION BY holiday) AS n FROM r WHERE gap BETWEEN -28 AND -8)
 SELECT holiday, low_date, low, demand AS base, round(1 - low / demand, 6) AS dip FROM l JOIN b USING (holiday) WHERE k = floor(n / 2) AND n >= 8 AND 1 - low / demand >= 0.05""")
 def w11_holiday_dips(spark, d):
-    h = table(spark, d, "orders").select(F.make_date(F.year("o_orderdate"), F.lit(7), F.lit(4)).alias("holiday")).filter("year(holiday) between 1996 and 2000").distinct()
+    h = table(spark, d, "orders").select(F.make_date(F.year("o_orderdate"), F.lit(7), F.lit(4)).alias("holiday")).distinct()
     return g.holiday_dips(line_days(spark, d), h, "demand")
 
 
@@ -291,10 +291,11 @@ def w1_seasonal_curve(spark, d):
     return g.seasonal_curve(line_days(spark, d), "demand")
 
 
-@query(f"WITH {HOURLY} SELECT datetime, round(avg(coalesce(loadshed, 0)) OVER (PARTITION BY month(date) ORDER BY datetime ROWS BETWEEN 36 PRECEDING AND 36 FOLLOWING) + 1e-9, 6) AS mean FROM hourly")
+@query(f"WITH {HOURLY} SELECT datetime, round(avg(coalesce(loadshed, 0)) OVER (ORDER BY datetime ROWS BETWEEN 36 PRECEDING AND 36 FOLLOWING) + 1e-9, 6) AS days, round(avg(coalesce(loadshed, 0)) OVER (ORDER BY datetime ROWS BETWEEN 84 PRECEDING AND 84 FOLLOWING) + 1e-9, 6) AS week FROM hourly")
 def w2_rolling_mean(spark, d):
-    out = st.centred_mean(hourly(spark, d).withColumn("m", F.month("date")), ["m"], "datetime", "loadshed", 36, "mean", True)
-    return out.select("datetime", F.round(F.col("mean") + 1e-9, 6).alias("mean"))
+    out = st.centred_mean(hourly(spark, d), [], "datetime", "loadshed", 36, "days", True)
+    out = st.centred_mean(out, [], "datetime", "loadshed", 84, "week", True)
+    return out.select("datetime", *[F.round(F.col(c) + 1e-9, 6).alias(c) for c in ("days", "week")])
 
 
 @query(f"""WITH {HOURLY}, r AS (SELECT *, row_number() OVER (PARTITION BY hour ORDER BY datetime DESC) AS k FROM hourly WHERE demand IS NOT NULL), t AS (SELECT *, row_number() OVER (PARTITION BY hour ORDER BY demand) - 1 AS i, count(*) OVER (PARTITION BY hour) AS n FROM r WHERE k <= 20)

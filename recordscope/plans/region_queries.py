@@ -375,7 +375,7 @@ def j16_zone_population(spark, d):
 @query("""WITH p AS (SELECT c_custkey AS id, (c_custkey * 37 % 6000) / 100.0::DOUBLE AS lon, (c_custkey * 91 % 6000) / 100.0::DOUBLE AS lat FROM customer)
 SELECT id, CASE WHEN lon < 50 AND lat < 50 THEN 'NATION_' || (floor(lat / 10) * 5 + floor(lon / 10))::INT END AS name FROM p""")
 def j14_in_polygon(spark, d):
-    return mt.point_in_polygon(points(spark, d), squares(spark, d), 7.0)
+    return mt.point_in_polygon(points(spark, d), squares(spark, d), 20)
 
 
 def squares(spark, d):
@@ -568,19 +568,20 @@ def u6_weeks(spark, d):
     return w.join(o, "date", "left").groupBy("month_start", "start", "end").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
 
 
-@query(f"""WITH {FACTS}, lv AS (SELECT country, date_trunc('month', date)::DATE AS ms, sum(n) AS n FROM facts WHERE year(date) = 1997 GROUP BY 1, 2), med AS (SELECT 40 AS cut),
-wk AS (SELECT DISTINCT country, date_trunc('month', date)::DATE AS ms, (date_trunc('month', date)::DATE + ((day(date) - 1) // 7 * 7)::INT)::DATE AS s FROM facts WHERE year(date) = 1997 AND gender = 'P'),
+@query(f"""WITH {FACTS}, lv AS (SELECT country, date_trunc('month', date)::DATE AS ms, sum(n) AS n FROM facts GROUP BY 1, 2), med AS (SELECT 40 AS cut),
+wk AS (SELECT DISTINCT country, date_trunc('month', date)::DATE AS ms, (date_trunc('month', date)::DATE + ((day(date) - 1) // 7 * 7)::INT)::DATE AS s FROM facts WHERE gender = 'P'),
 p AS (SELECT country, unnest(generate_series(ms, last_day(ms), INTERVAL 1 DAY))::DATE AS date FROM lv WHERE n >= 40 UNION SELECT wk.country, unnest(generate_series(s, least(s + 6, last_day(s)), INTERVAL 1 DAY))::DATE FROM wk JOIN lv ON lv.country = wk.country AND lv.ms = wk.ms WHERE lv.n < 40)
 SELECT country, date FROM p WHERE NOT (country = 'BUILDING' AND day(date) < 4) AND day(date) <> 13""")
 def u7_screening(spark, d):
-    f = facts(spark, d).filter("year(date) = 1997")
+    f = facts(spark, d)
     month = F.to_date(F.trunc("date", "month"))
     live = f.groupBy("country", month.alias("month_start")).agg(F.sum("n").alias("n"))
     start = F.date_add(month, (F.floor((F.dayofmonth("date") - 1) / 7) * 7).cast("int"))
     weeks = f.filter("gender = 'P'").select("country", start.alias("start")).distinct().withColumn("end", F.least(F.date_add("start", 6), F.last_day("start")))
-    year = dt.days(spark, "1997-01-01", "1997-12-31")
-    done = year.filter(F.dayofmonth("date") < 4).withColumn("country", F.lit("BUILDING"))
-    return rg.screening_plan(live, weeks, 40, done, year.filter(F.dayofmonth("date") == 13))
+    span = f.agg(F.to_date(F.trunc(F.min("date"), "month")).alias("a"), F.last_day(F.max("date")).alias("b"))
+    days = span.select(F.explode(F.sequence("a", "b")).alias("date"))
+    done = days.filter(F.dayofmonth("date") < 4).withColumn("country", F.lit("BUILDING"))
+    return rg.screening_plan(live, weeks, 40, done, days.filter(F.dayofmonth("date") == 13))
 
 
 @query("SELECT o_orderkey, o_custkey % 12 BETWEEN 1 AND 8 AS valid, CASE WHEN o_orderdate::DATE IN (DATE '1996-01-01', DATE '1997-06-19') THEN 'volatile_sentinel' END AS date_flag FROM orders")

@@ -68,11 +68,12 @@ def flag_maps(spark, d):
     return per.groupBy("date").agg(F.map_from_entries(F.collect_list(F.struct("flag", "q"))).alias("m"))
 
 
-@query(f"WITH {DAY_FLAGS} SELECT date::VARCHAR AS date, flag, q FROM f WHERE day(date) = 15 AND month(date) <> 4")
+@query(f"WITH {DAY_FLAGS} SELECT date::VARCHAR AS date, flag, q FROM f WHERE month(date) <> 4")
 def s4_reports(spark, d):
-    day = flag_maps(spark, d).filter(F.dayofmonth("date") == 15)
-    report = F.to_json(F.struct(F.col("date").cast("string").alias("date"), (F.month("date") == 4).alias("failed"), F.col("m").alias("flags")))
-    path = as_files(day.select(F.col("date").cast("string").alias("k"), report.alias("value")), spark, "reports", "k")
+    report = F.struct(F.col("date").cast("string").alias("date"), (F.month("date") == 4).alias("failed"), F.col("m").alias("flags"))
+    # a file holds the reports of a month
+    month = flag_maps(spark, d).groupBy(F.date_format("date", "yyyy-MM").alias("k")).agg(F.to_json(F.collect_list(report)).alias("value"))
+    path = as_files(month, spark, "reports", "k")
     schema = struct(date=TEXT, failed=T.BooleanType(), flags=T.MapType(TEXT, NUMBER))
     return io.read_reports(spark, path, schema).select("date", F.explode("flags").alias("flag", "q"))
 
@@ -140,3 +141,17 @@ SELECT gender, list(year ORDER BY year, month) AS year, list(month ORDER BY year
 def k5_packed_cube(spark, d):
     o = table(spark, d, "orders").groupBy(F.col("o_orderstatus").alias("gender"), F.year("o_orderdate").cast("long").alias("year"), F.month("o_orderdate").cast("long").alias("month")).agg(F.count("*").alias("n"))
     return io.pack_parallel(o, ["year", "month", "n"], ["gender"])
+
+
+@query("SELECT o_orderkey AS id, o_custkey AS customer, o_totalprice AS price FROM orders WHERE o_totalprice > 1000")
+def s7_database(spark, d):
+    """Writes all orders to the database engine that comes with Spark, keys crowded at one end, and reads them back by ranges of equal rows.
+
+    The engine is embedded: it serves one process, so on a cluster the URL of a server takes its place.
+    """
+    url = f"jdbc:derby:{folder(spark, 'database').removeprefix('file://').removeprefix('file:')}"
+    own = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    orders = table(spark, d, "orders").select((F.col("o_orderkey") * F.col("o_orderkey")).alias("ID"), F.col("o_orderkey").alias("ORDERKEY"), F.col("o_custkey").alias("CUSTOMER"), F.col("o_totalprice").alias("PRICE"))
+    orders.coalesce(1).write.option("batchsize", 5000).jdbc(f"{url};create=true", "ORDERS", properties=own)
+    rows = io.read_database(spark, url, "SELECT ID, ORDERKEY, CUSTOMER, PRICE FROM ORDERS", split="ID", parts=8, **own)
+    return rows.filter("PRICE > 1000").select(F.col("ORDERKEY").alias("id"), F.col("CUSTOMER").alias("customer"), F.col("PRICE").alias("price"))

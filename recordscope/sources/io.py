@@ -91,7 +91,7 @@ def read_time_series(spark: SparkSession, path: str, schema: T.StructType, at: s
 
 
 def read_reports(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """One JSON report a file with its ``batch``; failed and undated ones are left out."""
+    """JSON reports with their ``batch`` (file path), one or an array of them a file; failed and undated ones are left out."""
     df = spark.read.schema(schema).option("multiLine", True).json(path)
     failed = F.coalesce(F.col("failed"), F.lit(False)) if "failed" in schema.names else F.lit(False)
     return df.withColumn("batch", F.col("_metadata.file_path")).filter(~failed & F.col("date").isNotNull())
@@ -132,17 +132,28 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 def read_database(spark: SparkSession, url: str, query: str, split: str | None = None, bounds: tuple[int, int] | None = None, parts: int = 16, **options: str) -> DataFrame:
     """Rows of a SQL query over JDBC, such as the fact and district queries of a crawl database.
 
-    With ``split``, a numeric column of the query, ``parts`` tasks read ranges of it between ``bounds`` (asked of the database
-    where not given); rows outside the bounds are in the first and last range. The driver class must be on Spark's class path.
+    With ``split``, a numeric column of the query, ``parts`` tasks read ranges of it at most: of equal width between ``bounds`` where
+    these are given, otherwise of about equal rows, by a sketch of the keys, which are read alone first. Nulls are in the first range.
+    Filters and columns that follow are pushed down to the database. The driver class must be on Spark's class path.
     """
-    reader = spark.read.format("jdbc").option("url", url).options(**options)
+    reader = lambda: spark.read.format("jdbc").option("url", url).options(**options)
     if split is None:
-        return reader.option("query", query).load()
-    if bounds is None:
-        low, high = reader.option("query", f"SELECT min({split}) AS low, max({split}) AS high FROM ({query}) q").load().first()
-        bounds = (int(low or 0), int(high or 0) + 1)
-    ranges = {"partitionColumn": split, "lowerBound": str(bounds[0]), "upperBound": str(bounds[1]), "numPartitions": str(parts)}
-    return spark.read.format("jdbc").option("url", url).options(**options).options(**ranges).option("dbtable", f"({query}) q").load()
+        return reader().option("query", query).load()
+
+    def ranges(sql: str, low: int, high: int) -> DataFrame:
+        cut = {"partitionColumn": split, "lowerBound": str(low), "upperBound": str(high), "numPartitions": str(parts)}
+        return reader().options(**cut).option("dbtable", f"({sql}) q").load()
+
+    if bounds is not None:
+        return ranges(query, *bounds)
+    low, high = reader().option("query", f"SELECT min({split}) AS low, max({split}) AS high FROM ({query}) q").load().first()
+    keys = ranges(f"SELECT {split} FROM ({query}) k", int(low or 0), int(high or 0) + 1)
+    cuts = keys.agg(F.percentile_approx(keys[0], [k / parts for k in range(1, parts)] or [0.5], 10_000)).first()[0] or []
+    cuts = sorted(set(cuts))[: parts - 1]
+    if not cuts:
+        return reader().option("query", query).load()
+    inner = [f"{split} >= {a} AND {split} < {b}" for a, b in zip(cuts, cuts[1:], strict=False)]
+    return spark.read.jdbc(url, f"({query}) q", predicates=[f"{split} < {cuts[0]} OR {split} IS NULL", *inner, f"{split} >= {cuts[-1]}"], properties=dict(options))
 
 
 def write_buckets(df: DataFrame, path: str, year: str = "year") -> None:
