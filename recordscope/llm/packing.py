@@ -34,7 +34,19 @@ PART_BYTES = 16 << 20
 PARTS = 1 << 15
 #: Characters in a row without a change between white space and other characters, from which the named tokenizer itself is used.
 RUN = 10_000
-_RUNS = re.compile(r"\s+|\S+")
+
+
+def has_long_run(text: str, run: int = RUN) -> bool:
+    """Whether a run of ``run`` characters, all white space or none, stands in a text; shorter ones of half that length may count.
+
+    A run that long holds a whole block of half its length, and a block is told by its first change.
+    """
+    half = run // 2
+    for at in range(0, len(text) - half + 1, half):
+        block = text[at : at + half]
+        if block.isspace() or len(block.split(None, 1)[0]) == half:
+            return True
+    return False
 
 
 class Encoder:
@@ -71,7 +83,7 @@ class Encoder:
         return self._named.encode(text, add_special_tokens=False).ids
 
     def encode(self, text: str) -> list[int]:
-        if len(text) >= RUN and any(m.end() - m.start() >= RUN for m in _RUNS.finditer(text)):
+        if has_long_run(text):
             return self.named(text)
         try:
             return self._fast(text)
