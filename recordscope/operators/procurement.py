@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordscope.functions.text import address_tail, company_key, has_tokens, owner_key, reference_key, scope, severity, tags
+from recordscope.operators.stats import numbered
 from recordscope.sources.io import durable
 
 UNKNOWN = "Unknown"
@@ -33,9 +34,9 @@ def duplicate_count(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def build_dimension(df: DataFrame, name: str, order: Sequence[str]) -> DataFrame:
-    """(id, name): dense ids in order of first appearance; the window sees distinct names only. Nulls have no id."""
+    """(id, name): dense ids in order of first appearance; distinct names are numbered by sorted ranges, in many tasks. Nulls have no id."""
     first = df.filter(F.col(name).isNotNull()).groupBy(F.col(name).alias("name")).agg(F.min(F.struct(*order)).alias("_o"))
-    return first.select((F.row_number().over(Window.orderBy("_o", "name")) - 1).alias("id"), "name")
+    return numbered(first, ["_o", "name"], "id").select("id", "name")
 
 
 def decode_dimension(df: DataFrame, id_col: str, dim: DataFrame, out: str) -> DataFrame:

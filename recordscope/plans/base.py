@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordscope.sources.io import owned
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -15,7 +17,7 @@ def query(oracle: str | None = None):
     """Registers a function of (spark, sf_dir) under its name, with DuckDB SQL for the same rows."""
 
     def add(f):
-        QUERIES[f.__name__] = f
+        QUERIES[f.__name__] = owned(f)
         if oracle:
             ORACLES[f.__name__] = oracle
         return f

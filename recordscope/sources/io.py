@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
+import functools
 import re
 import tempfile
 import uuid
@@ -25,31 +27,48 @@ def shared_dir(spark: SparkSession) -> str:
     return name.rstrip("/")
 
 
-#: Tables of each open ``scratch``, innermost last.
-_OPEN: list[list[tuple[str, T.StructType]]] = []
+#: Tables of each open ``scratch`` of this thread, innermost last.
+_OPEN: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("open scratches", default=())
 
 
-def durable(df: DataFrame) -> DataFrame:
+def durable(df: DataFrame, outer: bool = False) -> DataFrame:
     """``df`` written as a Parquet table in the shared folder and read again: a cut lineage that survives lost executors.
 
-    The table stays until the ``scratch`` around it ends, or, outside of one, until the folder's owner clears it.
+    The table stays until the ``scratch`` around it ends (with ``outer`` the one around that), or, outside of one, until the folder's
+    owner clears it.
     """
     path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    if _OPEN:
-        _OPEN[-1].append((path, df.schema))
+    held = _OPEN.get()[:-1] if outer else _OPEN.get()
+    if held:
+        held[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextlib.contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
-    """Empties at its end the tables that ``durable`` wrote inside it; results must be written or collected by then."""
-    _OPEN.append([])
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Deletes at its end the tables that ``durable`` wrote inside it, whose paths it gives; results must be written or collected by then."""
+    mine: list[str] = []
+    token = _OPEN.set((*_OPEN.get(), mine))
     try:
-        yield
+        yield mine
     finally:
-        for path, schema in _OPEN.pop():
-            spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+        _OPEN.reset(token)
+        for name in mine:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def owned(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """``query`` with its work tables deleted: where it wrote any, its result becomes the one table that stays."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with scratch(spark) as tables:
+            out = query(spark, sf_dir)
+            return durable(out, outer=True) if tables else out
+
+    return run
 
 
 def _lines(spark: SparkSession, path: str, schema: T.StructType, pattern: str) -> DataFrame:

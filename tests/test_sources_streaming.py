@@ -46,8 +46,28 @@ def test_work_tables_go_with_their_scratch(spark):
     with io.scratch(spark):
         kept = io.durable(spark.range(1_000))
         assert kept.count() == 1_000
-    (name,) = {p.name for p in folder.glob("table-*")} - before
-    assert spark.read.parquet(str(folder / name)).count() == 0
+        with io.scratch(spark) as inner:
+            assert io.durable(kept.filter("id < 7"), outer=True).count() == 7 and inner == []
+        assert len({p.name for p in folder.glob("table-*")} - before) == 2
+    assert {p.name for p in folder.glob("table-*")} == before
+
+
+def test_queries_own_their_work_tables(spark):
+    """What a query wrote on its way goes; its result stays and is whole. Threads do not mix their tables."""
+    from concurrent.futures import ThreadPoolExecutor
+    from pathlib import Path
+
+    folder = Path(io.shared_dir(spark))
+    before = {p.name for p in folder.glob("table-*")}
+
+    @io.owned
+    def doubled(spark, n):
+        return io.durable(spark.range(int(n))).unionByName(io.durable(spark.range(int(n))))
+
+    with ThreadPoolExecutor(4) as pool:
+        out = list(pool.map(lambda n: doubled(spark, str(n)), (3, 5, 7, 9)))
+    assert [df.count() for df in out] == [6, 10, 14, 18] and len({p.name for p in folder.glob("table-*")} - before) == 4
+    assert io.owned(lambda spark, d: spark.range(4))(spark, "").count() == 4 and len({p.name for p in folder.glob("table-*")} - before) == 4
 
 
 def test_a_cluster_must_name_its_shared_folder():
