@@ -68,6 +68,11 @@ CUES = {
 }
 AGAINST = r"(?:version|order|isbn|issn|invoice|item|sku|page|figure|table|section|chapter|build|ticket|bestellung|rechnung|seite|kapitel|commande|facture|chapitre|pedido|factura|página|capítulo)\W*(?:\p{L}+\W+){0,1}$"
 EM_STEPS = 50
+#: Share of a labeler's votes on true candidates without data (turned round on false ones), candidates that this belief is worth, and
+#: the believed share of true candidates.
+BELIEF = {1: 0.5, 0: 0.4, -1: 0.1}
+BELIEVED = 100
+SHARE = 0.1
 #: Buckets of words and shapes, and the most that votes count in a score.
 BUCKETS = 256
 PRIOR = 2.0
@@ -169,22 +174,26 @@ def candidates(text: Column) -> Column:
 def estimate_reliability(patterns: list[tuple[tuple[int, ...], int]], steps: int = EM_STEPS) -> dict[tuple[int, ...], float]:
     """Chance that each vote pattern is true, by EM over two classes with independent labelers.
 
-    Starts from the sign of the vote sum; rates are smoothed by one vote towards labelers that are better than chance.
+    Starts from, and is smoothed by, what is believed of a labeler without data (``BELIEF``, worth ``BELIEVED`` candidates) and of the
+    share of true candidates (``SHARE``). A few candidates leave the belief as it is: two votes for a span, none against, are needed.
     """
-    chance = {v: min(0.9, max(0.1, 0.5 + 0.2 * sum(v))) for v, _ in patterns}
+    believed = lambda: ({x: BELIEVED * p for x, p in BELIEF.items()}, {x: BELIEVED * BELIEF[-x] for x in BELIEF})
+    share = lambda c: {x: n / sum(c.values()) for x, n in c.items()}
+    labelers = range(len(patterns[0][0]))
+    prior, rate = SHARE, [tuple(map(share, believed())) for _ in labelers]
+    chance: dict[tuple[int, ...], float] = {}
     for _ in range(steps):
+        for v, _ in patterns:
+            odds = math.log(prior / (1 - prior)) + sum(math.log(t[x] / f[x]) for (t, f), x in zip(rate, v, strict=True))
+            chance[v] = 1 / (1 + math.exp(-max(-30.0, min(30.0, odds))))
         whole = sum(n for _, n in patterns)
-        prior = (sum(chance[v] * n for v, n in patterns) + 1) / (whole + 2)
-        rate = []
-        for k in range(len(patterns[0][0])):
-            true, false = {1: 1.5, 0: 1.0, -1: 0.5}, {1: 0.5, 0: 1.0, -1: 1.5}
+        prior = (sum(chance[v] * n for v, n in patterns) + BELIEVED * SHARE) / (whole + BELIEVED)
+        for k in labelers:
+            true, false = believed()
             for v, n in patterns:
                 true[v[k]] += chance[v] * n
                 false[v[k]] += (1 - chance[v]) * n
-            rate.append(({x: c / sum(true.values()) for x, c in true.items()}, {x: c / sum(false.values()) for x, c in false.items()}))
-        for v, _ in patterns:
-            odds = math.log(prior / (1 - prior)) + sum(math.log(t[x] / f[x]) for (t, f), x in zip(rate, v, strict=True))
-            chance[v] = 1 / (1 + math.exp(-max(-30.0, min(30.0, odds))))
+            rate[k] = (share(true), share(false))
     return chance
 
 

@@ -16,9 +16,10 @@ from recordscope.llm.quality import op4_quality_rules
 from recordscope.llm.secrets import op9_secret_scan
 from recordscope.llm.toxicity import op6_toxicity
 from recordscope.llm.warc import op2_fixity_audit
+from recordscope.sources.io import owned
 
 QUERIES = {
-    f.__name__: f
+    f.__name__: owned(f)
     for f in (
         op1_minhash_dedup,
         op2_fixity_audit,
