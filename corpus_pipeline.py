@@ -14,6 +14,7 @@ from recordscope.llm.mixing import mixed_rows
 from recordscope.llm.packing import pack_along_curve
 from recordscope.llm.quality import drop_rejected
 from recordscope.llm.secrets import mask_secrets
+from recordscope.sources.io import owned
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -76,8 +77,9 @@ STAGES = [
 ORACLE_SQL = None
 
 
+@owned
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``."""
+    """All stages over the documents of ``sf_dir``; the tables between them go when the last one is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = durable(stage(spark, docs, sf_dir))
