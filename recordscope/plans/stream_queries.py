@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from recordscope.plans.base import DAYS, line_days, query, table
 from recordscope.plans.region_queries import IN_SQUARE, MISREAD, MISSED, MONTH_SHEETS, misread_sheets, month_sheets, sheet_rules
+from recordscope.sources.io import shared_dir
 from recordscope.streaming import jobs
 
 
@@ -25,6 +28,19 @@ def t2_filled(spark, d):
     return jobs.fill_nulls(old, new, ["date"], ["demand", "shed"], ["shed"])
 
 
+@query("SELECT o_custkey, min((year(o_orderdate) - 1900) // 3)::INT AS bucket FROM orders GROUP BY 1")
+def t1_first_seen(spark, d):
+    """Orders arrive as one batch for three years; a customer is new once, also where a later batch brings another bucket."""
+    o = table(spark, d, "orders").select("o_custkey", F.to_timestamp("o_orderdate").alias("at"), F.floor((F.year("o_orderdate") - 1900) / 3).cast("int").alias("bucket"))
+    top = f"{shared_dir(spark)}/first-seen-{uuid.uuid4().hex}"
+    batches = sorted(r["bucket"] for r in o.select("bucket").distinct().collect())
+    for k in batches:
+        o.filter(F.col("bucket") == k).coalesce(1).write.parquet(f"{top}/in/{k}")
+    stream = spark.readStream.schema(o.schema).option("maxFilesPerTrigger", 1).parquet(f"{top}/in/*")
+    jobs.first_seen_stream(stream, f"{top}/table", f"{top}/state", ["o_custkey"], "at", "36500 days", "bucket").awaitTermination()
+    return spark.read.schema("o_custkey long, at timestamp, bucket int").parquet(f"{top}/table").select("o_custkey", "bucket")
+
+
 @query(f"WITH {DAYS}, b AS (SELECT max(date) - 20 AS f FROM days) SELECT date, CASE WHEN date >= f THEN 0 ELSE demand END AS demand FROM days, b WHERE date < f OR day(date) % 2 = 0 OR date = f + 20")
 def t4_trailing(spark, d):
     day = line_days(spark, d).select("date", "demand")
