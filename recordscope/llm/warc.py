@@ -43,7 +43,8 @@ def to_records(pages: DataFrame, per_file: int = RECORDS_PER_FILE, payload: bool
     """(file, record_no, offset, length, digest, record) of pages: ``per_file`` (4 or more) consecutive ids make a file.
 
     Without ``payload`` the record itself is left out, so only its digest is shuffled. Null urls and payloads are empty. Repeated
-    ids follow one another by digest. Pages with a null id go to one of ``NAMELESS_FILES`` files by their digest.
+    ids follow one another by digest. Pages with a null id go to one of ``NAMELESS_FILES`` files by their digest. Records are numbered
+    by sorted ranges, so a file of very many (a repeated id, pages without ids) is spread over many tasks.
     """
     if per_file < 4:
         raise ValueError("a file holds 4 ids or more")
@@ -51,10 +52,17 @@ def to_records(pages: DataFrame, per_file: int = RECORDS_PER_FILE, payload: bool
     rows = rows.select("page_id", F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("digest"), *(["record"] if payload else []))
     nameless = F.lit(NAMELESS) + F.pmod(F.xxhash64("digest"), F.lit(NAMELESS_FILES))
     rows = rows.withColumn("file", F.coalesce(floor_div("page_id", per_file), nameless))
-    order = Window.partitionBy("file").orderBy("page_id", "digest")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    number, offset = (F.row_number().over(order) - 1).cast("long"), F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long")
-    return rows.select("file", number.alias("record_no"), offset.alias("offset"), "length", "digest", *(["record"] if payload else []))
+    # equal records are told apart by where they were read, so that they too fall into several ranges
+    order = ["file", "page_id", "digest", "_place"]
+    placed = rows.withColumn("_place", F.monotonically_increasing_id())
+    ranged = durable(placed.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()))
+    inside = Window.partitionBy("file", "_part").orderBy(*order[1:])
+    sizes = ranged.groupBy("file", "_part").agg(F.count("*").alias("_n"), F.sum("length").alias("_bytes"))
+    before = Window.partitionBy("file").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("file", "_part", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in ("_n", "_bytes")])
+    told = ranged.withColumns({"_k": F.row_number().over(inside) - 1, "_at": F.coalesce(F.sum("length").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))}).join(sizes, ["file", "_part"])
+    number, offset = (F.col("_n") + F.col("_k")).cast("long"), (F.col("_bytes") + F.col("_at")).cast("long")
+    return told.select("file", number.alias("record_no"), offset.alias("offset"), "length", "digest", *(["record"] if payload else []))
 
 
 def merkle_levels(records: DataFrame, fanout: int = FANOUT) -> list[DataFrame]:

@@ -261,3 +261,38 @@ def test_pipeline_matches_brute_force(spark):
     total = {r["doc_id"]: r["doc_tokens"] for r in packed}
     assert covered == {i: n * total[i] for i, n in times.items()}
     assert frames[-1].filter(F.col("offset") + F.col("length") > 1024).count() == 0
+
+
+def test_records_of_a_hot_file_are_numbered_over_ranges(spark):
+    """One id holds most pages, some of them equal; numbers and offsets are gapless, equal pages differ in place alone."""
+    rows = [(5, f"u{k % 40}", "x" * (k % 7)) for k in range(2000)] + [(k, "u", "y") for k in range(3000, 3040)] + [(None, "n", "z")] * 50
+    out = to_records(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(6), 10, payload=False).collect()
+    assert len(out) == len(rows)
+    files = defaultdict(list)
+    for r in out:
+        files[r["file"]].append((r["record_no"], r["offset"], r["length"], r["digest"]))
+    assert max(map(len, files.values())) == 2000
+    for part in files.values():
+        part.sort()
+        assert [k for k, *_ in part] == list(range(len(part)))
+        assert [at for _, at, *_ in part] == [sum(n for _, _, n, _ in part[:k]) for k in range(len(part))]
+    assert [d for *_, d in files[0]] == sorted(d for *_, d in files[0])
+
+
+def test_very_long_texts_pass_every_stage(spark):
+    """Texts of millions of characters, of words, of spaces and without any space, beside short ones."""
+    import corpus_pipeline as p
+
+    sf = "/root/testdata/sf0.001"
+    long = " ".join(f"w{k * 7919 % 99_991}" for k in range(300_000))
+    key = "9f8e7d6c5b4a39281706f5e4d3c2b1a0"
+    texts = [long, long + " token = " + key, " " * 2_000_000, "x" * 1_500_000, "\n" * 1_000_000, "short text"]
+    docs = spark.createDataFrame([(i, t, "en", f"s{i % 2}", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    stage = dict(p.STAGES)
+    assert {r["doc_id"] for r in stage["quality rules"](spark, docs, sf).select("doc_id").collect()} <= {0, 1}
+    assert {r["doc_id"] for r in stage["near-dedup"](spark, docs, sf).select("doc_id").collect()} == {0, 2, 3, 4, 5}
+    safe = {r["doc_id"]: r["text"] for r in stage["secret scans"](spark, docs, sf).collect()}
+    assert key not in safe[1] and [safe[i] == texts[i] for i in range(6)] == [True, False, True, True, True, True]
+    assert {r["doc_id"] for r in stage["source mix"](spark, docs, sf).select("doc_id").distinct().collect()} >= {0} | {1}
+    packed = stage["packing"](spark, docs, sf).groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("m")).collect()
+    assert len(packed) == 6 and all(r["n"] == r["m"] for r in packed)
