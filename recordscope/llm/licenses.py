@@ -101,7 +101,9 @@ def _alignments(words: Column, index: list[tuple[int, int, str]]) -> Column:
     posting = lambda t, o: F.struct(F.lit(t).alias("t"), F.lit(o).alias("o"))
     postings = F.create_map(*[x for w, ps in first.items() for x in (F.lit(w), F.array(*[posting(t, o) for t, o in ps]))])
     # the rarest word of each template proposes places, the next ones must stand where it says
-    hits = F.filter(F.transform(words, lambda w, i: F.struct(i.alias("i"), w.alias("w"))), lambda h: h["w"].isin(*first))
+    # places are filtered as plain numbers; a struct for each word of a text would be much garbage
+    places = F.when(F.size(words) > 0, F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.get(words, i).isin(*first))).otherwise(F.array().cast("array<int>"))
+    hits = F.transform(places, lambda i: F.struct(i.alias("i"), F.get(words, i).alias("w")))
     agree = lambda t, start: reduce(lambda a, b: a & b, [F.when(t == k, F.coalesce(reduce(lambda a, b: a & b, [F.get(words, start + o) == w for o, w in more]), F.lit(False))).otherwise(True) for k, more in rest.items() if more], F.lit(True))
 
     def proposed(h: Column) -> Column:
