@@ -1,9 +1,10 @@
 """Language identification by known words first, then shorter and shorter character n-grams.
 
 Training counts words and n-grams by language over a bounded, hash-chosen sample of labelled documents (``SAMPLE_DOCS`` a
-language) and keeps the ``TOP`` most frequent of each kind and language (fewer with many languages). A known word scores its log frequency in each language;
-an unseen word is read left to right, taking at each place the longest known n-gram, and scores the mean of their log
-frequencies. A document's score is the posterior of the best language.
+language) and keeps the ``TOP`` most frequent of each kind and language (fewer with many languages). Every language that a training
+document names is learned, however rare. A known word scores its log frequency in each language; an unseen word is read left to right,
+taking at each place the longest known n-gram, and scores the mean of their log frequencies. A document's score is the posterior of
+the best language.
 """
 
 from __future__ import annotations
@@ -24,11 +25,8 @@ from recordscope.llm.common import durable
 #: Training documents, words and n-grams kept for each language.
 SAMPLE_DOCS = 800
 TOP = 20_000
-#: A language is learned if it has this many training documents, and is among the ``LANGUAGES`` that have most.
-LEAST_DOCS = 2
-LANGUAGES = 500
-#: Words, and as many n-grams, kept over all languages; with more than ten languages each keeps an equal share. This bounds the
-#: model that the driver gathers and broadcasts, whatever the number of languages.
+#: Words, and as many n-grams, kept over all languages; with more than ten languages each keeps an equal share, one at least. This
+#: bounds what the driver gathers and broadcasts of many languages.
 TOP_ALL = 200_000
 #: Longest n-gram.
 GRAM = 4
@@ -51,7 +49,7 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-#: Scores (a word times a language) that a task keeps.
+#: Scores (a word times a language) that a task keeps, and at most that many again that it adds up at once.
 CACHE = 1_600_000
 
 
@@ -71,7 +69,9 @@ class LanguageModel:
     _at: dict[str, int] = field(default_factory=dict)
     _rows: np.ndarray | None = None
     _gram_at: dict[str, int] = field(default_factory=dict)
-    _gram_rows: np.ndarray | None = None
+    _gram_first: np.ndarray | None = None
+    _gram_lang: np.ndarray | None = None
+    _gram_gain: np.ndarray | None = None
 
     def _dense(self, items: list[Sparse], floor: np.ndarray) -> np.ndarray:
         out = np.tile(floor, (len(items), 1))
@@ -95,27 +95,44 @@ class LanguageModel:
             i += max(1, size - 1)
         return out
 
-    def _learn(self, new: list[str]) -> None:
-        """Adds rows for words that were not met before: their own log frequencies, or the mean of their parts."""
-        if self._gram_rows is None:
-            self._gram_at = {g: k + 1 for k, g in enumerate(self.grams)}
-            self._gram_rows = self._dense([{}, *self.grams.values()], self.floor)
-        if self._rows is None or len(self._at) > self._room():
-            self._at, self._rows = {}, np.empty((0, len(self.languages)))
+    def _index_grams(self) -> None:
+        """The n-grams' languages and gains over the floor, one after the other; row 0, of characters in no n-gram, gains nothing."""
+        self._gram_at = {g: k + 1 for k, g in enumerate(self.grams)}
+        sizes = [0, 0, *map(len, self.grams.values())]
+        self._gram_first = np.cumsum(sizes)
+        self._gram_lang = np.array([k for by in self.grams.values() for k in by], dtype=np.int64)
+        self._gram_gain = np.array([x for by in self.grams.values() for x in by.values()], dtype=float) - self.floor[self._gram_lang]
+
+    def _means(self, parts: list[list[int]]) -> np.ndarray:
+        """Mean log frequencies by language of the n-grams of each word."""
+        size, width = np.array([len(x) for x in parts]), len(self.languages)
+        flat, word = np.concatenate(parts), np.repeat(np.arange(len(parts)), size)
+        first = self._gram_first[flat]
+        many = self._gram_first[flat + 1] - first
+        at = np.repeat(first - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        gain = np.bincount(np.repeat(word, many) * width + self._gram_lang[at], weights=self._gram_gain[at], minlength=len(parts) * width)
+        return self.floor + gain.reshape(len(parts), width) / size[:, None]
+
+    def _learn(self, words: list[str]) -> None:
+        """Rows for words: their own log frequencies, or the mean of their parts. Rows of other words go where there is no room for both."""
+        if self._gram_first is None:
+            self._index_grams()
+        new = [w for w in words if w not in self._at]
+        if not new and self._rows is not None:
+            return
+        if self._rows is None or len(self._at) + len(new) > self._room():
+            self._at, self._rows, new = {}, np.empty((0, len(self.languages))), words
         known = [w for w in new if w in self.words]
         unseen = [w for w in new if w not in self.words]
         rows = [self._rows, self._dense([self.words[w] for w in known], self.word_floor)]
         if unseen:
-            parts = [self._parts(w) for w in unseen]
-            size = np.array([len(x) for x in parts])
-            flat = self._gram_rows[np.concatenate(parts)]
-            rows.append(np.add.reduceat(flat, np.cumsum(size) - size, axis=0) / size[:, None])
+            rows.append(self._means([self._parts(w) for w in unseen]))
         for w in known + unseen:
             self._at[w] = len(self._at)
         self._rows = np.vstack(rows)
 
     def _room(self) -> int:
-        return CACHE // max(1, len(self.languages))
+        return max(1, CACHE // max(1, len(self.languages)))
 
     def predict_many(self, texts: list[str | None]) -> list[tuple[str, float]]:
         found = [Counter(letters(t.lower())) if t else Counter() for t in texts]
@@ -123,17 +140,17 @@ class LanguageModel:
         some = [k for k, c in enumerate(found) if c]
         if not some or not self.languages:
             return out
-        new = list(dict.fromkeys(w for k in some for w in found[k] if w not in self._at))
-        if new:
-            if len(self._at) + len(new) > self._room():
-                self._rows, new = None, list(dict.fromkeys(w for k in some for w in found[k]))
-            self._learn(new)
-        at = self._at
         size = np.array([len(found[k]) for k in some])
-        rows = self._rows[[at[w] for k in some for w in found[k]]]
+        doc = np.repeat(np.arange(len(some)), size)
+        words = [w for k in some for w in found[k]]
         times = np.array([n for k in some for n in found[k].values()], dtype=float)
-        first = np.cumsum(size) - size
-        total, count = np.add.reduceat(rows * times[:, None], first, axis=0), np.add.reduceat(times, first)
+        total, room = np.zeros((len(some), len(self.languages))), self._room()
+        for lo in range(0, len(words), room):
+            part, own = words[lo : lo + room], doc[lo : lo + room]
+            self._learn(list(dict.fromkeys(part)))
+            first = np.flatnonzero(np.diff(own, prepend=-1))
+            total[own[first]] += np.add.reduceat(self._rows[[self._at[w] for w in part]] * times[lo : lo + room, None], first, axis=0)
+        count = np.bincount(doc, weights=times)
         mean = total / count[:, None] * np.minimum(count, EVIDENCE)[:, None]
         p = np.exp(mean - mean.max(axis=1, keepdims=True))
         best = p.argmax(axis=1)
@@ -160,23 +177,21 @@ def _log_frequencies(rows: list, languages: list[str]) -> tuple[dict[str, Sparse
 def train_language_model(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, top: int = TOP) -> LanguageModel:
     """Model of the (text, lang) rows that are not held out; rows with a null id, text or language teach nothing.
 
-    A document of several rows teaches once, by the least of its (lang, text). A lower bound of documents, ``LEAST_DOCS``, holds
-    only where some language reaches it.
+    A document of several rows teaches once, by the least of its (lang, text). All languages of these rows are learned.
     """
     told = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     per = told.groupBy("lang").agg(F.count("*").alias("n"))
-    few = durable(per.orderBy((F.col("n") >= LEAST_DOCS).desc(), F.col("n").desc(), "lang").limit(LANGUAGES))
-    few = few.join(F.broadcast(few.agg(F.least(F.max("n"), F.lit(LEAST_DOCS)).alias("least"))), F.col("n") >= F.col("least")).select("lang", "n")
+    langs = durable(per)
     # ids are chosen without their texts; the written table is small, so the texts are met by broadcast and stay where they are
-    ids = durable(told.select("doc_id", "lang").join(few, "lang").filter(F.pmod(F.xxhash64("doc_id"), F.greatest("n", F.lit(sample_docs))) < sample_docs).select("doc_id").distinct().coalesce(1))
-    one = told.join(ids, "doc_id", "left_semi").join(few.select("lang"), "lang", "left_semi").groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("d"))
+    ids = durable(told.select("doc_id", "lang").join(langs, "lang").filter(F.pmod(F.xxhash64("doc_id"), F.greatest("n", F.lit(sample_docs))) < sample_docs).select("doc_id").distinct())
+    one = told.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("d"))
     sample = durable(one.select("d.lang", "d.text"))
     found = durable(sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("item")).groupBy("lang", "item").agg(F.count("*").alias("n")))
     marked = F.concat(F.lit("^"), F.col("item"), F.lit("$"))
     spans = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(GRAM)), lambda size: F.when(F.length(marked) >= size, F.transform(F.sequence(F.lit(1), F.length(marked) - size + 1), lambda i: F.substring(marked, i, size))).otherwise(F.array().cast("array<string>"))))
     grams = found.select("lang", "n", F.explode(spans).alias("item")).groupBy("lang", "item").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "item")
-    top = min(top, TOP_ALL // max(1, few.count()))
+    top = max(1, min(top, TOP_ALL // max(1, langs.count())))
     best = lambda df: df.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= top).select("lang", "item", "n").collect()
     word_rows, gram_rows = best(found), best(grams)
     languages = sorted({r["lang"] for r in word_rows})

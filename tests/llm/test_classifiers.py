@@ -106,6 +106,25 @@ def test_many_languages_and_repeated_ids_stay_bounded(spark, monkeypatch):
     assert few.languages == ["de"]
 
 
+def test_rare_languages_are_learned_and_scores_do_not_depend_on_room(spark, monkeypatch):
+    """Seven hundred languages, one of them with a single document; a task with room for few words gives the same scores."""
+    import recordscope.llm.language as lg
+
+    rows = [(4 * (700 * i + k), " ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26)}{x}q" for x in "abcdef"), f"l{k:03d}") for k in range(700) for i in range(2 if k else 1)]
+    rows = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2 or r[2] == "l000"]
+    rows[0] = (next(i for i in range(10**7, 10**7 + 50) if zlib.crc32(str(i).encode()) % 4 != 2), *rows[0][1:])
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = train_language_model(docs)
+    assert set(model.languages) == {r[2] for r in rows}
+    texts = [t for _, t, _ in rows] + ["waabq zzz", "", None, "12"]
+    want = model.predict_many(texts)
+    assert [lang for lang, _ in want[: len(rows)]] == [r[2] for r in rows] and [lang for lang, _ in want[-3:]] == ["und"] * 3
+    monkeypatch.setattr(lg, "CACHE", 7 * len(model.languages))
+    small = lg.LanguageModel(model.languages, model.words, model.grams, model.word_floor, model.floor)
+    assert all(a[0] == b[0] and abs(a[1] - b[1]) < 1e-9 for a, b in zip(want, small.predict_many(texts), strict=True))
+    assert len(small._at) <= 7
+
+
 def test_swaps_reach_every_term_and_sentence():
     others = swaps(IDENTITY_TERMS)
     assert set(others["men"]) == {"women"} and set(others["muslim"]) >= {"christian", "jewish"} and set(others["frauen"]) == {"männer"}
