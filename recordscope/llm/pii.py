@@ -38,7 +38,7 @@ NATIONAL_ID = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 ACCOUNT = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 TITLES = r"Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Señora|Señor|Sra|Sr"
 
-#: Gazetteers: common given names of the four languages, top-level names of mail hosts, countries that have account numbers.
+#: Gazetteers: common given and family names of the four languages, top-level names of mail hosts, countries that have account numbers.
 GIVEN_NAMES = (
     "james", "mary", "john", "patricia", "robert", "jennifer", "michael", "linda", "david", "elizabeth", "william", "barbara",
     "richard", "susan", "joseph", "jessica", "thomas", "sarah", "charles", "karen", "daniel", "nancy", "matthew", "lisa",
@@ -53,18 +53,31 @@ GIVEN_NAMES = (
     "paul", "martin", "simon", "alexander", "laura", "julia", "claudia", "sophia", "emma", "olivia", "oliver", "ethan",
     "ahmed", "mohamed", "fatima", "ali", "omar", "chen", "wei", "yuki", "raj", "priya", "olga", "ivan",
 )
+FAMILY_NAMES = (
+    "smith", "johnson", "williams", "brown", "jones", "miller", "davis", "wilson", "anderson", "taylor", "thomas", "moore",
+    "jackson", "thompson", "harris", "clark", "lewis", "robinson", "walker", "wright", "hughes", "evans", "roberts", "murphy",
+    "müller", "schmidt", "schneider", "fischer", "weber", "meyer", "wagner", "becker", "schulz", "hoffmann", "koch", "bauer",
+    "richter", "klein", "schröder", "neumann", "schwarz", "zimmermann", "braun", "krüger", "hartmann", "lange", "krause", "lehmann",
+    "martin", "durand", "dubois", "moreau", "laurent", "lefebvre", "leroy", "roux", "fournier", "girard", "bonnet", "lambert",
+    "fontaine", "rousseau", "vincent", "faure", "mercier", "blanc", "guérin", "boyer", "garnier", "chevalier", "gauthier", "perrin",
+    "garcía", "rodríguez", "gonzález", "fernández", "lópez", "martínez", "sánchez", "pérez", "gómez", "jiménez", "ruiz", "hernández",
+    "díaz", "moreno", "álvarez", "muñoz", "romero", "alonso", "gutiérrez", "navarro", "torres", "domínguez", "vázquez", "ramos",
+)
 HOST_ENDS = (
     "com", "org", "net", "edu", "gov", "mil", "int", "info", "biz", "io", "co", "dev", "app", "ai", "me", "eu", "uk", "ie", "us", "ca",
     "au", "nz", "in", "de", "at", "ch", "li", "fr", "be", "lu", "mc", "es", "mx", "ar", "cl", "pe", "it", "pt", "br", "nl",
 )
 ACCOUNT_PLACES = ("AD", "AT", "BE", "BG", "CH", "CY", "CZ", "DE", "DK", "EE", "ES", "FI", "FR", "GB", "GR", "HR", "HU", "IE", "IS", "IT", "LI", "LT", "LU", "LV", "MC", "MT", "NL", "NO", "PL", "PT", "RO", "SE", "SI", "SK", "SM")
+#: Words before a person's name, and verbs that may stand between.
+PERSON_CUES = r"name|named|contact|signed|sincerely|regards|patient|customer|employee|heißt|unterzeichnet|grüßen|kunde|nom|appelle|signé|cordialement|client\p{L}?|nombre|llamo|firmado|atentamente|paciente"
+COPULAS = "is|ist|est|es"
 #: Words before a span that speak for it, in the four languages.
 CUES = {
     "mail_text": r"(?:mail|e-mail|contact|write|reach|address|kontakt|schreib\p{L}*|adresse|erreich\p{L}*|courriel|écri\p{L}*|contacte\p{L}*|correo|escri\p{L}*|dirección)\W*(?:\p{L}+\W+){0,3}$",
     "local_phone": r"(?:phone|call|tel|mobile|cell|fax|dial|number|telefon|handy|mobil|nummer|ruf\p{L}*|téléphone|portable|appel\p{L}*|numéro|teléfono|móvil|llam\p{L}*|número)\W*(?:\p{L}+\W+){0,3}$",
     "national_id": r"(?:ssn|social|security|national|identity|taxpayer|ausweis\p{L}*|steuer\p{L}*|sozial\p{L}*|sécurité|identité|fiscal|seguridad|identidad|documento)\W*(?:\p{L}+\W+){0,3}$",
     "account": r"(?:iban|account|bank|transfer|pay|konto|überweis\p{L}*|compte|virement|cuenta|banco|transferencia)\W*(?:\p{L}+\W+){0,3}$",
-    "name": r"(?:name|named|contact|signed|sincerely|regards|patient|customer|employee|heißt|unterzeichnet|grüßen|kunde|nom|appelle|signé|cordialement|client\p{L}?|nombre|llamo|firmado|atentamente|paciente)\W*(?:is\W+|ist\W+|est\W+|es\W+)?$",
+    "name": rf"(?:{PERSON_CUES})\W*(?:(?:{COPULAS})\W+)?$",
 }
 AGAINST = r"(?:version|order|isbn|issn|invoice|item|sku|page|figure|table|section|chapter|build|ticket|bestellung|rechnung|seite|kapitel|commande|facture|chapitre|pedido|factura|página|capítulo)\W*(?:\p{L}+\W+){0,1}$"
 EM_STEPS = 50
@@ -135,7 +148,9 @@ def _votes(kind: str, s: Column) -> Column:
     else:
         form = F.when(hit.rlike(rf"^(?:{TITLES})\b"), 1).otherwise(0)
         first = F.regexp_extract(low, r"(\p{L}+)\x20\p{L}+$", 1)
-        gazetteer = F.when(first.isin(*GIVEN_NAMES), 1).otherwise(-1)
+        last = F.regexp_extract(low, r"\x20(\p{L}+)$", 1)
+        # the lists are short, so a name that they lack is no sign against it
+        gazetteer = F.when(first.isin(*GIVEN_NAMES) | last.isin(*FAMILY_NAMES), 1).otherwise(0)
         placeholder = F.when(low.rlike(r"john doe|jane doe|max mustermann|erika mustermann|jean dupont|juan pérez|lorem ipsum"), -1).otherwise(0)
     tidy = lambda c: c.cast("int")
     bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(BUCKETS)).cast("int")
@@ -157,15 +172,22 @@ FEATURES = ("length_step", "digit_count", "shape", "word_before", "left_side", "
 
 
 def candidates(text: Column) -> Column:
-    """Array of candidates of the added kinds with votes and features. Two plain capitalised words are a candidate name only with a sign for it."""
-    names = either(tuple(n.capitalize() for n in GIVEN_NAMES))
-    name = rf"(?<![\p{{L}}.])(?:(?:{TITLES})\.?\x20(?:\p{{Lu}}\p{{Ll}}++\x20)?\p{{Lu}}\p{{Ll}}++|{names}\x20\p{{Lu}}\p{{Ll}}++)(?!\p{{L}})"
+    """Array of candidates of the added kinds with votes and features.
+
+    Capitalised words are a candidate name with any one sign for it: a title, a listed given or family name, or a cue before them. No
+    sign is common to all candidates, so each labeler has some to vote for and some on which it is silent.
+    """
+    given, family = (either(tuple(n.capitalize() for n in names)) for names in (GIVEN_NAMES, FAMILY_NAMES))
+    word, left = r"\p{Lu}\p{Ll}++", r"(?<![\p{L}.])"
+    cued = rf"(?=\p{{Lu}}\p{{Ll}})(?<=(?i:{PERSON_CUES})\W{{1,3}}(?:(?i:{COPULAS})\W{{1,3}})?)"
+    name = rf"(?:{left}(?:(?:{TITLES})\.?\x20(?:{word}\x20)?{word}|{given}\x20{word}|{word}\x20{family})|{cued}{word}\x20{word})(?!\p{{L}})"
+    sign = rf"(?<!\p{{L}})(?:{TITLES}|{given})\.?\x20\p{{Lu}}|\p{{Ll}}\x20{family}(?!\p{{L}})|(?i:{PERSON_CUES})\W{{1,3}}(?:(?i:{COPULAS})\W{{1,3}})?{word}\x20\p{{Lu}}"
     found = {
         "mail_text": find_spans(text, MAIL_TEXT, only_if=text.rlike(r"(?i)[\[(<{]\x20?at\x20?[\])>}]"), around=True),
         "local_phone": find_spans(text, LOCAL_PHONE, only_if=text.rlike(r"[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}"), around=True),
         "national_id": find_spans(text, NATIONAL_ID, only_if=text.rlike(r"[0-9]-[0-9]{2}-[0-9]"), around=True),
         "account": find_spans(text, ACCOUNT, only_if=text.rlike(r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]{4}"), around=True),
-        "name": find_spans(text, name, only_if=text.rlike(rf"(?<!\p{{L}})(?:{TITLES}|{names})\.?\x20\p{{Lu}}"), around=True),
+        "name": find_spans(text, name, only_if=text.rlike(sign), around=True),
     }
     vote = lambda kind: lambda s: _votes(kind, s)
     return F.concat(*[F.transform(spans, vote(kind)) for kind, spans in found.items()])

@@ -11,7 +11,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from recordscope.llm.pii import estimate_reliability, find_personal_data, op7_personal_data
+from recordscope.llm.pii import candidates, estimate_reliability, find_personal_data, op7_personal_data
 from recordscope.llm.secrets import BASE_KINDS, LIVE_OWNERS, LIVE_REPOSITORIES, find_secrets, mask_secrets, op9_secret_scan
 from recordscope.llm.spans import masked
 
@@ -253,3 +253,16 @@ def test_planted_table_by_precision_and_recall(spark):
     got = {(r["doc_id"], s["kind"], s["start"], s["end"]) for r in find_personal_data(frame(spark, texts)).collect() for s in r["added"]}
     right = len(got & want)
     assert right >= 0.95 * len(want) and right >= 0.95 * len(got)
+
+
+def test_names_become_candidates_by_any_one_sign(spark):
+    """A title, a listed given or family name, or a cue makes a candidate; two signs make a span; repeated and long texts alike."""
+    two = ["the patient Zora Müller came", "it was signed: Dr. Zora Quimby today", "her name is Anna Quimby now", "we met Mr. Zora Smith there"]
+    one = ["signed: Zora Quimby today", "we met Zora Müller there", "we met Anna Quimby there", "the page of Mr. Quimby there"]
+    none = ["we met Zora Quimby there", "surname and firstname", "nothing here", ""]
+    texts = [*two, *one, *none, "x " * 200_000 + two[0]]
+    count = frame(spark, texts).select("doc_id", F.size(candidates(F.col("text"))).alias("n"))
+    assert {r["doc_id"]: r["n"] for r in count.collect()} == {i: int(t not in none) for i, t in enumerate(texts)}
+    got = {r["doc_id"]: [(s["kind"], texts[r["doc_id"]][s["start"] : s["end"]]) for s in r["added"]] for r in find_personal_data(frame(spark, texts)).collect()}
+    want = {i: [("name", t)] for i, t in enumerate(["Zora Müller", "Dr. Zora Quimby", "Anna Quimby", "Mr. Zora Smith"])} | {len(texts) - 1: [("name", "Zora Müller")]}
+    assert got == {i: want.get(i, []) for i in range(len(texts))}
