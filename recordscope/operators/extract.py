@@ -182,7 +182,8 @@ def owner_table(df: DataFrame, html: str) -> DataFrame:
     return df.withColumn("owners", F.transform(four, lambda c: F.struct(c[0].alias("name"), c[1].alias("designation"), c[2].alias("ownership_pct"), c[3].alias("country"))))
 
 
-# Labels of an award's detail page, as patterns; field -> label of the cell before the value.
+# Headings around the owners of an award's detail page; labels of the page, as patterns; field -> label of the cell before the value.
+OWNER_BLOCK = ("Beneficial Ownership Information", "Business Address")
 DETAIL_LABELS = {
     "tenderer_id": r"Tenderer ID of the Economic Operator[^:<]*",
     "business_address": r"Business Address of the Economic Operator",
@@ -194,7 +195,7 @@ DETAIL_LABELS = {
 }
 
 
-def award_details(df: DataFrame, html: str, labels: Mapping[str, str] = DETAIL_LABELS, block: tuple[str, str] = ("Beneficial Ownership Information", "Business Address")) -> DataFrame:
+def award_details(df: DataFrame, html: str, labels: Mapping[str, str] = DETAIL_LABELS, block: tuple[str, str] = OWNER_BLOCK) -> DataFrame:
     """Adds the labelled fields of a detail page (null where a label is missing) and ``beneficial_owners`` (name, designation, ownership_pct, country).
 
     Owners are the numbered rows of five cells between the two headings; rows without a name are left out.
