@@ -240,6 +240,8 @@ def nearest_centre(words: DataFrame, centres: DataFrame, key: Sequence[str], x:
 KINDS = ("district", "upazila", "place", "zone", "plant", "substation")
 #: Answers for a typed name.
 MOST = 8
+#: Lengths of the pieces of names that are listed; a text looks up pieces of the longest that it holds.
+PIECES = (2, 3, 6, 12)
 
 
 def resolve_places(queries: DataFrame, gazetteer: DataFrame, q: str = "q", aliases: DataFrame | None = None, kinds: Sequence[str] = KINDS, most: int = MOST) -> DataFrame:
@@ -250,9 +252,11 @@ def resolve_places(queries: DataFrame, gazetteer: DataFrame, q: str = "q", alias
     consonants as the name or a spelling, 5 consonants of three letters or more but for one edit; then the order of ``kinds``,
     shorter names, names. Texts of fewer than two characters find nothing; case does not count.
 
-    Ways 0 to 3 share an inverted index of pairs and triples of characters with their places: a text looks up its rarest triple and
-    stays where its other characters stand around it. Ways 4 and 5 meet on skeletons with at most one letter left out. So no text
-    meets the whole gazetteer, and what a text finds is cut to its best rows by partial sorts.
+    Ways 0 to 3 share an inverted index of pieces of 2, 3, 6 and 12 characters with their places: a text looks up its rarest piece of
+    the longest of these lengths that it holds and stays where its other characters stand around it. Long pieces keep the lists short
+    where all triples are frequent. Ways 4 and 5 meet on skeletons with at most one letter left out. So no text meets the whole
+    gazetteer, and what a text finds is cut to its best rows by partial sorts. All joins are by sorted shuffles: both sides grow with
+    the input, and Spark guesses them from a packed file, so it would send them through the driver.
     """
     has = lambda c, other: F.col(c) if c in gazetteer.columns else F.lit(other).cast("string")
     asked = queries.select(q).distinct().withColumn("_q", F.lower(F.trim(F.col(q)))).filter(F.length("_q") >= 2)
@@ -261,35 +265,36 @@ def resolve_places(queries: DataFrame, gazetteer: DataFrame, q: str = "q", alias
     # a spelling holds for all entries of a name, a name in another script for its own ones
     none = F.lit(None).cast("string").alias("_own")
     texts = entries.select("name", F.col("name").alias("text"), F.lit(False).alias("_alias"), none)
-    texts = texts.unionByName(said.join(entries.select("name").distinct(), "name").select("name", F.col("alias").alias("text"), F.lit(True).alias("_alias"), none))
+    texts = texts.unionByName(said.join(entries.select("name").distinct().hint("merge"), "name").select("name", F.col("alias").alias("text"), F.lit(True).alias("_alias"), none))
     texts = texts.unionByName(entries.filter("local is not null").select("name", F.col("local").alias("text"), F.lit(False).alias("_alias"), F.col("local").alias("_own")))
     texts = texts.withColumn("text", F.lower("text")).distinct()
     pieces = lambda c, n: F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i: F.struct(F.substring(c, i, F.lit(n) if isinstance(n, int) else n).alias("gram"), i.cast("int").alias("at")))
-    both = F.when(F.length("text") >= 2, F.concat(pieces(F.col("text"), 2), F.when(F.length("text") >= 3, pieces(F.col("text"), 3)).otherwise(F.array().cast("array<struct<gram:string,at:int>>"))))
-    posted = texts.select("name", "text", "_alias", "_own", F.inline(both))
+    listed = F.concat(*[F.when(F.length("text") >= n, pieces(F.col("text"), n)).otherwise(F.array().cast("array<struct<gram:string,at:int>>")) for n in PIECES])
+    posted = texts.select("name", "text", "_alias", "_own", F.inline(listed))
     often = posted.groupBy("gram").agg(F.count("*").alias("_df"))
     # a text's rarest gram; one that is nowhere ends the search
-    grams = asked.select(q, "_q", F.inline(pieces(F.col("_q"), F.least(F.length("_q"), F.lit(3))))).join(often, "gram", "left")
+    longest = F.greatest(*[F.when(F.length("_q") >= n, n).otherwise(PIECES[0]) for n in PIECES])
+    grams = asked.select(q, "_q", F.inline(pieces(F.col("_q"), longest))).join(often.hint("merge"), "gram", "left")
     rare = grams.groupBy(q, "_q").agg(F.min(F.struct(F.coalesce("_df", F.lit(0)).alias("df"), F.col("at").alias("_off"), F.col("gram"))).alias("g")).select(q, "_q", "g.gram", "g._off")
     start = F.col("at") - F.col("_off") + 1
-    held = rare.join(posted, "gram").filter((start >= 1) & (F.substring("text", F.greatest(start, F.lit(1)), F.length("_q")) == F.col("_q")))
+    held = rare.join(posted.hint("merge"), "gram").filter((start >= 1) & (F.substring("text", F.greatest(start, F.lit(1)), F.length("_q")) == F.col("_q")))
     way = F.when(F.col("_alias"), F.when(start == 1, 2)).otherwise(F.when(F.col("text") == F.col("_q"), 0).when(start == 1, 1).otherwise(3))
     found = held.select(q, "name", way.alias("rank"), "_own").filter("rank is not null")
 
     spoken = texts.filter("_own is null").select("name", phonetic(F.col("text")).alias("_k")).filter("_k <> ''").distinct()
     heard = asked.select(q, phonetic(F.col("_q")).alias("_s")).filter("_s <> ''")
-    found = found.unionByName(heard.join(spoken, F.col("_s") == F.col("_k")).select(q, "name", F.lit(4).alias("rank"), none))
+    found = found.unionByName(heard.join(spoken.hint("merge"), F.col("_s") == F.col("_k")).select(q, "name", F.lit(4).alias("rank"), none))
     shorter = lambda c: F.array_distinct(F.concat(F.array(c), F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.concat(F.substring(c, F.lit(1), i - 1), F.substring(c, i + 1, F.length(c))))))
     skeletons = spoken.select("_k").distinct().select("_k", F.explode(shorter(F.col("_k"))).alias("_d"))
     wanted = heard.filter(F.length("_s") >= 3).select("_s").distinct().select("_s", F.explode(shorter(F.col("_s"))).alias("_d"))
-    edited = wanted.join(skeletons, "_d").select("_s", "_k").distinct().filter(F.levenshtein("_s", "_k", 1) >= 0)
-    found = found.unionByName(heard.join(edited, "_s").join(spoken, "_k").select(q, "name", F.lit(5).alias("rank"), none))
+    edited = wanted.join(skeletons.hint("merge"), "_d").select("_s", "_k").distinct().filter(F.levenshtein("_s", "_k", 1) >= 0)
+    found = found.unionByName(heard.join(edited.hint("merge"), "_s").join(spoken.hint("merge"), "_k").select(q, "name", F.lit(5).alias("rank"), none))
 
     best = found.groupBy(q, F.col("name").alias("_name"), "_own").agg(F.min("rank").alias("rank"))
     own = (F.col("_name") == F.col("name")) & (F.col("_own").isNull() | (F.col("_own") == F.col("local")))
     kind = F.coalesce(F.array_position(F.array(*[F.lit(k) for k in kinds]), F.col("kind")), F.lit(0))
     order = F.struct("rank", F.when(kind == 0, len(kinds) + 1).otherwise(kind).alias("k"), F.length("name").alias("n"), "name", "kind", "zone")
-    one = best.join(entries, own).groupBy(q, F.lower("name").alias("_l"), "district").agg(F.min(order).alias("o"))
+    one = best.join(entries.hint("merge"), own).groupBy(q, F.lower("name").alias("_l"), "district").agg(F.min(order).alias("o"))
     place = F.row_number().over(Window.partitionBy(q).orderBy("o", "district"))
     return one.withColumn("place", place).filter(F.col("place") <= most).select(q, "place", "o.rank", "o.kind", "o.name", "district", "o.zone")
 
