@@ -94,12 +94,17 @@ def value_right_of(cells: DataFrame, pattern: str, within: int) -> DataFrame:
 
 
 def rows_under_header(cells: DataFrame, labels: Mapping[str, str], needed: int = 2) -> DataFrame:
-    """(doc, row, one text column a label): the header is the first row in which ``needed`` labels match; columns follow it."""
+    """(doc, row, one text column a label): the header is the first row in which ``needed`` labels match; columns follow it.
+
+    A header's columns are found by two aggregates; cells meet them by sorted shuffles, since there is a header for each sheet.
+    """
     which = F.coalesce(*[F.when(F.col("text").rlike(p), F.lit(name)) for name, p in labels.items()])
     named = cells.withColumn("field", which).filter("field is not null")
-    head = named.groupBy("doc", "row").agg(F.count_distinct("field").alias("n")).filter(F.col("n") >= needed).groupBy("doc").agg(F.min("row").alias("head"))
-    columns = named.join(head, "doc").filter(F.col("row") == F.col("head")).groupBy("doc", "head", "field").agg(F.min("col").alias("col"))
-    below = cells.join(columns, ["doc", "col"]).filter(F.col("row") > F.col("head"))
+    at = named.groupBy("doc", "row").agg(*[F.min(F.when(F.col("field") == name, F.struct("col"))).alias(f"_{k}") for k, name in enumerate(labels)])
+    found = F.array(*[F.struct(F.lit(name).alias("field"), F.col(f"_{k}").alias("at")) for k, name in enumerate(labels)])
+    heads = at.select("doc", "row", F.filter(found, lambda x: x["at"].isNotNull()).alias("_c")).filter((F.size("_c") >= needed) & F.col("row").isNotNull())
+    columns = heads.groupBy("doc").agg(F.min(F.struct("row", "_c")).alias("_h")).select("doc", F.col("_h.row").alias("head"), F.inline("_h._c")).select("doc", "head", "field", F.col("at.col").alias("col"))
+    below = cells.join(columns.hint("merge"), ["doc", "col"]).filter(F.col("row") > F.col("head"))
     return below.groupBy("doc", "row").pivot("field", list(labels)).agg(F.first("text"))
 
 

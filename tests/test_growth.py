@@ -7,6 +7,7 @@ import io as text_io
 
 from pyspark.sql import functions as F
 
+from recordscope.operators import extract as ex
 from recordscope.operators import match as mt
 
 
@@ -33,3 +34,13 @@ def test_places_are_joined_without_the_driver(spark):
         want = {n: 0 if n == t else 1 if n.startswith(t) else 3 for n in every if t in n}
         best = sorted((k, len(n), n) for n, k in want.items())[:8]
         assert got.get(q, {}) == {n: k for k, _, n in best}
+
+
+def test_rows_under_header_are_joined_without_the_driver(spark):
+    """There is a header for each sheet, so a broadcast of all of them grew with the input. The first row with labels counts."""
+    said = {0: ("Notes", "Plant", ""), 1: ("Plant", "Output", "Output"), 2: ("a", "1", "9"), 3: ("Output", "Plant", "")}
+    sheet = F.array(*[F.struct(F.lit(row).alias("row"), F.lit(col).alias("col"), F.lit(text).alias("text")) for row, texts in said.items() for col, text in enumerate(texts)])
+    cells = spark.range(20).select(F.col("id").alias("doc"), F.inline(sheet))
+    rows = ex.rows_under_header(cells, {"plant": "^Plant", "output": "^Output", "remarks": "^Remark"})
+    assert "Broadcast" not in plan(rows)
+    assert sorted(map(tuple, rows.collect())) == sorted((doc, row, a, b, None) for doc in range(20) for row, a, b in ((2, "a", "1"), (3, "Output", "Plant")))
