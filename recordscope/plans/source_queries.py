@@ -145,13 +145,9 @@ def k5_packed_cube(spark, d):
 
 @query("SELECT o_orderkey AS id, o_custkey AS customer, o_totalprice AS price FROM orders WHERE o_totalprice > 1000")
 def s7_database(spark, d):
-    """Writes all orders to the database engine that comes with Spark, keys crowded at one end, and reads them back by ranges of equal rows.
-
-    The engine is embedded: it serves one process, so on a cluster the URL of a server takes its place.
-    """
-    url = f"jdbc:derby:{folder(spark, 'database').removeprefix('file://').removeprefix('file:')}"
-    own = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
-    orders = table(spark, d, "orders").select((F.col("o_orderkey") * F.col("o_orderkey")).alias("ID"), F.col("o_orderkey").alias("ORDERKEY"), F.col("o_custkey").alias("CUSTOMER"), F.col("o_totalprice").alias("PRICE"))
-    orders.coalesce(1).write.option("batchsize", 5000).jdbc(f"{url};create=true", "ORDERS", properties=own)
-    rows = io.read_database(spark, url, "SELECT ID, ORDERKEY, CUSTOMER, PRICE FROM ORDERS", split="ID", parts=8, **own)
-    return rows.filter("PRICE > 1000").select(F.col("ORDERKEY").alias("id"), F.col("CUSTOMER").alias("customer"), F.col("PRICE").alias("price"))
+    """Writes all orders as a crawl database of SQLite shards, keys crowded at one end, and reads them back by ranges of equal rows."""
+    path = folder(spark, "database")
+    orders = table(spark, d, "orders").select((F.col("o_orderkey") * F.col("o_orderkey")).alias("id"), F.col("o_orderkey").alias("orderkey"), F.col("o_custkey").alias("customer"), F.col("o_totalprice").alias("price"))
+    io.write_sqlite(orders, path, "orders", "id")
+    rows = io.read_sqlite(spark, path, "SELECT id, orderkey, customer, price FROM orders WHERE price > 1000", struct(orderkey=T.LongType(), customer=T.LongType(), price=NUMBER), "id")
+    return rows.select(F.col("orderkey").alias("id"), "customer", "price")

@@ -5,11 +5,19 @@ from __future__ import annotations
 import contextlib
 import contextvars
 import functools
+import itertools
+import os
 import re
+import shutil
+import sqlite3
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from urllib.parse import quote, unquote
 
+import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -175,6 +183,78 @@ def read_database(spark: SparkSession, url: str, query: str, split: str | None =
     return spark.read.jdbc(url, f"({query}) q", predicates=[f"{split} < {cuts[0]} OR {split} IS NULL", *inner, f"{split} >= {cuts[-1]}"], properties=dict(options))
 
 
+def _mounted(path: str) -> str:
+    """A path of the local file system, without its scheme; SQLite opens no other."""
+    plain = re.sub(r"^file:(//)?(?=/)", "", path)
+    if not plain.startswith("/"):
+        raise ValueError(f"SQLite files need a folder that all machines mount, not {path}")
+    return plain
+
+
+def write_sqlite(df: DataFrame, path: str, table: str, key: str) -> int:
+    """Numbers and texts as a crawl database in shards: one SQLite file for each partition of ``df``, with an index on ``key``; gives the rows.
+
+    A shard is made in its task's own folder and moved under its name when whole, so a repeated task replaces its file.
+    """
+    folder, names = _mounted(path), df.columns
+    os.makedirs(folder, exist_ok=True)
+
+    def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = next(batches, None)
+        if first is None:
+            return
+        with tempfile.TemporaryDirectory() as own, contextlib.closing(sqlite3.connect(f"{own}/shard.db")) as db:
+            db.execute(f"CREATE TABLE {table} ({', '.join(names)})")
+            n = 0
+            for batch in itertools.chain([first], batches):
+                db.executemany(f"INSERT INTO {table} VALUES ({', '.join('?' * len(names))})", zip(*[c.to_pylist() for c in batch.columns], strict=True))
+                n += batch.num_rows
+            db.execute(f"CREATE INDEX by_{key} ON {table} ({key})")
+            db.commit()
+            whole = f"{folder}/shard-{TaskContext.get().partitionId():05d}.db"
+            shutil.copyfile(f"{own}/shard.db", part := f"{whole}.{uuid.uuid4().hex}")
+            os.replace(part, whole)
+        yield pa.RecordBatch.from_pydict({"n": [n]})
+
+    return df.mapInArrow(shard, "n long").agg(F.sum("n")).first()[0] or 0
+
+
+def read_sqlite(spark: SparkSession, path: str, query: str, schema: T.StructType, split: str, rows: int = 100_000) -> DataFrame:
+    """Rows of a SQL query over all shards of a crawl database, numbers and texts as in ``schema``.
+
+    Each task reads a range of about ``rows`` rows of a shard by ``split``, a column of the query; nulls are in the first range. Shards
+    are opened for reading only, so all machines may read one at once. The driver sees only the ranges.
+    """
+    names = schema.names
+
+    def opened(uri: str) -> sqlite3.Connection:
+        return sqlite3.connect(f"file:{quote(_mounted(unquote(uri)))}?mode=ro&immutable=1", uri=True)
+
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbered = f"SELECT {split} AS x, row_number() OVER (ORDER BY {split}) AS k FROM ({query}) q WHERE {split} IS NOT NULL"
+        for batch in batches:
+            for uri in batch.column(0).to_pylist():
+                with contextlib.closing(opened(uri)) as db:
+                    cuts = [x for (x,) in db.execute(f"SELECT DISTINCT x FROM ({numbered}) WHERE k % ? = 0 ORDER BY x", (rows,))]
+                yield pa.RecordBatch.from_arrays([pa.array([uri] * (len(cuts) + 1)), pa.array([None, *cuts], pa.int64()), pa.array([*cuts, None], pa.int64())], names=["path", "low", "high"])
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for uri, low, high in batch.astype(object).where(batch.notna(), None).itertuples(index=False):
+                bounds = [(f"{split} {sign} ?", int(x)) for sign, x in ((">=", low), ("<", high)) if x is not None]
+                where = " AND ".join(b for b, _ in bounds) or "true"
+                if low is None:
+                    where = f"({where}) OR {split} IS NULL"
+                with contextlib.closing(opened(uri)) as db:
+                    found = db.execute(f"SELECT {', '.join(names)} FROM ({query}) q WHERE {where}", [x for _, x in bounds])
+                    while some := found.fetchmany(20_000):
+                        yield pd.DataFrame(some, columns=names, dtype=object)
+
+    shards = spark.read.format("binaryFile").load(path, pathGlobFilter="*.db").select("path")
+    cut = [(r["path"], *(None if r[x] is None else str(r[x]) for x in ("low", "high"))) for r in shards.mapInArrow(ranges, "path string, low long, high long").collect()]
+    return spark.createDataFrame(cut, "path string, low string, high string").repartition(max(1, len(cut))).mapInPandas(read, schema)
+
+
 def write_buckets(df: DataFrame, path: str, year: str = "year") -> None:
     """One Parquet folder a year, 'unknown' for undated rows."""
     df.withColumn(year, F.coalesce(F.col(year).cast("string"), F.lit("unknown"))).write.mode("overwrite").partitionBy(year).parquet(path)

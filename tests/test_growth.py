@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import contextlib
 import io as text_io
+import os
+import subprocess
+import sys
 
 from pyspark.sql import functions as F
 
 from recordscope.operators import extract as ex
 from recordscope.operators import match as mt
+from recordscope.sources import io
 
 
 def plan(df):
@@ -44,3 +48,32 @@ def test_rows_under_header_are_joined_without_the_driver(spark):
     rows = ex.rows_under_header(cells, {"plant": "^Plant", "output": "^Output", "remarks": "^Remark"})
     assert "Broadcast" not in plan(rows)
     assert sorted(map(tuple, rows.collect())) == sorted((doc, row, a, b, None) for doc in range(20) for row, a, b in ((2, "a", "1"), (3, "Output", "Plant")))
+
+
+CLUSTER = """
+import sys, tempfile
+from pyspark.sql import SparkSession
+top = tempfile.mkdtemp()
+b = SparkSession.builder.master("local-cluster[2,1,1024]").config("spark.checkpoint.dir", f"file://{top}").config("spark.driver.host", "127.0.0.1").config("spark.ui.enabled", "false")
+spark = b.config("spark.sql.files.maxPartitionBytes", "4k").getOrCreate()
+from recordscope.plans.catalogue import QUERIES
+got = QUERIES["s7_database"](spark, "/root/testdata/sf0.001")
+want = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").filter("o_totalprice > 1000").selectExpr("o_orderkey", "o_custkey", "o_totalprice")
+assert got.count() == want.count() and not got.exceptAll(want).count()
+"""
+
+
+def test_database_on_several_machines(tmp_path):
+    """The embedded engine served one process: its executors failed while the driver held the database."""
+    run = subprocess.run([sys.executable, "-c", CLUSTER], cwd=tmp_path, env=os.environ | {"SPARK_LOCAL_DIRS": str(tmp_path)}, capture_output=True, text=True, timeout=300)
+    assert run.returncode == 0, run.stderr[-2000:]
+
+
+def test_sqlite_ranges(spark, tmp_path):
+    """Null, negative and repeated keys and null values come back once each, whatever the ranges."""
+    rows = [(k if k % 5 else None, k % 3 or None, None if k % 4 else f"a{k}'") for k in range(-40, 40)] + [(7, 2**60 + 1, "x")] * 9 + [(0, 1, "zero")] * 3
+    df = spark.createDataFrame(rows, "id long, n long, t string").repartition(3)
+    assert io.write_sqlite(df, f"file://{tmp_path}/a b", "facts", "id") == len(rows)
+    back = io.read_sqlite(spark, f"file://{tmp_path}/a b", "SELECT * FROM facts", df.schema, "id", 4)
+    assert back.rdd.getNumPartitions() > 6
+    assert sorted(map(str, map(tuple, back.collect()))) == sorted(map(str, rows))
