@@ -35,10 +35,11 @@ def contracts(spark: SparkSession, d: str) -> DataFrame:
     cn = t("nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("cn"))
     sn = t("nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("sn"), F.col("n_regionkey").alias("r_regionkey"))
     supplier = t("supplier").join(sn, "s_nationkey").join(t("region"), "r_regionkey").select(F.col("s_suppkey").alias("l_suppkey"), "sn", "r_name")
-    orders = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(cn, "c_nationkey")
+    # parts, customers and orders grow with the lines, so they meet by sorted shuffles; orders come last, whose keys group the contracts
+    orders = t("orders").join(t("customer").join(cn, "c_nationkey").hint("merge"), F.col("o_custkey") == F.col("c_custkey"))
     orders = orders.select(F.col("o_orderkey").alias("l_orderkey"), "c_custkey", "c_name", "cn", "o_orderpriority")
     part = t("part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    rows = t("lineitem").join(orders, "l_orderkey").join(supplier, "l_suppkey").join(part, "l_partkey")
+    rows = t("lineitem").join(part.hint("merge"), "l_partkey").join(orders.hint("merge"), "l_orderkey").join(supplier, "l_suppkey")
     return rows.select(
         F.col("l_orderkey").alias("tender_id"), F.col("l_linenumber").alias("pkg_lot_id"), F.col("l_partkey").alias("package_ref"), F.col("l_suppkey").alias("batch"),
         F.col("r_name").alias("ministry"), F.col("p_brand").alias("entity"), F.col("o_orderpriority").alias("method"), F.to_date("l_shipdate").alias("signed"), F.col("c_name").alias("awarded_to"),
