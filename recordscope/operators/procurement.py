@@ -68,16 +68,24 @@ def top_entities(df: DataFrame, name: str, value: str, top: int) -> DataFrame:
 def vendor_profile(df: DataFrame) -> DataFrame:
     """Per vendor key: modal name, count, value, distinct entities and ministries, active years, top entity and its share.
 
-    Rows are added up once by printed name, entity, ministry and year, which repeat a lot; keys are made from the names that are
-    left, and all figures come from that small table. Ties go to the smaller name.
+    Rows are added up once by printed name, entity, ministry and year; keys are made once from the names that are left. Then names,
+    entities, ministries and years are added up together by vendor, and each vendor's sums give all figures, so nothing is joined.
+    Ties go to the smaller name.
     """
-    small = durable(df.groupBy("awarded_to", "entity", "ministry", F.year("signed").alias("year")).agg(F.count("*").alias("c"), F.sum("value").alias("v")))
-    named = small.withColumn("vendor", company_key(F.col("awarded_to"))).filter("vendor <> ''")
-    best = lambda key, out: named.groupBy("vendor", key).agg(F.sum("c").alias("_n")).groupBy("vendor").agg(F.min_by(key, F.struct(-F.col("_n"), F.col(key))).alias(out), F.max("_n").alias(f"_{out}"))
-    sets = [F.count_distinct(c).alias(name) for c, name in (("entity", "n_entities"), ("ministry", "n_ministries"))]
-    main = named.groupBy("vendor").agg(F.sum("c").alias("n"), F.round(F.sum("v"), 2).alias("value"), *sets, F.size(F.collect_set("year")).alias("n_years"))
-    out = main.join(best("awarded_to", "name"), "vendor").join(best("entity", "top_entity"), "vendor")
-    return out.select("vendor", "name", "n", "value", "n_entities", "n_ministries", "n_years", "top_entity", F.round(F.col("_top_entity") / F.col("n"), 3).alias("top_share"))
+    small = df.groupBy("awarded_to", "entity", "ministry", F.year("signed").alias("year")).agg(F.count("*").alias("c"), F.sum("value").alias("v"))
+    named = durable(small.select("*", company_key(F.col("awarded_to")).alias("vendor"))).filter("vendor <> ''")
+    kinds = ("awarded_to", "entity", "ministry", "year")
+    each = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).cast("string").alias("said")) for k, c in enumerate(kinds)])
+    sums = named.select("vendor", "c", "v", F.inline(each)).groupBy("vendor", "kind", "said").agg(F.sum("c").alias("c"), F.sum("v").alias("v"))
+    of = lambda c, value: F.when(F.col("kind") == kinds.index(c), value)
+    first = F.struct(-F.col("c"), F.col("said"))
+    best = lambda c: F.min_by("said", of(c, first))
+    out = sums.groupBy("vendor").agg(
+        best("awarded_to").alias("name"), F.sum(of("awarded_to", F.col("c"))).alias("n"), F.round(F.sum(of("awarded_to", F.col("v"))), 2).alias("value"),
+        *[F.count(of(c, F.col("said"))).alias(name) for c, name in (("entity", "n_entities"), ("ministry", "n_ministries"))],
+        F.count(of("year", F.col("said"))).cast("int").alias("n_years"), best("entity").alias("top_entity"), F.max(of("entity", F.col("c"))).alias("_top"),
+    )
+    return out.select("vendor", "name", "n", "value", "n_entities", "n_ministries", "n_years", "top_entity", F.round(F.col("_top") / F.col("n"), 3).alias("top_share"))
 
 
 def vendor_lists(profiles: DataFrame, top: int = 40, least: int = 5, share: float = 0.8) -> DataFrame:
@@ -86,6 +94,7 @@ def vendor_lists(profiles: DataFrame, top: int = 40, least: int = 5, share: floa
         few = df.orderBy(*order).limit(limit) if limit else df
         return few.select(F.lit(name).alias("list"), F.row_number().over(Window.orderBy(*order)).alias("place"), "vendor")
 
+    profiles = durable(profiles.select("vendor", "value", "n", "top_share"))
     by_value = ranked(profiles, "value", [F.col("value").desc(), F.col("vendor")], top)
     by_count = ranked(profiles, "count", [F.col("n").desc(), F.col("vendor")], top)
     dense = profiles.filter((F.col("n") >= least) & (F.col("top_share") >= share))
