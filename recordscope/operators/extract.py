@@ -109,14 +109,19 @@ def rows_under_header(cells: DataFrame, labels: Mapping[str, str], needed: int =
 
 
 def sheet_date(cells: DataFrame, top: int = 6, within: int = 4) -> DataFrame:
-    """(doc, date): the first date right of a 'Date' label, else the first date in the top rows; several spellings."""
+    """(doc, date): the first date right of a 'Date' label, else the first date in the top rows; several spellings.
+
+    Cells are read once; only labels and cells that may hold a date go on. A date looks back in its row for the nearest label.
+    """
     said = F.col("text")
+    may = said.rlike(r"\d[-/.]")  # in every spelling a digit stands before one of these
     date = F.coalesce(*[F.try_to_date(F.nullif(F.regexp_extract(said, p, 0), F.lit("")), f) for p, f in ((r"\d{1,2}-\d{1,2}-\d{4}", "d-M-yyyy"), (r"\d{1,2}/\d{1,2}/\d{4}", "d/M/yyyy"), (r"\d{4}-\d{2}-\d{2}", "yyyy-MM-dd"), (r"\d{1,2}\.\d{1,2}\.\d{4}", "d.M.yyyy"))], parse_dmy(said))
-    dated = cells.withColumn("date", date).filter("date is not null").select("doc", "row", "col", "date")
-    label = cells.filter(said.rlike(r"(?i)^\s*date\b")).select("doc", "row", F.col("col").alias("at"))
-    beside = dated.join(label, ["doc", "row"]).filter(F.col("col").between(F.col("at"), F.col("at") + within)).select("doc", F.lit(0).alias("rank"), "row", "col", "date")
-    first = dated.filter(F.col("row") < top).select("doc", F.lit(1).alias("rank"), "row", "col", "date")
-    return beside.unionByName(first).groupBy("doc").agg(F.min_by("date", F.struct("rank", "row", "col")).alias("date"))
+    label = said.rlike(r"(?i)^\s*date\b")
+    few = cells.filter(may | label).select("doc", "row", "col", F.when(may, date).alias("date"), F.when(label, F.col("col")).alias("at")).filter("date is not null or at is not null")
+    nearest = F.max("at").over(Window.partitionBy("doc", "row").orderBy("col").rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    beside = F.coalesce((F.col("col") <= F.col("_at") + within) & F.col("doc").isNotNull() & F.col("row").isNotNull(), F.lit(False))
+    dated = few.withColumn("_at", nearest).filter("date is not null").select("doc", F.when(beside, 0).when(F.col("row") < top, 1).alias("rank"), "row", "col", "date")
+    return dated.filter("rank is not null").groupBy("doc").agg(F.min_by("date", F.struct("rank", "row", "col")).alias("date"))
 
 
 def table_lines(lines: DataFrame, header: str, total: str) -> DataFrame:
