@@ -20,7 +20,7 @@ def token_match(left: DataFrame, right: DataFrame, name: str, other: str, stop:
     Distinct names are matched, then rows take their name's match, so repeated rows all come out. With tokens ordered by rarity,
     two names of a high enough overlap share a token among the first few of both; only these meet, by an equality on tokens, so
     common words form no pairs. ``place``, a column of both sides, adds ``bonus`` where it agrees; so does a shared token of the
-    dictionary ``places`` (token). A bonus lowers the overlap that a pair needs, so names that can earn one show more of their
+    dictionary ``places`` (token). Names and tokens grow on both sides, so they are joined by sorted shuffles. A bonus lowers the overlap that a pair needs, so names that can earn one show more of their
     tokens, the others no more than without it. Ties go to the smaller name.
     """
     always = max(0.0, least - (bonus if place else 0.0)) - 1e-6
@@ -32,8 +32,8 @@ def token_match(left: DataFrame, right: DataFrame, name: str, other: str, stop:
         out = df.withColumn(tokens, name_tokens(F.col(key), stop))
         if known is None:
             return out.withColumn(mark, F.lit(None).cast("array<string>"))
-        said = out.select(key, F.explode(tokens).alias("_w")).join(known, "_w").groupBy(key).agg(F.collect_set("_w").alias(mark))
-        return out.join(said, key, "left")
+        said = out.select(key, F.explode(tokens).alias("_w")).join(known.hint("merge"), "_w").groupBy(key).agg(F.collect_set("_w").alias(mark))
+        return out.join(said.hint("merge"), key, "left")
 
     needs = lambda mark: F.when(F.col(mark).isNull(), always).otherwise(lowest)
     a = named(left.select(F.col(name).alias("_n")).distinct(), "_n", "_t", "_pt")
@@ -42,14 +42,14 @@ def token_match(left: DataFrame, right: DataFrame, name: str, other: str, stop:
 
     def first_tokens(df: DataFrame, key: str, tokens: str, mark: str) -> DataFrame:
         size = F.size(tokens)
-        each = df.select(key, size.alias("_size"), needs(mark).alias("_need"), F.explode(tokens).alias("_w")).join(often, "_w", "left")
+        each = df.select(key, size.alias("_size"), needs(mark).alias("_need"), F.explode(tokens).alias("_w")).join(often.hint("merge"), "_w", "left")
         order = F.row_number().over(Window.partitionBy(key).orderBy(F.coalesce("_df", F.lit(0)), "_w"))
         room = F.col("_size") - F.ceil(F.col("_size") * F.greatest("_need", F.lit(0.0))) + 1
         return each.withColumn("_k", order).filter((F.col("_k") <= room) & F.col("_df").isNotNull()).select(key, "_size", "_need", "_w")
 
     pa, pb = first_tokens(a, "_n", "_t", "_pt"), first_tokens(b, "_o", "_u", "_pu").select("_o", F.col("_size").alias("_other"), F.col("_need").alias("_needs"), "_w")
     fits = F.least("_size", "_other") >= F.greatest("_need", "_needs", F.lit(0.0)) * F.greatest("_size", "_other")
-    met = pa.join(pb, "_w").filter(fits).select("_n", "_o").distinct().join(a, "_n").join(b, "_o")
+    met = pa.join(pb.hint("merge"), "_w").filter(fits).select("_n", "_o").distinct().join(a.hint("merge"), "_n").join(b.hint("merge"), "_o")
     earned = F.when(F.coalesce(F.arrays_overlap("_pt", "_pu"), F.lit(False)), bonus).otherwise(0.0)
     score = F.size(F.array_intersect("_t", "_u")) / F.size(F.array_union("_t", "_u")) + earned
     pairs = met.select("_n", "_o", score.alias("_j")).filter(F.col("_j") >= always)
@@ -62,7 +62,7 @@ def token_match(left: DataFrame, right: DataFrame, name: str, other: str, stop:
     best = scored.groupBy(*key).agg(F.max("score").alias("score"), F.min_by("_o", F.struct(-F.col("score"), F.col("_o"))).alias("_o"))
     same = F.col(name) == F.col("_n")
     same = same & F.col(place).eqNullSafe(F.col("_p")) if place else same
-    return left.join(best, same).select(*left.columns, F.col("_o").alias(other), "score")
+    return left.join(best.hint("merge"), same).select(*left.columns, F.col("_o").alias(other), "score")
 
 
 def locate(stations: DataFrame, tiers: Sequence[tuple[str, DataFrame]], curated: DataFrame, zones: DataFrame, stop: Sequence[str] = (), least: float = 0.34, bonus: float = 0.15) -> DataFrame:
@@ -78,15 +78,15 @@ def locate(stations: DataFrame, tiers: Sequence[tuple[str, DataFrame]], curated:
     found = None
     for tag, features in tiers:
         spots = features.groupBy(F.col("name").alias("other")).agg(F.min(here).alias("at"))
-        best = durable(token_match(todo, spots.select("other"), "name", "other", stop, least, bonus=bonus, places=curated).join(spots, "other").select("name", "at", F.lit(tag).alias("tier"), F.round("score", 2).alias("score")))
+        best = durable(token_match(todo, spots.select("other"), "name", "other", stop, least, bonus=bonus, places=curated).join(spots.hint("merge"), "other").select("name", "at", F.lit(tag).alias("tier"), F.round("score", 2).alias("score")))
         found = best if found is None else found.unionByName(best)
-        todo = todo.join(best.select("name"), "name", "left_anti")
+        todo = todo.join(best.select("name").hint("merge"), "name", "left_anti")
     words = todo.select("name", F.posexplode(name_tokens(F.col("name"), stop)).alias("k", "token"))
-    towns = words.join(curated.groupBy(F.lower("token").alias("token")).agg(F.min(here).alias("at")), "token")
+    towns = words.join(curated.groupBy(F.lower("token").alias("token")).agg(F.min(here).alias("at")).hint("merge"), "token")
     towns = towns.groupBy("name").agg(F.min_by("at", "k").alias("at")).select("name", "at", F.lit("curated").alias("tier"), F.lit(None).cast("double").alias("score"))
     every = towns if found is None else found.unionByName(towns)
     centres = zones.groupBy("zone").agg(F.min(here).alias("_z"))
-    out = stations.join(every, "name", "left").join(centres, "zone", "left")
+    out = stations.join(every.hint("merge"), "name", "left").join(centres, "zone", "left")
     at = F.coalesce("at", "_z")
     tier = F.coalesce("tier", F.when(F.col("_z").isNotNull(), "zone").otherwise("none"))
     return out.select(*stations.columns, at["lat"].alias("lat"), at["lon"].alias("lon"), tier.alias("tier"), "score")
@@ -172,15 +172,17 @@ def _in_cells(points: DataFrame, levels: Sequence[int]) -> DataFrame:
     """Points with the cell they are in at each of the levels."""
     at = F.explode(F.array(*[F.lit(k) for k in levels])).alias("level")
     grid = lambda c: F.floor(F.col(c) * F.pow(F.lit(2.0), F.col("level")))
-    return points.select("id", "lon", "lat", at).withColumns({"gx": grid("lon"), "gy": grid("lat")})
+    return points.select("lon", "lat", at).withColumns({"gx": grid("lon"), "gy": grid("lat")})
 
 
 def polygon_cover(points: DataFrame, polygons: DataFrame, crowd: int = CROWD) -> DataFrame:
     """(name, ring, level, gx, gy, inside): cells of side 2^-level that cover the polygons, marked where they lie wholly inside.
 
     A polygon begins with cells of an eighth of its longer side, whatever its size. Cells at an edge in which over ``crowd`` points lie
-    are cut into four, again and again, so the more points there are, the fewer meet an edge.
+    are cut into four, again and again, so the more points there are, the fewer meet an edge. Points at one position count once: no
+    cut would part them.
     """
+    points = points.select("lon", "lat").distinct()
     bound = lambda f, axis: f(F.transform("ring", lambda p: p[axis]))
     box = polygons.filter(F.size("ring") >= 3).select("name", "ring", *[bound(f, axis).alias(c) for c, f, axis in (("x0", F.array_min, "lon"), ("x1", F.array_max, "lon"), ("y0", F.array_min, "lat"), ("y1", F.array_max, "lat"))])
     side = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
@@ -211,16 +213,17 @@ def point_in_polygon(points: DataFrame, polygons: DataFrame, crowd: int = CROWD)
     """Points (id, lon, lat) with the first polygon by name whose ring holds them: (id, name); points outside all have null.
 
     Points meet the polygons' ``polygon_cover`` by equality on cells; where a cell is wholly inside nothing else is asked, at an edge
-    the ring is tested. Repeated ids come out once each; null positions and rings of under three corners match nothing.
+    the ring is tested. Each position is judged once, for all its points. Repeated ids come out once each; null positions and rings of
+    under three corners match nothing.
     """
-    cover = durable(polygon_cover(points, polygons, crowd))
+    spots = durable(points.select("lon", "lat").filter("lon is not null and lat is not null").distinct())
+    cover = durable(polygon_cover(spots, polygons, crowd))
     levels = [r["level"] for r in cover.select("level").distinct().collect()]
     if not levels:
         return points.select("id", F.lit(None).cast("string").alias("name"))
-    met = _in_cells(points, levels).join(cover, ["level", "gx", "gy"])
-    hit = met.filter(F.col("inside") | in_ring(F.col("lon"), F.col("lat"), F.col("ring"))).groupBy(F.col("id").alias("_id"), F.col("lon").alias("_x"), F.col("lat").alias("_y")).agg(F.min("name").alias("name"))
-    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("lon") == F.col("_x")) & (F.col("lat") == F.col("_y"))
-    return points.select("id", "lon", "lat").join(hit, same, "left").select("id", "name")
+    met = _in_cells(spots, levels).join(cover, ["level", "gx", "gy"])
+    hit = met.filter(F.col("inside") | in_ring(F.col("lon"), F.col("lat"), F.col("ring"))).groupBy("lon", "lat").agg(F.min("name").alias("name"))
+    return points.select("id", "lon", "lat").join(hit, ["lon", "lat"], "left").select("id", "name")
 
 
 def nearest_centre(words: DataFrame, centres: DataFrame, key: Sequence[str], x: str, centre: str, within: float) -> DataFrame:
