@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from recordscope.operators import extract as ex
 from recordscope.operators import match as mt
+from recordscope.operators import procurement as pr
+from recordscope.plans.base import contracts
 from recordscope.sources import io
 
 
@@ -77,3 +79,40 @@ def test_sqlite_ranges(spark, tmp_path):
     back = io.read_sqlite(spark, f"file://{tmp_path}/a b", "SELECT * FROM facts", df.schema, "id", 4)
     assert back.rdd.getNumPartitions() > 6
     assert sorted(map(str, map(tuple, back.collect()))) == sorted(map(str, rows))
+
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_contracts_grow_without_broadcasts_of_large_sides(spark):
+    assert plan(contracts(spark, SF)).count("SortMergeJoin") >= 3
+
+
+def test_vendor_figures_need_no_join(spark):
+    rows = spark.range(50).select(F.concat(F.lit("Firm no "), F.col("id") % 5).alias("awarded_to"), F.lit("e").alias("entity"), F.lit(None).cast("string").alias("ministry"), F.lit("2024-01-02").cast("date").alias("signed"), F.lit(1.5).alias("value"))
+    out = pr.vendor_profile(rows)
+    assert "Join" not in plan(out)
+    assert {tuple(r)[2:] for r in out.collect()} == {(10, 15.0, 1, 0, 1, "e", 1.0)}
+
+
+def test_sheet_dates_need_no_join(spark):
+    """A date beside a label comes before earlier ones; a label's own cell counts, one too far left does not."""
+    said = [("a", 0, 0, "1-2-2024"), ("a", 3, 1, "Date"), ("a", 3, 5, "3-Mar-2024"), ("b", 9, 0, "Date"), ("b", 9, 5, "1-2-2024"), ("c", 8, 2, "Date: 2024-05-06"), ("d", 5, 0, "7/8/2024"), ("d", 4, 0, "9.8.2024")]
+    cells = spark.createDataFrame(said, "doc string, row int, col int, text string")
+    out = ex.sheet_date(cells)
+    assert "Join" not in plan(out)
+    assert {r["doc"]: str(r["date"]) for r in out.collect()} == {"a": "2024-03-03", "c": "2024-05-06", "d": "2024-08-09"}
+
+
+def test_points_at_one_position_cut_no_cells(spark):
+    """Cells over a crowded corner were cut down to the deepest level."""
+    ring = F.array(*[F.struct(F.lit(x).alias("lon"), F.lit(y).alias("lat")) for x, y in ((0.0, 0.0), (8.0, 0.0), (8.0, 8.0))])
+    points = spark.range(100).select("id", F.lit(0.0).alias("lon"), F.lit(0.0).alias("lat"))
+    assert mt.polygon_cover(points, spark.range(1).select(F.lit("a").alias("name"), ring.alias("ring")), 5).select("level").distinct().count() == 1
+
+
+def test_tokens_are_joined_without_the_driver(spark):
+    names = spark.range(20).select(F.concat(F.lit("north plant "), F.translate(F.col("id").cast("string"), "0123456789", "bdfgklmnrt"), F.lit("xyz")).alias("name"))
+    found = mt.token_match(names, names.withColumnRenamed("name", "other"), "name", "other", places=names.select(F.substring("name", 1, 5).alias("token")))
+    assert "Broadcast" not in plan(found)
+    assert all(r["name"] == r["other"] for r in found.collect())
