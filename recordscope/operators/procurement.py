@@ -28,8 +28,12 @@ def pick_last(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFr
 
 
 def duplicate_count(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """One row: rows, distinct keys and rows beyond the first of their key."""
-    per = df.groupBy(*key).agg(F.count("*").alias("n"))
+    """One row: rows, distinct keys and rows beyond the first of their key.
+
+    Keys are dealt out to all shuffle partitions, which are not merged, so no task counts them beside the sorts of a join before.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    per = df.select(*key).repartition(parts, *key).groupBy(*key).agg(F.count("*").alias("n"))
     return per.agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_keys"), F.sum(F.col("n") - 1).alias("n_duplicates"))
 
 
